@@ -4,20 +4,29 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from oracle_views import ROLL, THRESHOLD, r, ts, with_views
-from pluvio.config import WetAntenna
+from pluvio.config import Interp, Limits, Score, WetAntenna
+from pluvio.functions import clock
+from pluvio.functions import colours as co
+from pluvio.functions.geo import lat_of, lon_of, mercator_x, mercator_y
 from pluvio.operators import baseline as bl
 from pluvio.operators import channels as ch
+from pluvio.operators import grid as gr
+from pluvio.operators import idw, mask
+from pluvio.operators import products as pr
 from pluvio.operators import quality as q
 from pluvio.operators import rain as rn
 from pluvio.operators import resample as rs
 from pluvio.operators import temperature as tc
 from pluvio.operators import wetdry as wd
-from pluvio.sources import demo, metadata, telemetry
+from pluvio.session import stage
+from pluvio.sources import demo, metadata, polygons, telemetry
+from pluvio.sources import frames as frame_store
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -85,7 +94,7 @@ def link_rain(spark, sf):
 
 
 def aligned(spark, sf):
-    lr = link_rain(spark, sf)
+    lr = stage(link_rain(spark, sf), "link_rain")  # read for the time axis and for the rows
     return rs.align(lr, rs.time_axis(lr))
 
 
@@ -390,3 +399,376 @@ def _(spark, sf):
     return rs.audit_hour_sums(hour_sum(spark, sf), demo.STEP_MINUTES, HOUR_SUM_MINUTES).select(
         "checked", rr("max_abs_diff", 3).alias("max_abs_diff")
     )
+
+
+# --- grid, interpolation, mask ---------------------------------------------------------------
+
+LIMITS = Limits(11.4, 16.6, 47.9, 48.6)
+INTERP = Interp(nx=40, ny=12, near=5, dist_m=20000.0, tile=8)
+GRID = gr.make_grid(INTERP, LIMITS)
+STEP_GRID = gr.make_grid(replace(INTERP, nx=None, ny=None, step_m=9000.0), LIMITS)
+DEGREE_GRID = gr.make_grid(replace(INTERP, mercator=False, res_deg=0.1), LIMITS)
+LEAST = 0.1
+
+
+def _cells_sql(g: gr.Grid) -> str:
+    return f"""SELECT CAST(i // {g.nx} AS INTEGER) AS "row", CAST(i % {g.nx} AS INTEGER) AS col,
+        {g.x0!r}e0 + ((i % {g.nx}) + {g.shift!r}e0)*{g.dx!r}e0 AS x,
+        {g.y0!r}e0 + ((i // {g.nx}) + {g.shift!r}e0)*{g.dy!r}e0 AS y FROM range({g.nx * g.ny}) t(i)"""
+
+
+def _field_sql(value: str, k: int = 5, radius: str = "20000e0", mercator: bool = True) -> dict[str, str]:
+    lon, lat = "(lon_a+lon_b)/2", "(lat_a+lat_b)/2"
+    px = f"6378137e0*radians({lon})" if mercator else lon
+    py = f"6378137e0*ln(tan(pi()/4 + radians({lat})/2))" if mercator else lat
+    return {
+        "cells": _cells_sql(GRID if mercator else DEGREE_GRID),
+        "centers": f"SELECT cml_id, {px} AS px, {py} AS py FROM links",
+        "cand": f"""SELECT * FROM (SELECT "row", col, cml_id, sqrt((px-x)*(px-x)+(py-y)*(py-y)) AS d FROM cells CROSS JOIN centers)
+            WHERE d < {radius}""",
+        "zvals": f"SELECT cml_id, time, {value} AS z FROM hour_sum",
+        "ranked": f"""SELECT time, "row", col, d, z, row_number() OVER (PARTITION BY time, "row", col
+            ORDER BY floor(d/{radius}*1e8), cml_id) AS rk FROM cand JOIN zvals USING (cml_id) WHERE z IS NOT NULL""",
+        "frames": f"""SELECT time, "row", col, CASE WHEN v < {LEAST} THEN 0.0 ELSE v END AS v FROM (
+            SELECT time, "row", col, CASE WHEN min(d) < 1e-10 THEN arg_min(z, d) ELSE sum(z*pow(d,-2))/sum(pow(d,-2)) END AS v
+            FROM ranked WHERE rk <= {k} GROUP BY 1, 2, 3)""",
+    }
+
+
+def _frames(spark, sf, value="r", series=None, mercator=True, **kw):
+    series = stage(hour_sum(spark, sf), "hour_sum") if series is None else series
+    kw = {"near": INTERP.near, "radius": INTERP.dist_m if mercator else 0.25, "tile": INTERP.tile, "least": LEAST, **kw}
+    return idw.rain_frames(
+        series, links(spark, sf), GRID if mercator else DEGREE_GRID, value=value, mercator=mercator, **kw
+    )
+
+
+FRAME_SQL = f"""SELECT {ts()} AS time, "row", col, {r('v', 3)} AS v FROM frames"""
+
+
+def _frame_out(frames):
+    return frames.select(stamp(), "row", "col", rr("v", 3).alias("v"))
+
+
+@query("grid_cells", f"""SELECT g."row", g.col, {r('x', 2)} AS x, {r('y', 2)} AS y, count(cml_id) AS n_links
+    FROM cells g LEFT JOIN centers c ON c.px >= x - {GRID.dx / 2!r}e0 AND c.px < x + {GRID.dx / 2!r}e0
+      AND c.py >= y - {GRID.dy / 2!r}e0 AND c.py < y + {GRID.dy / 2!r}e0 GROUP BY ALL""", _field_sql("r"))
+def _(spark, sf):
+    centers = idw.link_centers(links(spark, sf)).select(
+        F.floor((F.col("py") - GRID.y0) / GRID.dy).cast("int").alias("row"),
+        F.floor((F.col("px") - GRID.x0) / GRID.dx).cast("int").alias("col"), "cml_id",
+    )
+    out = gr.cells(spark, GRID).join(centers, ["row", "col"], "left")
+    return out.groupBy("row", "col", rr("x", 2).alias("x"), rr("y", 2).alias("y")).agg(F.count("cml_id").alias("n_links"))
+
+
+@query("grid_nearest_link", f"""SELECT kind, "row", col, cml_id, {r('d', 4)} AS d FROM (
+      SELECT kind, "row", col, cml_id, d, row_number() OVER (PARTITION BY kind, "row", col ORDER BY floor(d/radius*1e8), cml_id) AS rk FROM (
+        SELECT 'step' AS kind, 30000e0 AS radius, "row", col, cml_id, sqrt((px-x)*(px-x)+(py-y)*(py-y)) AS d
+          FROM step_cells CROSS JOIN centers
+        UNION ALL
+        SELECT 'degree', 0.3e0, "row", col, cml_id, sqrt((lon-x)*(lon-x)+(lat-y)*(lat-y)) FROM degree_cells
+          CROSS JOIN (SELECT cml_id, (lon_a+lon_b)/2 AS lon, (lat_a+lat_b)/2 AS lat FROM links))
+      WHERE d < radius) WHERE rk = 1""",
+       {**_field_sql("r"), "step_cells": _cells_sql(STEP_GRID), "degree_cells": _cells_sql(DEGREE_GRID)})
+def _(spark, sf):
+    lk = links(spark, sf)
+
+    def nearest(kind, grid, mercator, radius):
+        centers = idw.link_centers(lk, mercator)
+        found = idw.nearest_links(
+            centers.withColumn("grp", F.lit(0)), gr.cells(spark, grid), 1, radius, idw.halvings(centers, radius)
+        )
+        return found.select(F.lit(kind).alias("kind"), "row", "col", "cml_id", rr("d", 4).alias("d"))
+
+    return nearest("step", STEP_GRID, True, 30000.0).unionByName(nearest("degree", DEGREE_GRID, False, 0.3))
+
+
+@query("idw_field", FRAME_SQL, _field_sql("r"))
+def _(spark, sf):
+    return _frame_out(_frames(spark, sf))
+
+
+@query("idw_dry_as_missing", FRAME_SQL, _field_sql("nullif(r, 0.0)"))
+def _(spark, sf):
+    return _frame_out(_frames(spark, sf, dry_as_missing=True))
+
+
+@query("idw_hour_sum", FRAME_SQL, _field_sql("r_hour_sum"))
+def _(spark, sf):
+    return _frame_out(_frames(spark, sf, "r_hour_sum"))
+
+
+@query("idw_degrees", FRAME_SQL, _field_sql("r", radius="0.25e0", mercator=False))
+def _(spark, sf):
+    return _frame_out(_frames(spark, sf, mercator=False))
+
+
+# A chevron below and above the row of sites, concave at its upper side.
+RING_SQL = {
+    "extent": "SELECT min(lon) AS w, max(lon) AS e, min(lat) AS s FROM sites",
+    "corners": """SELECT * FROM (SELECT 0 AS i, w - 0.02 AS lon, s - 0.13 AS lat FROM extent UNION ALL SELECT 1, (w+e)/2, s + 0.02 FROM extent
+        UNION ALL SELECT 2, e, s - 0.21 FROM extent UNION ALL SELECT 3, (w+e)/2 + 0.01, s + 0.31 FROM extent)""",
+    "points": "SELECT i, 6378137e0*radians(lon) AS x, 6378137e0*ln(tan(pi()/4 + radians(lat)/2)) AS y FROM corners",
+    "sides": "SELECT a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM points a JOIN points b ON b.i = (a.i + 1) % 4",
+    "inside": """SELECT "row", col FROM cells JOIN sides ON (y1 <= y) <> (y2 <= y)
+        AND x1 + (x2 - x1)*(y - y1)/(y2 - y1) > x GROUP BY 1, 2 HAVING count(*) % 2 = 1""",
+}
+
+
+def _inside(spark, sf):
+    e = demo.sites(spark, sf).agg(
+        F.min("X_coordinate").alias("w"), F.max("X_coordinate").alias("e"), F.min("Y_coordinate").alias("s")
+    )
+    middle = (F.col("w") + F.col("e")) / 2
+    ring = e.select(
+        F.lit(0).alias("ring"),
+        F.array(
+            F.array(F.col("w") - 0.02, F.col("s") - 0.13), F.array(middle, F.col("s") + 0.02),
+            F.array(F.col("e"), F.col("s") - 0.21), F.array(middle + 0.01, F.col("s") + 0.31),
+        ).alias("points"),
+    )
+    return mask.inside_cells(mask.to_mercator(polygons.edges(ring)), GRID)
+
+
+@query("polygon_mask", 'SELECT "row", col FROM inside', {**_field_sql("r"), **RING_SQL})
+def _(spark, sf):
+    return _inside(spark, sf)
+
+
+@query("masked_field", f"""SELECT {ts()} AS time, f."row", f.col, {r('v', 3)} AS v FROM frames f
+    JOIN inside i ON i."row" = f."row" AND i.col = f.col""", {**_field_sql("r"), **RING_SQL})
+def _(spark, sf):
+    return _frame_out(mask.crop(_frames(spark, sf), _inside(spark, sf)))
+
+
+EXTENT = Limits(
+    GRID.x0 + GRID.dx / 2, GRID.x0 + (GRID.nx - 0.5) * GRID.dx, GRID.y0 + GRID.dy / 2, GRID.y0 + (GRID.ny - 0.5) * GRID.dy
+)
+
+
+@query("point_lookup", f"""SELECT id AS point_id, {ts()} AS time, {r('v', 3)} AS v FROM (
+      SELECT id, least(greatest(CAST(round_even((lon_m - {EXTENT.x_min!r}e0)/{GRID.dx!r}e0, 0) AS INTEGER), 0), {GRID.nx - 1}) AS col,
+        least(greatest(CAST(round_even((lat_m - {EXTENT.y_min!r}e0)/{GRID.dy!r}e0, 0) AS INTEGER), 0), {GRID.ny - 1}) AS "row"
+      FROM (SELECT id, 6378137e0*radians(lon) + 123.4 AS lon_m, 6378137e0*ln(tan(pi()/4 + radians(lat)/2)) AS lat_m FROM sites)) p
+    LEFT JOIN frames f USING ("row", col)""", _field_sql("r"))
+def _(spark, sf):
+    points = demo.sites(spark, sf).select(
+        F.col("ID").alias("point_id"), (mercator_x(F.col("X_coordinate")) + 123.4).alias("x"),
+        mercator_y(F.col("Y_coordinate")).alias("y"),
+    )
+    found = gr.lookup(points, _frames(spark, sf), EXTENT, GRID.ny, GRID.nx, "v")
+    return found.select("point_id", stamp(), rr("v", 3).alias("v"))
+
+
+# --- frame products --------------------------------------------------------------------------
+
+SCORES = {m: Score(method=m, threshold=500.0, reference=20000.0) for m in ("mean", "p90", "p95", "coverage", "coverage_strength")}
+
+
+def _log_score(stat: str) -> str:
+    return f"CASE WHEN {stat} > 0 THEN least(1.0, greatest(0.0, ln(1+{stat})/ln(1+20000.0))) ELSE 0.0 END"
+
+
+SCORE_SQL = {
+    "stats": """SELECT time, avg(v) AS m, quantile_cont(v, 0.9) AS p90, quantile_cont(v, 0.95) AS p95,
+        count(*) FILTER (WHERE v > 500.0)*1.0/count(*) AS cov, avg(v) FILTER (WHERE v > 500.0) AS wm FROM frames GROUP BY 1""",
+    "scores": f"""SELECT time, {_log_score('m')} AS mean, {_log_score('p90')} AS p90, {_log_score('p95')} AS p95, cov AS coverage,
+        CASE WHEN wm > 0 THEN pow(cov, 0.3)*({_log_score('wm')}) ELSE 0.0 END AS coverage_strength FROM stats""",
+}
+
+
+@query("frame_scores", f"SELECT {ts()} AS time, {', '.join(f'{r(m)} AS {m}' for m in SCORES)} FROM scores",
+       {**_field_sql("r"), **SCORE_SQL})
+def _(spark, sf):
+    frames = _frames(spark, sf)
+    scores = [rr(pr.score_of(F.col("v"), cfg)).alias(m) for m, cfg in SCORES.items()]
+    return frames.groupBy("time").agg(*scores).select(stamp(), *SCORES)
+
+
+def _info_sql(value: str, hours: float | None) -> str:
+    v = "v" if hours is None else f"v/{hours}"
+    return f"""SELECT {ts('l.time')} AS time, strftime(l.time, '%Y-%m-%d_%H%M') AS utc,
+        round_even(CASE WHEN any_wet THEN greatest(coalesce(cov, 0.0), 0.001) ELSE coalesce(cov, 0.0) END, 4) AS overall,
+        ids, count_true, count_total FROM (
+          SELECT time, array_to_string(list_sort(list(cml_id) FILTER (WHERE {value} > 0)), ',') AS ids,
+            count(*) FILTER (WHERE {value} > 0) AS count_true, count(*) AS count_total, coalesce(bool_or(r > 0), FALSE) AS any_wet
+          FROM hour_sum GROUP BY 1) l
+        LEFT JOIN (SELECT time, count(*) FILTER (WHERE {v} > 0)*1.0/count(*) AS cov FROM frames GROUP BY 1) f ON f.time = l.time"""
+
+
+def _info_out(info):
+    ids = F.when(F.size("cml_rain_true") > 0, F.array_join(F.col("cml_rain_true").cast("array<string>"), ","))
+    return info.select(stamp(), "utc", "overall", ids.alias("ids"), "count_true", "count_total")
+
+
+@query("frame_flags", _info_sql("r", None), _field_sql("r"))
+def _(spark, sf):
+    series = stage(hour_sum(spark, sf), "hour_sum")
+    return _info_out(pr.frame_info(_frames(spark, sf, series=series), series))
+
+
+@query("frame_flags_hour_sum", _info_sql("r_hour_sum", 72.0), _field_sql("r_hour_sum"))
+def _(spark, sf):
+    series = stage(hour_sum(spark, sf), "hour_sum")
+    frames = _frames(spark, sf, "r_hour_sum", series)
+    return _info_out(pr.frame_info(frames, series, value="r_hour_sum", window_minutes=HOUR_SUM_MINUTES))
+
+
+# Rates in the range of the colour classes, from prices.
+AMOUNTS_SQL = {"amounts": """SELECT l_orderkey, l_linenumber, l_extendedprice*l_discount*l_tax/8 AS v FROM lineitem"""}
+
+
+def _amounts(spark, sf):
+    return demo.table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_extendedprice") * F.col("l_discount") * F.col("l_tax") / 8).alias("v")
+    )
+
+
+_REACHED = " + ".join(f"CASE WHEN v >= {lv} THEN 1 ELSE 0 END" for lv in co.CLASS_LEVELS)
+_RGB_SQL = "[" + ", ".join(f"'{a},{b},{c},255'" for a, b, c in co.CLASS_RGB) + "]"
+
+
+@query("color_class", f"""SELECT l_orderkey, l_linenumber, CASE WHEN v >= 0.1 THEN least({_REACHED}, 13) END AS class,
+      CASE WHEN v >= 0.1 THEN ({_REACHED}) - 1 END AS class_exact,
+      CASE WHEN v >= 0.1 THEN {_RGB_SQL}[least({_REACHED}, 13) + 1] ELSE '0,0,0,0' END AS rgba FROM amounts""", AMOUNTS_SQL)
+def _(spark, sf):
+    v = F.col("v")
+    return _amounts(spark, sf).select(
+        "l_orderkey", "l_linenumber", co.intensity_class(v).alias("class"), co.intensity_class(v, "exact").alias("class_exact"),
+        F.array_join(co.intensity_rgba(v).cast("array<string>"), ",").alias("rgba"),
+    )
+
+
+_LEVELS, _COLOURS = co._ramp_table()
+RAMP_SQL = {
+    **AMOUNTS_SQL,
+    "palette": "SELECT * FROM (VALUES " + ", ".join(
+        f"({i}, {lv}e0, {a}e0, {b}e0, {c}e0)" for i, (lv, (a, b, c)) in enumerate(zip(_LEVELS, _COLOURS))
+    ) + ") p(idx, level, red, green, blue)",
+    "steps": """SELECT idx, level AS l0, lead(level) OVER (ORDER BY idx) AS l1, red AS r0, lead(red) OVER (ORDER BY idx) AS r1,
+        green AS g0, lead(green) OVER (ORDER BY idx) AS g1, blue AS b0, lead(blue) OVER (ORDER BY idx) AS b1 FROM palette""",
+}
+
+
+@query("color_ramp", """SELECT l_orderkey, l_linenumber, CASE WHEN v >= 0.3 THEN
+      CAST(CAST(round_even((1-t)*r0 + t*r1, 0) AS INTEGER) AS VARCHAR) || ',' || CAST(CAST(round_even((1-t)*g0 + t*g1, 0) AS INTEGER) AS VARCHAR)
+      || ',' || CAST(CAST(round_even((1-t)*b0 + t*b1, 0) AS INTEGER) AS VARCHAR) || ',255' ELSE '0,0,0,0' END AS rgba
+    FROM (SELECT *, (least(v, 100e0) - l0)/(l1 - l0) AS t FROM amounts LEFT JOIN steps
+      ON l1 IS NOT NULL AND greatest(v, 0.1) >= l0 AND (greatest(v, 0.1) < l1 OR l1 = 100e0))""", RAMP_SQL)
+def _(spark, sf):
+    return co.with_hour_sum_rgba(_amounts(spark, sf), "v").select(
+        "l_orderkey", "l_linenumber", F.array_join(F.col("rgba").cast("array<string>"), ",").alias("rgba")
+    )
+
+
+@query("color_palette_use", """SELECT idx, level, CAST(red AS INTEGER) AS red, CAST(green AS INTEGER) AS green, CAST(blue AS INTEGER) AS blue,
+      (SELECT count(*) FROM amounts WHERE v >= level) AS n_reached FROM palette""", RAMP_SQL)
+def _(spark, sf):
+    counts = [F.struct(F.lit(i).alias("idx"), F.count_if(F.col("v") >= lv).alias("n")) for i, lv in enumerate(_LEVELS)]
+    reached = _amounts(spark, sf).agg(F.array(*counts).alias("s")).select(F.inline("s"))
+    return co.ramp_levels(spark).join(reached, "idx", "left").select(
+        "idx", "level", "red", "green", "blue", F.coalesce("n", F.lit(0)).cast("bigint").alias("n_reached")
+    )
+
+
+NAMES_SQL = {
+    "stored": """SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 THEN 'preview_' || o_orderkey || '.png'
+        WHEN o_orderkey % 3 = 0 THEN strftime(o_orderdate, '%Y-%m-%d_%H%M') || '.npy'
+        ELSE strftime(o_orderdate, '%Y-%m-%d_%H%M') || '_0.' || (100 + o_orderkey % 900) || '.png' END AS name, o_orderdate FROM orders"""
+}
+
+
+def _stored(spark, sf):
+    key, day = F.col("o_orderkey"), clock.frame_name(F.col("o_orderdate").cast("timestamp"))
+    return demo.table(spark, sf, "orders").select(
+        "o_orderkey",
+        F.when(key % 11 == 0, F.concat(F.lit("preview_"), key, F.lit(".png")))
+        .when(key % 3 == 0, F.concat(day, F.lit(".npy")))
+        .otherwise(F.concat(day, F.lit("_0."), (100 + key % 900).cast("string"), F.lit(".png"))).alias("name"),
+    )
+
+
+@query("frame_retention", """SELECT expired, count(*) AS n FROM (
+      SELECT o_orderkey % 11 <> 0 AND o_orderdate < TIMESTAMP '2000-01-01 00:00:00' - INTERVAL 1000 DAY AS expired FROM stored) GROUP BY 1""", NAMES_SQL)
+def _(spark, sf):
+    from datetime import datetime, timezone
+
+    out = pr.retention(_stored(spark, sf), datetime(2000, 1, 1, tzinfo=timezone.utc), "1000 DAYS")
+    return out.groupBy("expired").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("frame_names", """SELECT o_orderkey, name, CASE WHEN o_orderkey % 11 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') END AS time
+    FROM stored""", NAMES_SQL)
+def _(spark, sf):
+    return _stored(spark, sf).select(
+        "o_orderkey", "name", F.date_format(clock.frame_time(F.col("name")), "yyyy-MM-dd HH:mm:ss").alias("time")
+    )
+
+
+@query("frames_to_write", """SELECT DISTINCT strftime(l_shipdate, '%Y-%m-%d_%H%M') AS utc FROM lineitem
+    WHERE l_shipdate NOT IN (SELECT o_orderdate FROM stored WHERE o_orderkey % 11 <> 0)""", NAMES_SQL)
+def _(spark, sf):
+    frames = demo.table(spark, sf, "lineitem").select(F.col("l_shipdate").cast("timestamp").alias("time")).distinct()
+    return pr.not_yet_written(frames, _stored(spark, sf)).select(clock.frame_name(F.col("time")).alias("utc"))
+
+
+@query("latest_frame", """SELECT strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS time, array_to_string(list_sort(list(l_partkey)), ',') AS links
+    FROM orders JOIN lineitem ON l_orderkey = o_orderkey
+    WHERE o_orderkey = (SELECT max_by(o_orderkey, (o_orderdate, o_orderkey)) FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem))
+    GROUP BY o_orderkey, o_orderdate""")
+def _(spark, sf):
+    parts = demo.table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.to_json(F.sort_array(F.collect_list("l_partkey"))).alias("links")
+    )
+    records = demo.table(spark, sf, "orders").join(parts, "o_orderkey").select(
+        F.struct(F.col("o_orderdate").cast("timestamp").alias("day"), "o_orderkey").alias("time"), "links"
+    )
+    newest = frame_store.latest_record(records)
+    return newest.select(
+        F.date_format("time.day", "yyyy-MM-dd HH:mm:ss").alias("time"),
+        F.array_join(F.col("links").cast("array<string>"), ",").alias("links"),
+    )
+
+
+@query("stored_values", """SELECT l_orderkey, l_linenumber, round_even(v*1000, 0)/1000 AS v FROM amounts""", AMOUNTS_SQL)
+def _(spark, sf):
+    return frame_store.rounded(_amounts(spark, sf), "v")
+
+
+@query("series_points", f"""SELECT cml_id, CAST(epoch(time) AS BIGINT) AS time, 'rain_intensity' AS field, {r('r', 3)} AS value
+    FROM aligned WHERE time > TIMESTAMP '2024-01-10 00:00:00' AND time IN (SELECT time FROM aligned WHERE r IS NOT NULL)
+    UNION ALL SELECT cml_id, CAST(epoch(time) AS BIGINT), 'rain_hour_sum', {r('r_hour_sum', 2)} FROM hour_sum
+    WHERE r_hour_sum IS NOT NULL""")
+def _(spark, sf):
+    series = stage(hour_sum(spark, sf), "hour_sum")
+    since = F.timestamp_seconds(F.lit(1704844800))
+    rate = pr.intensity_points(series, since).withColumn("value", rr("value", 3))
+    return rate.unionByName(pr.hour_sum_points(series).withColumn("value", rr("value", 2)))
+
+
+@query("newest_frames", f"""SELECT cml_id, {ts()} AS time, {r('r', 3)} AS r FROM aligned WHERE pos >= (SELECT max(pos) FROM aligned) - 6""")
+def _(spark, sf):
+    lr = stage(link_rain(spark, sf), "link_rain")
+    axis = rs.time_axis(lr)
+    return pr.newest(rs.align(lr, axis), axis, 7).select("cml_id", stamp(), rr("r", 3).alias("r"))
+
+
+@query("time_functions", """SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS unix, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') AS rfc,
+      strftime(ts, '%Y-%m-%d_%H%M') AS frame, strftime(time_bucket(INTERVAL 10 MINUTE, ts), '%Y-%m-%d %H:%M:%S') AS floor10,
+      ts = time_bucket(INTERVAL 10 MINUTE, ts) AS aligned FROM events""")
+def _(spark, sf):
+    t = F.col("ts").cast("timestamp")
+    return demo.table(spark, sf, "events").select(
+        "event_id", clock.unix_seconds(t).alias("unix"), clock.rfc3339(t).alias("rfc"), clock.frame_name(t).alias("frame"),
+        F.date_format(clock.floor_minutes(t, 10), "yyyy-MM-dd HH:mm:ss").alias("floor10"), clock.on_step(t, 10).alias("aligned"),
+    )
+
+
+@query("site_projection", f"""SELECT id, {r('6378137e0*radians(lon)', 3)} AS x, {r('6378137e0*ln(tan(pi()/4 + radians(lat)/2))', 3)} AS y,
+      {r('lon')} AS lon, {r('lat')} AS lat FROM sites""")
+def _(spark, sf):
+    xy = demo.sites(spark, sf).select(
+        F.col("ID").alias("id"), mercator_x(F.col("X_coordinate")).alias("x"), mercator_y(F.col("Y_coordinate")).alias("y")
+    )
+    return xy.select("id", rr("x", 3).alias("x"), rr("y", 3).alias("y"), rr(lon_of(F.col("x"))).alias("lon"), rr(lat_of(F.col("y"))).alias("lat"))

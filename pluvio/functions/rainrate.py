@@ -37,26 +37,22 @@ ITU_ALPHA = {
 MIN_RATE = 0.1  # mm/h; smaller rates count as 0
 
 
-def _bell_sum(x: Column, terms, m: float, q: float) -> Column:
-    total = F.lit(m) * x + F.lit(q)
-    for a, b, c in terms:
-        u = (x - F.lit(b)) / F.lit(c)
-        total = total + F.lit(a) * F.exp(-(u * u))
-    return total
-
-
-def kr_k(f_ghz: Column, pol: Column) -> Column:
-    x = F.log10(f_ghz)
-    return F.when(pol == "H", F.pow(F.lit(10.0), _bell_sum(x, *ITU_K["H"]))).otherwise(
-        F.pow(F.lit(10.0), _bell_sum(x, *ITU_K["V"]))
-    )
+def _bell_sum(f_ghz: str, terms, m: float, q: float) -> str:
+    x = f"log10({f_ghz})"
+    bells = " + ".join(f"({a}D) * exp(-power(({x} - ({b}D)) / ({c}D), 2))" for a, b, c in terms)
+    return f"({bells} + ({m}D) * {x} + ({q}D))"
 
 
-def kr_alpha(f_ghz: Column, pol: Column) -> Column:
-    x = F.log10(f_ghz)
-    return F.when(pol == "H", _bell_sum(x, *ITU_ALPHA["H"])).otherwise(
-        _bell_sum(x, *ITU_ALPHA["V"])
-    )
+def kr_k(f_ghz: str, pol: str) -> Column:
+    """Factor of the power law for the frequency (GHz) and polarisation columns."""
+    h, v = _bell_sum(f_ghz, *ITU_K["H"]), _bell_sum(f_ghz, *ITU_K["V"])
+    return F.expr(f"CASE WHEN {pol} = 'H' THEN power(10D, {h}) ELSE power(10D, {v}) END")
+
+
+def kr_alpha(f_ghz: str, pol: str) -> Column:
+    """Exponent of the power law for the frequency (GHz) and polarisation columns."""
+    h, v = _bell_sum(f_ghz, *ITU_ALPHA["H"]), _bell_sum(f_ghz, *ITU_ALPHA["V"])
+    return F.expr(f"CASE WHEN {pol} = 'H' THEN {h} ELSE {v} END")
 
 
 def rain_rate(a: Column, k: Column, alpha: Column, length: Column) -> Column:

@@ -25,11 +25,10 @@ def link_ends(links: DataFrame) -> DataFrame:
         (F.col("freq_b") / 1000.0).alias("f_ab"),
         (freq_a / 1000.0).alias("f_ba"),
     )
-    pol = F.col("polarization")
     dims = dims.withColumns(
         {
-            "k_ab": kr_k(F.col("f_ab"), pol), "alpha_ab": kr_alpha(F.col("f_ab"), pol),
-            "k_ba": kr_k(F.col("f_ba"), pol), "alpha_ba": kr_alpha(F.col("f_ba"), pol),
+            "k_ab": kr_k("f_ab", "polarization"), "alpha_ab": kr_alpha("f_ab", "polarization"),
+            "k_ba": kr_k("f_ba", "polarization"), "alpha_ba": kr_alpha("f_ba", "polarization"),
         }
     )
     constants = ["polarization", "length", "turned", "f_ab", "f_ba", "k_ab", "k_ba", "alpha_ab", "alpha_ba"]

@@ -17,6 +17,8 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "20g") ->
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.enabled", "false")
+        # Call sites of every column expression are only wanted when debugging.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
 
