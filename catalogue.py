@@ -18,11 +18,15 @@ from pluvio.operators import baseline as bl
 from pluvio.operators import channels as ch
 from pluvio.operators import grid as gr
 from pluvio.operators import idw, mask
+from pluvio.operators import nearby as nb
+from pluvio.operators import preprocess as pp
 from pluvio.operators import products as pr
 from pluvio.operators import quality as q
 from pluvio.operators import rain as rn
 from pluvio.operators import resample as rs
+from pluvio.operators import spectral as sp
 from pluvio.operators import temperature as tc
+from pluvio.operators import training as tr
 from pluvio.operators import wetdry as wd
 from pluvio.session import stage
 from pluvio.sources import demo, metadata, polygons, telemetry
@@ -772,3 +776,394 @@ def _(spark, sf):
         F.col("ID").alias("id"), mercator_x(F.col("X_coordinate")).alias("x"), mercator_y(F.col("Y_coordinate")).alias("y")
     )
     return xy.select("id", rr("x", 3).alias("x"), rr("y", 3).alias("y"), rr(lon_of(F.col("x"))).alias("lon"), rr(lat_of(F.col("y"))).alias("lat"))
+
+
+# --- nearby links ----------------------------------------------------------------------------
+
+RADIUS = 15.0
+NEARBY = {"radius": RADIUS, "min_links": 3, "interval": 1440, "hours": 120, "min_hours": 48, "f_rows": 4}
+
+
+def _haversine_sql(p: str, q: str) -> str:
+    h = (f"pow(sin((radians(b.lat_{q})-radians(a.lat_{p}))/2),2) + cos(radians(a.lat_{p}))*cos(radians(b.lat_{q}))"
+         f"*pow(sin((radians(b.lon_{q})-radians(a.lon_{p}))/2),2)")
+    return f"CASE WHEN a.cml_id = b.cml_id THEN 0.0 ELSE 2*6373.0*atan2(sqrt({h}), sqrt(1-({h}))) END AS {p}_to_{q}"
+
+
+NEARBY_SQL = {
+    "pairs": f"""SELECT a.cml_id AS id1, b.cml_id AS id2, {", ".join(_haversine_sql(p, q) for p in "ab" for q in "ab")}
+        FROM links a CROSS JOIN links b""",
+    "close": f"SELECT * FROM pairs WHERE greatest(a_to_a, a_to_b, b_to_a, b_to_b) < {RADIUS}",
+    "levels": "SELECT cml_id, time, min(rsl) AS pmin, any_value(length) AS length FROM clean GROUP BY 1, 2",
+    "drops0": """SELECT *, pmin - CASE WHEN count(pmin) OVER w >= 2 THEN max(pmin) OVER w END AS delta_p FROM levels
+        WINDOW w AS (PARTITION BY cml_id ORDER BY time ROWS BETWEEN 4 PRECEDING AND CURRENT ROW)""",
+    "drops": "SELECT *, delta_p/length AS delta_pl FROM drops0",
+    "medians": """SELECT id1 AS cml_id, time, median(delta_p) AS median_p, median(delta_pl) AS median_pl
+        FROM close JOIN drops ON drops.cml_id = id2
+        WHERE id1 IN (SELECT id1 FROM close GROUP BY 1 HAVING count(*) > 3)
+        GROUP BY 1, 2 HAVING count(delta_p) > 3""",
+    "judged": """SELECT d.*, median_p, median_pl, median_p < -1.4 AND median_pl < -0.7 AS wet0,
+          coalesce(median_p < -1.4 AND median_pl < -0.7 AND delta_p < -2, FALSE) AS strong
+        FROM drops d LEFT JOIN medians m ON m.cml_id = d.cml_id AND m.time = d.time""",
+    "spread": """SELECT *, lag(strong, 1, FALSE) OVER w OR lead(strong, 1, FALSE) OVER w OR lead(strong, 2, FALSE) OVER w AS near,
+          CASE WHEN count(delta_pl - median_pl) OVER back = 4 THEN sum(delta_pl - median_pl) OVER back * 24.0 END AS f
+        FROM judged WINDOW w AS (PARTITION BY cml_id ORDER BY time),
+          back AS (PARTITION BY cml_id ORDER BY time ROWS BETWEEN 3 PRECEDING AND CURRENT ROW)""",
+}
+
+
+def _levels(spark, sf):
+    return clean(spark, sf).groupBy("cml_id", "time").agg(F.min("rsl").alias("pmin"), F.min("length").alias("length"))
+
+
+@query("endpoint_distances", f"SELECT id1, id2, {', '.join(f'{r(d)} AS {d}' for d in nb.DISTANCES)} FROM close", NEARBY_SQL)
+def _(spark, sf):
+    table, _members = nb.places(links(spark, sf), RADIUS)
+    return nb.place_pairs(table, RADIUS).select(
+        F.col("place_id_1").alias("id1"), F.col("place_id_2").alias("id2"), *[rr(d).alias(d) for d in nb.DISTANCES]
+    )
+
+
+@query("nearby_links", "SELECT id1 AS cml_id, count(*) AS n_nearby FROM close GROUP BY 1", NEARBY_SQL)
+def _(spark, sf):
+    return nb.neighbour_counts(links(spark, sf), RADIUS)
+
+
+@query("nearby_drop", f"SELECT cml_id, {ts()} AS time, {r('delta_p')} AS delta_p, {r('delta_pl')} AS delta_pl FROM drops", NEARBY_SQL)
+def _(spark, sf):
+    out = nb.power_drop(_levels(spark, sf), 5, 2)
+    return out.select("cml_id", stamp(), rr("delta_p").alias("delta_p"), rr("delta_pl").alias("delta_pl"))
+
+
+@query("nearby_medians", f"SELECT cml_id, {ts()} AS time, {r('median_p')} AS median_p, {r('median_pl')} AS median_pl FROM medians", NEARBY_SQL)
+def _(spark, sf):
+    drops = nb.power_drop(_levels(spark, sf), 5, 2)
+    out = nb.neighbourhood_medians(drops, links(spark, sf), RADIUS, 3)
+    return out.select("cml_id", stamp(), rr("median_p").alias("median_p"), rr("median_pl").alias("median_pl"))
+
+
+@query("nearby_wetdry", f"""SELECT cml_id, {ts()} AS time, CASE WHEN wet0 IS NOT NULL THEN wet0 OR near END AS wet,
+    {r('f', 4)} AS f FROM spread""", NEARBY_SQL)
+def _(spark, sf):
+    out = nb.nearby_wet(_levels(spark, sf), links(spark, sf), **NEARBY)
+    return out.select("cml_id", stamp(), "wet", rr("f", 4).alias("f"))
+
+
+# --- series preparation ----------------------------------------------------------------------
+
+KEY = ["cml_id"]
+ROWS = "PARTITION BY cml_id ORDER BY time"
+
+
+def series(spark, sf):
+    return demo.regular_series(spark, sf)
+
+
+def _values(df, *columns, digits=6):
+    return df.select("cml_id", stamp(), *[rr(c, digits).alias(c) for c in columns])
+
+
+def _values_sql(view: str, *columns, digits=6) -> str:
+    return f"SELECT cml_id, {ts()} AS time, {', '.join(f'{r(c, digits)} AS {c}' for c in columns)} FROM {view}"
+
+
+GAPPY = {
+    "gappy": f"""SELECT cml_id, time, CASE WHEN uptime % 5 >= 2 THEN x END AS x, row_number() OVER ({ROWS}) AS n FROM series""",
+    "edges": """SELECT *, last_value(x IGNORE NULLS) OVER back AS pv, last_value(CASE WHEN x IS NOT NULL THEN n END IGNORE NULLS) OVER back AS pn,
+          first_value(x IGNORE NULLS) OVER ahead AS qv, first_value(CASE WHEN x IS NOT NULL THEN n END IGNORE NULLS) OVER ahead AS qn
+        FROM gappy WINDOW back AS (PARTITION BY cml_id ORDER BY time ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+          ahead AS (PARTITION BY cml_id ORDER BY time ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)""",
+    "bridged": """SELECT cml_id, time, CASE WHEN x IS NOT NULL THEN x WHEN n - pn <= 2 THEN
+          CASE WHEN qv IS NOT NULL THEN pv + (qv - pv)*(n - pn)/(qn - pn) ELSE pv END END AS x FROM edges""",
+}
+
+
+def gappy(spark, sf):
+    return series(spark, sf).withColumn("x", F.when(F.col("uptime") % 5 >= 2, F.col("x")))
+
+
+@query("gap_fill_limit", _values_sql("bridged", "x"), GAPPY)
+def _(spark, sf):
+    return _values(pp.fill_by_position(gappy(spark, sf), KEY, ["x"], 2), "x")
+
+
+@query("std_outliers", _values_sql("kept", "x"), {
+    "dev": f"""SELECT cml_id, time, x, CASE WHEN count(x) OVER w = 10 THEN stddev_samp(x) OVER w END AS d FROM series
+        WINDOW w AS ({ROWS} ROWS BETWEEN 5 PRECEDING AND 4 FOLLOWING)""",
+    "dev2": f"""SELECT *, coalesce(first_value(d IGNORE NULLS) OVER (PARTITION BY cml_id ORDER BY time ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
+        last_value(d IGNORE NULLS) OVER ({ROWS} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS e FROM dev""",
+    "kept": "SELECT cml_id, time, CASE WHEN e < 14.0 THEN x END AS x FROM dev2",
+})
+def _(spark, sf):
+    return _values(pp.drop_unsteady(series(spark, sf), KEY, ["x"], 10, 14.0), "x")
+
+
+@query("z_outliers", _values_sql("kept", "x"), {
+    "zs": "SELECT cml_id, time, x, (x - avg(x) OVER w)/stddev_samp(x) OVER w AS z FROM series WINDOW w AS (PARTITION BY cml_id)",
+    "kept": "SELECT cml_id, time, CASE WHEN abs(z) < 1.5 AND z > -1.2 THEN x END AS x FROM zs",
+})
+def _(spark, sf):
+    return _values(pp.drop_outliers(series(spark, sf), KEY, ["x"], 1.5, -1.2), "x")
+
+
+@query("rolling_median", _values_sql("less", "x"), {
+    "less": f"""SELECT cml_id, time, x - CASE WHEN count(x) OVER w = 9 THEN quantile_cont(x, 0.5) OVER w END AS x FROM series
+        WINDOW w AS ({ROWS} ROWS BETWEEN 4 PRECEDING AND 4 FOLLOWING)"""})
+def _(spark, sf):
+    return _values(pp.subtract_median(series(spark, sf), KEY, ["x"], 9), "x")
+
+
+@query("rolling_median_long", _values_sql("less", "x"), {
+    "less": f"""SELECT cml_id, time, x - CASE WHEN count(x) OVER w = 100 THEN quantile_cont(x, 0.5) OVER w END AS x FROM series
+        WINDOW w AS ({ROWS} ROWS BETWEEN 50 PRECEDING AND 49 FOLLOWING)"""})
+def _(spark, sf):
+    return _values(pp.subtract_median(series(spark, sf), KEY, ["x"], 100), "x")
+
+
+@query("median_shifted", _values_sql("less", "x"), {
+    "moved": f"""SELECT cml_id, time, CASE WHEN row_number() OVER ({ROWS}) + 3 > count(*) OVER (PARTITION BY cml_id)
+        THEN last_value(x) OVER ({ROWS} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) ELSE lead(x, 3) OVER ({ROWS}) END AS x FROM series""",
+    "less": f"""SELECT cml_id, time, x - CASE WHEN count(x) OVER w >= 4 THEN quantile_cont(x, 0.5) OVER w END AS x FROM moved
+        WINDOW w AS ({ROWS} ROWS BETWEEN 11 PRECEDING AND CURRENT ROW)"""})
+def _(spark, sf):
+    moved = pp.shift_ahead(series(spark, sf).select("cml_id", "time", "x"), KEY, ["x"], 3)
+    return _values(pp.subtract_median(moved, KEY, ["x"], 12, centered=False, min_rows=4), "x")
+
+
+STEPS_SQL = {
+    "scaled": """SELECT cml_id, time, x, (x - min(x) OVER w)/(max(x) OVER w - min(x) OVER w) AS s FROM series WINDOW w AS (PARTITION BY cml_id)""",
+    "scored": f"""SELECT *, CASE WHEN count(s) OVER a = 20 AND count(s) OVER b = 20 THEN abs(sum(s) OVER a - sum(s) OVER b) ELSE 0.0 END AS score
+        FROM scaled WINDOW a AS ({ROWS} ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING), b AS ({ROWS} ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)""",
+    "flipped": f"SELECT *, coalesce(lag(score > 4.003) OVER ({ROWS}), FALSE) <> (score > 4.003) AS flip FROM scored",
+    "runs": f"SELECT *, sum(CASE WHEN flip THEN 1 ELSE 0 END) OVER ({ROWS}) AS run FROM flipped",
+    "stepped": """SELECT *, score > 4.003 AND row_number() OVER (PARTITION BY cml_id, run ORDER BY floor(score*1e6+0.4997) DESC, time) = 1 AS step FROM runs""",
+    "blanked": f"""SELECT *, CASE WHEN bool_or(step) OVER ({ROWS} ROWS BETWEEN 4 PRECEDING AND 5 FOLLOWING) THEN NULL ELSE x END AS bx,
+        sum(CASE WHEN step THEN 1 ELSE 0 END) OVER ({ROWS}) AS stretch FROM stepped""",
+    "repaired": "SELECT cml_id, time, bx - avg(bx) OVER (PARTITION BY cml_id, stretch) AS x FROM blanked",
+}
+
+
+@query("step_score", _values_sql("scored", "score"), STEPS_SQL)
+def _(spark, sf):
+    return _values(pp.step_scores(series(spark, sf), KEY, "x", 20), "score")
+
+
+@query("step_rows", f"SELECT cml_id, {ts()} AS time, step FROM stepped", STEPS_SQL)
+def _(spark, sf):
+    scored = pp.step_scores(series(spark, sf), KEY, "x", 20)
+    return pp.step_rows(scored, KEY, 4.003).select("cml_id", stamp(), "step")
+
+
+@query("step_repair", _values_sql("repaired", "x"), STEPS_SQL)
+def _(spark, sf):
+    return _values(pp.repair_steps(series(spark, sf), KEY, "x", 20, 4.003), "x")
+
+
+@query("device_reset", _values_sql("left_over", "x", "y"), {
+    "resets": f"SELECT *, coalesce(uptime <= lag(uptime) OVER ({ROWS}), FALSE) AS reset FROM series",
+    "left_over": "SELECT cml_id, time, x, y FROM resets WHERE NOT reset",
+})
+def _(spark, sf):
+    return _values(pp.drop_resets(series(spark, sf), KEY, ["x", "y"], ["uptime"]), "x", "y")
+
+
+@query("standardized", _values_sql("scaled", "x", "temp", "y"), {
+    "scaled": """SELECT cml_id, time, (x - avg(x) OVER w)/nullif(max(x) OVER w, 0) AS x,
+        (temp - min(temp) OVER w)/nullif(max(temp) OVER w - min(temp) OVER w, 0) AS temp,
+        (y - avg(y) OVER w)/nullif(stddev_pop(y) OVER w, 0) AS y FROM series WINDOW w AS (PARTITION BY cml_id)"""})
+def _(spark, sf):
+    df = pp.scale_to_range(pp.scale_by_max(series(spark, sf), KEY, ["x"]), KEY, ["temp"])
+    return _values(pp.z_normalise(df, KEY, ["y"]), "x", "temp", "y")
+
+
+@query("paired_channels", f"""SELECT cml_id, {ts()} AS time, {r('trsl_a')} AS trsl_a, {r('trsl_b')} AS trsl_b,
+    {r('temperature_rx')} AS temperature_rx, {r('temperature_tx')} AS temperature_tx FROM (
+      SELECT cml_id, time, CASE WHEN max(tsl - rsl) FILTER (WHERE channel_id LIKE 'A%') < 99 THEN max(tsl - rsl) FILTER (WHERE channel_id LIKE 'A%') END AS trsl_a,
+        CASE WHEN max(tsl - rsl) FILTER (WHERE channel_id LIKE 'B%') < 99 THEN max(tsl - rsl) FILTER (WHERE channel_id LIKE 'B%') END AS trsl_b,
+        max(temperature_rx) FILTER (WHERE channel_id LIKE 'A%') AS temperature_rx, max(temperature_tx) FILTER (WHERE channel_id LIKE 'B%') AS temperature_tx
+      FROM channels GROUP BY 1, 2 HAVING count(*) = 2)""")
+def _(spark, sf):
+    return _values(pp.paired_path_loss(ch.paired_channels(channels(spark, sf))), "trsl_a", "trsl_b", "temperature_rx", "temperature_tx")
+
+
+@query("preprocess_chain")
+def _(spark, sf):
+    paired = ch.paired_channels(channels(spark, sf))
+    out = pp.preprocess(paired, KEY, step_half=4, step_threshold=2.0, window=4, deviation=20.0, median_window=5)
+    return _values(out, "trsl_a", "trsl_b", "temperature_rx", "temperature_tx")
+
+
+# --- reference flags and training sets -------------------------------------------------------
+
+WEEK = 7 * 1440.0
+FLAGS_SQL = {
+    "weekly": """SELECT *, sum(rain) OVER (PARTITION BY cml_id, floor(epoch(time)/604800))/20.0 AS wrain FROM series""",
+    "flagged_rows": f"SELECT *, wrain > 0.15 AND row_number() OVER ({ROWS}) > 1 AS ref_wd FROM weekly",
+    "changes": f"SELECT *, coalesce(CAST(ref_wd <> lag(ref_wd) OVER ({ROWS}) AS INTEGER), 1) AS changed FROM flagged_rows",
+    "numbered_islands": f"SELECT *, sum(changed) OVER ({ROWS}) AS island FROM changes",
+    "island_sizes": """SELECT *, count(*) OVER (PARTITION BY cml_id, island) AS island_rows,
+        row_number() OVER (PARTITION BY cml_id, island ORDER BY time) AS k FROM numbered_islands""",
+    "rows0": f"SELECT *, row_number() OVER ({ROWS}) - 1 AS row0 FROM flagged_rows",
+}
+
+
+def flagged_rows(spark, sf):
+    return tr.reference_flags(series(spark, sf), KEY, WEEK)
+
+
+@query("ref_flags", f"SELECT cml_id, {ts()} AS time, {r('wrain')} AS rain, ref_wd FROM flagged_rows", FLAGS_SQL)
+def _(spark, sf):
+    return flagged_rows(spark, sf).select("cml_id", stamp(), rr("rain").alias("rain"), "ref_wd")
+
+
+@query("single_zero_repair", _values_sql("fixed", "rain"), {
+    "wets": f"SELECT *, rain <> 0 AS w FROM series",
+    "fixed": f"""SELECT cml_id, time, CASE WHEN NOT w AND (lead(w, 1, FALSE) OVER o OR lead(w, 2, FALSE) OVER o)
+        AND (lag(w, 1, FALSE) OVER o OR lag(w, 2, FALSE) OVER o) THEN 0.01 ELSE rain END AS rain FROM wets WINDOW o AS ({ROWS})"""})
+def _(spark, sf):
+    return _values(tr.repair_single_zeros(series(spark, sf), KEY), "rain")
+
+
+@query("event_tail_zero", _values_sql("cut", "rain"), {
+    "ends": f"SELECT *, rain <> 0 AND NOT lead(rain <> 0, 1, FALSE) OVER ({ROWS}) AS e FROM series",
+    "cut": f"""SELECT cml_id, time, CASE WHEN bool_or(e) OVER ({ROWS} ROWS BETWEEN CURRENT ROW AND 1 FOLLOWING) THEN 0.0 ELSE rain END AS rain FROM ends"""})
+def _(spark, sf):
+    return _values(tr.zero_event_tails(series(spark, sf), KEY, 3), "rain")
+
+
+@query("wet_islands", f"SELECT cml_id, {ts()} AS time, CAST(island AS BIGINT) AS island, island_rows FROM island_sizes", FLAGS_SQL)
+def _(spark, sf):
+    return tr.islands(flagged_rows(spark, sf), KEY).select("cml_id", stamp(), "island", "island_rows")
+
+
+@query("class_balance", f"""SELECT cml_id, {ts()} AS time, ref_wd FROM island_sizes
+    WHERE ref_wd OR island_rows <= 4 OR k <= 2 OR k > island_rows - 2""", FLAGS_SQL)
+def _(spark, sf):
+    return tr.balance(flagged_rows(spark, sf), KEY, 4).select("cml_id", stamp(), "ref_wd")
+
+
+@query("segments", f"SELECT cml_id, {ts()} AS time, row0//60 AS segment_id FROM rows0", FLAGS_SQL)
+def _(spark, sf):
+    return tr.segments(series(spark, sf), KEY, 60).select("cml_id", stamp(), "segment_id")
+
+
+@query("segment_order")
+def _(spark, sf):
+    return tr.segments(series(spark, sf), KEY, 60, seed=3).groupBy("cml_id", "segment_id").agg(
+        F.min("shuffled_id").alias("shuffled_id"), F.count(F.lit(1)).alias("n_rows")
+    )
+
+
+@query("segment_arrays", f"""SELECT cml_id, row0//60 AS segment_id, count(*) AS n, {r('sum(x)', 4)} AS total,
+      {r('arg_min(x, row0)')} AS first_x, {r('arg_max(y, row0)')} AS last_y, arg_min(ref_wd, row0) AS ref_wd
+    FROM rows0 GROUP BY 1, 2 HAVING count(*) = 60""", FLAGS_SQL)
+def _(spark, sf):
+    out = tr.segment_arrays(flagged_rows(spark, sf), KEY, 60, ["x", "y"], "ref_wd")
+    total = F.aggregate("x", F.lit(0.0), lambda a, v: a + v)
+    return out.select(
+        "cml_id", "segment_id", F.size("x").cast("bigint").alias("n"), rr(total, 4).alias("total"),
+        rr(F.col("x")[0]).alias("first_x"), rr(F.element_at("y", -1)).alias("last_y"), "ref_wd",
+    )
+
+
+@query("segment_scores_expanded", f"""SELECT s.cml_id, {ts()} AS time, p >= 0.5 AS wet FROM rows0 s LEFT JOIN (
+      SELECT cml_id, row0//60 AS segment_id, avg(x)/51 AS p FROM rows0 GROUP BY 1, 2 HAVING count(*) = 60) t
+    ON t.cml_id = s.cml_id AND t.segment_id = s.row0//60""", FLAGS_SQL)
+def _(spark, sf):
+    df = series(spark, sf)
+    scores = tr.segment_arrays(df, KEY, 60, ["x"]).select(
+        "cml_id", "segment_id", (F.aggregate("x", F.lit(0.0), lambda a, v: a + v) / 60 / 51).alias("probability")
+    )
+    return tr.expand_segments(df, scores, KEY, 60).select("cml_id", stamp(), "wet")
+
+
+@query("feature_windows", f"""SELECT cml_id, {ts()} AS time, CASE WHEN ok THEN 40 END AS n, {r('CASE WHEN ok THEN sx + sy END', 4)} AS total,
+      {r('CASE WHEN ok THEN fx END')} AS first_x, {r('CASE WHEN ok THEN ly END')} AS last_y FROM (
+      SELECT *, count(x) OVER w = 20 AND count(y) OVER w = 20 AS ok, sum(x) OVER w AS sx, sum(y) OVER w AS sy,
+        first_value(x) OVER w AS fx, last_value(y) OVER w AS ly
+      FROM (SELECT cml_id, time, CASE WHEN uptime % 23 <> 0 THEN x END AS x, y FROM series)
+      WINDOW w AS ({ROWS} ROWS BETWEEN 10 PRECEDING AND 9 FOLLOWING))""")
+def _(spark, sf):
+    df = series(spark, sf).withColumn("x", F.when(F.col("uptime") % 23 != 0, F.col("x")))
+    out = tr.feature_windows(df, KEY, ["x", "y"], 10, 9)
+    f = F.col("features")
+    total = F.aggregate(f, F.lit(0.0), lambda a, v: a + v)
+    return out.select(
+        "cml_id", stamp(), F.when(f.isNotNull(), F.size(f)).alias("n"), rr(total, 4).alias("total"),
+        rr(F.get(f, F.lit(0))).alias("first_x"), rr(F.get(f, F.lit(39))).alias("last_y"),
+    )
+
+
+@query("prediction_alignment", f"""SELECT cml_id, {ts()} AS time, {r('CASE WHEN n BETWEEN 12 AND 14 THEN f WHEN n >= 15 THEN m END')} AS x FROM (
+      SELECT *, row_number() OVER ({ROWS}) AS n, lag(x, 3) OVER ({ROWS}) AS m,
+        nth_value(x, 12) OVER ({ROWS} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS f FROM series)
+    WHERE n > 10""")
+def _(spark, sf):
+    df = tr.align_predictions(series(spark, sf), KEY, "x", 12, 3)
+    return _values(tr.trim_leading(df, KEY, 10), "x")
+
+
+@query("fine_flags", f"""SELECT user_id AS cml_id, {ts("date_trunc('day', ts)")} AS time, max(CASE WHEN value > 30 THEN 1.0 ELSE 0.0 END) AS wet_max,
+      CASE WHEN avg(CASE WHEN value > 30 THEN 1.0 ELSE 0.0 END) >= 0.5 THEN 1.0 ELSE 0.0 END AS wet_mean FROM events GROUP BY ALL""")
+def _(spark, sf):
+    flags = _fine_flags(spark, sf)
+    most = wd.flags_to_steps(flags, demo.STEP_MINUTES, "max").withColumnRenamed("wet", "wet_max")
+    mean = wd.flags_to_steps(flags, demo.STEP_MINUTES, "mean").withColumnRenamed("wet", "wet_mean")
+    return most.join(mean, ["cml_id", "time"]).select("cml_id", stamp(), "wet_max", "wet_mean")
+
+
+def _fine_flags(spark, sf):
+    return demo.table(spark, sf, "events").select(
+        F.col("user_id").alias("cml_id"), F.col("ts").cast("timestamp").alias("time"), (F.col("value") > 30).cast("int").alias("wet")
+    )
+
+
+@query("flags_attached", f"""SELECT c.cml_id, channel_id, {ts('c.time')} AS time, coalesce(w.wet, 0) > 0.5 AS wet FROM channels c LEFT JOIN (
+      SELECT user_id AS cml_id, date_trunc('day', ts) AS time, max(CASE WHEN value > 30 THEN 1 ELSE 0 END) AS wet FROM events GROUP BY 1, 2) w
+    ON w.cml_id = c.cml_id AND w.time = c.time""")
+def _(spark, sf):
+    steps = wd.flags_to_steps(_fine_flags(spark, sf), demo.STEP_MINUTES)
+    return wd.attach_flags(channels(spark, sf), steps).select("cml_id", "channel_id", stamp(), "wet")
+
+
+@query("training_sets")
+def _(spark, sf):
+    rows = tr.segment_arrays(tr.balance(flagged_rows(spark, sf), KEY, 20), KEY, 20, ["x", "y"], "ref_wd")
+    train, held = tr.split(rows, 0.8, seed=5)
+    parts = train.withColumn("part", F.lit("train")).unionByName(held.withColumn("part", F.lit("held")))
+    return parts.groupBy("part", "ref_wd").agg(F.count(F.lit(1)).alias("n_segments"))
+
+
+@query("classifier_scores")
+def _(spark, sf):
+    rows = tr.segment_arrays(pp.z_normalise(flagged_rows(spark, sf), KEY, ["x", "y"]), KEY, 20, ["x", "y"], "ref_wd")
+    rows = stage(
+        rows.select("cml_id", "segment_id", F.concat("x", "y").alias("features"), F.col("ref_wd").cast("double").alias("label")),
+        "segments",
+    )
+    train, _held = tr.split(rows, 0.8, seed=5)
+    model = tr.fit_classifier(train, hidden=(8,))
+    scored = tr.score_with_model(rows, model)
+    return scored.select("cml_id", "segment_id", "label", rr("probability").alias("probability"), (F.col("probability") >= 0.5).alias("wet"))
+
+
+# --- spectra ---------------------------------------------------------------------------------
+
+DRY_SQL = {
+    "deviations": f"""SELECT cml_id, row_number() OVER ({ROWS}) - 1 AS pos, CASE WHEN count(x) OVER w = 30 THEN stddev_samp(x) OVER w END AS d
+        FROM series WINDOW w AS ({ROWS} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW)"""}
+
+
+@query("dry_period", """SELECT cml_id, dry_stop - 30 AS dry_start, dry_stop FROM (
+      SELECT cml_id, min_by(pos, (floor(d*1e9 + 0.4997), pos)) AS dry_stop FROM deviations WHERE d IS NOT NULL GROUP BY 1)""", DRY_SQL)
+def _(spark, sf):
+    return sp.calmest_period(series(spark, sf), KEY, "x", 30)
+
+
+@query("spectral_wetdry")
+def _(spark, sf):
+    df = series(spark, sf)
+    spectrum = stage(sp.spectrogram(df, KEY, "x", 16, 1.0, mirror=True), "spectrum")
+    dry = sp.calmest_period(df, KEY, "x", 30)
+    out = sp.classify(spectrum, dry, KEY, sp.frequencies(16, 1.0), 0.2, 0.5)
+    return out.select("cml_id", stamp(), "pos", rr("p_diff").alias("p_diff"), "wet")

@@ -162,7 +162,7 @@ VIEWS["hour_sum"] = """
         FROM aligned"""
 VIEWS["series"] = """
         SELECT l_suppkey AS cml_id, l_shipdate AS time, avg(l_quantity) AS x, avg(l_extendedprice/1000) AS y,
-               avg(l_tax*100) AS temp, min(l_discount) AS rain, max(l_orderkey) AS uptime
+               avg(l_tax*100) AS temp, greatest(min(l_discount)*100e0 - 5, 0e0) AS rain, max(l_orderkey) AS uptime
         FROM lineitem GROUP BY 1, 2"""
 
 

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from pluvio.functions.geo import mercator_x, mercator_y
 from pluvio.operators.grid import Grid, cells
+from pluvio.session import stage
 
 FINEST = 16  # halvings of the search radius
 LEAF = 48  # links per bucket below which halving stops
@@ -178,10 +179,12 @@ def interpolate(
     not once per cell.
     """
     table, grouped = neighbour_table(values, centers, targets, near=near, radius=radius, power=power)
-    packed = (
+    # The neighbours do not depend on the values: they are searched once and read twice.
+    packed = stage(
         table.groupBy("grp", "row", "col")
         .agg(F.sort_array(F.collect_list(F.struct("cml_id", "w"))).alias("links"))
-        .withColumns({"trow": F.floor(F.col("row") / tile), "tcol": F.floor(F.col("col") / tile)})
+        .withColumns({"trow": F.floor(F.col("row") / tile), "tcol": F.floor(F.col("col") / tile)}),
+        "neighbours",
     )
     key = ["grp", "trow", "tcol"]
     used = packed.select(*key, F.explode("links.cml_id").alias("cml_id")).distinct()

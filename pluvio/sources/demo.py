@@ -115,7 +115,7 @@ def regular_series(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.avg("l_quantity").alias("x"),
             F.avg(F.col("l_extendedprice") / 1000).alias("y"),
             F.avg(F.col("l_tax") * 100).alias("temp"),
-            F.min("l_discount").alias("rain"),
+            F.greatest(F.min("l_discount") * 100 - 5, F.lit(0.0)).alias("rain"),
             F.max("l_orderkey").alias("uptime"),
         )
     )
