@@ -28,9 +28,10 @@ from pluvio.operators import spectral as sp
 from pluvio.operators import temperature as tc
 from pluvio.operators import training as tr
 from pluvio.operators import wetdry as wd
-from pluvio.session import stage
+from pluvio.session import shared_folder, stage
 from pluvio.sources import demo, metadata, polygons, telemetry
 from pluvio.sources import frames as frame_store
+from pluvio.streaming import live
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -1167,3 +1168,26 @@ def _(spark, sf):
     dry = sp.calmest_period(df, KEY, "x", 30)
     out = sp.classify(spectrum, dry, KEY, sp.frequencies(16, 1.0), 0.2, 0.5)
     return out.select("cml_id", stamp(), "pos", rr("p_diff").alias("p_diff"), "wet")
+
+
+# --- streaming -------------------------------------------------------------------------------
+
+
+@query("stream_step_means", WIDE_SQL)
+def _(spark, sf):
+    """The events replayed as a stream of files, landed and averaged by the streaming job."""
+    import uuid
+
+    folder = f"{shared_folder(spark)}/replay/{uuid.uuid4().hex}"
+    rows = demo.telemetry(spark, sf).select("time", "agent_host", "field", "value")
+    rows.repartitionByRange(4, "time").write.parquet(f"{folder}/in")
+    stream = live.read_stream(spark, f"{folder}/in", files_per_trigger=2)
+
+    def job(landed_rows: DataFrame, _newest) -> None:
+        means = telemetry.step_means(landed_rows, demo.STEP_SECONDS, demo.NAMES)
+        means.withColumn("day", F.to_date("time")).write.mode("overwrite").option(
+            "partitionOverwriteMode", "dynamic"
+        ).partitionBy("day").parquet(f"{folder}/out")
+
+    live.recompute_loop(stream, f"{folder}/landed", f"{folder}/checkpoint", job).awaitTermination()
+    return _wide_out(spark.read.parquet(f"{folder}/out"))

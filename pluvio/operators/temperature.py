@@ -31,15 +31,11 @@ def flagged_links(channels: DataFrame, threshold: float = 0.7) -> DataFrame:
     )
 
 
-def drop_flagged(channels: DataFrame, threshold: float = 0.7) -> DataFrame:
-    return channels.join(flagged_links(channels, threshold), "cml_id", "left_anti")
-
-
-def compensate(channels: DataFrame, threshold: float = 0.7, reference: float = 21.0) -> DataFrame:
-    """Take the linear temperature effect above the reference out of flagged links.
+def mark_flagged(channels: DataFrame, threshold: float) -> DataFrame:
+    """Add flagged_ (the link passes the test of `flagged_links`) and slope_ of the channel.
 
     The statistics are window aggregates over the channel and the link, so the partitioning by
-    cml_id that the channels come with is enough.
+    cml_id that the channels come with is enough and the channels are worked out once.
     """
     t, x = F.col("temperature_tx"), F.col("trsl")
     channel, link = Window.partitionBy("cml_id", "channel_id"), Window.partitionBy("cml_id")
@@ -53,13 +49,23 @@ def compensate(channels: DataFrame, threshold: float = 0.7, reference: float = 2
             "slope_": F.when(varies, F.regr_slope(x, t).over(channel)),
         }
     )
-    channels_with_r = F.size(F.collect_set(F.when(F.col("r_").isNotNull(), F.col("channel_id"))).over(link))
-    flagged = (channels_with_r == 2) & (F.max(F.abs("r_")).over(link) >= threshold)
+    # Two channels per link: both are defined if the smallest and the largest channel name are.
+    defined = F.when(F.col("r_").isNotNull(), F.col("channel_id"))
+    both = F.min(defined).over(link) < F.max(defined).over(link)
+    flagged = F.coalesce(both & (F.max(F.abs("r_")).over(link) >= threshold), F.lit(False))
+    return stats.withColumn("flagged_", flagged).drop("r_")
+
+
+def drop_flagged(channels: DataFrame, threshold: float = 0.7) -> DataFrame:
+    return mark_flagged(channels, threshold).where(~F.col("flagged_")).drop("flagged_", "slope_")
+
+
+def compensate(channels: DataFrame, threshold: float = 0.7, reference: float = 21.0) -> DataFrame:
+    """Take the linear temperature effect above the reference out of flagged links."""
+    t, x = F.col("temperature_tx"), F.col("trsl")
+    corrected = x - F.col("slope_") * (t - reference)
     return (
-        stats.withColumn("flagged_", flagged)
-        .withColumn(
-            "trsl",
-            F.when(F.col("flagged_") & (t >= reference), x - F.col("slope_") * (t - reference)).otherwise(x),
-        )
-        .drop("r_", "slope_", "flagged_")
+        mark_flagged(channels, threshold)
+        .withColumn("trsl", F.when(F.col("flagged_") & (t >= reference), corrected).otherwise(x))
+        .drop("flagged_", "slope_")
     )
