@@ -78,10 +78,11 @@ def recompute_loop(
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         land(batch.select("time", "agent_host", "field", "value"), batch_id, landed_path)
-        rows = landed(spark, landed_path)
-        newest = rows.agg(F.max("time").alias("t")).first()["t"]
-        if newest is not None:
-            job(rows, newest)
+        # The newest time is at least the batch's own, so only dates from there on are looked at.
+        own = spark.read.schema(SCHEMA).parquet(f"{landed_path}/batch={batch_id}").agg(F.max("time").alias("t")).first()["t"]
+        if own is not None:
+            newest = landed(spark, landed_path, own).agg(F.max("time").alias("t")).first()["t"]
+            job(landed(spark, landed_path), newest)
 
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
