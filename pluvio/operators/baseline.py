@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pluvio.operators.grouped import whole_groups
 from pluvio.operators.quality import CHANNEL
 
 
@@ -28,9 +29,10 @@ def with_episodes(channels: DataFrame, n: int, block: int = 4096) -> DataFrame:
 
     A piece may begin where the next n rows are all dry: there the baseline equals the path loss,
     just as at the start of a series, and nothing before matters. Pieces begin at the first such
-    row of each block of positions.
+    row of each block of positions. `since` counts the rows from the start of the piece.
     """
     w = Window.partitionBy(*CHANNEL).orderBy("time")
+    so_far = w.rowsBetween(Window.unboundedPreceding, 0)
     dry = F.coalesce(F.col("wet") == False, F.lit(False)).cast("int")  # noqa: E712
     marked = channels.withColumns(
         {
@@ -42,29 +44,30 @@ def with_episodes(channels: DataFrame, n: int, block: int = 4096) -> DataFrame:
     cut = F.col("quiet_") & (
         F.floor(F.col("pos") / block) > F.floor(F.coalesce(previous, F.lit(0)) / block)
     )
-    return marked.withColumn("cut_", cut.cast("int")).withColumn(
-        "episode", F.coalesce(F.sum("cut_").over(w.rowsBetween(Window.unboundedPreceding, 0)), F.lit(0))
+    return marked.withColumn("cut_", F.coalesce(cut, F.lit(False))).withColumns(
+        {
+            "episode": F.sum(F.col("cut_").cast("int")).over(so_far),
+            "since": F.col("pos") - F.coalesce(F.max(F.when(F.col("cut_"), F.col("pos"))).over(so_far), F.lit(0)),
+        }
     ).drop("quiet_", "cut_")
 
 
-def walk(trsl: np.ndarray, wet: np.ndarray, n: int, waa_max: float, rise: float) -> tuple[np.ndarray, np.ndarray]:
-    """Baseline and wet-antenna attenuation of one piece; wet is 0, 1 or NaN.
+def walk(
+    trsl: np.ndarray, wet: np.ndarray, since: np.ndarray, n: int, waa_max: float, rise: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """Baseline and wet-antenna attenuation of pieces, one after the other; wet is 0, 1 or NaN.
 
     Only wet rows need the walk: on dry rows both follow from the path loss alone.
     """
-    known = ~np.isnan(wet)
-    baseline = np.where(known, trsl, np.nan)
-    baseline[:n] = trsl[:n]
+    baseline = np.where((since < n) | ~np.isnan(wet), trsl, np.nan)
+    rows = np.flatnonzero(wet == 1)
     with np.errstate(invalid="ignore"):
-        for i in np.flatnonzero(wet == 1):
-            if i >= n:
-                onset = wet[i - 1] != 1
-                baseline[i] = baseline[i - n : i].mean() if onset else baseline[i - 1]
-        above = trsl - baseline
-        waa = np.minimum(above, waa_max)
-        for i in np.flatnonzero(wet == 1):
-            if i > 0:
-                waa[i] = np.minimum(waa[i], waa[i - 1] + (waa_max - waa[i - 1]) * rise)
+        for i in rows[since[rows] >= n]:
+            onset = wet[i - 1] != 1
+            baseline[i] = baseline[i - n : i].mean() if onset else baseline[i - 1]
+        waa = np.minimum(trsl - baseline, waa_max)
+        for i in rows[since[rows] > 0]:
+            waa[i] = np.minimum(waa[i], waa[i - 1] + (waa_max - waa[i - 1]) * rise)
     return baseline, waa
 
 
@@ -80,20 +83,22 @@ def baseline_and_waa(
 
     The wet-antenna attenuation climbs by 3*step/tau of the distance to its maximum per step;
     step and tau are both in minutes unless `step_in_hours`.
+
+    The windows that number the pieces leave each channel whole and sorted in one partition, so the
+    walk needs no further shuffle.
     """
     rise = 3.0 * (step_minutes / 60.0 if step_in_hours else step_minutes) / tau
-    pieces = with_episodes(channels, n)
+    pieces = with_episodes(channels, n).sortWithinPartitions(*CHANNEL, "pos")
     columns = [*channels.columns, "baseline", "waa"]
     types = dict(channels.dtypes)
     schema = ", ".join(f"`{c}` {types.get(c, 'double')}" for c in columns)
 
-    def piece(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos", kind="stable")
+    def chunk(pdf: pd.DataFrame, _starts: np.ndarray) -> pd.DataFrame:
         wet = pdf["wet"].astype("float64").to_numpy()
-        base, waa = walk(pdf["trsl"].to_numpy("float64"), wet, n, waa_max, rise)
+        base, waa = walk(pdf["trsl"].to_numpy("float64"), wet, pdf["since"].to_numpy(), n, waa_max, rise)
         return pdf.assign(baseline=base, waa=waa)[columns]
 
-    out = pieces.groupBy("cml_id", "channel_id", "episode").applyInPandas(piece, schema)
+    out = pieces.mapInPandas(lambda batches: whole_groups(batches, [*CHANNEL, "episode"], chunk), schema)
     return out.withColumns(
         {c: F.when(~F.isnan(c), F.col(c)) for c in ("baseline", "waa")}
     )

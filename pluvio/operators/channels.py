@@ -10,6 +10,7 @@ from pluvio.functions.rainrate import kr_alpha, kr_k
 # Channel names and the technologies that report the received level with its sign turned.
 AB, BA = "A(rx)_B(tx)", "B(rx)_A(tx)"
 SIGN_TURNED = ("summit", "summit_bt")
+CROWD = 1000  # link ends at one host above which the host is split
 
 
 def link_ends(links: DataFrame) -> DataFrame:
@@ -44,6 +45,22 @@ def link_ends(links: DataFrame) -> DataFrame:
     ).select("cml_id", F.col("end.host").alias("agent_host"), F.col("end.side").alias("side"), *constants)
 
 
+def join_ends(wide: DataFrame, ends: DataFrame, crowd: int = CROWD) -> DataFrame:
+    """Wide rows joined to the link ends at their host.
+
+    A host with more than `crowd` link ends is split: its ends are spread over salts and its rows
+    (one per step) are repeated per salt. There are at most 1/crowd as many such hosts as ends.
+    """
+    crowded = (
+        ends.groupBy("agent_host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd)
+        .select("agent_host", F.ceil(F.col("n") / crowd).cast("int").alias("salts"))
+    )
+    salts = F.coalesce(F.col("salts"), F.lit(1))
+    left = wide.join(crowded, "agent_host", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    right = ends.join(crowded, "agent_host", "left").withColumn("salt", F.pmod(F.hash("cml_id"), salts))
+    return left.drop("salts").join(right.drop("salts"), ["agent_host", "salt"]).drop("salt")
+
+
 def build_channels(wide: DataFrame, links: DataFrame) -> DataFrame:
     """Rows (cml_id, channel_id, time, tsl, rsl, temperatures) of the links with both hosts present.
 
@@ -53,7 +70,7 @@ def build_channels(wide: DataFrame, links: DataFrame) -> DataFrame:
     A time at which only one end reported is missing in the channel received at the other end; a
     sending end that did not report counts as level 0.
     """
-    ends = wide.join(link_ends(links), "agent_host").repartition("cml_id")
+    ends = join_ends(wide, link_ends(links)).repartition("cml_id")
     constants = ["polarization", "length", "turned", "f_ab", "f_ba", "k_ab", "k_ba", "alpha_ab", "alpha_ba"]
 
     def end(side: str) -> list:

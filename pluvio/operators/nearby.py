@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pluvio.functions.geo import EARTH_KM, haversine_km
+from pluvio.session import stage
 
 DISTANCES = ["a_to_a", "a_to_b", "b_to_a", "b_to_b"]
 
@@ -130,7 +131,7 @@ def nearby_wet(
     """
     period, needed = int(hours * 60 / interval), int(min_hours * 60 / interval)
     f_rows = hours * 4 if f_rows is None else f_rows
-    drops = power_drop(pmin, period, needed)
+    drops = stage(power_drop(pmin, period, needed), "drops")  # read for the rows and for the medians
     medians = neighbourhood_medians(drops, links, radius, min_links)
     rows = drops.join(medians, ["cml_id", "time"], "left")
     wet = (F.col("median_p") < threshold_p) & (F.col("median_pl") < threshold_pl)

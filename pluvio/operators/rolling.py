@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pluvio.operators.grouped import map_groups
 from pluvio.operators.series import with_blocks, with_positions
 
 # Up to this length a frame is evaluated by Spark row by row; longer windows go through blocks.
@@ -51,16 +53,16 @@ def rolling(
     types = dict(df.dtypes)
     schema = ", ".join(f"`{c}` {types.get(c, 'double')}" for c in names)
 
-    def block(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos", kind="stable")
-        core = pdf["core"].to_numpy()
-        for new, src in columns.items():
-            # Trailing windows shifted back: rows beyond the end of the series count as missing.
-            values = pd.concat([pdf[src].astype("float64"), pd.Series([float("nan")] * ahead)], ignore_index=True)
-            r = values.rolling(window, min_periods=need)
-            done = r.median() if stat == "median" else r.std()
-            pdf[new] = done.shift(-ahead).to_numpy()[: len(pdf)]
-        return pdf.loc[core, names]
+    def chunk(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        done = {new: np.empty(len(pdf)) for new in columns}
+        for a, b in zip(starts, [*starts[1:], len(pdf)]):
+            for new, src in columns.items():
+                # Trailing windows shifted back: rows beyond the end of the series count as missing.
+                values = np.full(b - a + ahead, np.nan)
+                values[: b - a] = pdf[src].iloc[a:b]
+                r = pd.Series(values).rolling(window, min_periods=need)
+                done[new][a:b] = (r.median() if stat == "median" else r.std()).to_numpy()[ahead:]
+        return pdf.assign(**done).loc[pdf["core"].to_numpy(), names]
 
-    out = blocks.groupBy(*keys, "block_id").applyInPandas(block, schema)
+    out = map_groups(blocks, [*keys, "block_id"], ["pos"], chunk, schema)
     return out.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in columns})

@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pluvio.operators.grouped import map_groups
 from pluvio.operators.rolling import rolling
 from pluvio.operators.series import with_blocks, with_positions
 
@@ -43,11 +44,7 @@ def spectrogram(
     types = dict(df.dtypes)
     schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", time timestamp, pos bigint, power array<double>"
 
-    def block(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("pos", kind="stable")
-        taper = np.hamming(size)
-        x = pdf[value].to_numpy("float64")
-        pos, total = pdf["pos"].to_numpy(), int(pdf["rows_"].iloc[0])
+    def one(x: np.ndarray, pos: np.ndarray, total: int) -> list:
         power = [None] * len(x)
         if len(x) >= size:
             done = spectra(np.lib.stride_tricks.sliding_window_view(x, size), taper, f_sampling)
@@ -60,11 +57,18 @@ def spectrogram(
                     both = np.concatenate([head, head[::-1], np.zeros(size - 2 * len(head))])
                     end = spectra(both[None, :], taper, f_sampling)[0]
                     power[i] = None if np.isnan(end).any() else end
-        core = pdf["core"].to_numpy()
-        out = pdf[[*keys, "time", "pos"]].assign(power=power)
-        return out[core]
+        return power
 
-    return blocks.groupBy(*keys, "block_id").applyInPandas(block, schema)
+    taper = np.hamming(size)
+
+    def chunk(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        x, pos, totals = pdf[value].to_numpy("float64"), pdf["pos"].to_numpy(), pdf["rows_"].to_numpy()
+        power: list = []
+        for a, b in zip(starts, [*starts[1:], len(pdf)]):
+            power += one(x[a:b], pos[a:b], int(totals[a]))
+        return pdf[[*keys, "time", "pos"]].assign(power=power)[pdf["core"].to_numpy()]
+
+    return map_groups(blocks, [*keys, "block_id"], ["pos"], chunk, schema)
 
 
 def calmest_period(df: DataFrame, keys: Sequence[str], value: str, window: int = 600) -> DataFrame:

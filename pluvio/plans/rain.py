@@ -17,7 +17,10 @@ def load_channels(rows: DataFrame, links: DataFrame, cfg: Settings, scan: tuple[
     """Channels of the links over the scan range (by default the configured one with its warm-up)."""
     start, end = scan if scan else cfg.scan_range()
     wanted = telemetry.scan(rows, start, end, cfg.fields, cfg.temperature.needed)
-    wanted = telemetry.of_hosts(wanted, metadata.hosts_of(links))
+    hosts = metadata.hosts_of(links)
+    if telemetry.few(hosts, telemetry.BROADCAST_HOSTS):
+        wanted = telemetry.of_hosts(wanted, hosts)
+    # Beyond that the raw rows are averaged first: the join with the links drops other hosts.
     wide = telemetry.step_means(wanted, cfg.time.step * 60, cfg.fields, cfg.temperature.needed)
     return build_channels(wide, links)
 

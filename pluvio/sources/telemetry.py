@@ -12,6 +12,7 @@ from pluvio.functions.missing import null_if_nan
 
 SCHEMA = "time timestamp, agent_host string, field string, value double"
 WIDE = ("rx_power", "tx_power", "temperature")
+BROADCAST_HOSTS = 200_000  # names, some 10 MB
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
@@ -36,9 +37,21 @@ def scan(
     return rows
 
 
-def of_hosts(telemetry: DataFrame, hosts: DataFrame) -> DataFrame:
-    """Rows of the given hosts only. Spark broadcasts the host list if it is small enough."""
-    return telemetry.join(hosts.select("agent_host"), "agent_host", "left_semi")
+def few(rows: DataFrame, limit: int) -> bool:
+    """True if there are at most `limit` rows; counts no further than that."""
+    return rows.limit(limit + 1).count() <= limit
+
+
+def of_hosts(telemetry: DataFrame, hosts: DataFrame, limit: int = BROADCAST_HOSTS) -> DataFrame:
+    """Rows of the given hosts only.
+
+    A list of at most `limit` hosts is broadcast, so raw rows are filtered where they are read.
+    A longer one is joined by shuffle; prefer to build the step means first then.
+    """
+    wanted = hosts.select("agent_host")
+    if few(wanted, limit):
+        wanted = F.broadcast(wanted)
+    return telemetry.join(wanted, "agent_host", "left_semi")
 
 
 def step_means(

@@ -13,6 +13,7 @@ from pluvio.operators import resample as rs
 from pluvio.operators import rolling as ro
 from pluvio.operators import series as se
 from pluvio.operators import spectral as sp
+from pluvio.operators.grouped import whole_groups
 from pluvio.operators.quality import fill_gaps
 
 T0 = datetime(2024, 1, 1, tzinfo=timezone.utc)
@@ -93,7 +94,8 @@ def test_baseline_pieces_equal_whole(spark, seed):
 
     def piece(pdf):
         pdf = pdf.sort_values("pos")
-        b, w = bl.walk(pdf["trsl"].to_numpy(), pdf["wet"].astype("float64").to_numpy(), 3, 2.2, 0.4)
+        wet = pdf["wet"].astype("float64").to_numpy()
+        b, w = bl.walk(pdf["trsl"].to_numpy(), wet, pdf["since"].to_numpy(), 3, 2.2, 0.4)
         return pd.DataFrame({"pos": pdf["pos"], "b": b, "w": w})
 
     out = cut.groupBy("episode").applyInPandas(piece, "pos bigint, b double, w double").toPandas().sort_values("pos")
@@ -101,6 +103,22 @@ def test_baseline_pieces_equal_whole(spark, seed):
     np.testing.assert_allclose(out["w"], expect_w)
 
 
+def test_whole_groups_across_batches():
+    """Groups that end inside a batch, at its edge, or go on over several batches."""
+    rng = np.random.default_rng(1)
+    key = np.repeat(np.arange(40), rng.integers(1, 30, 40))
+    pdf = pd.DataFrame({"k": key, "x": np.arange(len(key))})
+    for size in (1, 7, 50, 1000):
+        batches = (pdf.iloc[i : i + size] for i in range(0, len(pdf), size))
+        seen = []
+        for rows in whole_groups(batches, ["k"], lambda r, starts: r.assign(n=len(starts))):
+            assert rows["n"].iloc[0] == rows["k"].nunique()
+            seen.append(rows)
+        out = pd.concat(seen)
+        assert list(out["x"]) == list(pdf["x"])
+        assert sum(r["k"].nunique() for r in seen) == 40
+
+
 def long_series(spark, n=700):
     rng = np.random.default_rng(7)
     pdf = pd.DataFrame({
