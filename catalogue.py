@@ -893,7 +893,7 @@ def _(spark, sf):
         WINDOW w AS ({ROWS} ROWS BETWEEN 5 PRECEDING AND 4 FOLLOWING)""",
     "dev2": f"""SELECT *, coalesce(first_value(d IGNORE NULLS) OVER (PARTITION BY cml_id ORDER BY time ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING),
         last_value(d IGNORE NULLS) OVER ({ROWS} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)) AS e FROM dev""",
-    "kept": "SELECT cml_id, time, CASE WHEN e < 14.0 THEN x END AS x FROM dev2",
+    "kept": "SELECT cml_id, time, CASE WHEN round(e, 9) < 14.0 THEN x END AS x FROM dev2",
 })
 def _(spark, sf):
     return _values(pp.drop_unsteady(series(spark, sf), KEY, ["x"], 10, 14.0), "x")

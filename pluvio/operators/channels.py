@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pluvio.functions.rainrate import kr_alpha, kr_k
+from pluvio.sources.telemetry import few
 
 # Channel names and the technologies that report the received level with its sign turned.
 AB, BA = "A(rx)_B(tx)", "B(rx)_A(tx)"
 SIGN_TURNED = ("summit", "summit_bt")
 CROWD = 1000  # link ends at one host above which the host is split
+BROADCAST_ENDS = 100_000  # rows of about 100 bytes
 
 
 def link_ends(links: DataFrame) -> DataFrame:
@@ -48,13 +50,25 @@ def link_ends(links: DataFrame) -> DataFrame:
 def join_ends(wide: DataFrame, ends: DataFrame, crowd: int = CROWD) -> DataFrame:
     """Wide rows joined to the link ends at their host.
 
-    A host with more than `crowd` link ends is split: its ends are spread over salts and its rows
-    (one per step) are repeated per salt. There are at most 1/crowd as many such hosts as ends.
+    The ends are broadcast if there are few of them. Beyond that the join is a shuffle, and a host
+    with more than `crowd` link ends is split: its ends are spread over salts and its rows (one per
+    step) are repeated per salt. There are at most 1/crowd as many such hosts as ends, and usually
+    none; both counts are taken on the link table.
     """
+    if few(ends, BROADCAST_ENDS):
+        return wide.join(F.broadcast(ends), "agent_host")
+    return join_crowded(wide, ends, crowd)
+
+
+def join_crowded(wide: DataFrame, ends: DataFrame, crowd: int = CROWD) -> DataFrame:
     crowded = (
         ends.groupBy("agent_host").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > crowd)
         .select("agent_host", F.ceil(F.col("n") / crowd).cast("int").alias("salts"))
     )
+    if few(crowded, 0):
+        return wide.join(ends, "agent_host")
+    if few(crowded, BROADCAST_ENDS):
+        crowded = F.broadcast(crowded)
     salts = F.coalesce(F.col("salts"), F.lit(1))
     left = wide.join(crowded, "agent_host", "left").withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
     right = ends.join(crowded, "agent_host", "left").withColumn("salt", F.pmod(F.hash("cml_id"), salts))

@@ -63,14 +63,15 @@ def fill_by_position(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
 def drop_unsteady(df: DataFrame, keys: Sequence[str], columns: Sequence[str], window: int = 10, limit: float = 5.0) -> DataFrame:
     """Blank values where the centred rolling sample deviation reaches the limit.
 
-    Rows without a whole window take the next deviation, at the end the last one.
+    Rows without a whole window take the next deviation, at the end the last one. Deviations are
+    compared to nine decimals: levels come in fixed steps, and the order of summing must not decide.
     """
     out = rolling(df, keys, {f"{c}_d": c for c in columns}, window, "std", centered=True)
     out = out.withColumns({f"{c}_q": F.last(f"{c}_d", True).over(_from_here(keys)) for c in columns})
     out = out.withColumns({f"{c}_d": F.coalesce(f"{c}_d", f"{c}_q") for c in columns})
     out = out.withColumns({f"{c}_p": F.last(f"{c}_d", True).over(_so_far(keys)) for c in columns})
     out = out.withColumns(
-        {c: F.when(F.coalesce(F.col(f"{c}_d"), F.col(f"{c}_p")) < limit, F.col(c)) for c in columns}
+        {c: F.when(F.round(F.coalesce(F.col(f"{c}_d"), F.col(f"{c}_p")), 9) < limit, F.col(c)) for c in columns}
     )
     return out.drop(*[f"{c}_{x}" for c in columns for x in "dqp"])
 

@@ -30,11 +30,15 @@ def load_trailing(rows: DataFrame, links: DataFrame, cfg: Settings, now: datetim
     return load_channels(rows, links, cfg, trailing_range(now, window, cfg.time.step))
 
 
-def rain_rates(channels: DataFrame, cfg: Settings = Settings(), links: DataFrame | None = None) -> DataFrame:
+def rain_rates(
+    channels: DataFrame, cfg: Settings = Settings(), links: DataFrame | None = None, slim: bool = False
+) -> DataFrame:
     """Add trsl, wet, baseline, a_rain, waa, a and r.
 
     Everything runs on the partitioning by cml_id that `build_channels` sets up. With method
     `given`, a `wet` column is expected. Leijnse's curves are derived from `links` if given.
+    `slim` drops the signals and temperatures once they are used: columns cannot be pruned through
+    the walk along the series.
     """
     wd, waa = cfg.wet_dry, cfg.waa
     out = quality.clean(channels, cfg.temperature.needed)
@@ -44,6 +48,8 @@ def rain_rates(channels: DataFrame, cfg: Settings = Settings(), links: DataFrame
         out = temperature.compensate(out, cfg.temperature.threshold, cfg.temperature.reference)
     if wd.method == "rolling":
         out = wetdry.rolling_wet(out, wd.rolling_values, wd.deviation, wd.centered)
+    if slim:
+        out = out.drop("tsl", "rsl", "temperature_rx", "temperature_tx", "polarization")
     if wd.baseline_samples == 1 and waa.method != "schleiss":
         out = baseline.last_dry_baseline(out)
     else:

@@ -16,7 +16,7 @@ from pluvio.plans.rain import load_channels, load_trailing, rain_rates
 
 def run_historic(rows: DataFrame, links: DataFrame, cfg: Settings, outline: DataFrame | None = None) -> Products:
     """All products of [start, end), scanned with warm-up and trimmed to the range."""
-    return rain_fields(rain_rates(load_channels(rows, links, cfg), cfg, links), links, cfg, outline)
+    return rain_fields(rain_rates(load_channels(rows, links, cfg), cfg, links, slim=True), links, cfg, outline)
 
 
 def run_trailing(
@@ -24,7 +24,7 @@ def run_trailing(
 ) -> Products:
     """All products of the trailing window, recomputed as a whole."""
     open_range = replace(cfg, time=replace(cfg.time, start=None, end=None))
-    return rain_fields(rain_rates(load_trailing(rows, links, cfg, now, window), cfg, links), links, open_range, outline)
+    return rain_fields(rain_rates(load_trailing(rows, links, cfg, now, window), cfg, links, slim=True), links, open_range, outline)
 
 
 def slices(start: datetime, end: datetime, days: int) -> Iterator[tuple[datetime, datetime]]:

@@ -51,8 +51,9 @@ def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def sites(spark: SparkSession, sf_dir: str) -> DataFrame:
     key = F.col("s_suppkey")
-    lon = F.lit(11.5) + F.lit(0.05) * (key % 150)
-    lat = F.lit(48.2) + F.lit(0.05) * (F.floor(key / 150) % 60)
+    # One division each, so that coordinates are the doubles nearest to their decimals.
+    lon = (F.lit(1150) + 5 * (key % 150)) / 100.0
+    lat = (F.lit(4820) + 5 * (F.floor(key / 150) % 60)) / 100.0
     return table(spark, sf_dir, "supplier").select(
         key.alias("ID"),
         F.col("s_name").alias("address"),

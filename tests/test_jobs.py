@@ -95,13 +95,13 @@ def test_slices_equal_whole(rows, links):
 
 def test_crowded_host_is_split(spark, rows, links):
     """A host that ends very many links gives the same rows whether or not it is split."""
-    from pluvio.operators.channels import join_ends, link_ends
+    from pluvio.operators.channels import join_crowded, link_ends
     from pluvio.sources.telemetry import few, of_hosts, step_means
 
     wide = step_means(rows, 600)
     ends = link_ends(links.withColumn("ip_b", F.lit("0b")))
     cols = ["agent_host", "time", "cml_id", "side", "rx_power"]
-    split, plain = join_ends(wide, ends, crowd=2).select(*cols), wide.join(ends, "agent_host").select(*cols)
+    split, plain = join_crowded(wide, ends, crowd=2).select(*cols), wide.join(ends, "agent_host").select(*cols)
     assert split.count() == plain.count() and split.exceptAll(plain).count() == 0
     hosts = links.select(F.col("ip_a").alias("agent_host"))
     assert few(hosts, 6) and not few(hosts, 5)
