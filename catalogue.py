@@ -28,7 +28,7 @@ from pluvio.operators import spectral as sp
 from pluvio.operators import temperature as tc
 from pluvio.operators import training as tr
 from pluvio.operators import wetdry as wd
-from pluvio.session import shared_folder, stage
+from pluvio.session import shared_folder, ship, stage
 from pluvio.sources import demo, metadata, polygons, telemetry
 from pluvio.sources import frames as frame_store
 from pluvio.streaming import live
@@ -42,6 +42,7 @@ def query(name: str, sql: str | None = None, views: dict[str, str] | None = None
         @functools.wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             spark.conf.set("spark.sql.session.timeZone", "UTC")
+            ship(spark)
             return fn(spark, sf_dir)
 
         QUERIES[name] = run
@@ -344,12 +345,12 @@ def _walked(spark, sf, n=3):
     return bl.baseline_and_waa(wet(spark, sf), n=n, tau=6.0 * demo.STEP_MINUTES, step_minutes=demo.STEP_MINUTES)
 
 
-@query("baseline_constant")
+@query("baseline_constant", f"SELECT cml_id, channel_id, {ts()} AS time, {r('baseline')} AS baseline FROM walked")
 def _(spark, sf):
     return _walked(spark, sf).select("cml_id", "channel_id", stamp(), rr("baseline").alias("baseline"))
 
 
-@query("waa_schleiss")
+@query("waa_schleiss", f"SELECT cml_id, channel_id, {ts()} AS time, {r('waa')} AS waa, {r('r', 3)} AS r FROM rain_walk")
 def _(spark, sf):
     out = rn.rates(rn.rain_attenuation(_walked(spark, sf)))
     return out.select("cml_id", "channel_id", stamp(), rr("waa").alias("waa"), rr("r", 3).alias("r"))
@@ -1161,6 +1162,33 @@ def _(spark, sf):
     return sp.calmest_period(series(spark, sf), KEY, "x", 30)
 
 
+# Windows of 16 rows, 7 of them before the row; frequencies i/16 for i = 0..8.
+SPECTRUM_SQL = {
+    **DRY_SQL,
+    "placed": f"SELECT cml_id, time, x, row_number() OVER ({ROWS}) - 1 AS pos FROM series",
+    "sizes": "SELECT cml_id, count(*) AS total FROM placed GROUP BY 1",
+    "taper": "SELECT m, 0.54 - 0.46*cos(2*pi()*m/15) AS h FROM range(16) t(m)",
+    "waves": """SELECT m, k, h*cos(2*pi()*k*m/16) AS re, h*sin(2*pi()*k*m/16) AS im FROM taper CROSS JOIN range(9) f(k)""",
+    "windows": """SELECT p.cml_id, p.time, p.pos, q.x, q.pos - p.pos + 7 AS m FROM placed p JOIN sizes z ON z.cml_id = p.cml_id
+        JOIN placed q ON q.cml_id = p.cml_id AND q.pos BETWEEN p.pos - 7 AND p.pos + 8 WHERE p.pos >= 7 AND p.pos + 8 < z.total""",
+    "powers": """SELECT cml_id, time, pos, k, (pow(sum(x*re), 2) + pow(sum(x*im), 2))/(SELECT sum(h*h) FROM taper)
+        * CASE WHEN k IN (0, 8) THEN 1 ELSE 2 END AS p FROM windows JOIN waves USING (m) GROUP BY 1, 2, 3, 4""",
+    "dry": """SELECT cml_id, min_by(pos, (floor(d*1e9 + 0.4997), pos)) AS stop FROM deviations WHERE d IS NOT NULL GROUP BY 1""",
+    "dry_means": """SELECT cml_id, k, avg(p) AS q FROM powers JOIN dry USING (cml_id) WHERE pos >= stop - 30 AND pos < stop GROUP BY 1, 2""",
+    "bands": """SELECT cml_id, pos, avg(p/q) FILTER (WHERE k/16.0 <= 0.2) - avg(p/q) FILTER (WHERE k/16.0 > 0.2) AS p_diff
+        FROM powers JOIN dry_means USING (cml_id, k) GROUP BY 1, 2""",
+}
+
+
+@query("spectral_plain", f"""SELECT p.cml_id, {ts('p.time')} AS time, p.pos, {r('b.p_diff')} AS p_diff, coalesce(b.p_diff > 0.5, FALSE) AS wet
+    FROM placed p LEFT JOIN bands b ON b.cml_id = p.cml_id AND b.pos = p.pos""", SPECTRUM_SQL)
+def _(spark, sf):
+    df = series(spark, sf)
+    spectrum = stage(sp.spectrogram(df, KEY, "x", 16, 1.0), "spectrum")
+    out = sp.classify(spectrum, sp.calmest_period(df, KEY, "x", 30), KEY, sp.frequencies(16, 1.0), 0.2, 0.5)
+    return out.select("cml_id", stamp(), "pos", rr("p_diff").alias("p_diff"), "wet")
+
+
 @query("spectral_wetdry")
 def _(spark, sf):
     df = series(spark, sf)

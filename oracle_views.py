@@ -129,6 +129,20 @@ VIEWS["based"] = """
           ON a.cml_id = b.cml_id AND a.channel_id = b.channel_id AND a.anchor = b.rn"""
 
 
+# Three samples averaged before each wet period; the wet-antenna loss climbs half of the rest per step.
+_BASE = ("CASE WHEN n.rn <= 3 THEN n.trsl WHEN n.wet AND NOT w.wet THEN CASE WHEN list_count(w.hist) = 3 THEN list_avg(w.hist) END "
+         "WHEN n.wet THEN w.baseline ELSE n.trsl END")
+VIEWS["walked"] = f"""
+        SELECT cml_id, channel_id, time, rn, trsl, wet, trsl AS baseline, [trsl] AS hist, trsl - trsl AS waa
+        FROM numbered WHERE rn = 1
+        UNION ALL
+        SELECT cml_id, channel_id, time, rn, trsl, wet, base, list_append(hist, base)[greatest(len(hist) - 1, 1):],
+               CASE WHEN trsl - base IS NULL THEN NULL WHEN wet THEN least(trsl - base, 2.2, waa + (2.2 - waa)*0.5)
+                    ELSE least(trsl - base, 2.2) END
+        FROM (SELECT n.*, w.hist, w.waa, {_BASE} AS base FROM walked w
+              JOIN numbered n ON n.cml_id = w.cml_id AND n.channel_id = w.channel_id AND n.rn = w.rn + 1)"""
+
+
 def _itu(terms, m: float, q: float) -> str:
     bells = " + ".join(f"({a})*exp(-pow((lf-({b}))/({c}),2))" for a, b, c in terms)
     return f"({bells} + ({m})*lf + ({q}))"
@@ -146,6 +160,13 @@ def _itu_columns() -> str:
 VIEWS["attenuated"] = f"""
         SELECT *, {_itu_columns()}, CASE WHEN trsl - baseline >= 0 THEN trsl - baseline ELSE 0.0 END AS a_rain
         FROM (SELECT *, log10(frequency) AS lf FROM based)"""
+VIEWS["attenuated_walk"] = f"""
+        SELECT w.*, d.k, d.alpha, d.length, CASE WHEN w.trsl - w.baseline >= 0 THEN w.trsl - w.baseline ELSE 0.0 END AS a_rain
+        FROM walked w JOIN (SELECT DISTINCT cml_id, channel_id, k, alpha, length FROM attenuated) d
+          ON d.cml_id = w.cml_id AND d.channel_id = w.channel_id"""
+VIEWS["rain_walk"] = """
+        SELECT *, CASE WHEN pow(a/(k*length), 1/alpha) < 0.1 THEN 0.0 ELSE pow(a/(k*length), 1/alpha) END AS r
+        FROM (SELECT *, CASE WHEN a_rain - waa >= 0 THEN a_rain - waa ELSE 0.0 END AS a FROM attenuated_walk)"""
 VIEWS["rain"] = """
         SELECT *, CASE WHEN pow(a_rain/(k*length), 1/alpha) < 0.1 THEN 0.0 ELSE pow(a_rain/(k*length), 1/alpha) END AS r
         FROM attenuated"""
@@ -172,13 +193,14 @@ def with_views(body: str, extra: dict[str, str] | None = None) -> str:
 
     views = {**VIEWS, **(extra or {})}
     needed: list[str] = []
+    entered: set[str] = set()  # a recursive view names itself
 
     def visit(text: str) -> None:
         for word in re.findall(r"[a-z_0-9]+", text):
-            if word in views and word not in needed and _is_table(word, text):
+            if word in views and word not in entered and _is_table(word, text):
+                entered.add(word)
                 visit(views[word])
-                if word not in needed:
-                    needed.append(word)
+                needed.append(word)
 
     def _is_table(word: str, text: str) -> bool:
         return re.search(rf"\b(?:FROM|JOIN)\s+{word}\b", text) is not None
@@ -186,7 +208,7 @@ def with_views(body: str, extra: dict[str, str] | None = None) -> str:
     visit(body)
     if not needed:
         return body
-    return "WITH " + ",\n".join(f"{n} AS ({views[n]})" for n in needed) + "\n" + body
+    return "WITH RECURSIVE " + ",\n".join(f"{n} AS ({views[n]})" for n in needed) + "\n" + body
 
 
 def r(expr: str, digits: int = 6) -> str:

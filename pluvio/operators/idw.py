@@ -171,12 +171,14 @@ def interpolate(
     radius: float = 20000.0,
     power: float = 2.0,
     tile: int = 32,
+    parts: int = 1,
 ) -> DataFrame:
     """Frames (time, row, col, v) of values (cml_id, time, z); cells without a neighbour have no row.
 
     The values travel to tiles of cells as one array per tile and step, and a cell adds up its at
     most `near` weighted entries there. So a step's value is shuffled once per tile that needs it,
-    not once per cell.
+    not once per cell. With `parts`, the steps of a tile are spread over that many tasks and its
+    cells are repeated for each.
     """
     table, grouped = neighbour_table(values, centers, targets, near=near, radius=radius, power=power)
     # The neighbours do not depend on the values: they are searched once and read twice.
@@ -197,6 +199,7 @@ def interpolate(
             lambda n: F.struct((F.array_position(F.col("ids"), n["cml_id"]) - 1).cast("int").alias("i"), n["w"].alias("w")),
         ).alias("links"),
     )
+    placed = placed.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     rows = (
         used.join(grouped, ["grp", "cml_id"])
         .groupBy(*key, "time")
@@ -210,7 +213,8 @@ def interpolate(
     total = part(0)
     for j in range(1, near):
         total = total + part(j)
-    return rows.join(placed, key).select("time", "row", "col", total.alias("v"))
+    rows = rows.withColumn("part", F.pmod(F.hash("time"), F.lit(parts)))
+    return rows.join(placed, [*key, "part"]).select("time", "row", "col", total.alias("v"))
 
 
 def clean_frames(frames: DataFrame, least: float) -> DataFrame:
@@ -231,6 +235,7 @@ def rain_frames(
     mercator: bool = True,
     dry_as_missing: bool = False,
     tile: int = 32,
+    parts: int = 1,
 ) -> DataFrame:
     """Interpolated and cleaned frames (time, row, col, v) of one column of the link series."""
     z = F.col(value)
@@ -239,6 +244,6 @@ def rain_frames(
     values = link_values.select("cml_id", "time", z.alias("z"))
     targets = cells(links.sparkSession, grid)
     frames = interpolate(
-        values, link_centers(links, mercator), targets, near=near, radius=radius, power=power, tile=tile
+        values, link_centers(links, mercator), targets, near=near, radius=radius, power=power, tile=tile, parts=parts
     )
     return clean_frames(frames, least)

@@ -52,10 +52,15 @@ def rain_fields(rain: DataFrame, links: DataFrame, cfg: Settings = Settings(), o
     if outline is not None and cfg.output.crop:
         inside = mask.inside_cells(mask.to_mercator(outline) if cfg.interp.mercator else outline, grid)
 
+    # About 256 steps of a tile per task, if the range is known.
+    minutes_in_range = (cfg.time.end - cfg.time.start).total_seconds() / 60 if cfg.time.start and cfg.time.end else 0
+    parts = max(1, round(minutes_in_range / cfg.time.output_step / 256))
+
     def frames(value: str, least: float, dry_as_missing: bool) -> DataFrame:
         made = idw.rain_frames(
             series, links, grid, value=value, least=least, near=cfg.interp.near, radius=cfg.interp.max_distance,
             power=cfg.interp.power, mercator=cfg.interp.mercator, dry_as_missing=dry_as_missing, tile=cfg.interp.tile,
+            parts=1 if dry_as_missing else parts,
         )
         return made if inside is None else mask.crop(made, inside)
 

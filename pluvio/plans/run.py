@@ -12,6 +12,7 @@ from pluvio.config import Settings
 from pluvio.plans.fields import Products, rain_fields
 from pluvio.plans.publish import publish
 from pluvio.plans.rain import load_channels, load_trailing, rain_rates
+from pluvio.session import drop_staged
 
 
 def run_historic(rows: DataFrame, links: DataFrame, cfg: Settings, outline: DataFrame | None = None) -> Products:
@@ -40,8 +41,10 @@ def run_history(
     """A long history, one slice of days after the other, each with its warm-up and written on its own.
 
     A slice bounds the rows of a link, the size of the time axis and what a lost job repeats. Use
-    slices of whole days: dates are replaced on writing.
+    slices of whole days: dates are replaced on writing. Intermediate tables are deleted after each
+    slice, so nothing else of the session may still read some.
     """
     for start, stop in slices(cfg.time.start, cfg.time.end, days):
         part = replace(cfg, time=replace(cfg.time, start=start, end=stop))
         publish(run_historic(rows, links, part, outline), root, part)
+        drop_staged(rows.sparkSession)

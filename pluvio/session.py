@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_shipped: set[str] = set()
+
 
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "20g") -> SparkSession:
     return (
@@ -23,6 +27,19 @@ def local_session(cores: str = "*", partitions: int = 8, memory: str = "20g") ->
     )
 
 
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    package = os.path.dirname(os.path.abspath(__file__))
+    done = spark.sparkContext.applicationId
+    if done in _shipped:
+        return
+    archive = shutil.make_archive(
+        os.path.join(tempfile.mkdtemp(prefix="pluvio-"), "pluvio"), "zip", os.path.dirname(package), "pluvio"
+    )
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(done)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in spark.checkpoint.dir; a temporary one in local runs only."""
     named = spark.conf.get("spark.checkpoint.dir", None)
@@ -35,12 +52,22 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def _stage_root(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/stage/{spark.sparkContext.applicationId}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application, once what reads them is written."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(_stage_root(spark))
+    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 
     The written table cuts the lineage and survives lost executors.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stage/{name}-{uuid.uuid4().hex}"
+    path = f"{_stage_root(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -239,3 +239,40 @@ def test_landing_again_replaces(spark, rows, tmp_path):
     live.land(some, 0, path)
     assert live.landed(spark, path).count() == some.count()
     assert live.landed(spark, path, T0 + timedelta(hours=24)).agg(F.min("time")).first()[0] == datetime(2024, 1, 2)
+
+
+@pytest.fixture
+def by_spread():
+    def scorer(features):
+        return features.map(lambda f: 1.0 if np.std(np.asarray(f, dtype=float)) > 0.35 else 0.0)
+
+    return scorer
+
+
+def test_segment_classifier(spark, rows, links, by_spread):
+    """Flags made on 5-minute rows, put on the 10-minute steps, take the place of the rolling ones."""
+    from pluvio.plans.classify import flags_from_fine, segment_flags
+    from pluvio.operators.channels import build_channels
+    from pluvio.sources.telemetry import step_means
+
+    fine = build_channels(step_means(rows, 300), links)
+    options = {"size": 12, "median_window": 9, "deviation": 50.0}
+    flags = segment_flags(fine, by_spread, **options)
+    counts = {r["wet"]: r["count"] for r in flags.groupBy("wet").count().collect()}
+    assert counts[True] > 0 and counts[False] > 0
+    channels = flags_from_fine(build_channels(step_means(rows, 600), links), fine, by_spread, **options)
+    cfg = replace(CFG, wet_dry=replace(CFG.wet_dry, method="given"))
+    out = rain_rates(channels, cfg, slim=True)
+    assert out.where("wet").count() > 0 and out.agg(F.max("r")).first()[0] > 0
+    assert out.count() == build_channels(step_means(rows, 600), links).count()
+
+
+def test_sliding_classifier(rows, links, by_spread):
+    from pluvio.plans.classify import sliding_flags
+    from pluvio.operators.channels import build_channels
+    from pluvio.sources.telemetry import step_means
+
+    channels = build_channels(step_means(rows, 600), links)
+    out = sliding_flags(channels, by_spread, threshold=0.5, window=12, shift=3, median_rows=30, median_min=5, trim=20)
+    assert out.count() == channels.count() - 6 * 2 * 20
+    assert 0 < out.where("wet").count() < out.count()

@@ -72,7 +72,7 @@ def test_against_brute_force(spark, monkeypatch, case):
         (c, t, None if case == "missing" and rng.uniform() < 0.4 else float(rng.uniform(0, 9)))
         for c, _, _ in centers for t in range(3)
     ]
-    got = frames(spark, centers, values, near=5, radius=300.0, power=2.0)
+    got = frames(spark, centers, values, near=5, radius=300.0, power=2.0, parts=2)
     same(got, brute(centers, values, 5, 300.0, 2.0))
     known = [z for _, _, z in values if z is not None]
     assert min(known) - 1e-9 <= min(got.values()) and max(got.values()) <= max(known) + 1e-9
