@@ -14,6 +14,7 @@ from pluvio.config import Interp, Limits, Score, WetAntenna
 from pluvio.functions import clock
 from pluvio.functions import colours as co
 from pluvio.functions.geo import lat_of, lon_of, mercator_x, mercator_y
+from pluvio.functions.missing import without_nan
 from pluvio.operators import baseline as bl
 from pluvio.operators import channels as ch
 from pluvio.operators import grid as gr
@@ -28,6 +29,7 @@ from pluvio.operators import spectral as sp
 from pluvio.operators import temperature as tc
 from pluvio.operators import training as tr
 from pluvio.operators import wetdry as wd
+from pluvio.plans import publish
 from pluvio.session import shared_folder, ship, stage
 from pluvio.sources import demo, metadata, polygons, telemetry
 from pluvio.sources import frames as frame_store
@@ -1219,3 +1221,61 @@ def _(spark, sf):
 
     live.recompute_loop(stream, f"{folder}/landed", f"{folder}/checkpoint", job).awaitTermination()
     return _wide_out(spark.read.parquet(f"{folder}/out"))
+
+
+@query("stream_baseline", f"""SELECT cml_id, channel_id, {ts()} AS time, wet, {r('baseline')} AS baseline, {r('waa')} AS waa FROM walked""")
+def _(spark, sf):
+    """The cleaned path losses replayed in three files, with the state of each channel kept in between."""
+    import uuid
+
+    folder = f"{shared_folder(spark)}/replay/{uuid.uuid4().hex}"
+    rows = stage(clean(spark, sf).select("cml_id", "channel_id", "time", "trsl"), "clean")
+    days = F.floor((F.dayofmonth("time") - 1) / 11)
+    schema = rows.schema
+    for part in range(3):
+        rows.where(days == part).coalesce(1).write.parquet(f"{folder}/in/part={part}")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/part=*")
+    walked = live.stream_baseline(stream, roll=ROLL, threshold=THRESHOLD, n=3, rise=0.5)
+    walked.writeStream.format("parquet").option("path", f"{folder}/out").option(
+        "checkpointLocation", f"{folder}/checkpoint"
+    ).trigger(availableNow=True).start().awaitTermination()
+    out = without_nan(spark.read.parquet(f"{folder}/out"))
+    return out.select("cml_id", "channel_id", stamp(), "wet", rr("baseline").alias("baseline"), rr("waa").alias("waa"))
+
+
+# --- published products ----------------------------------------------------------------------
+
+
+def _root(spark) -> str:
+    import uuid
+
+    return f"{shared_folder(spark)}/published/{uuid.uuid4().hex}"
+
+
+@query("published_frames", f"""SELECT strftime(time, '%Y-%m-%d_%H%M') AS utc, {GRID.ny - 1} - "row" AS img_row, col,
+    round_even({r('v', 3)}, 3) AS v FROM frames""", _field_sql("r"))
+def _(spark, sf):
+    """Frames written by date and read back, rows counted from the top."""
+    path = _root(spark)
+    publish.write_frames(_frames(spark, sf).withColumn("v", rr("v", 3)), path)
+    back = frame_store.read_frames(spark, path, "v")
+    return back.select("utc", gr.display_row(GRID, F.col("row")).alias("img_row"), "col", "v")
+
+
+@query("published_flags", f"""SELECT utc, overall, ids, count_true, count_total FROM ({_info_sql("r", None)})""", _field_sql("r"))
+def _(spark, sf):
+    """Frame summaries written as JSON and read back."""
+    path = _root(spark)
+    series = stage(hour_sum(spark, sf), "hour_sum")
+    publish.write_info(pr.frame_info(_frames(spark, sf, series=series), series), path)
+    schema = "time timestamp, utc string, overall double, cml_rain_true array<bigint>, count_true bigint, count_total bigint"
+    return _info_out(spark.read.schema(schema).json(path)).drop("time")
+
+
+@query("warm_up_trimmed", f"""SELECT cml_id, {ts()} AS time, {r('r_hour_sum', 2)} AS r_hour_sum FROM hour_sum
+    WHERE time >= TIMESTAMP '2024-01-11 00:00:00'""")
+def _(spark, sf):
+    from datetime import datetime, timezone
+
+    kept = pr.trim_warm_up(hour_sum(spark, sf), datetime(2024, 1, 11, tzinfo=timezone.utc))
+    return kept.select("cml_id", stamp(), rr("r_hour_sum", 2).alias("r_hour_sum"))

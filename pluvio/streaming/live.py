@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import numpy as np
 import pandas as pd
@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.query import StreamingQuery
 
-from pluvio.config import FieldNames
+from pluvio.config import TRAILING_WINDOWS, FieldNames
 from pluvio.sources.telemetry import SCHEMA, step_means
 
 
@@ -67,9 +67,12 @@ def recompute_loop(
     job: Callable[[DataFrame, datetime], None],
     *,
     every: str | None = None,
+    window: str | None = None,
 ) -> StreamingQuery:
     """Land each micro-batch, then run `job(landed rows, newest time)` over the trailing window.
 
+    With `window`, only landed dates that the window can touch are read.
+
     The job recomputes its window as a whole and replaces the dates it writes, so late rows inside
     the window correct what was written before. `every` is the trigger interval; without it the
     query takes what is there and ends, as the first run over a long window does.
@@ -82,7 +85,8 @@ def recompute_loop(
         own = spark.read.schema(SCHEMA).parquet(f"{landed_path}/batch={batch_id}").agg(F.max("time").alias("t")).first()["t"]
         if own is not None:
             newest = landed(spark, landed_path, own).agg(F.max("time").alias("t")).first()["t"]
-            job(landed(spark, landed_path), newest)
+            since = None if window is None else newest - TRAILING_WINDOWS[window] - timedelta(days=1)
+            job(landed(spark, landed_path, since), newest)
 
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)

@@ -202,7 +202,7 @@ def test_recompute_takes_late_rows(spark, rows, links, tmp_path):
 
     def go():
         stream = live.read_stream(spark, source)
-        live.recompute_loop(stream, str(tmp_path / "landed"), str(tmp_path / "cp"), job).awaitTermination()
+        live.recompute_loop(stream, str(tmp_path / "landed"), str(tmp_path / "cp"), job, window="2d").awaitTermination()
         return spark.read.parquet(str(tmp_path / "series")).where("cml_id = 0 and value is not null").count()
 
     early.write.parquet(source)
