@@ -238,12 +238,43 @@ def rain_frames(
     parts: int = 1,
 ) -> DataFrame:
     """Interpolated and cleaned frames (time, row, col, v) of one column of the link series."""
-    z = F.col(value)
-    if dry_as_missing:
-        z = F.nullif(z, F.lit(0.0))
-    values = link_values.select("cml_id", "time", z.alias("z"))
+    z = F.nullif(F.col(value), F.lit(0.0)) if dry_as_missing else F.col(value)
+    made = frames_by_kind(
+        link_values, links, grid, {value: (z, least)}, near=near, radius=radius, power=power, mercator=mercator,
+        tile=tile, parts=parts,
+    )
+    return made[value]
+
+
+def frames_by_kind(
+    link_values: DataFrame,
+    links: DataFrame,
+    grid: Grid,
+    kinds: dict[str, tuple[Column, float]],
+    *,
+    near: int = 12,
+    radius: float = 20000.0,
+    power: float = 2.0,
+    mercator: bool = True,
+    tile: int = 32,
+    parts: int = 1,
+) -> dict[str, DataFrame]:
+    """Frames of several columns {kind: (values, least rain)} with one search for neighbours.
+
+    A step of a kind is told apart by (kind, time), so kinds and steps with the same links present
+    share their neighbours. Reading one kind works out that kind only.
+    """
+    values = None
+    for kind, (z, _least) in kinds.items():
+        part = link_values.select("cml_id", F.struct(F.lit(kind).alias("kind"), "time").alias("time"), z.alias("z"))
+        values = part if values is None else values.unionByName(part)
     targets = cells(links.sparkSession, grid)
     frames = interpolate(
         values, link_centers(links, mercator), targets, near=near, radius=radius, power=power, tile=tile, parts=parts
     )
-    return clean_frames(frames, least)
+    return {
+        kind: clean_frames(
+            frames.where(F.col("time.kind") == kind).select(F.col("time.time").alias("time"), "row", "col", "v"), least
+        )
+        for kind, (_z, least) in kinds.items()
+    }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -19,7 +19,7 @@ class Products:
     links: DataFrame  # cml_id, time, pos, r, r_hour_sum
     frames: DataFrame  # time, row, col, v
     frames_sum: DataFrame | None
-    info: DataFrame
+    info: DataFrame | None
     info_sum: DataFrame | None
 
 
@@ -56,19 +56,26 @@ def rain_fields(rain: DataFrame, links: DataFrame, cfg: Settings = Settings(), o
     minutes_in_range = (cfg.time.end - cfg.time.start).total_seconds() / 60 if cfg.time.start and cfg.time.end else 0
     parts = max(1, round(minutes_in_range / cfg.time.output_step / 256))
 
-    def frames(value: str, least: float, dry_as_missing: bool) -> DataFrame:
-        made = idw.rain_frames(
-            series, links, grid, value=value, least=least, near=cfg.interp.near, radius=cfg.interp.max_distance,
-            power=cfg.interp.power, mercator=cfg.interp.mercator, dry_as_missing=dry_as_missing, tile=cfg.interp.tile,
-            parts=1 if dry_as_missing else parts,
-        )
-        return made if inside is None else mask.crop(made, inside)
-
-    rates = frames("r", cfg.score.min_rain, cfg.interp.dry_as_missing)
-    info = products.frame_info(rates, series, cfg.score)
-    if not cfg.hour_sum.enabled:
-        return Products(grid, series, rates, None, info, None)
     minutes = cfg.hour_sum.window_minutes
-    sums = frames("r_hour_sum", cfg.score.min_rain * minutes / 60.0, False)
-    info_sum = products.frame_info(sums, series, cfg.score, "r_hour_sum", minutes)
-    return Products(grid, series, rates, sums, info, info_sum)
+    dry = cfg.interp.dry_as_missing
+    kinds = {"r": (F.nullif(F.col("r"), F.lit(0.0)) if dry else F.col("r"), cfg.score.min_rain)}
+    if cfg.hour_sum.enabled:
+        kinds["r_hour_sum"] = (F.col("r_hour_sum"), cfg.score.min_rain * minutes / 60.0)
+    made = idw.frames_by_kind(
+        series, links, grid, kinds, near=cfg.interp.near, radius=cfg.interp.max_distance, power=cfg.interp.power,
+        mercator=cfg.interp.mercator, tile=cfg.interp.tile, parts=1 if dry else parts,
+    )
+    if inside is not None:
+        made = {kind: mask.crop(frames, inside) for kind, frames in made.items()}
+    return with_info(Products(grid, series, made["r"], made.get("r_hour_sum"), None, None), cfg)
+
+
+def with_info(made: Products, cfg: Settings) -> Products:
+    """Products with the summaries of their frames."""
+    info = products.frame_info(made.frames, made.links, cfg.score)
+    info_sum = None
+    if made.frames_sum is not None:
+        info_sum = products.frame_info(
+            made.frames_sum, made.links, cfg.score, "r_hour_sum", cfg.hour_sum.window_minutes
+        )
+    return replace(made, info=info, info_sum=info_sum)

@@ -12,7 +12,7 @@ from pyspark.errors import AnalysisException
 from pluvio.config import TRAILING_WINDOWS, Settings
 from pluvio.functions.clock import frame_name
 from pluvio.operators import products
-from pluvio.plans.fields import Products
+from pluvio.plans.fields import Products, with_info
 from pluvio.session import stage
 
 DATE = "frame_date"
@@ -49,36 +49,59 @@ def written_names(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], "name string")
 
 
+def new_dates(made: Products, spark: SparkSession, path: str) -> DataFrame:
+    """Dates with a step whose frame has no summary yet."""
+    times = made.links.select("time").distinct()
+    new = products.not_yet_written(times, written_names(spark, path)).select(F.to_date("time").alias(DATE)).distinct()
+    return stage(new, "new-dates")
+
+
+def in_dates(rows: DataFrame | None, dates: DataFrame | None) -> DataFrame | None:
+    if rows is None or dates is None:
+        return rows
+    return _by_date(rows).join(dates, DATE, "left_semi").drop(DATE)
+
+
 def only_new(made: Products, spark: SparkSession, path: str) -> Products:
-    """Products without the frames that were written before.
+    """Products without the dates that were written before.
 
     Whole dates are replaced on writing, so all frames of a date with any new frame stay.
     """
-    times = made.info.select("time")
-    new = products.not_yet_written(times, written_names(spark, path)).select(F.to_date("time").alias(DATE)).distinct()
-    new = stage(new, "new-dates")
+    dates = new_dates(made, spark, path)
+    return replace(
+        made, frames=in_dates(made.frames, dates), frames_sum=in_dates(made.frames_sum, dates),
+        info=in_dates(made.info, dates), info_sum=in_dates(made.info_sum, dates),
+    )
+
+
+def stored_frames(made: Products, root: str) -> Products:
+    """The products with their frames read back, over the dates of the link series."""
+    spark = made.links.sparkSession
+    span = made.links.agg(F.to_date(F.min("time")).alias("a"), F.to_date(F.max("time")).alias("b")).first()
 
-    def keep(df: DataFrame | None) -> DataFrame | None:
-        return None if df is None else _by_date(df).join(new, DATE, "left_semi").drop(DATE)
+    def read(name: str) -> DataFrame:
+        return spark.read.parquet(f"{root}/{name}").where(F.col(DATE).between(span["a"], span["b"])).drop(DATE, "utc")
 
     return replace(
-        made, frames=keep(made.frames), frames_sum=keep(made.frames_sum), info=keep(made.info), info_sum=keep(made.info_sum)
+        made, frames=read("frames"), frames_sum=None if made.frames_sum is None else read("frames_sum")
     )
 
 
 def publish(made: Products, root: str, cfg: Settings, *, since: datetime | None = None, skip_written: bool = False) -> None:
     """Write frames, summaries and series below `root`; `since` limits the series to newer times."""
-    if skip_written:
-        made = only_new(made, made.links.sparkSession, f"{root}/info")
+    dates = new_dates(made, made.links.sparkSession, f"{root}/info") if skip_written else None
     after = None if since is None else F.lit(since)
+    summed = made
     if cfg.output.frames:
-        write_frames(made.frames, f"{root}/frames")
+        write_frames(in_dates(made.frames, dates), f"{root}/frames")
         if made.frames_sum is not None:
-            write_frames(made.frames_sum, f"{root}/frames_sum")
+            write_frames(in_dates(made.frames_sum, dates), f"{root}/frames_sum")
+        # Summaries of the frames just written, so that they are not interpolated again.
+        summed = with_info(stored_frames(made, root), cfg)
     if cfg.output.flags:
-        write_info(made.info, f"{root}/info")
-        if made.info_sum is not None:
-            write_info(made.info_sum, f"{root}/info_sum")
+        write_info(in_dates(summed.info, dates), f"{root}/info")
+        if summed.info_sum is not None:
+            write_info(in_dates(summed.info_sum, dates), f"{root}/info_sum")
     if cfg.output.intensities:
         write_points(products.intensity_points(made.links, after), f"{root}/series")
     if cfg.hour_sum.enabled and cfg.hour_sum.write_series:

@@ -139,6 +139,10 @@ def test_publish_skip_and_expire(spark, made, tmp_path):
     assert frames.count() == made.frames.count()
     assert {"frames", "frames_sum", "info", "info_sum", "series"} <= set(os.listdir(root))
     assert spark.read.parquet(f"{root}/series").where("field = 'rain_hour_sum'").count() == made.links.count()
+    stored = {r["utc"]: r["overall"] for r in spark.read.json(f"{root}/info").collect()}
+    assert stored == {r["utc"]: r["overall"] for r in made.info.collect()} and max(stored.values()) > 0
+    publish.publish(made, root, CFG, skip_written=True)
+    assert spark.read.parquet(f"{root}/frames").count() == made.frames.count()
     again = publish.only_new(made, spark, f"{root}/info")
     assert again.info.count() == 0 and again.frames.count() == 0
     fresh = publish.only_new(made, spark, f"{root}/nothing")
