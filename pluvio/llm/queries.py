@@ -3,16 +3,70 @@
 from __future__ import annotations
 
 from pluvio.llm.idfiles import op4_simple8b_ids
+from pluvio.llm.htmltext import op10_html_mincut
 from pluvio.llm.jaccard import op7_ngram_jaccard_join
+from pluvio.llm.neighbours import op2_cross_polytope
 from pluvio.llm.packing import op6_best_fit_packing
 from pluvio.llm.quality import op5_quality
+from pluvio.llm.segment import op1_gumbel_segmentations
+from pluvio.llm.toolcalls import op9_tool_call_linking
+from pluvio.llm.topk import op3_mtree_topk
 from pluvio.llm.toxicity import op8_toxicity
 
 QUERIES = {
-    f.__name__: f for f in (op4_simple8b_ids, op5_quality, op6_best_fit_packing, op7_ngram_jaccard_join, op8_toxicity)
+    f.__name__: f for f in (
+        op1_gumbel_segmentations, op2_cross_polytope, op3_mtree_topk, op4_simple8b_ids, op5_quality, op6_best_fit_packing, op7_ngram_jaccard_join, op8_toxicity,
+        op9_tool_call_linking, op10_html_mincut,
+    )
 }
 
 ORACLES: dict[str, str] = {
+    "op3_mtree_topk": """
+WITH v AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+        max(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])))::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+    GROUP BY q.vec_id, c.vec_id
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s
+QUALIFY rank <= 5
+""",
+    "op9_tool_call_linking": r"""
+WITH m AS (
+    SELECT conv_id, turn::BIGINT AS turn, role, coalesce(text, '') AS text,
+        len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ \n]+'), lambda x: x <> '')) AS n
+    FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+), calls AS (
+    SELECT conv_id, turn, conv_id || '-' || turn AS call_id, CASE WHEN length(text) <= 200 THEN 'lookup' ELSE 'answer' END AS name,
+        CASE WHEN length(text) <= 200 THEN '{"limit":' || n || ',"query":' || to_json(text) || '}'
+            ELSE '{"question":' || to_json(text) || ',"style":"' || CASE WHEN n < 40 THEN 'short' ELSE 'wordy' END || '","words":' || n || '}' END AS arguments,
+        list_filter(CASE WHEN length(text) <= 200 THEN [
+                CASE WHEN n > 30 THEN 'large limit' END, CASE WHEN n < 1 THEN 'small limit' END, CASE WHEN text = '' THEN 'small query' END]
+            ELSE [CASE WHEN n > 60 THEN 'large words' END, CASE WHEN n < 10 THEN 'small words' END, CASE WHEN n >= 40 THEN 'value style' END]
+            END, lambda x: x IS NOT NULL) AS errors
+    FROM m WHERE role = 'user'
+), results AS (
+    SELECT conv_id, conv_id || '-' || (turn - 1) AS call_id, arg_min(text, turn) AS content, min(turn) AS turn, count(*) AS n_results
+    FROM m WHERE role = 'assistant' GROUP BY ALL
+), j AS (
+    SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.turn, r.turn) AS turn, coalesce(c.call_id, r.call_id) AS call_id,
+        c.name, c.errors, r.content, coalesce(r.n_results, 0) AS n_results, c.arguments,
+        CASE WHEN c.call_id IS NULL THEN 'orphan' WHEN count(c.call_id) OVER (PARTITION BY c.conv_id, c.call_id) > 1 THEN 'repeated'
+            WHEN r.call_id IS NULL THEN 'pending' ELSE 'linked' END AS status
+    FROM calls c FULL JOIN results r ON c.conv_id = r.conv_id AND c.call_id = r.call_id
+)
+SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, call_id)::BIGINT AS place, turn, call_id, name, status, n_results::BIGINT AS n_results,
+    array_to_string(list_sort(errors), '; ') AS errors,
+    md5('{"arguments":' || coalesce(arguments, 'null') || ',"call_id":' || to_json(call_id) || ',"conv_id":' || conv_id
+        || CASE WHEN errors IS NULL THEN '' ELSE ',"errors":' || to_json(list_sort(errors)) END
+        || CASE WHEN name IS NULL THEN '' ELSE ',"name":' || to_json(name) END
+        || CASE WHEN content IS NULL THEN '' ELSE ',"result":' || to_json(content) END
+        || ',"status":"' || status || '","turn":' || turn || '}') AS json_md5
+FROM j
+""",
     "op7_ngram_jaccard_join": r"""
 WITH RECURSIVE words AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
