@@ -82,7 +82,8 @@ def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[l
     """Local search over the underfull sequences.
 
     The emptiest sequence gives: it moves a document to a fuller one, or exchanges documents so that the fuller one gains and it
-    loses. Every step raises the sum of squared fills, so the search ends. When nothing can be taken from it, the next one gives.
+    loses. When nothing can be taken from it, the next one gives; rounds follow until no sequence can give. Every step raises the sum of
+    squared fills, so the search ends.
     """
     size = lengths.tolist()
     under = [b for b in bins if sum(size[i] for i in b) < capacity]
@@ -93,26 +94,27 @@ def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[l
     home = np.array([k for k, b in enumerate(under) for _ in b], np.int64)
     length = lengths[item]
     fill = np.bincount(home, length, len(under)).astype(np.int64)
-    givers = np.argsort(fill, kind="stable").tolist()
-    closed = np.zeros(len(under), bool)
-    for giver in givers:
-        while fill[giver]:
-            mine = np.flatnonzero(home == giver)
-            room = capacity - fill
-            room[closed | (fill < fill[giver])] = 0
-            room[giver] = 0
-            if not room.any():
-                break
-            best = _best_step(mine, length, home, room, giver)
-            if best is None:
-                break
-            out, back, target = best
-            gain = int(length[out].sum() - length[back].sum())
-            home[out] = target
-            home[back] = giver
-            fill[target] += gain
-            fill[giver] -= gain
-        closed[giver] = True
+    moved = True
+    while moved:
+        moved = False
+        for giver in np.argsort(fill, kind="stable").tolist():
+            while 0 < fill[giver] < capacity:
+                mine = np.flatnonzero(home == giver)
+                room = capacity - fill
+                room[fill < fill[giver]] = 0
+                room[giver] = 0
+                if not room.any():
+                    break
+                best = _best_step(mine, length, home, room, giver)
+                if best is None:
+                    break
+                out, back, target = best
+                gain = int(length[out].sum() - length[back].sum())
+                home[out] = target
+                home[back] = giver
+                fill[target] += gain
+                fill[giver] -= gain
+                moved = True
     kept: list[list[int]] = [[] for _ in under]
     for k, where in zip(item.tolist(), home.tolist(), strict=True):
         kept[where].append(k)
