@@ -411,8 +411,9 @@ def _(spark, sf):
 
 # --- grid, interpolation, mask ---------------------------------------------------------------
 
-LIMITS = Limits(11.4, 16.6, 47.9, 48.6)
-INTERP = Interp(nx=40, ny=12, near=5, dist_m=20000.0, tile=8)
+# They hold the sites of every scale factor (lon 11.5 to 18.95, lat 48.2 to 51.15).
+LIMITS = Limits(11.3, 19.2, 48.0, 51.4)
+INTERP = Interp(nx=60, ny=54, near=5, dist_m=20000.0, tile=8)
 GRID = gr.make_grid(INTERP, LIMITS)
 STEP_GRID = gr.make_grid(replace(INTERP, nx=None, ny=None, step_m=9000.0), LIMITS)
 DEGREE_GRID = gr.make_grid(replace(INTERP, mercator=False, res_deg=0.1), LIMITS)
@@ -425,7 +426,7 @@ def _cells_sql(g: gr.Grid) -> str:
         {g.y0!r}e0 + ((i // {g.nx}) + {g.shift!r}e0)*{g.dy!r}e0 AS y FROM range({g.nx * g.ny}) t(i)"""
 
 
-def _field_sql(value: str, k: int = 5, radius: str = "20000e0", mercator: bool = True) -> dict[str, str]:
+def _field_sql(value: str, k: int = 5, radius: str = "20000e0", mercator: bool = True, least: float = 0.1) -> dict[str, str]:
     lon, lat = "(lon_a+lon_b)/2", "(lat_a+lat_b)/2"
     px = f"6378137e0*radians({lon})" if mercator else lon
     py = f"6378137e0*ln(tan(pi()/4 + radians({lat})/2))" if mercator else lat
@@ -437,7 +438,7 @@ def _field_sql(value: str, k: int = 5, radius: str = "20000e0", mercator: bool =
         "zvals": f"SELECT cml_id, time, {value} AS z FROM hour_sum",
         "ranked": f"""SELECT time, "row", col, d, z, row_number() OVER (PARTITION BY time, "row", col
             ORDER BY floor(d/{radius}*1e8), cml_id) AS rk FROM cand JOIN zvals USING (cml_id) WHERE z IS NOT NULL""",
-        "frames": f"""SELECT time, "row", col, CASE WHEN v < {LEAST} THEN 0.0 ELSE v END AS v FROM (
+        "frames": f"""SELECT time, "row", col, CASE WHEN v < {least} THEN 0.0 ELSE v END AS v FROM (
             SELECT time, "row", col, CASE WHEN min(d) < 1e-10 THEN arg_min(z, d) ELSE sum(z*pow(d,-2))/sum(pow(d,-2)) END AS v
             FROM ranked WHERE rk <= {k} GROUP BY 1, 2, 3)""",
     }
@@ -1258,7 +1259,7 @@ def _(spark, sf):
     """Frames written by date and read back, rows counted from the top."""
     path = _root(spark)
     publish.write_frames(_frames(spark, sf).withColumn("v", rr("v", 3)), path)
-    back = frame_store.read_frames(spark, path, "v")
+    back = frame_store.read_frames(spark, path)
     return back.select("utc", gr.display_row(GRID, F.col("row")).alias("img_row"), "col", "v")
 
 

@@ -150,6 +150,9 @@ class Settings:
     hour_sum: HourSum = field(default_factory=HourSum)
     output: Output = field(default_factory=Output)
     warm_up: bool = True
+    # Rows scanned on either side of the range beyond the warm-up. Gap filling and held baselines may look further than the
+    # warm-up; with a margin as long as their longest reach, a range has the values of the whole history.
+    margin: int = 0
 
     def warmup_rows(self) -> int:
         """Rows before the requested start that rolling operators look back on."""
@@ -163,9 +166,10 @@ class Settings:
         return rows
 
     def scan_range(self) -> tuple[datetime, datetime]:
-        """[start, end) of the telemetry scan: warm-up added, both ends floored to the step."""
-        start = self.time.start - timedelta(minutes=self.warmup_rows() * self.time.step)
-        return floor_step(start, self.time.step), floor_step(self.time.end, self.time.step)
+        """[start, end) of the telemetry scan: warm-up and margin added, both ends floored to the step."""
+        start = self.time.start - timedelta(minutes=(self.warmup_rows() + self.margin) * self.time.step)
+        end = self.time.end + timedelta(minutes=self.margin * self.time.step)
+        return floor_step(start, self.time.step), floor_step(end, self.time.step)
 
 
 def floor_step(moment: datetime, step: int) -> datetime:

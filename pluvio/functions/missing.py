@@ -1,4 +1,4 @@
-"""Missing values are NULL in all operators; NaN is turned into NULL where data enters."""
+"""Missing values are NULL in all operators; NaN and infinities are turned into NULL where data enters."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 
 def null_if_nan(c: Column) -> Column:
-    return F.when(~F.isnan(c), c)
+    return F.when(~F.isnan(c) & (F.abs(c) < float("inf")), c)
 
 
 def without_nan(df: DataFrame) -> DataFrame:

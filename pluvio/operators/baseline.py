@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from pluvio.operators.grouped import whole_groups
 from pluvio.operators.quality import CHANNEL
+from pluvio.session import ship
 
 
 def last_dry_baseline(channels: DataFrame) -> DataFrame:
@@ -98,6 +99,7 @@ def baseline_and_waa(
         base, waa = walk(pdf["trsl"].to_numpy("float64"), wet, pdf["since"].to_numpy(), n, waa_max, rise)
         return pdf.assign(baseline=base, waa=waa)[columns]
 
+    ship(pieces.sparkSession)
     out = pieces.mapInPandas(lambda batches: whole_groups(batches, [*CHANNEL, "episode"], chunk), schema)
     return out.withColumns(
         {c: F.when(~F.isnan(c), F.col(c)) for c in ("baseline", "waa")}

@@ -8,6 +8,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
+from pluvio.session import ship
+
 Chunk = Callable[[pd.DataFrame, np.ndarray], pd.DataFrame]
 
 
@@ -51,6 +53,7 @@ def map_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], fn: Chu
     The number of partitions is given, so that the optimizer does not merge small ones: the work
     is in Python, not in reading the rows.
     """
+    ship(df.sparkSession)
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     columns = list(keys)
     placed = df.repartition(n, *keys).sortWithinPartitions(*keys, *order)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from pluvio.config import WetAntenna
 from pluvio.functions.rainrate import RATE_GRID, leijnse_curve, pastorek_curve, rain_rate, waa_from_observed
+from pluvio.session import ship
 
 
 def at_least_zero(c: Column) -> Column:
@@ -26,6 +27,7 @@ def leijnse_table(channels: DataFrame) -> DataFrame:
             pdf["curve"] = [leijnse_curve(f) for f in pdf["frequency"]]
             yield pdf
 
+    ship(channels.sparkSession)
     return channels.select("frequency").distinct().mapInPandas(
         curves, "frequency double, curve array<double>"
     )

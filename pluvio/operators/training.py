@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pluvio.session import ship
+
 
 def _ordered(keys: Sequence[str]):
     return Window.partitionBy(*keys).orderBy("time")
@@ -171,6 +173,7 @@ def score_with(df: DataFrame, scorer: Callable[[pd.Series], pd.Series], features
                 p[known] = scorer(pdf.loc[known, features]).to_numpy()
             yield pdf.assign(probability=p)
 
+    ship(df.sparkSession)
     out = df.mapInPandas(batches, schema)
     return out.withColumn("probability", F.when(~F.isnan("probability"), F.col("probability")))
 

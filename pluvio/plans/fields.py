@@ -46,6 +46,8 @@ def rain_fields(rain: DataFrame, links: DataFrame, cfg: Settings = Settings(), o
     series = link_series(rain, cfg)
     if cfg.time.start is not None:
         series = products.trim_warm_up(series, cfg.time.start)
+    if cfg.time.end is not None and cfg.margin:
+        series = series.where(F.col("time") <= F.lit(cfg.time.end))
     series = stage(series, "link-series")
     grid = make_grid(cfg.interp, cfg.limits)
     inside = None

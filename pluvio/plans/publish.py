@@ -7,6 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from pluvio.config import TRAILING_WINDOWS, Settings
@@ -22,65 +23,83 @@ def _by_date(df: DataFrame, time: str = "time") -> DataFrame:
     return df.withColumn(DATE, F.to_date(time))
 
 
-def write_frames(frames: DataFrame, path: str) -> None:
-    """Frames partitioned by date; rewritten dates replace what was there."""
+def _stored(spark: SparkSession, path: str, schema: T.StructType, kind: str) -> DataFrame | None:
+    try:
+        return spark.read.schema(schema).format(kind).load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _merge(new: DataFrame, path: str, kind: str, keys: list[str], parts: list[str], replaced: DataFrame) -> None:
+    """Write new rows, and keep the stored rows of the dates they touch whose keys are not among the replaced ones.
+
+    replaced: the keys and the date. Stored and new rows are put together in a staged table first, because the dates written
+    are also read; a job that is lost while it writes can be repeated.
+    """
+    replaced = stage(replaced.select(*keys, DATE).distinct(), "replaced")
+    stored = _stored(new.sparkSession, path, new.schema, kind)
+    if stored is not None:
+        touched = stored.join(replaced.select(DATE).distinct(), DATE, "left_semi")
+        kept = touched.join(replaced.select(*keys), keys, "left_anti").select(*new.columns)
+        new = stage(kept.unionByName(new), "merged")
+    new.write.format(kind).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).save(path)
+
+
+def write_frames(frames: DataFrame, path: str, times: DataFrame | None = None) -> None:
+    """Frames partitioned by date. `times` are the steps that were made; stored frames of other times stay."""
     out = _by_date(frames).withColumn("utc", frame_name(F.col("time")))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DATE).parquet(path)
+    _merge(out, path, "parquet", ["time"], [DATE], _by_date(frames if times is None else times))
 
 
 def write_info(info: DataFrame, path: str) -> None:
-    """Summaries as JSON lines, one per frame."""
-    _by_date(info).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(DATE).json(path)
+    """Summaries as JSON lines, one per frame; stored summaries of other times stay."""
+    out = _by_date(info)
+    _merge(out, path, "json", ["utc"], [DATE], out)
 
 
 def write_points(points: DataFrame, path: str) -> None:
-    """Series rows (cml_id, time in seconds, field, value), missing values included as they come."""
+    """Series rows (cml_id, time in seconds, field, value), missing values included as they come; a stored row of the same
+    link, time and field is replaced, all others stay."""
     out = points.withColumn(DATE, F.to_date(F.timestamp_seconds("time")))
-    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("field", DATE).parquet(path)
+    _merge(out, path, "parquet", ["cml_id", "field", "time"], ["field", DATE], out)
 
 
-def written_names(spark: SparkSession, path: str) -> DataFrame:
-    """Names of the frames whose summary is already there; empty before the first run."""
-    try:
-        return spark.read.schema(f"utc string, {DATE} date").json(path).select(F.col("utc").alias("name"))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "name string")
+def written_names(spark: SparkSession, path: str, kind: str = "json") -> DataFrame:
+    """Names of the frames whose summary (or, as parquet, whose cells) is already there; empty before the first run."""
+    schema = T.StructType().add("utc", "string").add(DATE, "date")
+    stored = _stored(spark, path, schema, kind)
+    return spark.createDataFrame([], "name string") if stored is None else stored.select(F.col("utc").alias("name")).distinct()
 
 
-def new_dates(made: Products, spark: SparkSession, path: str) -> DataFrame:
-    """Dates with a step whose frame has no summary yet."""
+def new_times(made: Products, spark: SparkSession, path: str, kind: str = "json") -> DataFrame:
+    """Steps whose frame is not stored yet."""
     times = made.links.select("time").distinct()
-    new = products.not_yet_written(times, written_names(spark, path)).select(F.to_date("time").alias(DATE)).distinct()
-    return stage(new, "new-dates")
+    return stage(products.not_yet_written(times, written_names(spark, path, kind)).select("time"), "new-times")
 
 
-def in_dates(rows: DataFrame | None, dates: DataFrame | None) -> DataFrame | None:
-    if rows is None or dates is None:
-        return rows
-    return _by_date(rows).join(dates, DATE, "left_semi").drop(DATE)
+def at_times(rows: DataFrame | None, times: DataFrame | None) -> DataFrame | None:
+    return rows if rows is None or times is None else rows.join(times, "time", "left_semi")
 
 
 def only_new(made: Products, spark: SparkSession, path: str) -> Products:
-    """Products without the dates that were written before.
-
-    Whole dates are replaced on writing, so all frames of a date with any new frame stay.
-    """
-    dates = new_dates(made, spark, path)
+    """Products without the steps that were written before."""
+    times = new_times(made, spark, path)
     return replace(
-        made, frames=in_dates(made.frames, dates), frames_sum=in_dates(made.frames_sum, dates),
-        info=in_dates(made.info, dates), info_sum=in_dates(made.info_sum, dates),
+        made, frames=at_times(made.frames, times), frames_sum=at_times(made.frames_sum, times),
+        info=at_times(made.info, times), info_sum=at_times(made.info_sum, times),
     )
 
 
 def stored_frames(made: Products, root: str) -> Products:
-    """The products with their frames read back, over the dates of the link series."""
+    """The products with their frames read back, over the times of the link series."""
     spark = made.links.sparkSession
     span = made.links.agg(F.to_date(F.min("time")).alias("a"), F.to_date(F.max("time")).alias("b")).first()
 
     def read(name: str) -> DataFrame:
-        return spark.read.parquet(f"{root}/{name}").where(F.col(DATE).between(span["a"], span["b"])).drop(DATE, "utc")
+        rows = spark.read.parquet(f"{root}/{name}").where(F.col(DATE).between(span["a"], span["b"])).drop(DATE, "utc")
+        return rows.join(made.links.select("time").distinct(), "time", "left_semi")
 
     return replace(
         made, frames=read("frames"), frames_sum=None if made.frames_sum is None else read("frames_sum")
@@ -88,20 +107,28 @@ def stored_frames(made: Products, root: str) -> Products:
 
 
 def publish(made: Products, root: str, cfg: Settings, *, since: datetime | None = None, skip_written: bool = False) -> None:
-    """Write frames, summaries and series below `root`; `since` limits the series to newer times."""
-    dates = new_dates(made, made.links.sparkSession, f"{root}/info") if skip_written else None
+    """Write frames, summaries and series below `root`; what is stored of other times stays.
+
+    `since` limits the series to newer times; `skip_written` leaves steps alone whose summary (without summaries: whose
+    frame) is stored.
+    """
+    spark = made.links.sparkSession
+    new = None
+    if skip_written:
+        new = new_times(made, spark, f"{root}/info") if cfg.output.flags else new_times(made, spark, f"{root}/frames", "parquet")
     after = None if since is None else F.lit(since)
+    times = made.links.select("time").distinct() if new is None else new
     summed = made
     if cfg.output.frames:
-        write_frames(in_dates(made.frames, dates), f"{root}/frames")
+        write_frames(at_times(made.frames, new), f"{root}/frames", times)
         if made.frames_sum is not None:
-            write_frames(in_dates(made.frames_sum, dates), f"{root}/frames_sum")
+            write_frames(at_times(made.frames_sum, new), f"{root}/frames_sum", times)
         # Summaries of the frames just written, so that they are not interpolated again.
         summed = with_info(stored_frames(made, root), cfg)
     if cfg.output.flags:
-        write_info(in_dates(summed.info, dates), f"{root}/info")
+        write_info(at_times(summed.info, new), f"{root}/info")
         if summed.info_sum is not None:
-            write_info(in_dates(summed.info_sum, dates), f"{root}/info_sum")
+            write_info(at_times(summed.info_sum, new), f"{root}/info_sum")
     if cfg.output.intensities:
         write_points(products.intensity_points(made.links, after), f"{root}/series")
     if cfg.hour_sum.enabled and cfg.hour_sum.write_series:

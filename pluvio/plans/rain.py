@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -25,9 +26,15 @@ def load_channels(rows: DataFrame, links: DataFrame, cfg: Settings, scan: tuple[
     return build_channels(wide, links)
 
 
+def trailing(cfg: Settings, now: datetime, window: str = "1d") -> Settings:
+    """The settings with the trailing window as their range."""
+    start, end = trailing_range(now, window, cfg.time.step)
+    return replace(cfg, time=replace(cfg.time, start=start, end=end))
+
+
 def load_trailing(rows: DataFrame, links: DataFrame, cfg: Settings, now: datetime, window: str = "1d") -> DataFrame:
-    """Channels of the trailing window."""
-    return load_channels(rows, links, cfg, trailing_range(now, window, cfg.time.step))
+    """Channels of the trailing window and of the warm-up before it."""
+    return load_channels(rows, links, trailing(cfg, now, window))
 
 
 def rain_rates(

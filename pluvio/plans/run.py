@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pluvio.config import Settings
 from pluvio.plans.fields import Products, rain_fields
 from pluvio.plans.publish import publish
-from pluvio.plans.rain import load_channels, load_trailing, rain_rates
-from pluvio.session import drop_staged
+from pluvio.plans.rain import load_channels, rain_rates, trailing
+from pluvio.session import staging
 
 
 def run_historic(rows: DataFrame, links: DataFrame, cfg: Settings, outline: DataFrame | None = None) -> Products:
@@ -23,9 +23,11 @@ def run_historic(rows: DataFrame, links: DataFrame, cfg: Settings, outline: Data
 def run_trailing(
     rows: DataFrame, links: DataFrame, cfg: Settings, now: datetime, window: str = "1d", outline: DataFrame | None = None
 ) -> Products:
-    """All products of the trailing window, recomputed as a whole."""
-    open_range = replace(cfg, time=replace(cfg.time, start=None, end=None))
-    return rain_fields(rain_rates(load_trailing(rows, links, cfg, now, window), cfg, links, slim=True), links, open_range, outline)
+    """All products of the trailing window, recomputed as a whole, scanned with warm-up and trimmed to the window.
+
+    Every value is therefore that of the full history, also in the first steps of the window.
+    """
+    return run_historic(rows, links, trailing(cfg, now, window), outline)
 
 
 def slices(start: datetime, end: datetime, days: int) -> Iterator[tuple[datetime, datetime]]:
@@ -40,11 +42,10 @@ def run_history(
 ) -> None:
     """A long history, one slice of days after the other, each with its warm-up and written on its own.
 
-    A slice bounds the rows of a link, the size of the time axis and what a lost job repeats. Use
-    slices of whole days: dates are replaced on writing. Intermediate tables are deleted after each
-    slice, so nothing else of the session may still read some.
+    A slice bounds the rows of a link, the size of the time axis and what a lost job repeats. Slices may begin at any time of
+    day: a write replaces times, not dates. Intermediate tables are deleted after each slice.
     """
     for start, stop in slices(cfg.time.start, cfg.time.end, days):
         part = replace(cfg, time=replace(cfg.time, start=start, end=stop))
-        publish(run_historic(rows, links, part, outline), root, part)
-        drop_staged(rows.sparkSession)
+        with staging(rows.sparkSession):
+            publish(run_historic(rows, links, part, outline), root, part)

@@ -6,10 +6,14 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _shipped: set[str] = set()
+_own_folders: dict[str, str] = {}
+_scopes: list[str] = []
 
 
 def local_session(cores: str = "*", partitions: int = 8, memory: str = "20g") -> SparkSession:
@@ -47,19 +51,31 @@ def shared_folder(spark: SparkSession) -> str:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="pluvio-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _own_folders:
+        _own_folders[application] = tempfile.mkdtemp(prefix="pluvio-")
+    return _own_folders[application]
 
 
 def _stage_root(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/stage/{spark.sparkContext.applicationId}"
+    return "/".join([shared_folder(spark), "stage", spark.sparkContext.applicationId, *_scopes])
 
 
-def drop_staged(spark: SparkSession) -> None:
-    """Delete the intermediate tables of this application, once what reads them is written."""
-    root = spark._jvm.org.apache.hadoop.fs.Path(_stage_root(spark))
-    root.getFileSystem(spark._jsc.hadoopConfiguration()).delete(root, True)
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables made inside are deleted at the end; what reads them must be written by then."""
+    _scopes.append(f"scope-{uuid.uuid4().hex}")
+    root = _stage_root(spark)
+    try:
+        yield
+    finally:
+        _scopes.pop()
+        _delete(spark, root)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_frames(spark: SparkSession, path: str, value: str = "r") -> DataFrame:
+def read_frames(spark: SparkSession, path: str, value: str = "v") -> DataFrame:
     """Frames as written, values rounded half-even to 3 decimals."""
     return rounded(spark.read.parquet(path), value)
 

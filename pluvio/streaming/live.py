@@ -13,6 +13,8 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.streaming.query import StreamingQuery
 
 from pluvio.config import TRAILING_WINDOWS, FieldNames
+from pluvio.operators.baseline import walk
+from pluvio.session import ship, staging
 from pluvio.sources.telemetry import SCHEMA, step_means
 
 
@@ -31,16 +33,23 @@ def stream_step_means(
     return step_means(stream.withWatermark("time", lateness), seconds, names, temperature)
 
 
-def stream_hour_sums(link_rain: DataFrame, step_minutes: int, window_minutes: int = 60, lateness: str = "30 minutes") -> DataFrame:
-    """Sliding sums over a stream (cml_id, time, r): the windows end on the steps, like the row frames in batch."""
-    slide = F.window(
-        "time", f"{window_minutes} minutes", f"{step_minutes} minutes", startTime="1 second"
-    )
+def stream_hour_sums(
+    link_rain: DataFrame, step_minutes: int, window_minutes: int = 60, lateness: str = "30 minutes"
+) -> DataFrame:
+    """Sliding sums over a stream (cml_id, time, r): the windows end on the steps, like the row frames in batch.
+
+    A window is open at its start and closed at its end, to the millisecond. As in batch, a window with fewer known values
+    than steps has no sum.
+    """
+    steps = round(window_minutes / step_minutes)
+    slide = F.window("time", f"{window_minutes} minutes", f"{step_minutes} minutes", startTime="1 millisecond")
     return (
-        link_rain.withWatermark("time", lateness)
-        .groupBy("cml_id", slide)
-        .agg(F.sum(F.col("r") * (step_minutes / 60.0)).alias("r_hour_sum"))
-        .select("cml_id", (F.col("window.end") - F.expr("INTERVAL 1 SECOND")).alias("time"), "r_hour_sum")
+        link_rain.withWatermark("time", lateness).where(F.col("r").isNotNull()).groupBy("cml_id", slide)
+        .agg(F.sum(F.col("r") * (step_minutes / 60.0)).alias("total"), F.count("r").alias("n"))
+        .select(
+            "cml_id", (F.col("window.end") - F.expr("INTERVAL 1 MILLISECOND")).alias("time"),
+            F.when(F.col("n") >= steps, F.col("total")).alias("r_hour_sum"),
+        )
     )
 
 
@@ -73,8 +82,8 @@ def recompute_loop(
 
     With `window`, only landed dates that the window can touch are read.
 
-    The job recomputes its window as a whole and replaces the dates it writes, so late rows inside
-    the window correct what was written before. `every` is the trigger interval; without it the
+    The job recomputes its window as a whole and replaces the times it writes, so late rows inside
+    the window correct what was written before. Intermediate tables of a cycle are deleted after it. `every` is the trigger interval; without it the
     query takes what is there and ends, as the first run over a long window does.
     """
 
@@ -86,54 +95,80 @@ def recompute_loop(
         if own is not None:
             newest = landed(spark, landed_path, own).agg(F.max("time").alias("t")).first()["t"]
             since = None if window is None else newest - TRAILING_WINDOWS[window] - timedelta(days=1)
-            job(landed(spark, landed_path, since), newest)
+            with staging(spark):
+                job(landed(spark, landed_path, since), newest)
 
     writer = stream.writeStream.foreachBatch(on_batch).option("checkpointLocation", checkpoint)
     writer = writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)
     return writer.start()
 
 
-_STATE = "seen bigint, trsl array<double>, base array<double>, wet boolean, waa double"
+_STATE = "seen bigint, trsl array<double>, base array<double>, was array<double>, waa double, newest timestamp"
 _OUT = "cml_id bigint, channel_id string, time timestamp, trsl double, wet boolean, baseline double, waa double"
 
 
 def stream_baseline(
-    channels: DataFrame, *, roll: int = 10, threshold: float = 0.8, n: int = 5, waa_max: float = 2.2, rise: float = 2.0
+    channels: DataFrame, *, roll: int = 10, threshold: float = 0.8, n: int = 5, waa_max: float = 2.2, rise: float = 2.0,
+    forget: str | None = None,
 ) -> DataFrame:
     """Wet flags, baseline and wet-antenna attenuation of a stream (cml_id, channel_id, time, trsl).
 
-    The state of a channel is its last `roll` path losses, its last n baselines, the last flag and
-    the last wet-antenna attenuation: the same walk as in batch, a few rows at a time. Rows of a
-    channel must arrive in time order from one micro-batch to the next.
+    The state of a channel is its last path losses, baselines and flags, the last wet-antenna attenuation and its newest
+    time; the rows of a micro-batch are walked after them as in batch. Rows at or before the newest time walked come too late
+    and are not emitted: land them and recompute (see `recompute_loop`). With `forget`, the stream has a watermark that far
+    behind its newest time, and a channel starts anew when the watermark is that far past its last row.
     """
-
-    def walk(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        seen, recent, bases, was_wet, waa = state.get if state.exists else (0, [], [], False, 0.0)
-        recent, bases = list(recent), list(bases)
+    back = max(roll - 1, n)
+    timeout = None if forget is None else int(pd.Timedelta(forget).total_seconds() * 1000)
+
+    def go(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        seen, trsl, base, was, waa, newest = state.get if state.exists else (0, [], [], [], 0.0, None)
         rows = pd.concat(list(parts)).sort_values("time", kind="stable")
-        out = []
-        for x in rows["trsl"].to_numpy("float64"):
-            recent = [*recent, x][-roll:]
-            full = len(recent) == roll and not np.isnan(recent).any()
-            wet = bool(full and np.std(recent) > threshold)
-            if seen < n or not wet:
-                base = x
-            else:
-                base = bases[-1] if was_wet else float(np.mean(bases[-n:]))
-            above = min(x - base, waa_max)
-            waa = min(above, waa + (waa_max - waa) * rise) if wet and seen > 0 else above
-            bases = [*bases, base][-n:]
-            was_wet, seen = wet, seen + 1
-            out.append((wet, base, waa))
-        state.update((seen, [float(v) for v in recent], [float(v) for v in bases], was_wet, float(waa)))
-        done = pd.DataFrame(out, columns=["wet", "baseline", "waa"])
-        yield pd.DataFrame(
-            {
-                "cml_id": key[0], "channel_id": key[1], "time": rows["time"].to_numpy(),
-                "trsl": rows["trsl"].to_numpy(), "wet": done["wet"], "baseline": done["baseline"], "waa": done["waa"],
-            }
-        )
-
-    return channels.groupBy("cml_id", "channel_id").applyInPandasWithState(
-        walk, _OUT, _STATE, "append", GroupStateTimeout.NoTimeout
-    )
+        if newest is not None:
+            rows = rows[rows["time"] > pd.Timestamp(newest)]
+        if not len(rows):
+            return
+        if timeout is not None:
+            state.setTimeoutTimestamp(max(int(rows["time"].iloc[-1].timestamp() * 1000), state.getCurrentWatermarkMs()) + timeout)
+        old = len(trsl)
+        x = np.concatenate([np.array(trsl, float), rows["trsl"].to_numpy("float64")])
+        known = np.lib.stride_tricks.sliding_window_view(x, roll) if len(x) >= roll else np.zeros((0, roll))
+        wet = np.concatenate([np.zeros(len(x) - len(known)), (np.std(known, axis=1) > threshold).astype(float)])
+        wet[:old] = was
+        since = np.arange(len(x)) + seen - old
+        done, up = walk_on(x, wet, since, n, waa_max, rise, np.array(base, float), waa)
+        state.update((
+            int(seen + len(rows)), x[-back:].tolist(), done[-back:].tolist(), wet[-back:].tolist(), float(up[-1]),
+            rows["time"].iloc[-1].to_pydatetime(),
+        ))
+        yield pd.DataFrame({
+            "cml_id": key[0], "channel_id": key[1], "time": rows["time"].to_numpy(), "trsl": x[old:], "wet": wet[old:] == 1,
+            "baseline": done[old:], "waa": up[old:],
+        })
+
+    ship(channels.sparkSession)
+    kind = GroupStateTimeout.NoTimeout
+    if forget is not None:
+        kind, channels = GroupStateTimeout.EventTimeTimeout, channels.withWatermark("time", forget)
+    return channels.groupBy("cml_id", "channel_id").applyInPandasWithState(go, _OUT, _STATE, "append", kind)
+
+
+def walk_on(
+    trsl: np.ndarray, wet: np.ndarray, since: np.ndarray, n: int, waa_max: float, rise: float, base: np.ndarray, waa: float
+) -> tuple[np.ndarray, np.ndarray]:
+    """`baseline.walk` that goes on after rows whose baselines are known; waa is that of the last of them."""
+    old = len(base)
+    if old == 0:
+        return walk(trsl, wet, since, n, waa_max, rise)
+    baseline = np.concatenate([base, np.where((since < n) | (wet != 1), trsl, np.nan)[old:]])
+    rows = old + np.flatnonzero(wet[old:] == 1)
+    for i in rows[since[rows] >= n]:
+        baseline[i] = baseline[i - 1] if wet[i - 1] == 1 else baseline[i - n : i].mean()
+    up = np.minimum(trsl - baseline, waa_max)
+    up[old - 1] = waa
+    for i in rows:
+        up[i] = np.minimum(up[i], up[i - 1] + (waa_max - up[i - 1]) * rise)
+    return baseline, up

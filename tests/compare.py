@@ -50,6 +50,7 @@ def difference(spark_pdf: pd.DataFrame, sql_pdf: pd.DataFrame) -> str | None:
 
 def main() -> int:
     import catalogue
+    import catalogue_jobs  # noqa: F401
     from pluvio.session import local_session
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "sf0.01"

@@ -152,10 +152,95 @@ def test_publish_skip_and_expire(spark, made, tmp_path):
     assert spark.read.parquet(f"{root}/frames").agg(F.min("time")).first()[0] >= datetime(2024, 1, 2)
 
 
-def test_history_in_slices(spark, rows, links, tmp_path):
-    cfg = replace(CFG, time=replace(CFG.time, start=T0 + timedelta(hours=12)), hour_sum=HourSum())
-    run.run_history(rows, links, cfg, str(tmp_path / "h"), days=1)
-    assert spark.read.json(str(tmp_path / "h" / "info")).count() > 100
+def stored(spark, root):
+    rows = spark.read.parquet(f"{root}/series").select("cml_id", "field", "time", F.round("value", 9)).collect()
+    info = spark.read.json(f"{root}/info").select("utc", "overall", "count_true").collect()
+    frames = spark.read.parquet(f"{root}/frames").select("time", "row", "col", F.round("v", 9)).collect()
+    return sorted(rows, key=str), sorted(info), sorted(frames, key=str)
+
+
+def test_history_in_slices_equals_one(spark, rows, links, tmp_path):
+    """Slices that begin at noon, with a margin that reaches over the data, store what one slice stores."""
+    cfg = replace(CFG, time=replace(CFG.time, start=T0 + timedelta(hours=12)), margin=300)
+    run.run_history(rows, links, cfg, str(tmp_path / "one"), days=30)
+    run.run_history(rows, links, cfg, str(tmp_path / "many"), days=1)
+    one, many = stored(spark, tmp_path / "one"), stored(spark, tmp_path / "many")
+    assert len(one[1]) == 36 * 6 + 1 and one == many
+
+
+def test_trailing_window_equals_whole(rows, links):
+    cfg = replace(CFG, margin=300)
+    now = T0 + timedelta(hours=40)
+    whole = run.run_historic(rows, links, replace(cfg, time=replace(cfg.time, start=T0, end=now))).links
+    part = run.run_trailing(rows, links, cfg, now, "6h").links
+    begin = datetime(2024, 1, 2, 10)
+    want = {(r.cml_id, r.time): (r.r, r.r_hour_sum) for r in whole.collect() if r.time >= begin}
+    got = {(r.cml_id, r.time): (r.r, r.r_hour_sum) for r in part.collect()}
+    assert set(got) == set(want) and len(got) == 6 * 37
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v), k
+
+
+def test_writing_twice_keeps_what_was_there(spark, tmp_path):
+    def points(first, last):
+        return spark.range(first, last).selectExpr("1L AS cml_id", "1704103200 + 600*id AS time", "'rain_intensity' AS field", "double(id) AS value")
+
+    path = str(tmp_path / "points")
+    publish.write_points(points(0, 72), path)
+    publish.write_points(points(72, 78), path)
+    publish.write_points(points(70, 75).withColumn("value", F.lit(-1.0)), path)
+    got = {r.time: r.value for r in spark.read.parquet(path).collect()}
+    assert len(got) == 78 and sum(v == -1 for v in got.values()) == 5 and spark.read.parquet(path).count() == 78
+
+    def frames(first, last, cells):
+        return spark.range(first, last).selectExpr(
+            "timestamp_seconds(1704103200 + 600*id) AS time", f"explode(sequence(1, {cells})) AS col").selectExpr("time", "0 AS row", "col", "1.0 AS v")
+
+    path = str(tmp_path / "frames")
+    publish.write_frames(frames(0, 100, 2), path)
+    publish.write_frames(frames(50, 144, 1), path)
+    back = spark.read.parquet(path)
+    assert back.select("time").distinct().count() == 144 and back.count() == 50 * 2 + 94
+
+
+def test_skip_written_without_summaries(spark, made, tmp_path):
+    cfg = replace(CFG, output=Output(flags=False), hour_sum=HourSum())
+    only = replace(made, frames_sum=None, info_sum=None)
+    publish.publish(only, str(tmp_path), cfg)
+    assert publish.new_times(only, spark, f"{tmp_path}/frames", "parquet").count() == 0
+
+
+def test_jobs_run_from_another_folder(rows, links, tmp_path):
+    """The package reaches the workers although they do not run beside it; intermediate tables go."""
+    import subprocess
+    import sys
+
+    rows.write.parquet(str(tmp_path / "rows"))
+    links.write.parquet(str(tmp_path / "links"))
+    script = tmp_path / "job.py"
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script.write_text(f"""
+import sys
+sys.path.insert(0, {root!r})
+from dataclasses import replace
+from datetime import datetime, timedelta, timezone
+from pluvio.config import *
+from pluvio.plans.run import run_history
+from pluvio.session import local_session, _stage_root
+spark = local_session("2", partitions=2, memory="2g")
+t = datetime(2024, 1, 1, tzinfo=timezone.utc)
+cfg = Settings(time=TimeAxis(start=t + timedelta(hours=6), end=t + timedelta(hours=30)), limits=Limits(14.0, 14.6, 49.9, 50.3),
+               interp=Interp(nx=6, ny=5, near=4, tile=4), output=Output(intensities=True))
+run_history(spark.read.parquet({str(tmp_path / "rows")!r}), spark.read.parquet({str(tmp_path / "links")!r}), cfg, {str(tmp_path / "out")!r}, days=1)
+path = spark._jvm.org.apache.hadoop.fs.Path(_stage_root(spark))
+fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+print("LEFT", fs.exists(path) and len(fs.listStatus(path)))
+""")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=str(tmp_path), env=env, capture_output=True, text=True, timeout=300)
+    assert done.returncode == 0, done.stderr[-3000:]
+    assert "LEFT 0" in done.stdout or "LEFT False" in done.stdout
+    assert (tmp_path / "out" / "series").exists()
 
 
 def test_stream_means_equal_batch(spark, rows, tmp_path):
@@ -185,7 +270,19 @@ def test_stream_hour_sums(spark, tmp_path):
     q.awaitTermination()
     got = {r["time"]: r["r_hour_sum"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
     assert got[datetime(2024, 1, 1, 2, 0)] == pytest.approx(6.0)
-    assert got[datetime(2024, 1, 1, 0, 0)] == pytest.approx(1.0)
+    # As in batch, a window that begins before the data has no sum.
+    assert got[datetime(2024, 1, 1, 0, 0)] is None and got[datetime(2024, 1, 1, 0, 50)] == pytest.approx(6.0)
+
+
+def test_stream_hour_sums_with_fractions_of_a_second(spark, tmp_path):
+    first = T0 + timedelta(microseconds=500)
+    data = [(1, first + timedelta(minutes=10 * i), 6.0) for i in range(24)] + [(1, T0 + timedelta(days=2), 0.0)]
+    spark.createDataFrame(data, "cml_id bigint, time timestamp, r double").coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("cml_id bigint, time timestamp, r double").parquet(str(tmp_path / "in"))
+    live.stream_hour_sums(stream, 10).writeStream.format("parquet").option("path", str(tmp_path / "out")).option(
+        "checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    known = [r["r_hour_sum"] for r in spark.read.parquet(str(tmp_path / "out")).collect() if r["r_hour_sum"] is not None]
+    assert len(known) == 19 and all(x == pytest.approx(6.0) for x in known)
 
 
 def test_recompute_takes_late_rows(spark, rows, links, tmp_path):
@@ -214,6 +311,11 @@ def test_recompute_takes_late_rows(spark, rows, links, tmp_path):
     late.write.mode("append").parquet(source)
     after = go()
     assert after >= before and spark.read.parquet(str(tmp_path / "landed")).count() == rows.count()
+    newest = rows.agg(F.max("time")).first()[0].replace(tzinfo=timezone.utc) + timedelta(minutes=10)
+    want = products_points(run.run_trailing(rows, links, cfg, newest, "2d"))
+    got = spark.read.parquet(str(tmp_path / "series"))
+    cols = ["cml_id", "time", F.round("value", 9)]
+    assert got.count() == want.count() and got.select(*cols).exceptAll(want.select(*cols)).count() == 0
 
 
 def test_stateful_baseline_equals_batch(spark, tmp_path):
@@ -236,6 +338,19 @@ def test_stateful_baseline_equals_batch(spark, tmp_path):
     np.testing.assert_allclose(got["waa"], want["waa"])
 
 
+def test_stateful_baseline_leaves_late_rows(spark, tmp_path):
+    data = [(1, "x", T0 + timedelta(minutes=10 * i), float(50 + i % 3)) for i in range(30)]
+    df = spark.createDataFrame(data, "cml_id bigint, channel_id string, time timestamp, trsl double")
+    late = df.where(F.col("time") == F.lit(T0 + timedelta(minutes=100)))
+    for part in (df.exceptAll(late).where(F.hour("time") < 3), late.unionByName(df.where(F.hour("time") >= 3))):
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+        live.stream_baseline(stream, roll=4, threshold=1.5, n=3, forget="1 day").writeStream.format("parquet").option(
+            "path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "cp")).trigger(availableNow=True).start().awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.count() == 29 and got.where(F.col("time") == F.lit(T0 + timedelta(minutes=100))).count() == 0
+
+
 def test_landing_again_replaces(spark, rows, tmp_path):
     path = str(tmp_path / "landed")
     some = rows.where("agent_host = '1a'")

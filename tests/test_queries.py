@@ -3,6 +3,7 @@
 import pytest
 
 import catalogue
+import catalogue_jobs  # noqa: F401  (registers the jobs)
 from compare import difference, oracle
 
 SF = "/root/testdata/sf0.001"

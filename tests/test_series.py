@@ -209,3 +209,29 @@ def test_output_step_anchor(spark):
     assert out.agg(F.min("time")).first()[0].hour == 7
     with pytest.raises(ValueError):
         rs.output_steps(df, 60, 30)
+
+
+def test_rolling_is_the_same_at_every_length(spark):
+    """Windows evaluated by Spark and those cut into blocks agree with each other and with a plain count."""
+    from pluvio.operators.rolling import FRAME_LIMIT, rolling
+
+    rng = np.random.default_rng(4)
+    data = {
+        "constant": np.full(400, 7.1), "tied": rng.integers(0, 3, 400).astype(float), "offset": 1e6 + rng.normal(size=400),
+        "holes": np.where(rng.random(400) < 0.2, np.nan, rng.normal(size=400)), "infinite": rng.normal(size=400),
+    }
+    data["infinite"][[200, 300]] = [np.inf, -np.inf]
+    rows = [(k, pd.Timestamp("2024-01-01") + pd.Timedelta(hours=i), float(x)) for k, v in data.items() for i, x in enumerate(v)]
+    df = spark.createDataFrame(rows, "k string, time timestamp, x double")
+    for window in (FRAME_LIMIT, FRAME_LIMIT + 1):
+        for stat in ("median", "std"):
+            out = rolling(df, ["k"], {"y": "x"}, window, stat, min_rows=5).orderBy("k", "time").toPandas()
+            assert list(out.columns) == ["k", "time", "x", "y"]
+            for k, v in data.items():
+                got = out.loc[out.k == k, "y"].to_numpy()
+                clean = np.where(np.isfinite(v), v, np.nan)
+                for i in range(400):
+                    part = clean[max(0, i - window + 1):i + 1]
+                    part = part[~np.isnan(part)]
+                    want = np.nan if len(part) < 5 else np.median(part) if stat == "median" else part.std(ddof=1)
+                    assert got[i] == pytest.approx(want, rel=1e-9, abs=1e-9, nan_ok=True), (window, stat, k, i)
