@@ -7,7 +7,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-PAGE = 64
+PAGE = 128
 EPS = 1e-6
 
 
@@ -69,7 +69,7 @@ class MTree:
         return len(self.pages) - 1, reach
 
     def search(self, point: np.ndarray, bound: float, leaf) -> None:
-        """Best first: visits every point that may lie within the bound. leaf(rows, distances) returns the new bound.
+        """Best first: visits every point that may lie within the bound. leaf(rows) returns the new bound.
 
         A point or a child whose stored distance to its parent already shows that it is too far is never computed.
         """
@@ -87,7 +87,7 @@ class MTree:
                 rows = page.objects[away <= bound + EPS]
                 if len(rows):
                     self.computed += len(rows)
-                    bound = leaf(rows, self._distances(rows, point))
+                    bound = leaf(rows)
                 continue
             some = np.flatnonzero(away - page.radius <= bound + EPS)
             if not len(some):

@@ -58,36 +58,39 @@ def _searcher(k: int, most: dict[int, float], sent):
         length = most[v.shape[1]]
         extra = np.sqrt(np.maximum(0.0, length - (v * v).sum(axis=1)))
         tree = MTree(np.concatenate([v, extra[:, None]], axis=1))
-        whole = v.astype(np.int64)
         sample_ids, sample = sent.value.get(v.shape[1], (np.zeros(0, np.int64), np.zeros((0, v.shape[1]))))
 
         def find(queries: np.ndarray, q: np.ndarray) -> pa.RecordBatch:
             out: tuple[list, list, list] = ([], [], [])
             for who, point in zip(queries.tolist(), q, strict=True):
-                own = point.astype(np.int64)
                 norm = float(point @ point)
                 known = np.sort((sample @ point)[sample_ids != who])
-                first = known[-k] if len(known) >= k else -np.inf
-                scores: dict[int, int] = {}
+                floor = float(known[-k]) if len(known) >= k else -np.inf
+                scores: dict[int, float] = {}
 
                 def bound_of(score: float, norm: float = norm) -> float:
                     return np.inf if score == -np.inf else float(np.sqrt(max(0.0, norm + length - 2 * score)))
 
-                def leaf(rows, _far, who=who, own=own, scores=scores, first=first, bound_of=bound_of) -> float:
-                    for name, score in zip(ids[rows].tolist(), (whole[rows] @ own).tolist(), strict=True):
-                        if name != who and score > scores.get(name, -(1 << 62)):
+                def leaf(rows, who=who, point=point, scores=scores, bound_of=bound_of) -> float:
+                    # Products of integers below 2**53 are exact in doubles.
+                    nonlocal floor
+                    near = v[rows] @ point
+                    some = np.flatnonzero(near >= floor)
+                    for name, score in zip(ids[rows[some]].tolist(), near[some].tolist(), strict=True):
+                        if name != who and score > scores.get(name, -np.inf):
                             scores[name] = score
-                    if len(scores) > 8 * k:
-                        for name in sorted(scores, key=lambda n: (-scores[n], n))[k:]:
-                            del scores[name]
-                    kth = sorted(scores.values(), reverse=True)[k - 1] if len(scores) >= k else -np.inf
-                    return bound_of(max(first, kth))
-
-                tree.search(np.append(point, 0.0), bound_of(first), leaf)
+                    if len(some) and len(scores) >= k:
+                        top = sorted(scores.items(), key=lambda x: (-x[1], x[0]))[:k]
+                        floor = max(floor, top[-1][1])
+                        scores.clear()
+                        scores.update(top)
+                    return bound_of(floor)
+
+                tree.search(np.append(point, 0.0), bound_of(floor), leaf)
                 for name in sorted(scores, key=lambda n: (-scores[n], n))[:k]:
                     out[0].append(who)
                     out[1].append(name)
-                    out[2].append(scores[name])
+                    out[2].append(int(scores[name]))
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in out], names=["query_id", "vec_id", "score"])
 
         return find

@@ -100,8 +100,8 @@ def test_tree_visits_all_within_the_bound_and_skips_others():
     for q in points[::97] + 0.1:
         seen = []
 
-        def leaf(rows, far, seen=seen):
-            seen.extend(rows[far <= 3.0].tolist())
+        def leaf(rows, seen=seen, q=q):
+            seen.extend(rows[np.sqrt(((points[rows] - q) ** 2).sum(1)) <= 3.0].tolist())
             return 3.0
 
         before = tree.computed
