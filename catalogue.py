@@ -727,12 +727,15 @@ def _(spark, sf):
     WHERE o_orderkey = (SELECT max_by(o_orderkey, (o_orderdate, o_orderkey)) FROM orders WHERE o_orderkey IN (SELECT l_orderkey FROM lineitem))
     GROUP BY o_orderkey, o_orderdate""")
 def _(spark, sf):
-    parts = demo.table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
-        F.to_json(F.sort_array(F.collect_list("l_partkey"))).alias("links")
-    )
-    records = demo.table(spark, sf, "orders").join(parts, "o_orderkey").select(
-        F.struct(F.col("o_orderdate").cast("timestamp").alias("day"), "o_orderkey").alias("time"), "links"
+    # The newest order with lines first, then its lines alone.
+    lines = demo.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_partkey")
+    last = (
+        demo.table(spark, sf, "orders").join(lines.select("o_orderkey"), "o_orderkey", "left_semi")
+        .orderBy(F.desc("o_orderdate"), F.desc("o_orderkey")).limit(1).select("o_orderkey", "o_orderdate")
     )
+    records = lines.join(F.broadcast(last), "o_orderkey").groupBy("o_orderkey", "o_orderdate").agg(  # one order
+        F.to_json(F.sort_array(F.collect_list("l_partkey"))).alias("links")
+    ).select(F.struct(F.col("o_orderdate").cast("timestamp").alias("day"), "o_orderkey").alias("time"), "links")
     newest = frame_store.latest_record(records)
     return newest.select(
         F.date_format("time.day", "yyyy-MM-dd HH:mm:ss").alias("time"),

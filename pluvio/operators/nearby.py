@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from pluvio.functions.geo import EARTH_KM, haversine_km
 from pluvio.session import stage
 
+#: Places of a cube that one task compares.
+CROWDED_PLACES = 2000
 DISTANCES = ["a_to_a", "a_to_b", "b_to_a", "b_to_b"]
 
 
@@ -50,6 +52,11 @@ def place_pairs(table: DataFrame, radius: float) -> DataFrame:
     right = right.withColumns(dict(zip(box, _box(F.col("lat_a_2"), F.col("lon_a_2"), radius))))
     for b in box:
         left = left.withColumn("o_", F.explode(around)).withColumn(b, F.col(b) + F.col("o_")).drop("o_")
+    # A cube with very many places is dealt into parts, and those that look into it are sent to each part.
+    parts = right.groupBy(*box).agg(F.ceil(F.count(F.lit(1)) / CROWDED_PLACES).cast("int").alias("parts_"))
+    right = right.join(parts, box).withColumn("part_", F.pmod(F.xxhash64("place_id_2"), F.col("parts_")).cast("int"))
+    left = left.join(parts, box).withColumn("part_", F.explode(F.sequence(F.lit(0), F.col("parts_") - 1)))
+    box = [*box, "part_"]
     same = F.col("place_id_1") == F.col("place_id_2")
 
     def distance(p: str, q: str) -> Column:
@@ -93,8 +100,10 @@ def neighbourhood_medians(drops: DataFrame, links: DataFrame, radius: float, min
 
     Equal drops at one place and time are counted before they are sent to the places nearby.
     """
-    table, members = places(links, radius)
-    pairs = place_pairs(table, radius)
+    # Read several times below; each is written once.
+    table, members = places(stage(links, "links"), radius)
+    table, members = stage(table, "places"), stage(members, "members")
+    pairs = stage(place_pairs(table, radius), "pairs")
     enough = pairs.groupBy("place_id_1").agg(F.sum("n_links").alias("n")).where(F.col("n") > min_links).select("place_id_1")
     counted = (
         drops.join(members, "cml_id")

@@ -130,3 +130,18 @@ def test_lookup(spark):
     points = spark.createDataFrame([(1, 0.4, 0.6), (2, 9.0, -9.0), (3, 0.5, 1.5)], "point_id int, x double, y double")
     got = {r["point_id"]: r["r"] for r in gr.lookup(points, cells, Limits(0, 2, 0, 2), 3, 3).collect()}
     assert got == {1: 10.0, 2: 2.0, 3: 20.0}
+
+
+def test_crowded_cubes_are_split(spark, monkeypatch):
+    """A third of the places in one cube gives the pairs that plain comparison gives, split or not."""
+    from pluvio.operators import nearby as nb
+
+    rng = np.random.default_rng(8)
+    spots = [(50.0 + rng.normal() * 0.005, 14.0 + rng.normal() * 0.005) if k % 3 == 0 else (49 + rng.random() * 2, 13 + rng.random() * 3) for k in range(120)]
+    rows = [(k, 1.0, a, b, a + 0.01, b + 0.01) for k, (a, b) in enumerate(spots)]
+    links = spark.createDataFrame(rows, "cml_id bigint, length double, lat_a double, lon_a double, lat_b double, lon_b double")
+    table, _ = nb.places(links, 5.0)
+    plain = {tuple(r) for r in nb.place_pairs(table, 5.0).select("place_id_1", "place_id_2", "n_links").collect()}
+    monkeypatch.setattr(nb, "CROWDED_PLACES", 7)
+    split = nb.place_pairs(table, 5.0).select("place_id_1", "place_id_2", "n_links").collect()
+    assert len(split) == len(plain) and {tuple(r) for r in split} == plain and len(plain) > 1600
