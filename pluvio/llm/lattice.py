@@ -74,18 +74,21 @@ class Vocabulary:
         self.longest = max(map(len, pieces), default=1)
         if any(MARK in p.lstrip(MARK) for p in pieces):
             raise ValueError("pieces of this model reach over words")
-        codes = np.frombuffer("".join(pieces).encode("utf-32-le"), "<u4")
-        ends = np.cumsum([len(p) for p in pieces])
-        hashes = self._hashes(codes, ends - [len(p) for p in pieces], ends)
-        order = np.argsort(hashes)
-        self.hashes, self.ids, self.weights = hashes[order], np.array(ids)[order], weights[order]
+        self.ids, self.weights = np.array(ids), weights
         mixing = {c for p in pieces for c in p if any(x != MARK and (x in PUNCTUATION) != (c in PUNCTUATION) for x in p)}
         alone = "".join(re.escape(c) for c in PUNCTUATION if c not in mixing)
         self.unit = re.compile(f"{MARK}*[^{MARK}{alone}]+|{MARK}*[{alone}]+|{MARK}+" if alone else f"{MARK}*[^{MARK}]+|{MARK}+")
-        begins = {p[:n] for p in pieces for n in range(1, len(p))}
-        heads = np.frombuffer("".join(begins).encode("utf-32-le"), "<u4")
-        ends = np.cumsum([len(p) for p in begins])
-        self.begins = np.sort(self._hashes(heads, ends - [len(p) for p in begins], ends)) if begins else np.zeros(1, np.uint64)
+        # One table of all beginnings of pieces: its piece (or -1), and whether a longer piece begins so.
+        longer = {p[:n] for p in pieces for n in range(1, len(p))}
+        names = [*pieces, *(longer - set(pieces))]
+        heads = np.frombuffer("".join(names).encode("utf-32-le"), "<u4")
+        ends = np.cumsum([len(p) for p in names])
+        known = self._hashes(heads, ends - [len(p) for p in names], ends)
+        order = np.argsort(known)
+        self.known = known[order]
+        self.piece = np.concatenate([np.array(ids, np.int64), np.full(len(names) - len(pieces), -1)])[order]
+        self.weight = np.concatenate([weights, np.zeros(len(names) - len(pieces))])[order]
+        self.longer = np.array([p in longer for p in names])[order]
 
     @staticmethod
     def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -117,7 +120,7 @@ class Lattices:
     """The lattices of the distinct units met so far, as edges sorted by the node they leave."""
 
     vocabulary: Vocabulary
-    remember: int = 1_500_000
+    remember: int = 3_500_000
     units: dict[str, int] = field(default_factory=dict)
 
     def __post_init__(self):
@@ -147,7 +150,6 @@ class Lattices:
         if self.n_nodes > self.remember:
             self.forget()
         fresh = list(set().union(*docs) - self.units.keys()) if docs else []
-        fresh.sort()
         for k in range(0, len(fresh), 20_000):
             self._add(fresh[k:k + 20_000])
         return [np.fromiter(map(self.units.__getitem__, d), np.int64, len(d)) for d in docs]
@@ -163,20 +165,21 @@ class Lattices:
         single = np.zeros(len(codes), bool)
         here = at
         for n in range(1, v.longest + 1):
-            if n > 1:  # only where some piece begins like this
-                here = here[v.begins[np.minimum(np.searchsorted(v.begins, h), len(v.begins) - 1)] == h]
             here = here[here + n <= end[here]]
             if not len(here):
                 break
             h = (sums[here + n] - sums[here]) * inverse[here]
-            place = np.minimum(np.searchsorted(v.hashes, h), len(v.hashes) - 1)
-            hit = v.hashes[place] == h
+            place = np.minimum(np.searchsorted(v.known, h), len(v.known) - 1)
+            same = v.known[place] == h
+            here, place = here[same], place[same]
+            hit = v.piece[place] >= 0
             source.append(here[hit])
             target.append(here[hit] + n)
-            ids.append(v.ids[place[hit]])
-            weights.append(v.weights[place[hit]])
+            ids.append(v.piece[place[hit]])
+            weights.append(v.weight[place[hit]])
             if n == 1:
                 single[here[hit]] = True
+            here = here[v.longer[place]]
         lone = np.flatnonzero(~single)
         source.append(lone)
         target.append(lone + 1)
@@ -205,14 +208,19 @@ class Lattices:
             top = np.maximum.reduceat(value, cuts)
             beta[nodes] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, counts[nodes])), cuts))
         logp = weights + beta[into] - beta[out_of]
-        order = np.lexsort((-logp, out_of))  # likely edges first
-        out_of, into, ids, logp = out_of[order], into[order], ids[order], logp[order]
+        # The likeliest edge of a node goes first.
+        some = np.flatnonzero(counts)
+        top = np.maximum.reduceat(logp, edge_at[some])
+        lead = np.flatnonzero(logp == np.repeat(top, counts[some]))
+        lead = lead[np.unique(out_of[lead], return_index=True)[1]]
+        for values in (into, ids, logp):
+            values[edge_at[some]], values[lead] = values[lead], values[edge_at[some]]
         rest = np.full(n_nodes, -np.inf)
         forks = np.flatnonzero(counts > 1)
         if len(forks):
             k = ragged(edge_at[forks] + 1, counts[forks] - 1)
             cuts = np.cumsum(counts[forks] - 1) - (counts[forks] - 1)
-            top = logp[edge_at[forks] + 1]
+            top = np.maximum.reduceat(logp[k], cuts)
             rest[forks] = top + np.log(np.add.reduceat(np.exp(logp[k] - np.repeat(top, counts[forks] - 1)), cuts))
         base, more, known = self.n_nodes, self.n_edges, len(self.units)
         self.units.update(zip(units, range(known, known + len(units)), strict=True))
