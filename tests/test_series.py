@@ -221,7 +221,7 @@ def test_rolling_is_the_same_at_every_length(spark):
         "holes": np.where(rng.random(400) < 0.2, np.nan, rng.normal(size=400)), "infinite": rng.normal(size=400),
     }
     data["infinite"][[200, 300]] = [np.inf, -np.inf]
-    rows = [(k, pd.Timestamp("2024-01-01") + pd.Timedelta(hours=i), float(x)) for k, v in data.items() for i, x in enumerate(v)]
+    rows = [(k, datetime(2024, 1, 1, tzinfo=timezone.utc) + timedelta(hours=i), float(x)) for k, v in data.items() for i, x in enumerate(v)]
     df = spark.createDataFrame(rows, "k string, time timestamp, x double")
     for window in (FRAME_LIMIT, FRAME_LIMIT + 1):
         for stat in ("median", "std"):
