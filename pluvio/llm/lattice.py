@@ -18,7 +18,8 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass, field
-from itertools import chain
+from functools import lru_cache
+from itertools import chain, islice
 
 import numpy as np
 import sentencepiece
@@ -109,19 +110,28 @@ class Vocabulary:
         np.cumsum(mixed((codes.astype(np.uint64) + np.uint64(1)) * _GOLD) * powers[:-1], out=sums[1:])
         return sums, inverse
 
+    @lru_cache(maxsize=4096)  # noqa: B019  (one vocabulary per process)
     def fallback(self, code: int) -> list[int]:
         if self.bytes is None:
             return [self.model.unk_id()]
         return [self.bytes[b] for b in chr(code).encode("utf-8", "replace")]
 
 
+class _Numbers(dict):
+    """Numbers units as they come."""
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = number = len(self)
+        return number
+
+
 @dataclass
 class Lattices:
     """The lattices of the distinct units met so far, as edges sorted by the node they leave."""
 
     vocabulary: Vocabulary
     remember: int = 3_500_000
-    units: dict[str, int] = field(default_factory=dict)
+    units: _Numbers = field(default_factory=_Numbers)
 
     def __post_init__(self):
         self.forget()
@@ -149,12 +159,14 @@ class Lattices:
         """The number of every unit of every text."""
         if self.n_nodes > self.remember:
             self.forget()
-        fresh = list(set().union(*docs) - self.units.keys()) if docs else []
+        known = len(self.units)
+        out = [np.fromiter(map(self.units.__getitem__, d), np.int64, len(d)) for d in docs]
+        fresh = list(islice(reversed(self.units), len(self.units) - known))[::-1]
         for k in range(0, len(fresh), 20_000):
-            self._add(fresh[k:k + 20_000])
-        return [np.fromiter(map(self.units.__getitem__, d), np.int64, len(d)) for d in docs]
+            self._add(fresh[k:k + 20_000], known + k)
+        return out
 
-    def _add(self, units: list[str]) -> None:
+    def _add(self, units: list[str], known: int) -> None:
         v = self.vocabulary
         codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4")
         length = np.array([len(u) for u in units], np.int64)
@@ -163,15 +175,17 @@ class Lattices:
         at = np.arange(len(codes))
         source, target, ids, weights = [], [], [], []
         single = np.zeros(len(codes), bool)
-        here = at
+        here, room, base, turn = at, end - at, sums[:-1], inverse[:len(codes)]
         for n in range(1, v.longest + 1):
-            here = here[here + n <= end[here]]
+            if n > 1:
+                some = v.longer[place] & (room[here] >= n)
+                here, base, turn = here[some], base[some], turn[some]
             if not len(here):
                 break
-            h = (sums[here + n] - sums[here]) * inverse[here]
+            h = (sums[here + n] - base) * turn
             place = np.minimum(np.searchsorted(v.known, h), len(v.known) - 1)
             same = v.known[place] == h
-            here, place = here[same], place[same]
+            here, place, base, turn = here[same], place[same], base[same], turn[same]
             hit = v.piece[place] >= 0
             source.append(here[hit])
             target.append(here[hit] + n)
@@ -179,7 +193,6 @@ class Lattices:
             weights.append(v.weight[place[hit]])
             if n == 1:
                 single[here[hit]] = True
-            here = here[v.longer[place]]
         lone = np.flatnonzero(~single)
         source.append(lone)
         target.append(lone + 1)
@@ -222,8 +235,7 @@ class Lattices:
             cuts = np.cumsum(counts[forks] - 1) - (counts[forks] - 1)
             top = np.maximum.reduceat(logp[k], cuts)
             rest[forks] = top + np.log(np.add.reduceat(np.exp(logp[k] - np.repeat(top, counts[forks] - 1)), cuts))
-        base, more, known = self.n_nodes, self.n_edges, len(self.units)
-        self.units.update(zip(units, range(known, known + len(units)), strict=True))
+        base, more = self.n_nodes, self.n_edges
         self._put("first", known, first + base)
         self._put("size", known, length)
         self._put("edge_at", base, edge_at + more)
