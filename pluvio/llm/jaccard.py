@@ -210,7 +210,10 @@ def tied(few: DataFrame, percent: int) -> DataFrame:
 
 
 def thin(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Compare every class of a block with its leader: edges to the leader, and the rows still needed."""
+    """Compare every class of a block with its leader: edges to the leader, and the rows still needed.
+
+    A block without an open row has no leader; its rows were kept because they may link to each other, and stay.
+    """
     first = sets.where("open").groupBy("block").agg(F.min("cls").alias("leader"))
     lead = (
         sets.join(first, "block").where("cls = leader")
@@ -239,7 +242,7 @@ def thin(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         compared.join(reach, "block").where(f"NOT near OR far >= least - {1 - percent / 100} - 1e-9")
         .select("block", "cls", "n", "items", F.expr("open AND NOT near").alias("open"))
     )
-    return edges, rest
+    return edges, rest.unionByName(sets.join(first, "block", "left_anti").select("block", "cls", "n", "items", "open"))
 
 
 def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bits: int = SKETCH_BITS, task_items: int = TASK_ITEMS):

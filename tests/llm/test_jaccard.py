@@ -68,6 +68,22 @@ def test_join_against_brute_force(spark, monkeypatch, limits):
     assert sorted(tuple(r) for r in got.collect()) == brute(rows)
 
 
+def test_chains_under_every_order_of_leaders(spark):
+    """Four texts of which only neighbours link: their classes may come up as leaders in any order."""
+    rows, orders = [], set()
+    for k in range(400):
+        words = [f"c{k}w{i}" for i in range(127)]
+        texts = [" ".join(words[8 * i:8 * i + 103]) for i in range(4)]
+        order = tuple(np.argsort([jaccard._signed(shingles.fingerprint(s)[:8]) for s in shingles.shingle_sets(texts)]).tolist())
+        if order not in orders:
+            orders.add(order)
+            rows += [(4 * k + i, t) for i, t in enumerate(texts)]
+    assert len(orders) == 24
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard.links(docs, task_items=150)
+    assert sorted(tuple(r) for r in got.collect()) == sorted((d, 100, d // 4 * 4) for d, _ in rows) == brute(rows)
+
+
 def test_null_ids_and_empty_table(spark):
     docs = spark.createDataFrame([(None, "a b c d e"), (5, "a b c d e"), (4, "a b c d e"), (None, None)], "doc_id long, text string")
     got = [tuple(r) for r in jaccard.links(docs).collect()]
