@@ -5,6 +5,11 @@ the cost of calling it content or boilerplate; these are the capacities from the
 other, and blocks of one parent, are tied by capacities that fall with their distance in the DOM. The maximum flow separates
 content from boilerplate (see maxflow.py). Rows are worked where they lie.
 
+Names (class, id, role) of boilerplate exclude what is below them, but for three cases. What follows has-, with- or no- in a name says
+what a page has, not what the element is. A name of boilerplate beside one of content only counts against a block, as evidence. And
+an <article> or <main> below such a name is content again, with that evidence against it; an <article> in a list of comments, of
+related pages or of advertisements is an item of that list and stays out.
+
 A null or empty page has empty text. Broken markup is read as browsers do in the main: unclosed elements end with their parent, an
 unfinished tag at the end is dropped, a lone '<' is text. Repeated rows get equal texts.
 """
@@ -15,6 +20,7 @@ import html as html_lib
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -53,6 +59,19 @@ AWAY_NAMES = {
     "recommendations", "teaser", "teasers", "widget", "widgets", "pagination", "pager", "copyright", "legal", "toolbar", "topbar", "skip", "masthead",
     "complementary", "contentinfo",
 }
+#: Lists whose items are often marked up as articles.
+LIST_NAMES = {
+    "ad", "ads", "advert", "adverts", "advertisement", "advertising", "adsense", "adbox", "sponsor", "sponsored", "promo", "promotion",
+    "comment", "comments", "commentlist", "disqus", "respond", "reply", "replies", "discussion", "reactions", "related", "recommended",
+    "recommendations", "teaser", "teasers",
+}
+#: What follows these in a name is had, or not, by the page; names that end in one of the others tell a state.
+HAVING = {"has", "have", "with", "without", "no", "not", "show", "hide"}
+STATES = {"open", "closed", "enabled", "disabled", "layout"}
+#: Labels of an article's subject.
+SUBJECTS = {"category", "tag"}
+WRAPS = {"wrap", "wrapper", "container", "row", "grid", "page", "columns"}
+LANDMARKS = {"navigation", "complementary", "contentinfo", "search", "banner", "dialog", "alertdialog", "menu", "menubar", "toolbar"}
 HEAD_NAMES = {"header", "masthead", "banner"}
 MAIN_NAMES = {"article", "content", "main", "post", "entry", "story", "body", "text", "maincontent", "articlebody"}
 WRAPPERS = {"html", "body"}
@@ -64,7 +83,8 @@ class Element:
     parent: Element | None
     depth: int
     hint: int  # -2 away, -1 page header, 0 none, 1 main by name, 2 main by tag
-    away: bool
+    away: int  # 0 not, 1 by a name or form, 2 by the name of a list of items, 3 by tag, role or hidden
+    doubt: bool  # a name of boilerplate counts against it
     main: bool
     links: bool
     heading: bool
@@ -79,31 +99,63 @@ class Block:
     linked: int
 
 
-def _names(attrs: dict[str, str]) -> set[str]:
-    joined = f"{attrs.get('class', '')} {attrs.get('id', '')} {attrs.get('role', '')}"
-    return {p.lower() for p in NAME_PART.findall(joined)} | {p.lower() for p in joined.split()}
+@lru_cache(4096)
+def _names(joined: str, article: bool = False) -> list[list[str]]:
+    """The parts of every name of an element that say what it is; of an article, not those of its subject."""
+    out = []
+    for name in joined.split():
+        parts = [p.lower() for p in NAME_PART.findall(name)]
+        if len(parts) > 1 and (parts[-1] in STATES or article and parts[0] in SUBJECTS):
+            continue
+        had = next((k for k, p in enumerate(parts) if p in HAVING), len(parts))
+        out.append([*parts, name.lower()] if had == len(parts) else parts[:had])
+    return out
+
+
+def _content_first(parts: list[str]) -> bool:
+    """Whether a name is that of a wrapper around content and something else, as content-sidebar-wrap."""
+    return parts[0] in MAIN_NAMES and len(parts) > 2 and parts[-2] in WRAPS
+
+
+@lru_cache(4096)
+def _named(joined: str, main: bool) -> tuple[int, int, bool]:
+    """hint, away and doubt of an element by its names."""
+    compounds = _names(joined)
+    names = {p for parts in compounds for p in parts}
+    if names & HEAD_NAMES and (main or names & MAIN_NAMES) and not names & (AWAY_NAMES - HEAD_NAMES):
+        return 0, 0, False
+    away = [parts for parts in compounds if "header" in parts or not AWAY_NAMES.isdisjoint(parts)]
+    if not away:
+        return (1 if names & MAIN_NAMES else 0), 0, False
+    if names & LIST_NAMES:
+        return -2, 2, False
+    if any(not MAIN_NAMES.isdisjoint(parts) for parts in compounds if parts not in away) or all(map(_content_first, away)):
+        return 1, 0, True
+    return -2, 1, False
 
 
 def _element(tag: str, attrs: dict[str, str], parent: Element | None) -> Element:
-    away, main = (parent.away, parent.main) if parent else (False, False)
-    hint = 0
-    names = _names(attrs) if attrs else set()
+    away, main, doubt = (parent.away, parent.main, parent.doubt) if parent else (0, False, False)
+    hint, own, unsure = 0, 0, False
     hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "").lower()
+    role = attrs.get("role", "").strip().lower()
+    joined = f"{attrs.get('class', '')} {attrs.get('id', '')} {role}" if attrs else ""
     if tag in AWAY_TAGS or hidden:
-        hint = -2
+        hint, own = -2, 1 if tag in ("form", "fieldset") and not hidden else 3
     elif tag == "header":
-        hint = 0 if main else -2
-    elif tag in MAIN_TAGS:
-        hint = -2 if names & {"comment", "comments", "reply", "ad", "advert", "sponsored", "promo", "teaser", "related"} else 2
-    elif tag not in WRAPPERS:
-        if names & HEAD_NAMES and (main or names & MAIN_NAMES) and not names & (AWAY_NAMES - HEAD_NAMES):
-            hint = 0
-        elif names & AWAY_NAMES or "header" in names:
-            hint = -2
-        elif names & MAIN_NAMES:
-            hint = 1
+        hint, own = (0, 0) if main else (-2, 3)
+    elif tag in MAIN_TAGS or role == "main":
+        names = {p for parts in _names(joined, True) for p in parts}
+        if names & {"comment", "comments", "reply", "ad", "advert", "sponsored", "promo", "teaser", "related"}:
+            hint, own = -2, 2
+        elif away < (3 if "main" in (tag, role) else 2):
+            hint, unsure, away = 2, away > 0, 0
+    elif tag not in WRAPPERS and attrs:
+        hint, own, unsure = _named(joined, main)
+        if role in LANDMARKS and (own or unsure):
+            hint, own, unsure = -2, 3, False
     return Element(
-        tag, parent, parent.depth + 1 if parent else 0, hint, away or hint == -2, (main or hint > 0) and hint != -2,
+        tag, parent, parent.depth + 1 if parent else 0, hint, max(away, own), doubt or unsure, (main or hint > 0) and hint != -2,
         tag == "a" or bool(parent and parent.links), tag in ("h1", "h2", "h3", "h4", "h5", "h6") or bool(parent and parent.heading),
         tag in UNSEEN or bool(parent and parent.unseen),
     )
@@ -187,7 +239,7 @@ def blocks(page: str) -> list[Block]:
 
 
 #: Weights of the classifier: positive means content.
-WEIGHTS = {"start": -0.4, "words": 3.0, "links": -4.0, "sentence": 0.5, "heading": 0.5, "main_tag": 6.0, "main_name": 3.0, "away": -9.0}
+WEIGHTS = {"start": -0.4, "words": 3.0, "links": -4.0, "sentence": 0.5, "heading": 0.5, "main_tag": 6.0, "main_name": 3.0, "away": -9.0, "doubt": -2.0}
 FULL_WORDS = 40
 #: Capacity between blocks that follow each other in one parent, and between those of one parent further apart.
 FOLLOWING, SIBLING = 1.5, 0.5
@@ -200,6 +252,7 @@ def evidence(block: Block) -> float:
     score += w["sentence"] * (block.text[-1] in ".!?…:;\"'”»") + w["heading"] * block.element.heading
     if block.element.away:
         return score + w["away"]
+    score += w["doubt"] * block.element.doubt
     element = block.element
     best = 0
     while element is not None and best < 2:

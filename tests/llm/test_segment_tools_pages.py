@@ -140,6 +140,34 @@ def test_main_text():
     assert htmltext.main_text("plain text only, without markup.") == "plain text only, without markup."
 
 
+STORY = "<h1>Rain</h1><p>The first paragraph of a story, long enough to be read as such.</p><p>A second one, <a href=x>with a link</a>.</p>"
+STORY_TEXT = "Rain The first paragraph of a story, long enough to be read as such. A second one, with a link ."
+
+
+@pytest.mark.parametrize("wrapper", [
+    'class="content has-sidebar"', 'id="page" class="with-sidebar"', 'class="layout--no-sidebar"', 'class="page hasSidebar"', 'class="search-page"',
+    'id="widget-area"', 'class="legal"', 'class="alert-box"', 'class="share form"', 'class="content sidebar-right"', 'id="content-sidebar-wrap"',
+    'class="comments-open"', 'class="sidebar"',
+])
+def test_names_of_wrappers_do_not_empty_a_page(wrapper):
+    around = "<nav><a>One</a></nav><div {}>{}<div class='sidebar'><p>What stands beside the story, whatever it is.</p></div></div><footer>(c)</footer>"
+    for inside in (f"<article>{STORY}</article>", f"<main>{STORY}</main>", f"<div><div role=main>{STORY}</div></div>"):
+        assert htmltext.main_text("<body>" + around.format(wrapper, inside) + "</body>").replace("link.", "link .") == STORY_TEXT
+    if "content" in wrapper:
+        assert "The first paragraph" in htmltext.main_text(around.format(wrapper, STORY))
+
+
+def test_what_is_away_stays_away():
+    for name in ("comments", "comment-list", "related", "teasers", "sponsored"):
+        page = f'<main>{STORY}</main><div class="{name}"><article>{STORY}</article></div>'
+        assert htmltext.main_text(page).replace("link.", "link .") == STORY_TEXT
+    for wrapper in ("aside", "div hidden", "div class=sidebar", "div role=search class=main", "div class=modal-content", "div class='comments post'", "nav"):
+        page = f"<article>{STORY}</article><{wrapper}><p>What stands beside the story, whatever it may be.</p></{wrapper.split()[0]}>"
+        assert htmltext.main_text(page).replace("link.", "link .") == STORY_TEXT
+    assert htmltext.main_text(f"<div hidden><main>{STORY}</main></div>") == ""
+    assert htmltext.main_text(f'<article class="post category-related no-comments">{STORY}</article>').replace("link.", "link .") == STORY_TEXT
+
+
 def test_pages_of_the_test_table(spark):
     import html as library
     import re
