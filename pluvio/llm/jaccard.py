@@ -110,6 +110,28 @@ def postings(docs: DataFrame, counts: np.ndarray, special: dict[bytes, int], wor
     return batches(docs.select("text"), posted, "item long, cls long")
 
 
+def classed(texts: DataFrame, special: dict[bytes, int], words: int) -> DataFrame:
+    """cls, text of every text that has words. Copies within a task are sent once."""
+    sent = texts.sparkSession.sparkContext.broadcast(special)
+
+    def made(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        special, seen = sent.value, set()
+        for part in parts:
+            keep, classes = [], []
+            for k, s in enumerate(sh.shingle_sets(strings(part.column(0)), words)):
+                fp = sh.fingerprint(s)
+                if not len(s) or fp in seen:
+                    continue
+                if len(seen) > 200_000:
+                    seen.clear()
+                seen.add(fp)
+                keep.append(k)
+                classes.append(special.get(fp, _signed(fp[:8])))
+            yield pa.RecordBatch.from_arrays([pa.array(classes, pa.int64()), part.column(0).take(pa.array(keep, pa.int64()))], names=["cls", "text"])
+
+    return batches(texts, made, "cls long, text string")
+
+
 def sets_of(docs: DataFrame, special: dict[bytes, int], words: int) -> DataFrame:
     """block, cls, n, items of documents that carry their block and class."""
     sent = docs.sparkSession.sparkContext.broadcast(special)
@@ -279,9 +301,13 @@ def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bits: int
     few = meet.where("NOT hot").select("item", "cls").join(numbered.select("cls", "n", "bits"), "cls")
     edges = stage(star.unionByName(tied(few, percent)).distinct(), "ties")
     blocks = components(edges).select(F.col("node").alias("cls"), F.col("component").alias("block"))
-    wanted = stage(numbered.join(blocks, "cls").where("rep IS NOT NULL").select(F.col("rep").alias("doc_id"), "cls", "block", "n"),
-                   "wanted")
-    some = docs.join(broadcast_below(wanted.select("doc_id", "cls", "block"), BROADCAST_ROWS), "doc_id")
+    wanted = stage(numbered.join(blocks, "cls").select(F.col("rep").alias("doc_id"), "cls", "block", "n"), "wanted")
+    ids = wanted.where("doc_id IS NOT NULL").select("doc_id", "cls", "block")
+    some = docs.join(broadcast_below(ids, BROADCAST_ROWS), "doc_id").select("block", "cls", "text")
+    bare = wanted.where("doc_id IS NULL").select("cls", "block")
+    if not bare.isEmpty():  # no id leads to the text of such a class
+        texts = classed(docs.where("doc_id IS NULL").select("text"), special, words)
+        some = some.unionByName(texts.join(broadcast_below(bare, BROADCAST_ROWS), "cls").select("block", "cls", "text"))
     sets = stage(sets_of(some, special, words).dropDuplicates(["cls"]), "sets")
 
     heavy = sets.groupBy("block").agg(F.sum("n").alias("size")).where(F.col("size") > task_items)

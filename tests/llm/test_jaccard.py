@@ -91,6 +91,17 @@ def test_null_ids_and_empty_table(spark):
     assert jaccard.links(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("limit", [jaccard.TASK_ITEMS, 150])
+def test_null_ids_bridge(spark, limit):
+    """Rows of a null id link what only they connect."""
+    words = [f"w{i}" for i in range(127)]
+    chain = [" ".join(words[8 * i:8 * i + 103]) for i in range(4)]
+    rows = [(7, chain[0]), (None, chain[1]), (None, chain[1].upper()), (None, chain[2]), (3, chain[3]), (None, "x y z a b"), (9, "q r s t u")]
+    got = jaccard.links(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), task_items=limit).collect()
+    assert sorted(tuple(r) for r in got if r.doc_id is not None) == brute(rows) == [(3, 100, 3), (7, 100, 3), (9, 2, 9)]
+    assert sorted((r.n_shingles, r.component_id or 0) for r in got if r.doc_id is None) == [(2, 0), (100, 3), (100, 3), (100, 3)]
+
+
 def test_shingles_of_long_words_and_chunks(monkeypatch):
     texts = [" ".join(["ab" * 50, "c", "d" * 300, "e f"] * 3), "x" * 1000, "a b c d", "", " a  b\tc\x0bd "]
     whole = shingles.shingle_sets(texts)
