@@ -25,12 +25,16 @@ def remove_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the smallest id of every group of linked documents (operator 7): five words, a similarity of 0.8.
 
-    Repeated rows of one id are one document; documents of null id or without words have no group and stay.
+    Rows of one id and one text are one document, of which the smallest row by the other columns stays; texts that share an id are
+    documents of their own, and the smaller hash of the text stays if they are linked. Documents of null id have no place in the
+    order and stay, as do those without words, but for repeated rows.
     """
-    found = jaccard.links(docs, words=5, percent=80)
-    gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    once = docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).join(gone, "doc_id", "left_anti")
-    return once.select(docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    own = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))
+    found = jaccard.groups(docs.select("doc_id", "text", own.alias("own")), words=5, percent=80)
+    gone = found.where("doc_id <> least.doc_id OR doc_id IS NOT NULL AND own <> least.own").select("doc_id", "own").distinct()
+    rest = [c for c in docs.columns if c != "doc_id"]
+    once = docs.withColumn("own", own).groupBy("doc_id", "own").agg(F.min(F.struct(*rest)).alias("row"))
+    return once.join(gone, ["doc_id", "own"], "left_anti").select("doc_id", "row.*").select(docs.columns)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,28 +45,28 @@ def _signed(data: bytes) -> int:
 
 
 def signatures(docs: DataFrame, words: int, bits: int) -> DataFrame:
-    """doc_id, n, fp, bits of every row, and one row of item counts per task."""
+    """doc_id, own, n, fp, bits of every row of docs(doc_id, text, own), and one row of item counts per task."""
 
     def signed(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(1 << bits, np.int32)
-        schema = pa.schema([("doc_id", pa.int64()), ("n", pa.int64()), ("fp", pa.binary()), ("bits", pa.binary()),
+        schema = pa.schema([("doc_id", pa.int64()), ("own", pa.string()), ("n", pa.int64()), ("fp", pa.binary()), ("bits", pa.binary()),
                             ("counts", pa.list_(pa.int32()))])
         for part in parts:
             sets = sh.shingle_sets(strings(part.column(1)), words)
             if sets:
                 counts += np.bincount(sh.bucket(np.concatenate(sets), bits), minlength=1 << bits).astype(np.int32)
             yield pa.RecordBatch.from_arrays([
-                part.column(0).cast(pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                part.column(0).cast(pa.int64()), part.column(2), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([sh.fingerprint(s) if len(s) else None for s in sets], pa.binary()),
                 pa.array([sh.parity_bits(s) if len(s) else None for s in sets], pa.binary()),
                 pa.nulls(len(sets), pa.list_(pa.int32())),
             ], schema=schema)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(1, pa.int64()), pa.array([-1], pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()),
+            [pa.nulls(1, pa.int64()), pa.nulls(1, pa.string()), pa.array([-1], pa.int64()), pa.nulls(1, pa.binary()), pa.nulls(1, pa.binary()),
              pa.array([counts], pa.list_(pa.int32()))],
             schema=schema)
 
-    return batches(docs, signed, "doc_id long, n long, fp binary, bits binary, counts array<int>")
+    return batches(docs, signed, "doc_id long, own string, n long, fp binary, bits binary, counts array<int>")
 
 
 def item_counts(signed: DataFrame, bits: int) -> np.ndarray:
@@ -269,14 +269,23 @@ def thin(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
 
 def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bits: int = SKETCH_BITS, task_items: int = TASK_ITEMS):
     """doc_id, n_shingles, component_id for every row of docs(doc_id, text)."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    found = groups(docs.select("doc_id", "text", F.lit(None).cast("string").alias("own")), words, percent, bits, task_items)
+    return found.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least.doc_id", "doc_id").alias("component_id"))
+
+
+def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bits: int = SKETCH_BITS, task_items: int = TASK_ITEMS):
+    """doc_id, own, n, least for every row of docs(doc_id, text, own): least is the smallest (doc_id, own) of its component.
+
+    `own` is a name of the row's text, for ids that stand for several; least is null without words or without any id.
+    """
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), "own")
     signed = stage(signatures(docs, words, bits), "signed")
-    rows = signed.where("counts IS NULL").select("doc_id", "n", "fp")
+    rows = signed.where("counts IS NULL").select("doc_id", "own", "n", "fp")
     counts = item_counts(signed, bits)
     # Row ids may be null; min() passes over those, so a class of null ids alone has none.
     classes = stage(
         signed.where("fp IS NOT NULL").groupBy("fp")
-        .agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")), "classes")
+        .agg(F.min(F.expr("CASE WHEN doc_id IS NOT NULL THEN struct(doc_id, own) END")).alias("rep"), F.first("n").alias("n"), F.first("bits").alias("bits")), "classes")
     special = {}
     named = classes.withColumn("low", F.substring("fp", 1, 8))
     twice = named.groupBy("low").agg(F.count("*").alias("k")).where("k > 1")
@@ -301,7 +310,7 @@ def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bits: int
     few = meet.where("NOT hot").select("item", "cls").join(numbered.select("cls", "n", "bits"), "cls")
     edges = stage(star.unionByName(tied(few, percent)).distinct(), "ties")
     blocks = components(edges).select(F.col("node").alias("cls"), F.col("component").alias("block"))
-    wanted = stage(numbered.join(blocks, "cls").select(F.col("rep").alias("doc_id"), "cls", "block", "n"), "wanted")
+    wanted = stage(numbered.join(blocks, "cls").select("rep.doc_id", "cls", "block", "n"), "wanted")
     ids = wanted.where("doc_id IS NOT NULL").select("doc_id", "cls", "block")
     some = docs.join(broadcast_below(ids, BROADCAST_ROWS), "doc_id").select("block", "cls", "text")
     bare = wanted.where("doc_id IS NULL").select("cls", "block")
@@ -327,8 +336,7 @@ def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bits: int
         "fp", "rep", F.coalesce("component", "cls").alias("component"))
     least = of.groupBy("component").agg(F.min("rep").alias("least"))
     final = of.join(least, "component").select("fp", "least")
-    return rows.join(final, "fp", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
+    return rows.join(final, "fp", "left").select("doc_id", "own", "n", "least")
 
 
 def _number(fp: str):

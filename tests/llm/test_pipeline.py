@@ -40,6 +40,22 @@ def test_repeated_and_null_rows_in_the_join_stage(spark):
     assert sorted(str(r.doc_id) for r in got.collect()) == ["1", "3", "None"]
 
 
+def test_ids_of_several_texts_in_the_join_stage(spark):
+    """A clean text stays although another row of its id goes; linked texts of one id leave one; copies of null ids are one."""
+    base = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, base, "b"), (2, base.upper(), "b"), (2, "a clean text of its own", "c"), (2, "a clean text of its own", "a"),
+            (3, "z " + " ".join(f"v{k}" for k in range(60)), "b"), (3, " ".join(f"v{k}" for k in range(60)), "b"), (4, None, "b"), (4, "", "b"),
+            (None, "copies of null id here", "d"), (None, "copies of null id here", "c"), (None, None, "d"), (None, None, "d")]
+    want = None
+    for docs in (rows, rows[::-1]):
+        frame = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3)
+        got = sorted((tuple(r) for r in corpus_pipeline.keep_one_of_group(spark, frame, SF).collect()), key=str)
+        want = want or got
+        assert got == want
+    assert [r[0] for r in got].count(3) == 1 and len(got) == 7
+    assert {(1, base, "b"), (2, "a clean text of its own", "a"), (4, None, "b"), (4, "", "b"), (None, "copies of null id here", "c"), (None, None, "d")} < set(got)
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_oracles(spark, name):
     sql = oracle(SF).sql(queries.ORACLES[name]).df()
