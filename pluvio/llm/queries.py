@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pluvio.llm.decontaminate import op11_prefix_decontamination
 from pluvio.llm.idfiles import op4_simple8b_ids
 from pluvio.llm.htmltext import op10_html_mincut
 from pluvio.llm.jaccard import op7_ngram_jaccard_join
@@ -16,7 +17,7 @@ from pluvio.llm.toxicity import op8_toxicity
 QUERIES = {
     f.__name__: f for f in (
         op1_gumbel_segmentations, op2_cross_polytope, op3_mtree_topk, op4_simple8b_ids, op5_quality, op6_best_fit_packing, op7_ngram_jaccard_join, op8_toxicity,
-        op9_tool_call_linking, op10_html_mincut,
+        op9_tool_call_linking, op10_html_mincut, op11_prefix_decontamination,
     )
 }
 
@@ -89,5 +90,28 @@ reach AS (SELECT a, b FROM both_ways UNION SELECT r.a, e.b FROM reach r JOIN bot
 least AS (SELECT a, min(b) AS component FROM reach GROUP BY a)
 SELECT sets.doc_id, len(sets.s)::BIGINT AS n_shingles, coalesce(least.component, sets.doc_id)::BIGINT AS component_id
 FROM sets LEFT JOIN copies ON copies.doc_id = sets.doc_id LEFT JOIN least ON least.a = copies.rep
+""",
+    "op11_prefix_decontamination": r"""
+WITH words AS (
+    SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), items AS (
+    SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS x
+    FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)
+), sizes AS (SELECT DISTINCT n FROM windows), runs AS (
+    SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS x
+    FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM words, sizes WHERE len(w) >= n)
+), hits AS (SELECT r, i, runs.n, item_id FROM runs JOIN windows USING (x)),
+places AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hits) GROUP BY r),
+named AS (
+    SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+    FROM (SELECT DISTINCT r, item_id::VARCHAR AS id FROM hits WHERE item_id IS NOT NULL) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN places USING (r) LEFT JOIN named USING (r)
 """,
 }
