@@ -7,21 +7,65 @@ from pluvio.llm.idfiles import op4_simple8b_ids
 from pluvio.llm.htmltext import op10_html_mincut
 from pluvio.llm.jaccard import op7_ngram_jaccard_join
 from pluvio.llm.neighbours import op2_cross_polytope
+from pluvio.llm.negatives import op12_onebit_hard_negatives
 from pluvio.llm.packing import op6_best_fit_packing
 from pluvio.llm.quality import op5_quality
 from pluvio.llm.segment import op1_gumbel_segmentations
 from pluvio.llm.toolcalls import op9_tool_call_linking
 from pluvio.llm.topk import op3_mtree_topk
 from pluvio.llm.toxicity import op8_toxicity
+from pluvio.llm.walsh import ROUNDS, op13_walsh_clustering
 
 QUERIES = {
     f.__name__: f for f in (
         op1_gumbel_segmentations, op2_cross_polytope, op3_mtree_topk, op4_simple8b_ids, op5_quality, op6_best_fit_packing, op7_ngram_jaccard_join, op8_toxicity,
-        op9_tool_call_linking, op10_html_mincut, op11_prefix_decontamination,
+        op9_tool_call_linking, op10_html_mincut, op11_prefix_decontamination, op12_onebit_hard_negatives,
+        op13_walsh_clustering,
     )
 }
 
+def _clustering_sql(rounds: int) -> str:
+    """Rounds of assigning and averaging, one after the other."""
+    best = """a{n} AS (
+    SELECT r, vec_id, q, k, d FROM (
+        SELECT r, vec_id, v.q, k, list_sum(list_transform(list_zip(v.q, c{n}.q), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT AS d FROM v, c{n})
+    QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, k) = 1
+)"""
+    mean = """s{n} AS (SELECT k, i, sum(q[i])::BIGINT AS s, count(*) AS n FROM a{n}, range(1, 65) AS t(i) GROUP BY k, i),
+m{n} AS (SELECT k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS q FROM s{n} GROUP BY k),
+c{next} AS (SELECT c{n}.k, coalesce(m{n}.q, c{n}.q) AS q FROM c{n} LEFT JOIN m{n} ON c{n}.k = m{n}.k)"""
+    steps = [x.format(n=n, next=n + 1) for n in range(rounds) for x in (best, mean)] + [best.format(n=rounds)]
+    return f"""
+WITH v AS MATERIALIZED (
+    SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), c0 AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), q) - 1 AS k, q FROM v WHERE vec_id IS NOT NULL
+    QUALIFY row_number() OVER (ORDER BY sha256('3:' || vec_id), q) <= 8
+), {", ".join(s.replace(" AS (", " AS MATERIALIZED (") for s in steps)}
+SELECT vec_id, a{rounds}.k::INT AS cluster, d AS distance, sum(d) OVER (PARTITION BY a{rounds}.k)::BIGINT AS cluster_inertia,
+    sum(d) OVER ()::BIGINT AS inertia, sha256(array_to_string(c{rounds}.q, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON a{rounds}.k = c{rounds}.k
+"""
+
+
 ORACLES: dict[str, str] = {
+    "op13_walsh_clustering": _clustering_sql(ROUNDS),
+    "op12_onebit_hard_negatives": """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label::BIGINT + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+    FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.vec_id AS a, o.vec_id AS o, a.label = o.label AS same, list_sum(list_transform(list_zip(a.q, o.q), lambda p: p[1] * p[2]))::BIGINT AS score
+    FROM v a JOIN v o ON a.vec_id % 100 = 0 AND a.vec_id <> o.vec_id AND len(a.q) = len(o.q)
+), p AS (SELECT a, o, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, o) <= 5)
+SELECT p.a AS anchor_id, p.o AS positive_id, row_number() OVER (PARTITION BY p.a, p.o ORDER BY s.score DESC, s.o)::INT AS rank, s.o AS negative_id,
+    p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON p.a = s.a AND NOT s.same AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+QUALIFY rank <= 10
+""",
     "op3_mtree_topk": """
 WITH v AS (
     SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
