@@ -1,7 +1,7 @@
 """Sets of hashed word shingles, in numpy.
 
-Words are hashed all at once: the hash of a word is a polynomial over random numbers of its bytes, modulo 2**64, which is a
-difference of running sums shifted by a power; the base is odd, so powers have inverses. Word hashes are mixed into shingles.
+Words are hashed all at once: every letter is mixed with its place in the word to 64 bits, and the hash of a word is the sum of
+these, which is a difference of running sums. Word hashes are mixed into shingles.
 """
 
 from __future__ import annotations
@@ -12,22 +12,28 @@ import numpy as np
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _SHIFT = np.uint64(31)
-_BASE = 0x5851F42D4C957F2D
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_CODES = np.random.default_rng(2024).integers(1, 1 << 63, 256, dtype=np.uint64)
 #: Bytes hashed at once; a longer word is still hashed whole.
 CHUNK = 1 << 18
-_powers: list[np.ndarray] = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _power_tables(n: int) -> list[np.ndarray]:
-    if len(_powers[0]) < n:
-        for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-            steps = np.full(n, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps)
-    return _powers
+def _scattered(x: np.ndarray) -> np.ndarray:
+    """Every 64-bit number to another one, each bit depending on all bits."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> _SHIFT)
+
+
+def run_hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A hash of each of the runs codes[starts:ends] (ascending, apart from each other)."""
+    size = ends - starts
+    inside = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    letters = codes[np.repeat(starts, size) + inside].astype(np.uint64)
+    sums = np.zeros(len(inside) + 1, np.uint64)
+    np.cumsum(_scattered((inside.astype(np.uint64) << np.uint64(24) | letters) * _MIX + _MIX), out=sums[1:])
+    edges = np.concatenate([[0], np.cumsum(size)])
+    return _scattered((sums[edges[1:]] - sums[edges[:-1]]) ^ size.astype(np.uint64))
 
 
 def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -52,12 +58,7 @@ def word_hashes(data: bytes) -> tuple[np.ndarray, np.ndarray]:
         inside = np.concatenate([[False], ~_SPACE[part], [False]])
         first = np.flatnonzero(inside[1:-1] & ~inside[:-2])
         last = np.flatnonzero(inside[1:-1] & ~inside[2:]) + 1
-        powers, inverses = _power_tables(max(len(part), CHUNK + 1))
-        sums = np.zeros(len(part) + 1, np.uint64)
-        np.cumsum(_CODES[part] * powers[:len(part)], out=sums[1:])
-        h = (sums[last] - sums[first]) * inverses[first] ^ (last - first).astype(np.uint64)
-        h *= _MIX
-        h ^= h >> _SHIFT
+        h = run_hashes(part, first, last)
         starts.append(first + at)
         hashes.append(h)
         at = end

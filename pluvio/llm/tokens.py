@@ -1,8 +1,8 @@
 """Token ids of whole texts by the tokenizers library, with the ids of each pre-token remembered.
 
 Byte-level BPE files cut a text into pre-tokens by a regular expression and encode each on its own. The cut is found here for
-a whole batch from the classes of its characters, pre-tokens are told apart by a 64-bit hash of characters and length, and the
-library's model splits those not seen before. Texts for which the cut might differ from the library's (special tokens inside, characters
+a whole batch from the classes of its characters, pre-tokens are looked up by a 64-bit hash of their characters, and the library's
+model splits those not seen before. Every pre-token is compared, character by character, with the one whose ids it gets. Texts for which the cut might differ from the library's (special tokens inside, characters
 outside the ranges below, other kinds of files) are encoded whole by the library.
 """
 
@@ -18,6 +18,8 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from pluvio.llm.shingles import run_hashes
+
 #: Characters that this module classes itself: Latin, Greek (without the final-form capital sigma), Cyrillic letters, general
 #: punctuation, and the common Han block. Their classes and lower cases have not changed between versions of Unicode.
 _RANGES = [(0x09, 0x0D), (0x20, 0x7E), (0xA0, 0x233), (0x391, 0x3A1), (0x3A4, 0x3A9), (0x3B1, 0x3C9), (0x410, 0x44F),
@@ -31,8 +33,6 @@ CUTS = {
     r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+": "spaced",
     r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+": "bare",
 }
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-_BASE = 0x5851F42D4C957F2D
 #: Characters cut at once.
 SECTION = 1 << 19
 #: Pre-tokens a process remembers.
@@ -84,8 +84,6 @@ class Encoder:
             elif step["type"] != "NFC":  # NFC leaves the ranges above as they are
                 self.cut = None
         self.classes = _class_table()
-        self.codes = np.random.default_rng(11).integers(1, 1 << 63, 65536, dtype=np.uint64)
-        self.powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
         self.forget()
 
     @staticmethod
@@ -107,10 +105,19 @@ class Encoder:
         self.count = np.zeros(0, np.int64)
         self.flat = np.zeros(1 << 16, np.uint32)
         self.used = 0
+        self.char_start = np.zeros(0, np.int64)  # where the characters of each are in chars, and how many there are
+        self.char_count = np.zeros(0, np.int64)
+        self.chars = np.zeros(1 << 16, np.uint16)
+        self.chars_used = 0
 
     def _remember(self, keys: np.ndarray, words: list[str]) -> None:
         """Encode pre-tokens not known yet; keys ascending."""
         split = self.whole.model.tokenize
+        own = np.frombuffer("".join(words).encode("utf-16-le"), np.uint16)
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        if self.chars_used + len(own) > len(self.chars):
+            self.chars = np.concatenate([self.chars, np.zeros(len(self.chars) + len(own), np.uint16)])
+        self.chars[self.chars_used:self.chars_used + len(own)] = own
         encoded = [[t.id for t in split(w.encode().decode("latin-1").translate(_SHOWN))] for w in words]
         count = np.fromiter(map(len, encoded), np.int64, len(encoded))
         total = int(count.sum())
@@ -118,6 +125,9 @@ class Encoder:
             self.flat = np.concatenate([self.flat, np.zeros(len(self.flat) + total, np.uint32)])
         self.flat[self.used:self.used + total] = np.fromiter(chain.from_iterable(encoded), np.uint32, total)
         at = np.searchsorted(self.keys, keys)
+        self.char_start = np.insert(self.char_start, at, self.chars_used + np.cumsum(size) - size)
+        self.char_count = np.insert(self.char_count, at, size)
+        self.chars_used += len(own)
         self.keys = np.insert(self.keys, at, keys)
         self.start = np.insert(self.start, at, self.used + np.cumsum(count) - count)
         self.count = np.insert(self.count, at, count)
@@ -155,17 +165,8 @@ class Encoder:
         codes = np.frombuffer(joined.encode("utf-32-le"), "<u4")
         kind = self.classes[codes]
         starts = self._starts(codes, kind)
-        n = len(codes)
-        if len(self.powers[0]) < n:
-            for k, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
-                steps = np.full(n + n // 4, base, np.uint64)
-                steps[0] = 1
-                self.powers[k] = np.cumprod(steps)
-        sums = np.zeros(n + 1, np.uint64)
-        np.cumsum(self.codes[codes] * self.powers[0][:n], out=sums[1:])
-        ends = np.append(starts[1:], n)
-        h = ((sums[ends] - sums[starts]) * self.powers[1][starts]) ^ (ends - starts).astype(np.uint64)
-        h *= _MIX
+        ends = np.append(starts[1:], len(codes))
+        h = run_hashes(codes, starts, ends)
         stop = kind[starts] == END
         keep = ~stop if self.cut == "spaced" else ~stop & (kind[starts] != SPACE)
         token = np.flatnonzero(keep)
@@ -180,13 +181,27 @@ class Encoder:
             self._remember(distinct[fresh], [joined[a:b] for a, b in zip(starts[at].tolist(), ends[at].tolist(), strict=True)])
             place = np.searchsorted(self.keys, distinct)
         where = place[inverse]
+        wrong = self._differing(codes, starts[token], ends[token], where)
         counts, begin = self.count[where], self.start[where]
         done = np.cumsum(counts)
         total = int(done[-1]) if len(done) else 0
         flat = self.flat[np.repeat(begin - (done - counts), counts) + np.arange(total)]
         upto = np.searchsorted(token, np.flatnonzero(stop))
         bounds = np.concatenate([[0], done])[upto]
-        return [flat[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        out = [flat[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+        for k in np.unique(np.searchsorted(upto, wrong, side="right") - 1).tolist():
+            out[k] = np.array(self.whole.encode(texts[k], add_special_tokens=False).ids, np.uint32)
+        return out
+
+    def _differing(self, codes: np.ndarray, starts: np.ndarray, ends: np.ndarray, where: np.ndarray) -> np.ndarray:
+        """Pre-tokens that are not the remembered ones at these places, though their hashes are equal."""
+        size = ends - starts
+        wrong = size != self.char_count[where]
+        whose = np.repeat(np.arange(len(size)), size)
+        inside = np.arange(len(whose)) - np.repeat(np.cumsum(size) - size, size)
+        stored = np.minimum(self.char_start[where][whose] + inside, len(self.chars) - 1)
+        wrong[whose[codes[starts[whose] + inside] != self.chars[stored]]] = True
+        return np.flatnonzero(wrong)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """The ids of every text."""

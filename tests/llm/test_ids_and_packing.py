@@ -1,5 +1,6 @@
 """Tokens as the library makes them, Simple-8b round trips, files of ids, packing."""
 
+import itertools
 import random
 import zlib
 
@@ -119,3 +120,46 @@ def test_packing_is_whole(spark):
     alone = packing.best_fit(np.array([r.length for r in out]), 2048)
     assert len(sequences) <= len(alone) + 1
     assert packing.pack(packing.pieces(docs.limit(0), path_of("word_bpe_49k.json"))).count() == 0
+
+
+def thue_morse(n):
+    """Two words whose sums of letters times powers of any odd number agree modulo 2**64."""
+    bits = [bin(k).count("1") % 2 for k in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_words_that_collide_in_polynomial_hashes_have_their_own_ids(name):
+    a, b = thue_morse(1024)
+    enc = Encoder(path_of(name))
+    texts = [f"x {a} y", f"x {b} y", a, b]
+    assert [x.tolist() for x in enc.encode(texts)] == [enc.whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_pretokens_of_one_hash_are_told_apart(name, monkeypatch):
+    from pluvio.llm import tokens
+
+    monkeypatch.setattr(tokens, "run_hashes", lambda codes, starts, ends: (ends - starts).astype(np.uint64) % 5)
+    enc = Encoder(path_of(name))
+    texts = ["the quick brown fox", "", "jumps over the lazy dog's back 12 34", "the the fox", "a" * 50 + " " + "b" * 50]
+    for _ in range(2):
+        assert [x.tolist() for x in enc.encode(texts)] == [enc.whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_search_stops_only_where_no_exchange_helps():
+    """No move, exchange, two for one or one for two between two underfull sequences raises the squared fill, whatever their sizes."""
+    rng = np.random.default_rng(4)
+    for capacity, low, high, n in ((60, 5, 40, 60), (400, 1, 12, 300), (100, 20, 60, 80)):
+        lengths = rng.integers(low, high, n)
+        bins = [x for x in packing.improve(packing.best_fit(lengths, capacity), lengths, capacity) if lengths[x].sum() < capacity]
+        for giver in bins:
+            for target in bins:
+                room = capacity - lengths[target].sum()
+                if giver is target or lengths[target].sum() < lengths[giver].sum():
+                    continue
+                outs = [sum(c) for k in (1, 2) for c in itertools.combinations(lengths[giver].tolist(), k)]
+                backs = [sum(c) for k in (0, 1, 2) for c in itertools.combinations(lengths[target].tolist(), k)]
+                singles = set(lengths[giver].tolist())
+                allowed = {o - b for o in singles for b in backs} | {o - b for o in outs for b in lengths[target].tolist()}
+                assert not any(0 < gain <= room for gain in allowed)

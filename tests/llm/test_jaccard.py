@@ -140,3 +140,10 @@ def test_components_of_chains(spark):
     chain = [(ids[k], ids[k + 1]) for k in range(199)] + [(ids[k], ids[k + 1]) for k in range(200, 299)]
     got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a long, b long")).collect()}
     assert got == {**{k: min(ids[:200]) for k in ids[:200]}, **{k: min(ids[200:]) for k in ids[200:]}}
+
+
+def test_words_that_collide_in_polynomial_hashes_are_different_shingles():
+    bits = [bin(k).count("1") % 2 for k in range(1024)]
+    a, b = "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
+    one, two = shingles.shingle_sets([f"{a} is a word", f"{b} is a word"])
+    assert len(one) == len(two) == 1 and one[0] != two[0]
