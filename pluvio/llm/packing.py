@@ -4,7 +4,7 @@ Documents are tokenized where they lie; only pieces (ids, lengths, checksums) go
 one task packs: best fit in decreasing order, then local search that moves documents and exchanges them one for one, two for
 one or one for two between underfull sequences, always raising the sum of squared fills, until the emptiest sequences are
 empty or nothing helps. What lies in sequences that stay underfull is dealt anew with that of the other groups, in ever fewer
-groups. Nothing is dropped and no document but those longer than a sequence is cut.
+groups, until there is one group or a round closes less than a share (`least_closed`) of its pieces. Nothing is dropped and no document but those longer than a sequence is cut.
 
 Null or empty texts are the end id alone. Repeated rows are packed each.
 """
@@ -19,16 +19,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.llm.common import batches, crc, pack_ids, strings, table
+from pluvio.llm.common import INTERNAL, batches, crc, pack_ids, strings, table
 from pluvio.llm.tokens import encoder, path_of
 from pluvio.session import stage
 
+OPEN = INTERNAL + "open"
 CAPACITY = 2048
 END_ID = 0
 #: Pieces one task packs.
 GROUP = 40_000
 #: Sequences with more room than this are opened again in the next round.
 SLACK = 16
+#: Rounds end when one closes the sequences of a smaller share of its pieces: sequences of such lengths do not fill.
+LEAST_CLOSED = 0.05
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
@@ -140,33 +143,54 @@ def _best_step(mine, length, home, room, giver):
     want = length[theirs]
     # One for one, and two of mine for one of theirs: the largest of mine that is at most its length and its room.
     singles = mine[np.argsort(length[mine], kind="stable")]
-    options = [(length[singles], [[k] for k in singles])]
-    if 1 < len(mine) <= 64:
-        i, j = np.triu_indices(len(mine), 1)
-        both = length[mine[i]] + length[mine[j]]
-        order = np.argsort(both, kind="stable")
-        options.append((both[order], list(zip(mine[i][order].tolist(), mine[j][order].tolist(), strict=True))))
-    for sums, names in options:
+    options = [(length[singles], [[k] for k in singles]), _pairs(singles, length)]
+    for sums, names in (x for x in options if len(x[0])):
         at = np.searchsorted(sums, want + space, side="right") - 1
         got = np.where(at >= 0, sums[np.maximum(at, 0)] - want, 0)
         k = int(got.argmax())
         if got[k] > gain:
             best, gain = (list(names[at[k]]), [int(theirs[k])], int(home[theirs[k]])), int(got[k])
-    # One of mine for two of theirs, in the receiver with most room.
-    target = int(room.argmax())
-    there = np.flatnonzero(home == target)
-    if 1 < len(there) <= 256:
-        i, j = np.triu_indices(len(there), 1)
-        pair = length[there[i]] + length[there[j]]
-        at = np.searchsorted(length[singles], pair + room[target], side="right") - 1
-        got = np.where(at >= 0, length[singles[np.maximum(at, 0)]] - pair, 0)
-        k = int(got.argmax())
-        if got[k] > gain:
-            best = ([int(singles[at[k]])], [int(there[i[k]]), int(there[j[k]])], target)
+    # One of mine for two of theirs: pairs of neighbours at every distance among the receivers' lengths, two of each length at most.
+    order = theirs[np.lexsort((length[theirs], home[theirs]))]
+    order = order[room[home[order]] > gain]
+    same = (home[order[2:]] == home[order[:-2]]) & (length[order[2:]] == length[order[:-2]])
+    order = order[np.concatenate([np.ones(min(2, len(order)), bool), ~same])]
+    longest = int(length[singles[-1]])
+    for gap in range(1, len(order)):
+        one, two = order[:-gap], order[gap:]
+        pair = home[one] == home[two]
+        if not pair.any():
+            break
+        one, two = one[pair], two[pair]
+        sums = length[one] + length[two]
+        able = sums < longest
+        one, two, sums = one[able], two[able], sums[able]
+        if len(sums):
+            at = np.searchsorted(length[singles], sums + room[home[one]], side="right") - 1
+            got = np.where(at >= 0, length[singles[np.maximum(at, 0)]] - sums, 0)
+            k = int(got.argmax())
+            if got[k] > gain:
+                best, gain = ([int(singles[at[k]])], [int(one[k]), int(two[k])], int(home[one[k]])), int(got[k])
     return best
 
 
-def pack(rows: DataFrame, capacity: int = CAPACITY, group: int = GROUP, slack: int = SLACK) -> DataFrame:
+def _pairs(items: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int]]]:
+    """The lengths of pairs of the items (ascending by length), ascending, and a pair of each two lengths.
+
+    A sequence holds few distinct lengths (at most 63 in 2,048 tokens), so the pairs of lengths are few as well.
+    """
+    own = length[items]
+    start = np.flatnonzero(np.diff(own, prepend=-1))
+    second = np.where(np.diff(start, append=len(items)) > 1, start + 1, -1)
+    i, j = np.triu_indices(len(start))
+    other = np.where(i == j, second[i], start[j])
+    i, other = start[i][other >= 0], other[other >= 0]
+    both = own[i] + own[other]
+    order = np.argsort(both, kind="stable")
+    return both[order], list(zip(items[i][order].tolist(), items[other][order].tolist(), strict=True))
+
+
+def pack(rows: DataFrame, capacity: int = CAPACITY, group: int = GROUP, slack: int = SLACK, least_closed: float = LEAST_CLOSED) -> DataFrame:
     """rows (with length, at most capacity) with sequence_id and offset."""
     rows = rows.select(*[c for c in rows.columns if c not in ("sequence_id", "offset")])
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
@@ -194,17 +218,16 @@ def pack(rows: DataFrame, capacity: int = CAPACITY, group: int = GROUP, slack: i
                     fill += int(lengths[i])
                 open_ += [not last and capacity - fill > slack] * len(b)
             out = mine.take(pa.array(order)).append_column("sequence_id", pa.array(sequence, pa.int64()))
-            out = out.append_column("offset", pa.array(offset, pa.int64())).append_column("open", pa.array(open_, pa.bool_()))
+            out = out.append_column("offset", pa.array(offset, pa.int64())).append_column(OPEN, pa.array(open_, pa.bool_()))
             yield from out.to_batches(max_chunksize=10_000)
 
         dealt = left.repartition(groups)
-        made = stage(batches(dealt, packed, f"{fields}, sequence_id long, offset long, open boolean"), "packed")
-        closed = made.where("NOT open").drop("open")
-        left = made.where("open").select(*names)
+        made = stage(batches(dealt, packed, f"{fields}, sequence_id long, offset long, {OPEN} boolean"), "packed")
+        closed = made.where(~F.col(OPEN)).drop(OPEN)
+        left = made.where(OPEN).select(*names)
         now = left.count()
-        if now and (groups == 1 or now > 0.8 * count):
-            # Sequences of these lengths do not fill; another round would not help.
-            closed, now = made.drop("open"), 0
+        if now and (groups == 1 or count - now < least_closed * count):
+            closed, now = made.drop(OPEN), 0
         done = closed if done is None else done.unionByName(closed)
         count, turn = now, turn + 1
     return done
