@@ -32,8 +32,14 @@ class Shape:
     longest_word: int = 32
 
 
-def words_of(text: str) -> list[str]:
-    return WORD.findall(text.lower())
+def words_of(text: str, shape: Shape = Shape()) -> list[str]:
+    """The words of a text; longer ones than longest_word as pieces that share as many characters as the longest n-gram has."""
+    words = WORD.findall(text.lower())
+    size = shape.longest_word
+    if not words or max(map(len, words)) <= size:
+        return words
+    step = size - max(shape.grams)
+    return [w[i:i + size] for w in words for i in (range(0, max(1, len(w) - size + step), step) if len(w) > size else (0,))]
 
 
 def word_row(word: str, shape: Shape) -> int:
@@ -41,12 +47,8 @@ def word_row(word: str, shape: Shape) -> int:
 
 
 def gram_rows(words: list[str], shape: Shape) -> tuple[np.ndarray, np.ndarray]:
-    """Rows of the character n-grams of the words between marks, word after word, and how many each word has.
-
-    Of a longer word than longest_word the two ends count.
-    """
-    half = shape.longest_word // 2
-    marked = ["^" + (w if len(w) <= shape.longest_word else w[:half] + w[-half:]) + "$" for w in words]
+    """Rows of the character n-grams of the words between marks, word after word, and how many each word has."""
+    marked = ["^" + w + "$" for w in words]
     codes = np.frombuffer("".join(marked).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     lengths = np.fromiter(map(len, marked), np.int64, len(marked))
     ends = np.cumsum(lengths)
@@ -238,7 +240,7 @@ def train(texts: list[str], labels: list[int], shape: Shape = Shape(), epochs: i
         return net
     rng = np.random.default_rng(seed)
     vocabulary = {PAD: 0}
-    docs = [np.array([vocabulary.setdefault(x, len(vocabulary)) for x in words_of(t)], np.int64) for t in texts]
+    docs = [np.array([vocabulary.setdefault(x, len(vocabulary)) for x in words_of(t, shape)], np.int64) for t in texts]
     names = list(vocabulary)
     own = np.array([word_row(x, shape) for x in names], np.int64)
     flat, n_grams = gram_rows(names, shape)
@@ -320,7 +322,7 @@ class Scorer:
 
     def windows(self, texts: list[str], block: int = 4096) -> tuple[np.ndarray, np.ndarray]:
         """Probability and document of every window, all windows of a document in order."""
-        ids = self.rows([words_of(t) for t in texts])
+        ids = self.rows([words_of(t, self.net.shape) for t in texts])
         index, lengths, owner = padded(ids, self.net.shape)
         score = np.empty(len(index), np.float64)
         order = np.argsort(lengths, kind="stable")

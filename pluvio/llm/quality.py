@@ -71,7 +71,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> gam.A
                     [part.column(0), pa.array(list(rows), pa.list_(pa.float64())), part.column(2)], names=["doc_id", "x", "label"])
 
     ids = taught_ids(labels, "quality", per_class)
-    chosen = docs.select("doc_id", "text").join(ids, "doc_id").select("doc_id", "text", "label")
+    # Of several texts of one id the smallest is learned from.
+    chosen = docs.select("doc_id", "text").join(ids, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")).select("doc_id", "text", "label")
     rows = sorted(batches(chosen, featured, "doc_id long, x array<double>, label int").collect())
     x = np.array([r.x for r in rows], np.float64).reshape(-1, len(FEATURES))
     y = np.array([r.label for r in rows], np.float64)

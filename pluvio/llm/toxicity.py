@@ -1,9 +1,10 @@
 """Toxicity of documents by a bidirectional gated recurrent network with attention pooling (see gru.py).
 
-A document is cut into overlapping windows of words that reach its last word; its score is that of its highest window. An
+A document is cut into overlapping windows of words that reach its last word; its score is that of its highest window. A word of more
+than 32 characters (such as a run of unspaced script) is cut into overlapping pieces, each a word of the windows. An
 empty or null text has one window of a pad word. Rows are scored where they lie: nothing is shuffled, repeated rows get equal
 scores. The model is fitted on a sample bounded by `per_class` documents of at most `longest` characters for either label,
-chosen by a hash of the id; scoring covers every window of every text.
+chosen by a hash of the id (of several texts of one id the smallest); scoring covers every window of every text.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, longest:
     ids = taught_ids(labels, "toxic", per_class)
     rows = (
         docs.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= longest))
-        .join(ids, "doc_id").dropDuplicates(["doc_id"]).select("doc_id", "text", "label").collect()
+        .join(ids, "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text")).collect()
     )
     rows.sort(key=lambda r: (r.doc_id, r.text))
     return train([r.text for r in rows], [int(r.label) for r in rows], shape)

@@ -110,3 +110,14 @@ def test_quality_on_held_out_rows_and_odd_rows(spark):
     assert len(rows) == 4 and all(0 <= r.score <= 1 for r in rows)
     assert quality.score(odd.limit(0), model, ["doc_id"]).count() == 0
     assert quality.score(docs.limit(3), quality.fit(docs.limit(0), labels), ["doc_id"]).first().score == pytest.approx(0.5)
+
+
+def test_the_middle_of_long_words_counts():
+    from pluvio.llm.gru import words_of
+
+    one, two = "a" * 20 + "xy" + "b" * 20, "a" * 20 + "zw" + "b" * 20
+    assert words_of(one) != words_of(two)
+    for n in (32, 33, 60, 61, 500):
+        word = "".join(chr(0x4E00 + k) for k in range(n))
+        pieces = words_of(f"hello {word} there")[1:-1]
+        assert max(map(len, pieces)) <= 32 and {word[i:i + 4] for i in range(n - 3)} <= {p[i:i + 4] for p in pieces for i in range(len(p) - 3)}
