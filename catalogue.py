@@ -460,8 +460,8 @@ def _frame_out(frames):
 
 
 @query("grid_cells", f"""SELECT g."row", g.col, {r('x', 2)} AS x, {r('y', 2)} AS y, count(cml_id) AS n_links
-    FROM cells g LEFT JOIN centers c ON c.px >= x - {GRID.dx / 2!r}e0 AND c.px < x + {GRID.dx / 2!r}e0
-      AND c.py >= y - {GRID.dy / 2!r}e0 AND c.py < y + {GRID.dy / 2!r}e0 GROUP BY ALL""", _field_sql("r"))
+    FROM cells g LEFT JOIN centers c ON g.col = floor((c.px - {GRID.x0!r}e0) / {GRID.dx!r}e0)
+      AND g."row" = floor((c.py - {GRID.y0!r}e0) / {GRID.dy!r}e0) GROUP BY ALL""", _field_sql("r"))
 def _(spark, sf):
     centers = idw.link_centers(links(spark, sf)).select(
         F.floor((F.col("py") - GRID.y0) / GRID.dy).cast("int").alias("row"),
@@ -548,7 +548,7 @@ def _(spark, sf):
 @query("masked_field", f"""SELECT {ts()} AS time, f."row", f.col, {r('v', 3)} AS v FROM frames f
     JOIN inside i ON i."row" = f."row" AND i.col = f.col""", {**_field_sql("r"), **RING_SQL})
 def _(spark, sf):
-    return _frame_out(mask.crop(_frames(spark, sf), _inside(spark, sf)))
+    return _frame_out(_frames(spark, sf, inside=_inside(spark, sf)))
 
 
 EXTENT = Limits(

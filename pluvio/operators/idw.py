@@ -1,27 +1,32 @@
 """Inverse distance weighting of link values to grid cells.
 
-Which links a cell uses depends on time only through the links that have a value. Steps with the
-same links present share one neighbour table, so the nearest links are searched once per set of
-present links (once in all if nothing is missing).
+Every cell has one list of candidates: the nearest of all links that have a value at any step, in order, somewhat more than it
+needs. A step takes from the list the first links that are present then, so links may come and go without another search. Cells whose list
+may be too short at some step get a deeper one, until no cell is short; a list that holds all links in reach never is.
 
 The search halves square buckets from the radius down. At each level a cell keeps the buckets that
-may still hold one of its k nearest links, judged by the bucket's nearest and farthest corner and
+may still hold one of its nearest links, judged by the bucket's nearest and farthest corner and
 the number of links in it. A bucket with very many links is split until it holds few, so no cell is
 ever paired with all links of a crowded place.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Sequence
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pluvio.functions.geo import mercator_x, mercator_y
 from pluvio.operators.grid import Grid, cells
-from pluvio.session import stage
+from pluvio.operators.presence import Tile
+from pluvio.session import ship, stage
 
 FINEST = 16  # halvings of the search radius
 LEAF = 48  # links per bucket below which halving stops
-ON_CELL = 1e-10  # a link closer than this decides the cell alone
 
 
 def link_centers(links: DataFrame, mercator: bool = True) -> DataFrame:
@@ -31,21 +36,6 @@ def link_centers(links: DataFrame, mercator: bool = True) -> DataFrame:
     return links.select("cml_id", lon.alias("px"), lat.alias("py"))
 
 
-def presence_groups(values: DataFrame) -> DataFrame:
-    """(time, grp): grp is the first time with the same links present.
-
-    Sets are compared by count and two xor-folded hashes, built before the shuffle.
-    """
-    known = values.where("z is not null")
-    sets = known.groupBy("time").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.bit_xor(F.xxhash64("cml_id")).alias("h1"),
-        F.bit_xor(F.xxhash64("cml_id", F.lit(7))).alias("h2"),
-    )
-    first = Window.partitionBy("n", "h1", "h2")
-    return sets.select("time", F.min("time").over(first).alias("grp"))
-
-
 def halvings(centers: DataFrame, radius: float) -> int:
     """Levels needed until no bucket holds more than LEAF distinct places; one small row per level is collected."""
     places = centers.select("px", "py").distinct()
@@ -142,24 +132,69 @@ def nearest_links(present: DataFrame, targets: DataFrame, k: int, radius: float,
     )
 
 
-def weights(neighbours: DataFrame, power: float) -> DataFrame:
-    """Add `w`, the share of each neighbour; a link on the cell takes all of it."""
-    cell = Window.partitionBy("grp", "row", "col")
-    raw = F.when(F.min("d").over(cell) >= ON_CELL, F.pow(F.col("d"), F.lit(-power))).otherwise(
-        F.when(F.col("rank") == 1, 1.0).otherwise(0.0)
+def _listed(present: DataFrame, targets: DataFrame, depth: int, radius: float, levels: int, tile: int) -> DataFrame:
+    """(trow, tcol, row, col, links): the nearest links of each cell in order, as (cml_id, d); full: there may be more in reach."""
+    found = nearest_links(present.withColumn("grp", F.lit(0)), targets, depth, radius, levels)
+    packed = found.groupBy("row", "col").agg(F.sort_array(F.collect_list(F.struct("rank", "cml_id", "d"))).alias("links"))
+    return packed.select(
+        F.floor(F.col("row") / tile).alias("trow"), F.floor(F.col("col") / tile).alias("tcol"), "row", "col",
+        F.transform("links", lambda n: F.struct(n["cml_id"].alias("cml_id"), n["d"].alias("d"))).alias("links"),
+        (F.size("links") >= depth).alias("full"),
     )
-    return neighbours.withColumn("raw_", raw).withColumn("w", F.col("raw_") / F.sum("raw_").over(cell)).drop("raw_")
 
 
-def neighbour_table(
-    values: DataFrame, centers: DataFrame, targets: DataFrame, *, near: int, radius: float, power: float
-) -> tuple[DataFrame, DataFrame]:
-    """Weighted neighbours per set of present links, and the values with the set of their time."""
-    groups = presence_groups(values)
-    grouped = values.where("z is not null").join(groups, "time")
-    present = grouped.where("time = grp").select("grp", "cml_id").join(centers, "cml_id")
-    found = nearest_links(present, targets, near, radius, halvings(centers, radius))
-    return weights(found, power), grouped
+def _by_tile(lists: DataFrame, values: DataFrame, parts: int, fn: Callable, schema: str) -> DataFrame:
+    """Call fn on the cells of a tile and the values of the links in their lists, for a part of the steps."""
+    tile = ["trow", "tcol"]
+    used = lists.select(F.col("trow").alias("tr"), F.col("tcol").alias("tc"), F.explode("links.cml_id").alias("cml_id")).distinct()
+    sent = used.join(values.where("z is not null"), "cml_id").withColumn("pt", F.pmod(F.hash("time"), F.lit(parts)))
+    cells_ = lists.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    # The work is in the groups, not in the bytes that are shuffled: one task for a few groups.
+    spark = lists.sparkSession
+    groups = parts * lists.select(*tile).distinct().count()
+    tasks = max(1, min(groups, max(int(spark.conf.get("spark.sql.shuffle.partitions")), groups // 4)))
+    ship(spark)
+    key = [*tile, "part"]
+    left = cells_.repartition(tasks, *key).groupBy(*key)
+    own = ["tr", "tc", "pt"]
+    right = sent.select(*own, "time", "cml_id", F.col("z").cast("double").alias("z")).repartition(tasks, *own).groupBy(*own)
+    return left.cogroup(right).applyInArrow(fn, schema)
+
+
+def neighbour_lists(
+    values: Sequence[DataFrame], centers: DataFrame, targets: DataFrame, *, near: int, radius: float, tile: int = 32, parts: int = 1,
+    depth: int | None = None,
+) -> DataFrame:
+    """Candidate lists of all cells, long enough for every step of all the values (cml_id, time, z). Staged."""
+    known = reduce(DataFrame.unionByName, [v.where("z is not null").select("cml_id") for v in values]).distinct()
+    present = stage(centers.join(known, "cml_id"), "present")
+    levels = halvings(present, radius)
+    depth = depth or 2 * near
+    lists = open_ = stage(_listed(present, targets, depth, radius, levels, tile), "candidates")
+
+    def short(cells_: pa.Table, sent: pa.Table) -> pa.Table:
+        few = Tile(cells_, sent, near).short_cells() if len(cells_) else np.zeros(0, np.int64)
+        return cells_.select(["row", "col"]).take(pa.array(few))
+
+    while True:
+        unsure = open_.where("full")
+        if unsure.isEmpty():
+            return lists
+        found = reduce(DataFrame.unionByName, [_by_tile(unsure, v, parts, short, "row int, col int") for v in values])
+        again = stage(found.distinct(), "short")
+        if again.isEmpty():
+            return lists
+        depth *= 4
+        open_ = stage(_listed(present, targets.join(again, ["row", "col"]), depth, radius, levels, tile), "candidates")
+        lists = stage(lists.join(again, ["row", "col"], "left_anti").select(open_.columns).unionByName(open_), "candidates")
+
+
+def consume(lists: DataFrame, values: DataFrame, *, near: int, power: float, parts: int = 1) -> DataFrame:
+    """Frames (time, row, col, v): each step weighs the first `near` links of a cell's list that are present."""
+    def frames(cells_: pa.Table, sent: pa.Table) -> pa.Table:
+        return Tile(cells_, sent, near).frames(power)
+
+    return _by_tile(lists, values, parts, frames, f"time {dict(values.dtypes)['time']}, row int, col int, v double")
 
 
 def interpolate(
@@ -172,49 +207,15 @@ def interpolate(
     power: float = 2.0,
     tile: int = 32,
     parts: int = 1,
+    depth: int | None = None,
 ) -> DataFrame:
     """Frames (time, row, col, v) of values (cml_id, time, z); cells without a neighbour have no row.
 
-    The values travel to tiles of cells as one array per tile and step, and a cell adds up its at
-    most `near` weighted entries there. So a step's value is shuffled once per tile that needs it,
-    not once per cell. With `parts`, the steps of a tile are spread over that many tasks and its
-    cells are repeated for each.
+    The values travel to tiles of cells, once per tile that lists their link and not once per cell. With `parts`, the steps of a tile
+    are spread over that many tasks and its cells are repeated for each.
     """
-    table, grouped = neighbour_table(values, centers, targets, near=near, radius=radius, power=power)
-    # The neighbours do not depend on the values: they are searched once and read twice.
-    packed = stage(
-        table.groupBy("grp", "row", "col")
-        .agg(F.sort_array(F.collect_list(F.struct("cml_id", "w"))).alias("links"))
-        .withColumns({"trow": F.floor(F.col("row") / tile), "tcol": F.floor(F.col("col") / tile)}),
-        "neighbours",
-    )
-    key = ["grp", "trow", "tcol"]
-    used = packed.select(*key, F.explode("links.cml_id").alias("cml_id")).distinct()
-    # At most tile*tile*near links per tile.
-    ids = used.groupBy(*key).agg(F.sort_array(F.collect_list("cml_id")).alias("ids"))
-    placed = packed.join(ids, key).select(
-        *key, "row", "col",
-        F.transform(
-            "links",
-            lambda n: F.struct((F.array_position(F.col("ids"), n["cml_id"]) - 1).cast("int").alias("i"), n["w"].alias("w")),
-        ).alias("links"),
-    )
-    placed = placed.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
-    rows = (
-        used.join(grouped, ["grp", "cml_id"])
-        .groupBy(*key, "time")
-        .agg(F.sort_array(F.collect_list(F.struct("cml_id", "z"))).getField("z").alias("zs"))
-    )
-
-    def part(j: int) -> Column:
-        link = F.get(F.col("links"), F.lit(j))
-        return F.coalesce(F.get(F.col("zs"), link["i"]) * link["w"], F.lit(0.0))
-
-    total = part(0)
-    for j in range(1, near):
-        total = total + part(j)
-    rows = rows.withColumn("part", F.pmod(F.hash("time"), F.lit(parts)))
-    return rows.join(placed, [*key, "part"]).select("time", "row", "col", total.alias("v"))
+    lists = neighbour_lists([values], centers, targets, near=near, radius=radius, tile=tile, parts=parts, depth=depth)
+    return consume(lists, values, near=near, power=power, parts=parts)
 
 
 def clean_frames(frames: DataFrame, least: float) -> DataFrame:
@@ -236,12 +237,13 @@ def rain_frames(
     dry_as_missing: bool = False,
     tile: int = 32,
     parts: int = 1,
+    inside: DataFrame | None = None,
 ) -> DataFrame:
     """Interpolated and cleaned frames (time, row, col, v) of one column of the link series."""
     z = F.nullif(F.col(value), F.lit(0.0)) if dry_as_missing else F.col(value)
     made = frames_by_kind(
         link_values, links, grid, {value: (z, least)}, near=near, radius=radius, power=power, mercator=mercator,
-        tile=tile, parts=parts,
+        tile=tile, parts=parts, inside=inside,
     )
     return made[value]
 
@@ -258,23 +260,17 @@ def frames_by_kind(
     mercator: bool = True,
     tile: int = 32,
     parts: int = 1,
+    inside: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Frames of several columns {kind: (values, least rain)} with one search for neighbours.
+    """Frames of several columns {kind: (values, least rain)} with one set of candidate lists.
 
-    A step of a kind is told apart by (kind, time), so kinds and steps with the same links present
-    share their neighbours. Reading one kind works out that kind only.
+    `inside` (row, col) restricts the cells. Reading one kind works out that kind only.
     """
-    values = None
-    for kind, (z, _least) in kinds.items():
-        part = link_values.select("cml_id", F.struct(F.lit(kind).alias("kind"), "time").alias("time"), z.alias("z"))
-        values = part if values is None else values.unionByName(part)
+    values = {kind: link_values.select("cml_id", "time", z.alias("z")) for kind, (z, _least) in kinds.items()}
     targets = cells(links.sparkSession, grid)
-    frames = interpolate(
-        values, link_centers(links, mercator), targets, near=near, radius=radius, power=power, tile=tile, parts=parts
-    )
+    if inside is not None:
+        targets = targets.join(inside, ["row", "col"], "left_semi")
+    lists = neighbour_lists(list(values.values()), link_centers(links, mercator), targets, near=near, radius=radius, tile=tile, parts=parts)
     return {
-        kind: clean_frames(
-            frames.where(F.col("time.kind") == kind).select(F.col("time.time").alias("time"), "row", "col", "v"), least
-        )
-        for kind, (_z, least) in kinds.items()
+        kind: clean_frames(consume(lists, v, near=near, power=power, parts=parts), kinds[kind][1]) for kind, v in values.items()
     }

@@ -65,10 +65,8 @@ def rain_fields(rain: DataFrame, links: DataFrame, cfg: Settings = Settings(), o
         kinds["r_hour_sum"] = (F.col("r_hour_sum"), cfg.score.min_rain * minutes / 60.0)
     made = idw.frames_by_kind(
         series, links, grid, kinds, near=cfg.interp.near, radius=cfg.interp.max_distance, power=cfg.interp.power,
-        mercator=cfg.interp.mercator, tile=cfg.interp.tile, parts=1 if dry else parts,
+        mercator=cfg.interp.mercator, tile=cfg.interp.tile, parts=parts, inside=inside,
     )
-    if inside is not None:
-        made = {kind: mask.crop(frames, inside) for kind, frames in made.items()}
     return with_info(Products(grid, series, made["r"], made.get("r_hour_sum"), None, None), cfg)
 
 

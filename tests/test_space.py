@@ -78,9 +78,30 @@ def test_against_brute_force(spark, monkeypatch, case):
     assert min(known) - 1e-9 <= min(got.values()) and max(got.values()) <= max(known) + 1e-9
 
 
-def test_one_group_when_nothing_is_missing(spark):
-    v = spark.createDataFrame([(c, t, 1.0) for c in range(5) for t in range(4)], "cml_id bigint, time int, z double")
-    assert idw.presence_groups(v).select("grp").distinct().count() == 1
+@pytest.mark.parametrize(("depth", "share"), [(5, 0.5), (6, 0.9), (None, 0.98)])
+def test_links_that_come_and_go(spark, depth, share):
+    """Every step has a set of links of its own; lists that run out are made deeper."""
+    rng = np.random.default_rng(6)
+    centers = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-100, 1200, (80, 2)))]
+    centers += [(100 + i, 610.0, 390.0) for i in range(50)] + [(200, 50.0, 50.0), (201, 50.0, 50.0), (202, 50.0, 50.00000001)]
+    values = [(c, t, None if rng.uniform() < share else float(rng.uniform(0, 9))) for c, _, _ in centers for t in range(12)]
+    got = frames(spark, centers, values, near=5, radius=420.0, power=2.0, parts=3, depth=depth)
+    same(got, brute(centers, values, 5, 420.0, 2.0))
+
+
+def test_lists_are_searched_once_if_they_last(spark, monkeypatch):
+    searches = []
+    plain = idw.nearest_links
+    monkeypatch.setattr(idw, "nearest_links", lambda *a: searches.append(a[2]) or plain(*a))
+    rng = np.random.default_rng(7)
+    centers = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(0, 1200, (90, 2)))]
+    values = [(c, t, None if (c + t) % 10 == 0 else 1.0) for c, _, _ in centers for t in range(20)]  # no two steps with the same links
+    frames(spark, centers, values, near=5, radius=400.0, power=2.0)
+    assert searches == [10]
+
+
+def test_no_values(spark):
+    assert frames(spark, [(1, 5.0, 5.0)], [(1, 0, None)], near=3, radius=100.0, power=2.0) == {}
 
 
 def inside(spark, rings, grid=gr.Grid(6, 6, -0.5, -0.5, 1.0, 1.0)):
