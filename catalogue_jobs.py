@@ -91,16 +91,13 @@ def _(spark, sf):
     return _points(spark, root)
 
 
-#: Days of margin that reach over the whole range of the events, so that parts have the values of the whole.
-MARGIN = 60
-
-
 @c.query("history_slices_equal_whole", SERIES_SQL, SCANNED)
 def _(spark, sf):
-    """The history in slices, each written on its own into the same series."""
-    root = _root(spark)
-    cfg = replace(settings(spark, sf), output=Output(frames=False, flags=False, intensities=True), margin=MARGIN)
-    run.run_history(telemetry(spark, sf), stage(c.links(spark, sf), "links"), cfg, root, days=12)
+    """The history up to a time, and then as a whole, each as one job that writes once into the same series."""
+    root, links = _root(spark), stage(c.links(spark, sf), "links")
+    cfg = replace(settings(spark, sf), output=Output(frames=False, flags=False, intensities=True))
+    for end in (cfg.time.end - timedelta(days=10), cfg.time.end):
+        run.run_history(telemetry(spark, sf), links, replace(cfg, time=replace(cfg.time, end=end)), root)
     return _points(spark, root)
 
 
@@ -110,9 +107,10 @@ SPAN_SQL = "(SELECT date_trunc('day', max(ts)) - INTERVAL {} DAY FROM events)"
 @c.query("trailing_equals_whole", f"""SELECT cml_id, {ts()} AS time, {r('r', 3)} AS r, {r('r_hour_sum', 2)} AS r_hour_sum FROM hour_sum
     WHERE time >= {SPAN_SQL.format(13)}""", SCANNED)
 def _(spark, sf):
-    """The link series of a trailing window, from its first step on."""
-    cfg = replace(settings(spark, sf), margin=MARGIN)
-    made = run.run_trailing(telemetry(spark, sf), stage(c.links(spark, sf), "links"), cfg, cfg.time.end, "14d")
+    """The link series of the last of three cycles over trailing windows, each with the state that the one before left."""
+    cfg, root, links = settings(spark, sf), _root(spark), stage(c.links(spark, sf), "links")
+    for back in (9, 5, 0):
+        made = run.run_trailing(telemetry(spark, sf), links, cfg, cfg.time.end - timedelta(days=back), "14d", state=f"{root}/state")
     return made.links.select("cml_id", c.stamp(), c.rr("r", 3).alias("r"), c.rr("r_hour_sum", 2).alias("r_hour_sum"))
 
 
@@ -120,10 +118,10 @@ def _(spark, sf):
     WHERE time >= {SPAN_SQL.format(17)}""", {**c._field_sql("r"), **SCANNED})
 def _(spark, sf):
     """Two overlapping cycles over trailing windows of 14 days; the second leaves the frames before its window."""
-    root, cfg = _root(spark), replace(settings(spark, sf), margin=MARGIN)
+    root, state, cfg = _root(spark), _root(spark), settings(spark, sf)
     links = stage(c.links(spark, sf), "links")
     for back in (4, 0):
         with staging(spark):
-            made = run.run_trailing(telemetry(spark, sf), links, cfg, cfg.time.end - timedelta(days=back), "14d")
+            made = run.run_trailing(telemetry(spark, sf), links, cfg, cfg.time.end - timedelta(days=back), "14d", state=state)
             publish.write_frames(made.frames.withColumn("v", c.rr("v", 3)), root, made.links.select("time").distinct())
     return frame_store.read_frames(spark, root).select("utc", "row", "col", "v")

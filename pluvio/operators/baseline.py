@@ -13,16 +13,21 @@ from pluvio.session import ship
 
 
 def last_dry_baseline(channels: DataFrame) -> DataFrame:
-    """Baseline with one averaged sample: the last dry value, carried on through wet rows."""
+    """Baseline with one averaged sample: the last dry value, carried on through wet rows.
+
+    Rows marked in a column `given` bring the value held at them in `given_baseline`, from which later rows go on; `held` is then
+    returned as well.
+    """
     w = Window.partitionBy(*CHANNEL).orderBy("time")
     numbered = channels.withColumn("first_", F.row_number().over(w) == 1)
-    anchor = F.when(
-        F.col("first_") | (F.col("wet") == False), F.struct(F.col("trsl").alias("v"))  # noqa: E712
-    )
+    own = F.struct(F.col("trsl").alias("v"))
+    anchor = F.when(F.col("first_") | (F.col("wet") == False), own)  # noqa: E712
+    given = "given" in channels.columns
+    if given:
+        anchor = F.when(F.col("given"), F.struct(F.col("given_baseline").alias("v"))).otherwise(anchor)
     held = F.last(anchor, True).over(w.rowsBetween(Window.unboundedPreceding, 0))["v"]
-    return numbered.withColumn(
-        "baseline", F.when(F.col("wet").isNotNull() | F.col("first_"), held)
-    ).drop("first_")
+    out = numbered.withColumn("held", held).withColumn("baseline", F.when(F.col("wet").isNotNull() | F.col("first_"), F.col("held")))
+    return out.drop("first_") if given else out.drop("first_", "held")
 
 
 def with_episodes(channels: DataFrame, n: int, block: int = 4096) -> DataFrame:
@@ -54,19 +59,26 @@ def with_episodes(channels: DataFrame, n: int, block: int = 4096) -> DataFrame:
 
 
 def walk(
-    trsl: np.ndarray, wet: np.ndarray, since: np.ndarray, n: int, waa_max: float, rise: float
+    trsl: np.ndarray, wet: np.ndarray, since: np.ndarray, n: int, waa_max: float, rise: float,
+    given: tuple[np.ndarray, np.ndarray, np.ndarray] | None = None,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Baseline and wet-antenna attenuation of pieces, one after the other; wet is 0, 1 or NaN.
 
-    Only wet rows need the walk: on dry rows both follow from the path loss alone.
+    Only wet rows need the walk: on dry rows both follow from the path loss alone. `given` has a mask of rows whose baseline and
+    wet-antenna attenuation are known, and these; the walk goes on from them.
     """
     baseline = np.where((since < n) | ~np.isnan(wet), trsl, np.nan)
-    rows = np.flatnonzero(wet == 1)
+    known = np.zeros(len(trsl), bool) if given is None else given[0]
+    if given is not None:
+        baseline[known] = given[1][known]
+    rows = np.flatnonzero((wet == 1) & ~known)
     with np.errstate(invalid="ignore"):
         for i in rows[since[rows] >= n]:
             onset = wet[i - 1] != 1
             baseline[i] = baseline[i - n : i].mean() if onset else baseline[i - 1]
         waa = np.minimum(trsl - baseline, waa_max)
+        if given is not None:
+            waa[known] = given[2][known]
         for i in rows[since[rows] > 0]:
             waa[i] = np.minimum(waa[i], waa[i - 1] + (waa_max - waa[i - 1]) * rise)
     return baseline, waa
@@ -83,7 +95,8 @@ def baseline_and_waa(
     """Add `baseline` (n samples averaged before each wet period) and `waa` (Schleiss 2013).
 
     The wet-antenna attenuation climbs by 3*step/tau of the distance to its maximum per step;
-    step and tau are both in minutes unless `step_in_hours`.
+    step and tau are both in minutes unless `step_in_hours`. Rows marked in a column `given` have both in `given_baseline` and
+    `given_waa`, from which later rows go on.
 
     The windows that number the pieces leave each channel whole and sorted in one partition, so the
     walk needs no further shuffle.
@@ -91,12 +104,17 @@ def baseline_and_waa(
     rise = 3.0 * (step_minutes / 60.0 if step_in_hours else step_minutes) / tau
     pieces = with_episodes(channels, n).sortWithinPartitions(*CHANNEL, "pos")
     columns = [*channels.columns, "baseline", "waa"]
+    carried = "given" in channels.columns
     types = dict(channels.dtypes)
     schema = ", ".join(f"`{c}` {types.get(c, 'double')}" for c in columns)
 
     def chunk(pdf: pd.DataFrame, _starts: np.ndarray) -> pd.DataFrame:
         wet = pdf["wet"].astype("float64").to_numpy()
-        base, waa = walk(pdf["trsl"].to_numpy("float64"), wet, pdf["since"].to_numpy(), n, waa_max, rise)
+        given = None
+        if carried:
+            mask = pdf["given"].fillna(False).to_numpy(bool)
+            given = (mask, pdf["given_baseline"].to_numpy("float64"), pdf["given_waa"].to_numpy("float64"))
+        base, waa = walk(pdf["trsl"].to_numpy("float64"), wet, pdf["since"].to_numpy(), n, waa_max, rise, given)
         return pdf.assign(baseline=base, waa=waa)[columns]
 
     ship(pieces.sparkSession)

@@ -75,14 +75,15 @@ def join_crowded(wide: DataFrame, ends: DataFrame, crowd: int = CROWD) -> DataFr
     return left.drop("salts").join(right.drop("salts"), ["agent_host", "salt"]).drop("salt")
 
 
-def build_channels(wide: DataFrame, links: DataFrame) -> DataFrame:
+def build_channels(wide: DataFrame, links: DataFrame, every_link: bool = False) -> DataFrame:
     """Rows (cml_id, channel_id, time, tsl, rsl, temperatures) of the links with both hosts present.
 
     One shuffle by cml_id brings both ends of a link together. Everything after it that works per
     link or per channel keeps that partitioning. A link has at most one row per step and end.
 
     A time at which only one end reported is missing in the channel received at the other end; a
-    sending end that did not report counts as level 0.
+    sending end that did not report counts as level 0. With `every_link`, links with one host stay, and has_a and has_b say
+    which hosts were seen.
     """
     ends = join_ends(wide, link_ends(links)).repartition("cml_id")
     constants = ["polarization", "length", "turned", "f_ab", "f_ba", "k_ab", "k_ba", "alpha_ab", "alpha_ba"]
@@ -99,8 +100,9 @@ def build_channels(wide: DataFrame, links: DataFrame) -> DataFrame:
         ends.groupBy("cml_id", "time", *constants)
         .agg(*end("a"), *end("b"))
         .withColumns({"has_a": F.max("a_seen").over(whole), "has_b": F.max("b_seen").over(whole)})
-        .where("has_a and has_b")
     )
+    flags = ["has_a", "has_b"] if every_link else []
+    paired = paired if every_link else paired.where("has_a and has_b")
 
     def channel(name: str, rx: str, tx: str, way: str):
         seen = F.col(f"{rx}_seen")
@@ -117,8 +119,8 @@ def build_channels(wide: DataFrame, links: DataFrame) -> DataFrame:
         )
 
     both = F.array(channel(AB, "a", "b", "ab"), channel(BA, "b", "a", "ba"))
-    return paired.select("cml_id", "time", "polarization", "length", F.explode(both).alias("c")).select(
-        "cml_id", "time", "polarization", "length", "c.*"
+    return paired.select("cml_id", "time", "polarization", "length", *flags, F.explode(both).alias("c")).select(
+        "cml_id", "time", "polarization", "length", "c.*", *flags
     )
 
 

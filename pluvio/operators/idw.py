@@ -143,11 +143,13 @@ def _listed(present: DataFrame, targets: DataFrame, depth: int, radius: float, l
     )
 
 
-def _by_tile(lists: DataFrame, values: DataFrame, parts: int, fn: Callable, schema: str) -> DataFrame:
+def _by_tile(lists: DataFrame, values: DataFrame, parts: int, part: Column | None, fn: Callable, schema: str) -> DataFrame:
     """Call fn on the cells of a tile and the values of the links in their lists, for a part of the steps."""
     tile = ["trow", "tcol"]
     used = lists.select(F.col("trow").alias("tr"), F.col("tcol").alias("tc"), F.explode("links.cml_id").alias("cml_id")).distinct()
-    sent = used.join(values.where("z is not null"), "cml_id").withColumn("pt", F.pmod(F.hash("time"), F.lit(parts)))
+    sent = used.join(values.where("z is not null"), "cml_id").withColumn(
+        "pt", F.pmod(F.hash("time"), F.lit(parts)) if part is None else part.cast("int")
+    )
     cells_ = lists.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     # The work is in the groups, not in the bytes that are shuffled: one task for a few groups.
     spark = lists.sparkSession
@@ -163,7 +165,7 @@ def _by_tile(lists: DataFrame, values: DataFrame, parts: int, fn: Callable, sche
 
 def neighbour_lists(
     values: Sequence[DataFrame], centers: DataFrame, targets: DataFrame, *, near: int, radius: float, tile: int = 32, parts: int = 1,
-    depth: int | None = None,
+    depth: int | None = None, part: Column | None = None,
 ) -> DataFrame:
     """Candidate lists of all cells, long enough for every step of all the values (cml_id, time, z). Staged."""
     known = reduce(DataFrame.unionByName, [v.where("z is not null").select("cml_id") for v in values]).distinct()
@@ -180,7 +182,7 @@ def neighbour_lists(
         unsure = open_.where("full")
         if unsure.isEmpty():
             return lists
-        found = reduce(DataFrame.unionByName, [_by_tile(unsure, v, parts, short, "row int, col int") for v in values])
+        found = reduce(DataFrame.unionByName, [_by_tile(unsure, v, parts, part, short, "row int, col int") for v in values])
         again = stage(found.distinct(), "short")
         if again.isEmpty():
             return lists
@@ -189,12 +191,15 @@ def neighbour_lists(
         lists = stage(lists.join(again, ["row", "col"], "left_anti").select(open_.columns).unionByName(open_), "candidates")
 
 
-def consume(lists: DataFrame, values: DataFrame, *, near: int, power: float, parts: int = 1) -> DataFrame:
-    """Frames (time, row, col, v): each step weighs the first `near` links of a cell's list that are present."""
+def consume(lists: DataFrame, values: DataFrame, *, near: int, power: float, parts: int = 1, part: Column | None = None) -> DataFrame:
+    """Frames (time, row, col, v): each step weighs the first `near` links of a cell's list that are present.
+
+    The steps of a tile are spread over so many `parts`, by a hash or by the number (from 0) that `part` gives to each time.
+    """
     def frames(cells_: pa.Table, sent: pa.Table) -> pa.Table:
         return Tile(cells_, sent, near).frames(power)
 
-    return _by_tile(lists, values, parts, frames, f"time {dict(values.dtypes)['time']}, row int, col int, v double")
+    return _by_tile(lists, values, parts, part, frames, f"time {dict(values.dtypes)['time']}, row int, col int, v double")
 
 
 def interpolate(
@@ -261,6 +266,7 @@ def frames_by_kind(
     tile: int = 32,
     parts: int = 1,
     inside: DataFrame | None = None,
+    part: Column | None = None,
 ) -> dict[str, DataFrame]:
     """Frames of several columns {kind: (values, least rain)} with one set of candidate lists.
 
@@ -270,7 +276,7 @@ def frames_by_kind(
     targets = cells(links.sparkSession, grid)
     if inside is not None:
         targets = targets.join(inside, ["row", "col"], "left_semi")
-    lists = neighbour_lists(list(values.values()), link_centers(links, mercator), targets, near=near, radius=radius, tile=tile, parts=parts)
+    lists = neighbour_lists(list(values.values()), link_centers(links, mercator), targets, near=near, radius=radius, tile=tile, parts=parts, part=part)
     return {
-        kind: clean_frames(consume(lists, v, near=near, power=power, parts=parts), kinds[kind][1]) for kind, v in values.items()
+        kind: clean_frames(consume(lists, v, near=near, power=power, parts=parts, part=part), kinds[kind][1]) for kind, v in values.items()
     }

@@ -12,6 +12,9 @@ from pluvio.operators import idw, mask, products, resample
 from pluvio.operators.grid import Grid, make_grid
 from pluvio.session import stage
 
+#: Steps of a tile that one task interpolates.
+PART_STEPS = 256
+
 
 @dataclass(frozen=True)
 class Products:
@@ -54,9 +57,11 @@ def rain_fields(rain: DataFrame, links: DataFrame, cfg: Settings = Settings(), o
     if outline is not None and cfg.output.crop:
         inside = mask.inside_cells(mask.to_mercator(outline) if cfg.interp.mercator else outline, grid)
 
-    # About 256 steps of a tile per task, if the range is known.
-    minutes_in_range = (cfg.time.end - cfg.time.start).total_seconds() / 60 if cfg.time.start and cfg.time.end else 0
-    parts = max(1, round(minutes_in_range / cfg.time.output_step / 256))
+    # Steps that follow each other, some 256 of a tile per task.
+    span = series.agg(F.unix_seconds(F.min("time")).alias("a"), F.unix_seconds(F.max("time")).alias("b")).first()
+    seconds = PART_STEPS * cfg.time.output_step * 60
+    first, parts = (0, 1) if span["a"] is None else (span["a"], (span["b"] - span["a"]) // seconds + 1)
+    part = F.floor((F.unix_seconds("time") - first) / seconds)
 
     minutes = cfg.hour_sum.window_minutes
     dry = cfg.interp.dry_as_missing
@@ -65,7 +70,7 @@ def rain_fields(rain: DataFrame, links: DataFrame, cfg: Settings = Settings(), o
         kinds["r_hour_sum"] = (F.col("r_hour_sum"), cfg.score.min_rain * minutes / 60.0)
     made = idw.frames_by_kind(
         series, links, grid, kinds, near=cfg.interp.near, radius=cfg.interp.max_distance, power=cfg.interp.power,
-        mercator=cfg.interp.mercator, tile=cfg.interp.tile, parts=parts, inside=inside,
+        mercator=cfg.interp.mercator, tile=cfg.interp.tile, parts=parts, part=part, inside=inside,
     )
     return with_info(Products(grid, series, made["r"], made.get("r_hour_sum"), None, None), cfg)
 

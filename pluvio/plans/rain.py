@@ -14,7 +14,9 @@ from pluvio.operators.channels import build_channels, link_ends
 from pluvio.sources import metadata, telemetry
 
 
-def load_channels(rows: DataFrame, links: DataFrame, cfg: Settings, scan: tuple[datetime, datetime] | None = None) -> DataFrame:
+def load_channels(
+    rows: DataFrame, links: DataFrame, cfg: Settings, scan: tuple[datetime | None, datetime | None] | None = None, every_link: bool = False
+) -> DataFrame:
     """Channels of the links over the scan range (by default the configured one with its warm-up)."""
     start, end = scan if scan else cfg.scan_range()
     wanted = telemetry.scan(rows, start, end, cfg.fields, cfg.temperature.needed)
@@ -23,7 +25,7 @@ def load_channels(rows: DataFrame, links: DataFrame, cfg: Settings, scan: tuple[
         wanted = telemetry.of_hosts(wanted, hosts)
     # Beyond that the raw rows are averaged first: the join with the links drops other hosts.
     wide = telemetry.step_means(wanted, cfg.time.step * 60, cfg.fields, cfg.temperature.needed)
-    return build_channels(wide, links)
+    return build_channels(wide, links, every_link)
 
 
 def trailing(cfg: Settings, now: datetime, window: str = "1d") -> Settings:
@@ -45,16 +47,23 @@ def rain_rates(
     Everything runs on the partitioning by cml_id that `build_channels` sets up. With method
     `given`, a `wet` column is expected. Leijnse's curves are derived from `links` if given.
     `slim` drops the signals and temperatures once they are used: columns cannot be pruned through
-    the walk along the series.
+    the walk along the series. Rows marked in a column `given` (see `carry`) keep the path loss, wet flag, baseline and
+    wet-antenna attenuation they bring.
     """
     wd, waa = cfg.wet_dry, cfg.waa
+    given = "given" in channels.columns
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        return df.withColumn(name, F.when(F.col("given"), F.col(f"given_{name}")).otherwise(F.col(name))) if given else df
+
     out = quality.clean(channels, cfg.temperature.needed)
     if cfg.temperature.filtered:
         out = temperature.drop_flagged(out, cfg.temperature.threshold)
     if cfg.temperature.compensated:
         out = temperature.compensate(out, cfg.temperature.threshold, cfg.temperature.reference)
+    out = keep(out, "trsl")
     if wd.method == "rolling":
-        out = wetdry.rolling_wet(out, wd.rolling_values, wd.deviation, wd.centered)
+        out = keep(wetdry.rolling_wet(out, wd.rolling_values, wd.deviation, wd.centered), "wet")
     if slim:
         out = out.drop("tsl", "rsl", "temperature_rx", "temperature_tx", "polarization")
     if wd.baseline_samples == 1 and waa.method != "schleiss":

@@ -159,26 +159,65 @@ def stored(spark, root):
     return sorted(rows, key=str), sorted(info), sorted(frames, key=str)
 
 
-def test_history_in_slices_equals_one(spark, rows, links, tmp_path):
-    """Slices that begin at noon, with a margin that reaches over the data, store what one slice stores."""
-    cfg = replace(CFG, time=replace(CFG.time, start=T0 + timedelta(hours=12)), margin=300)
-    run.run_history(rows, links, cfg, str(tmp_path / "one"), days=30)
-    run.run_history(rows, links, cfg, str(tmp_path / "many"), days=1)
-    one, many = stored(spark, tmp_path / "one"), stored(spark, tmp_path / "many")
-    assert len(one[1]) == 36 * 6 + 1 and one == many
-
-
-def test_trailing_window_equals_whole(rows, links):
-    cfg = replace(CFG, margin=300)
-    now = T0 + timedelta(hours=40)
-    whole = run.run_historic(rows, links, replace(cfg, time=replace(cfg.time, start=T0, end=now))).links
-    part = run.run_trailing(rows, links, cfg, now, "6h").links
-    begin = datetime(2024, 1, 2, 10)
-    want = {(r.cml_id, r.time): (r.r, r.r_hour_sum) for r in whole.collect() if r.time >= begin}
-    got = {(r.cml_id, r.time): (r.r, r.r_hour_sum) for r in part.collect()}
-    assert set(got) == set(want) and len(got) == 6 * 37
-    for k, v in want.items():
-        assert got[k] == pytest.approx(v), k
+def test_history_equals_the_products_of_one_range(spark, rows, links, tmp_path):
+    """The whole history, and a part of it that is written again, are what one range gives."""
+    cfg = replace(CFG, time=replace(CFG.time, start=T0 + timedelta(hours=12)))
+    run.run_history(rows, links, cfg, str(tmp_path / "one"))
+    points, info, frames = stored(spark, tmp_path / "one")
+    made = run.run_historic(rows, links, cfg)
+    assert len(info) == 36 * 6 + 1
+    assert frames == sorted(made.frames.select("time", "row", "col", F.round("v", 9)).collect(), key=str)
+
+
+def ragged_pdf():
+    """Levels with gaps longer than a window, wet spells of many hours, an end that dies and one that comes late."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for link in range(5):
+        steps = HOURS * 6
+        rain = 9.0 * ((np.arange(steps) + 40 * link) % 150 < 70) * rng.uniform(0.3, 1, steps)
+        for end in "ab":
+            for name, base, gaps in (("PrijimanaUroven", -50.0 - rain, (60, 130) if link == 1 else (200, 230)), ("VysilaciVykon", np.full(steps, 10.0), (90, 110))):
+                for i in range(steps):
+                    gone = gaps[0] <= i < gaps[1] and (link + ord(end)) % 2 == 0 or rng.uniform() < 0.05
+                    gone |= link == 3 and end == "b" and i < 170 or link == 4 and end == "a" and i > 120
+                    gone |= link == 2 and name == "VysilaciVykon" and 30 < i < 260 and end == "a"
+                    if not gone:
+                        rows.append((T0 + timedelta(minutes=10 * i), f"{link}{end}", name, float(base[i] + 0.2 * rng.normal())))
+    return pd.DataFrame(rows, columns=["time", "agent_host", "field", "value"])
+
+
+@pytest.mark.parametrize(("wet_dry", "waa", "output_step"), [
+    (WetDry(rolling_values=6, baseline_samples=1), WetAntenna(method="none"), 10),
+    (WetDry(rolling_values=7, baseline_samples=3, centered=True), WetAntenna(method="schleiss", schleiss_tau=60.0), 20),
+])
+def test_trailing_windows_equal_the_whole(spark, links, tmp_path, wet_dry, waa, output_step):
+    """Cycle after cycle, a window has the values of a run over the whole history up to then, with the state carried in a folder."""
+    rows = spark.createDataFrame(ragged_pdf(), "time timestamp, agent_host string, field string, value double").cache()
+    links = links.where("cml_id < 5")
+    cfg = replace(CFG, wet_dry=wet_dry, waa=waa, time=replace(CFG.time, output_step=output_step))
+    scans = []
+    plain = run.load_channels
+    run.load_channels = lambda *a, **k: scans.append(a[3][0] if len(a) > 3 else None) or plain(*a, **k)
+    try:
+        for hours in (18, 21, 30, 46):
+            now = T0 + timedelta(hours=hours)
+            part = run.run_trailing(rows, links, cfg, now, "6h", state=str(tmp_path / "state")).links.collect()
+            whole = run.rain_fields(rain_rates(plain(rows, links, cfg, (None, now)), cfg, links), links, replace(
+                cfg, time=replace(cfg.time, start=now - timedelta(hours=6), end=now))).links.collect()
+            want = {(r.cml_id, r.time): (r.r, r.r_hour_sum) for r in whole}
+            got = {(r.cml_id, r.time): (r.r, r.r_hour_sum) for r in part}
+            assert set(got) == set(want) and len(got) > 30
+            for k, v in want.items():
+                assert got[k] == pytest.approx(v, abs=1e-9), (hours, k)
+    finally:
+        run.load_channels = plain
+    assert scans[0] is None and [s for s in scans[1:] if s] == [T0 + timedelta(hours=h) for h in (12, 15, 24)]
+
+
+def test_trailing_without_state_scans_a_warm_up(rows, links):
+    made = run.run_trailing(rows, links, CFG, T0 + timedelta(hours=40), "6h").links.collect()
+    assert len(made) == 6 * 37
 
 
 def test_writing_twice_keeps_what_was_there(spark, tmp_path):
@@ -231,7 +270,7 @@ spark = local_session("2", partitions=2, memory="2g")
 t = datetime(2024, 1, 1, tzinfo=timezone.utc)
 cfg = Settings(time=TimeAxis(start=t + timedelta(hours=6), end=t + timedelta(hours=30)), limits=Limits(14.0, 14.6, 49.9, 50.3),
                interp=Interp(nx=6, ny=5, near=4, tile=4), output=Output(intensities=True))
-run_history(spark.read.parquet({str(tmp_path / "rows")!r}), spark.read.parquet({str(tmp_path / "links")!r}), cfg, {str(tmp_path / "out")!r}, days=1)
+run_history(spark.read.parquet({str(tmp_path / "rows")!r}), spark.read.parquet({str(tmp_path / "links")!r}), cfg, {str(tmp_path / "out")!r})
 path = spark._jvm.org.apache.hadoop.fs.Path(_stage_root(spark))
 fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
 print("LEFT", fs.exists(path) and len(fs.listStatus(path)))
