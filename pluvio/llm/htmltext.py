@@ -5,7 +5,8 @@ the cost of calling it content or boilerplate; these are the capacities from the
 other, and blocks of one parent, are tied by capacities that fall with their distance in the DOM. The maximum flow separates
 content from boilerplate (see maxflow.py). Rows are worked where they lie.
 
-Names (class, id, role) of boilerplate exclude what is below them, but for three cases. What follows has-, with- or no- in a name says
+Names (class, id, role) of boilerplate, and forms, exclude what is below them, but for four cases. One that holds most words of the page
+while no main text stands outside it wraps the page and only counts as evidence against its blocks. What follows has-, with- or no- in a name says
 what a page has, not what the element is. A name of boilerplate beside one of content only counts against a block, as evidence. And
 an <article> or <main> below such a name is content again, with that evidence against it; an <article> in a list of comments, of
 related pages or of advertisements is an item of that list and stays out.
@@ -18,6 +19,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -77,18 +79,26 @@ MAIN_NAMES = {"article", "content", "main", "post", "entry", "story", "body", "t
 WRAPPERS = {"html", "body"}
 
 
-@dataclass
 class Element:
-    tag: str
-    parent: Element | None
-    depth: int
-    hint: int  # -2 away, -1 page header, 0 none, 1 main by name, 2 main by tag
-    away: int  # 0 not, 1 by a name or form, 2 by the name of a list of items, 3 by tag, role or hidden
-    doubt: bool  # a name of boilerplate counts against it
-    main: bool
-    links: bool
-    heading: bool
-    unseen: bool
+    """An element of a page. What it says of its content is found once the whole page is read (see judge)."""
+
+    __slots__ = ("tag", "attrs", "parent", "depth", "solid", "links", "heading", "unseen", "words", "titled", "within", "hint", "best", "away", "doubt", "main")
+
+    def __init__(self, tag: str, attrs: dict[str, str], parent: Element | None):
+        self.tag, self.attrs, self.parent = tag, attrs, parent
+        self.depth = parent.depth + 1 if parent else 0
+        self.solid = parent.solid if parent and tag in INLINE else self  # the nearest element that is not inline
+        self.links = tag == "a" or bool(parent and parent.links)
+        self.heading = tag in ("h1", "h2", "h3", "h4", "h5", "h6") or bool(parent and parent.heading)
+        self.unseen = tag in UNSEEN or bool(parent and parent.unseen)
+        self.words = 0  # words below it that are not in menus, footers or the like
+        self.titled = 0  # those below elements named or marked up as main text
+        self.within = False  # whether it is below such an element
+        self.hint = 0  # -2 away, 0 none, 1 main by name, 2 main by tag
+        self.best = 0  # the highest hint of it and what it is in
+        self.away = 0  # 0 not, 1 by a name or form, 2 by the name of a list of items, 3 by tag, role or hidden
+        self.doubt = False  # a name of boilerplate counts against it
+        self.main = False
 
 
 @dataclass
@@ -134,37 +144,78 @@ def _named(joined: str, main: bool) -> tuple[int, int, bool]:
     return -2, 1, False
 
 
-def _element(tag: str, attrs: dict[str, str], parent: Element | None) -> Element:
-    away, main, doubt = (parent.away, parent.main, parent.doubt) if parent else (0, False, False)
-    hint, own, unsure = 0, 0, False
+def _joined(attrs: dict[str, str]) -> str:
+    return f"{attrs.get('class', '')} {attrs.get('id', '')} {attrs.get('role', '').strip().lower()}" if attrs else ""
+
+
+def _own(e: Element) -> tuple[int, int, bool]:
+    """hint, away and doubt of an element by its tag and names. What it is in is judged already."""
+    attrs, tag = e.attrs, e.tag
+    away, main = (e.parent.away, e.parent.main) if e.parent else (0, False)
     hidden = "hidden" in attrs or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "").lower()
     role = attrs.get("role", "").strip().lower()
-    joined = f"{attrs.get('class', '')} {attrs.get('id', '')} {role}" if attrs else ""
     if tag in AWAY_TAGS or hidden:
-        hint, own = -2, 1 if tag in ("form", "fieldset") and not hidden else 3
-    elif tag == "header":
-        hint, own = (0, 0) if main else (-2, 3)
-    elif tag in MAIN_TAGS or role == "main":
-        names = {p for parts in _names(joined, True) for p in parts}
+        return -2, 1 if tag in ("form", "fieldset") and not hidden else 3, False
+    if tag == "header":
+        return (0, 0, False) if main else (-2, 3, False)
+    if tag in MAIN_TAGS or role == "main":
+        names = {p for parts in _names(_joined(attrs), True) for p in parts}
         if names & {"comment", "comments", "reply", "ad", "advert", "sponsored", "promo", "teaser", "related"}:
-            hint, own = -2, 2
-        elif away < (3 if "main" in (tag, role) else 2):
-            hint, unsure, away = 2, away > 0, 0
-    elif tag not in WRAPPERS and attrs:
-        hint, own, unsure = _named(joined, main)
-        if role in LANDMARKS and (own or unsure):
-            hint, own, unsure = -2, 3, False
-    return Element(
-        tag, parent, parent.depth + 1 if parent else 0, hint, max(away, own), doubt or unsure, (main or hint > 0) and hint != -2,
-        tag == "a" or bool(parent and parent.links), tag in ("h1", "h2", "h3", "h4", "h5", "h6") or bool(parent and parent.heading),
-        tag in UNSEEN or bool(parent and parent.unseen),
-    )
+            return -2, 2, False
+        return (2, 0, away > 0) if away < (3 if "main" in (tag, role) else 2) else (0, 0, False)
+    if tag not in WRAPPERS and attrs:
+        hint, own, unsure = _named(_joined(attrs), main)
+        return (-2, 3, False) if role in LANDMARKS and (own or unsure) else (hint, own, unsure)
+    return 0, 0, False
+
+
+def _titled(e: Element) -> bool:
+    """Whether tag, role or names say main text, whatever it is in."""
+    if e.tag in MAIN_TAGS or e.attrs.get("role", "").strip().lower() == "main":
+        return True
+    return e.tag not in WRAPPERS and bool(e.attrs) and _named(_joined(e.attrs), False)[0] == 1
+
+
+def judge(elements: list[Element], found: list[Block]) -> None:
+    """Set hints of all elements, parents before children. elements: as they were opened.
+
+    An element that is away by its name, or as a form, is only in doubt if it holds most of the page's words and hardly any main text
+    stands outside it (a list of items: nine tenths, and none outside): then it wraps the page. Words in menus, footers and the like, and of links, are not counted.
+    """
+    for block in found:
+        block.element.words += block.words - block.linked
+    hard = {id(e) for e in elements if e.tag in AWAY_TAGS and e.tag not in ("form", "fieldset") or e.tag in ("header", "a")}
+    titled = {id(e) for e in elements if _titled(e)}
+    for e in elements:
+        e.within = bool(e.parent and (e.parent.within or id(e.parent) in titled))
+    for e in reversed(elements):
+        if id(e) in hard:
+            e.words = e.titled = 0
+        if id(e) in titled:
+            e.titled = e.words
+        if e.parent:
+            e.parent.words += e.words
+            e.parent.titled += e.titled
+    whole = elements[0]
+    for e in elements:
+        hint, own, unsure = _own(e)
+        if own in (1, 2) and hint == -2:
+            share, apart = (0.5, 0.1) if own == 1 else (0.9, 0.0)
+            outside = whole.titled - (e.words if e.within else e.titled)
+            if e.words and e.words >= share * whole.words and outside <= apart * whole.words:
+                hint, own, unsure = 0, 0, True
+        up = e.parent
+        cleared = hint == 2
+        e.hint, e.best = hint, max(hint, up.best if up else 0)
+        e.away = max(0 if cleared or not up else up.away, own)
+        e.doubt = bool(up and up.doubt) or unsure
+        e.main = (bool(up and up.main) or hint > 0) and hint != -2
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in order, each with its element."""
-    root = _element("#root", {}, None)
-    here = root
+    root = here = Element("#root", {}, None)
+    elements, open_ = [root], Counter()  # all elements, and how many of each tag are open
     out: list[Block] = []
     held: list[tuple[str, bool]] = []
 
@@ -173,12 +224,19 @@ def blocks(page: str) -> list[Block]:
             text = " ".join(html_lib.unescape("".join(t for t, _ in held)).split())
             if text:
                 linked = sum(len(t.split()) for t, link in held if link)
-                while element.tag in INLINE and element.parent:
-                    element = element.parent
+                element = element.solid
                 if not element.unseen:
                     out.append(Block(text, element, len(text.split()), linked))
             held.clear()
 
+    def closed(element: Element, tag: str) -> Element:
+        """What is open after the end of the innermost element of this tag."""
+        while True:
+            open_[element.tag] -= 1
+            if element.tag == tag:
+                return element.parent
+            element = element.parent
+
     at, size = 0, len(page)
     while at < size:
         found = TOKEN.search(page, at)
@@ -195,16 +253,13 @@ def blocks(page: str) -> list[Block]:
         if found["close"] != ">":
             break
         if found["end"]:
-            up = here
-            while up is not root and up.tag != tag:
-                up = up.parent
-            if up is root:
+            if not open_[tag]:
                 if tag == "p":
                     flush(here)
                 continue
             if tag not in INLINE:
                 flush(here)
-            here = up.parent
+            here = closed(here, tag)
             continue
         if tag == "br" or tag == "hr":
             if tag == "hr":
@@ -222,19 +277,21 @@ def blocks(page: str) -> list[Block]:
         if tag not in INLINE:
             flush(here)
             ends = ENDS.get(tag, {"p"})
-            up, last = here, None
-            while up is not root and (up.tag in INLINE or up.tag in ends):
-                if up.tag in ends:
-                    last = up
-                up = up.parent
-            if last is not None:
-                here = last.parent
+            up, last = here.solid, None
+            while up is not root and up.tag in ends:
+                last, up = up, up.parent.solid
+            while last is not None and here is not last.parent:
+                open_[here.tag] -= 1
+                here = here.parent
         attrs = {}
         if found["attrs"] and len(found["attrs"]) > 1:
             attrs = {m[1].lower(): html_lib.unescape(m[2] or m[3] or m[4] or "") for m in ATTRIBUTE.finditer(found["attrs"])}
         if not found["attrs"].endswith("/") or tag not in ("svg", "path", "use"):
-            here = _element(tag, attrs, here)
+            here = Element(tag, attrs, here)
+            elements.append(here)
+            open_[tag] += 1
     flush(here)
+    judge(elements, out)
     return out
 
 
@@ -253,11 +310,7 @@ def evidence(block: Block) -> float:
     if block.element.away:
         return score + w["away"]
     score += w["doubt"] * block.element.doubt
-    element = block.element
-    best = 0
-    while element is not None and best < 2:
-        best = max(best, element.hint)
-        element = element.parent
+    best = block.element.best
     return score + (w["main_tag"] if best == 2 else w["main_name"] if best == 1 else 0.0)
 
 

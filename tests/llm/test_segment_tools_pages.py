@@ -2,6 +2,7 @@
 
 import json
 import math
+import time
 from collections import Counter
 
 import numpy as np
@@ -182,3 +183,30 @@ def test_pages_of_the_test_table(spark):
     odd = spark.createDataFrame([(1, None, None), (2, "u", ""), (2, "u", "")], "page_id long, url string, html string").selectExpr("*", "1 AS text")
     assert [r.text for r in htmltext.extract(odd, ["page_id", "url"]).collect()] == ["", "", ""]
     assert htmltext.extract(odd.limit(0), ["page_id"]).count() == 0
+
+
+@pytest.mark.parametrize("page", [
+    '<body><form id="aspnetForm"><div id="content"><p>{}</p><p>{}</p></div></form></body>',
+    '<body><div class="search-page"><p>{}</p><p>{}</p></div><div class="footer">imprint</div></body>',
+    '<body><nav><a href="/">home</a> some menu</nav><div id="legal-news"><p>{}</p><p>{}</p></div></body>',
+    '<body><div id="content"><form><p>{}</p><p>{}</p></form></div></body>',
+    '<body><div class="related-news"><p>{}</p><p>{}</p></div></body>',
+])
+def test_names_of_wrappers_do_not_empty_a_page(page):
+    one, two = "First sentence with quite a few words in it, as text has. " * 6, "Second paragraph that goes on in the same way as the first. " * 5
+    assert htmltext.main_text(page.format(one, two)) == " ".join(f"{one}{two}".split())
+
+
+def test_long_comments_do_not_become_the_text():
+    article, comment = "The article is short but complete. " * 4, "A reader writes at length about something else entirely. " * 40
+    page = f'<body><article><p>{article}</p></article><div class="comments"><p>{comment}</p></div><form class="reply"><p>{comment}</p></form></body>'
+    assert htmltext.main_text(page) == article.strip()
+    page = f'<body><div id="content"><p>{article}</p><div class="comments"><p>{comment}</p></div></div></body>'
+    assert htmltext.main_text(page) == article.strip()
+
+
+@pytest.mark.parametrize("page", ["<div>a b c" * 90_000, "</b></i></div>x " * 60_000, "<b>" * 20_000 + "<p>a" * 20_000, "<p><b>t</i>" * 60_000])
+def test_broken_markup_takes_linear_time(page):
+    start = time.process_time()
+    htmltext.blocks(page)
+    assert time.process_time() - start < 8
