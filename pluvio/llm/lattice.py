@@ -406,11 +406,14 @@ class Sampler:
         order = np.argsort(unit * step + number_of)
         unit, edge, drawn, other = unit[order], edge[order], drawn[order], other[order]
         text = owner[unit]
-        gained = np.cumsum(lat.logp[edge])
-        bounds = np.searchsorted(text, np.arange(len(seed) + 1))
-        ahead = np.concatenate([[0.0], gained])[bounds[:-1]]
-        after = gained - ahead[text] + phi[text]
-        before = after - lat.logp[edge]
+        after, bounds = lat.logp[edge], np.searchsorted(text, np.arange(len(seed) + 1))
+        before = -after
+        for s in np.flatnonzero(bounds[1:] > bounds[:-1]).tolist():
+            # One after the other within a text, so that sums depend on no other text and no section.
+            own = after[bounds[s]:bounds[s + 1]]
+            own[0] += phi[s]
+            np.cumsum(own, out=own)
+        before += after
         spot = np.arange(len(edge)) - bounds[:-1][text] + done[text]
         for s in np.flatnonzero(bounds[1:] > bounds[:-1]).tolist():
             x, y = bounds[s], bounds[s + 1]

@@ -4,6 +4,8 @@ Components become floor(256 * x). A vector x of squared length at most M gets on
 gets 0 there; then the distance falls as the inner product rises, and the distances of an M-tree bound it. Rows are dealt into cells
 by their nearest of some pivots, a cell into trees of bounded size; every query searches every tree with a bound that a sample of
 rows has already set. The sample only sets the bound: all rows are searched, and scores are integers, so results are exact.
+Vectors with integers too large for exact products in doubles stay out of the trees; what they score, as rows or as queries, is worked out
+in Python integers, block by block. A score beyond a long is given as the nearest long, though ranked as it is.
 
 Vectors null, empty or holding null or non-finite components take no part, zero vectors do; vectors of different dimensions are
 never compared; rows of the query's own id are no candidates, and of repeated rows of an id the best counts.
@@ -15,9 +17,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from pluvio.llm.bigints import beyond, clamped, products, quantise
 from pluvio.llm.common import batches, table
 from pluvio.llm.mtree import MTree
 from pluvio.llm.vectors import best, in_groups, matrix, valid
@@ -28,8 +31,49 @@ SCALE, K = 256, 5
 TREE_ROWS, CELLS, SAMPLE = 8192, 32, 2048
 
 
+#: Integers up to this size have exact products in trees, for up to 2,048 dimensions.
+NARROW = float(1 << 21)
+#: Rows of a block that is scored in Python integers.
+WIDE_ROWS = 4096
+
+
 def quantized(rows: DataFrame, scale: int = SCALE) -> DataFrame:
-    return rows.withColumn("v", F.transform("v", lambda x: F.floor(x * scale).cast("double")))
+    """Rows with small integers, which are exact in doubles."""
+    return rows.where(~wide(scale)).withColumn("v", F.transform("v", lambda x: F.floor(x * scale).cast("double")))
+
+
+def wide(scale: int = SCALE) -> Column:
+    return F.exists("v", lambda x: F.abs(x) >= NARROW / scale) | (F.size("v") > 2048)
+
+
+def _scored(k: int, scale: int):
+    def search(ids: np.ndarray, v: np.ndarray):
+        rows = quantise(v, scale)
+
+        def find(queries: np.ndarray, q: np.ndarray) -> pa.RecordBatch:
+            out = []
+            for who, point in zip(queries.tolist(), quantise(q, scale), strict=True):
+                found: dict[int, int] = {}
+                for name, score in zip(ids.tolist(), products(rows, point).tolist(), strict=True):
+                    if name != who:
+                        found[name] = max(score, found.get(name, score))
+                for name in sorted(found, key=lambda n: (-found[n], n))[:k]:
+                    out.append((who, name, clamped(found[name]), beyond(found[name])))
+            columns = list(zip(*out, strict=True)) or [(), (), (), ()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary()), strict=True)],
+                                              names=["query_id", "vec_id", "score", "more"])
+
+        return find
+
+    return search
+
+
+def scored(vectors: DataFrame, queries: DataFrame, k: int = K, scale: int = SCALE) -> DataFrame:
+    """query_id, vec_id, score, more: at least the k best of all vectors for all queries, in Python integers where doubles do not do."""
+    blocks = F.lit(max(1, -(-vectors.count() // WIDE_ROWS)))
+    stored = vectors.select("dims", F.pmod(F.xxhash64("vec_id"), blocks).cast("int").alias("block"), F.lit(0).alias("kind"), "vec_id", "v")
+    asked = queries.select("dims", F.explode(F.sequence(F.lit(0), (blocks - 1).cast("int"))).alias("block"), F.lit(1).alias("kind"), "vec_id", "v")
+    return in_groups(stored.unionByName(asked), ["dims", "block"], "query_id long, vec_id long, score long, more binary", _scored(k, scale))
 
 
 def dealt(rows: DataFrame, pivots: np.ndarray) -> DataFrame:
@@ -129,6 +173,19 @@ def top(vectors: DataFrame, queries: DataFrame, k: int = K, tree_rows: int = TRE
     return best(found, k)
 
 
+def search(rows: DataFrame, is_query: Column, k: int = K, **sizes) -> DataFrame:
+    """query_id, rank, vec_id, score for the queries among the rows. rows: from valid()."""
+    small, large = quantized(rows), rows.where(wide())
+    found = top(small, small.where(is_query), k, **sizes)
+    if large.isEmpty():
+        return found
+    pairs = scored(large, rows.where(is_query), k).unionByName(scored(rows.where(~wide()), large.where(is_query), k))
+    pairs = pairs.unionByName(found.select("query_id", "vec_id", "score", F.lit(None).cast("binary").alias("more")))
+    once = pairs.groupBy("query_id", "vec_id").agg(F.max(F.struct("score", "more")).alias("s")).select("query_id", "vec_id", "s.*")
+    order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.desc_nulls_last("more"), "vec_id")
+    return once.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
+
 def op3_mtree_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = quantized(valid(table(spark, sf_dir, "embeddings"), zero_too=True))
-    return top(rows, rows.where("vec_id % 50 = 0"))
+    rows = valid(table(spark, sf_dir, "embeddings"), zero_too=True)
+    return search(rows, F.col("vec_id") % 50 == 0)

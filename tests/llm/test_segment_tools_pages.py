@@ -210,3 +210,13 @@ def test_broken_markup_takes_linear_time(page):
     start = time.process_time()
     htmltext.blocks(page)
     assert time.process_time() - start < 8
+
+
+def test_samples_of_real_texts_are_the_same_bit_for_bit_when_drawn_alone(spark):
+    texts = [r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").orderBy("doc_id").limit(40).collect()]
+    own = Sampler(Vocabulary(path_of("piece_bpe_32k.model")))
+    seeds = np.arange(len(texts)).astype(np.uint64)
+    together = own.samples(texts, seeds, 3)
+    for k, (text, rows) in enumerate(zip(texts, together, strict=True)):
+        alone = own.samples([text], seeds[k:k + 1], 3)[0]
+        assert [(s.log_prob, s.key, s.inclusion, s.ids.tolist()) for s in alone] == [(s.log_prob, s.key, s.inclusion, s.ids.tolist()) for s in rows]

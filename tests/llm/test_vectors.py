@@ -108,3 +108,17 @@ def test_tree_visits_all_within_the_bound_and_skips_others():
         tree.search(q, 3.0, leaf)
         assert sorted(seen) == np.flatnonzero(np.sqrt(((points - q) ** 2).sum(1)) <= 3.0).tolist()
         assert tree.computed - before < len(points) / 2
+
+
+def test_topk_of_huge_components(spark, tmp_path):
+    rng = np.random.default_rng(5)
+    rows = [(k, rng.standard_normal(8).tolist()) for k in range(120)]
+    rows += [(150, [1e10] * 8), (151, [-1e10] * 7 + [3.0]), (152, [1e300] * 8), (200, [-1e300] + [1.0] * 7), (153, [1e5] * 8), (154, [2e300] * 8)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    whole = {k: [int(np.floor(x * 256)) if abs(x) < 1e12 else int(x) * 256 for x in v] for k, v in rows}
+    most = (1 << 63) - 1
+    want = []
+    for q in (k for k in whole if k % 50 == 0):
+        best = sorted((-sum(a * b for a, b in zip(whole[q], v, strict=True)), k) for k, v in whole.items() if k != q)[:5]
+        want += [(q, i + 1, k, max(-most - 1, min(most, -s))) for i, (s, k) in enumerate(best)]
+    assert sorted(tuple(r) for r in topk.op3_mtree_topk(spark, str(tmp_path)).collect()) == sorted(want)
