@@ -358,6 +358,14 @@ def _(spark, sf):
     return out.select("cml_id", "channel_id", stamp(), rr("waa").alias("waa"), rr("r", 3).alias("r"))
 
 
+@query("walk_in_blocks", f"""SELECT w.cml_id, w.channel_id, {ts('w.time')} AS time, {r('w.baseline')} AS baseline, {r('x.waa')} AS waa
+    FROM walked w JOIN rain_walk x USING (cml_id, channel_id, time)""")
+def _(spark, sf):
+    """The same recursions, a channel spread over tasks of a few rows."""
+    out = bl.baseline_and_waa(wet(spark, sf), n=3, tau=6.0 * demo.STEP_MINUTES, step_minutes=demo.STEP_MINUTES, block_rows=8)
+    return out.select("cml_id", "channel_id", stamp(), rr("baseline").alias("baseline"), rr("waa").alias("waa"))
+
+
 @query("waa_leijnse")
 def _(spark, sf):
     held = rn.rain_attenuation(bl.last_dry_baseline(wet(spark, sf)))

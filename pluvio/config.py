@@ -57,6 +57,8 @@ class WetDry:
     baseline_samples: int = 5
     ignore_dry_links: bool = False
     classifier: bool = False
+    # Rows of a channel that one task walks; None walks a channel in one task, in pieces that begin where it is dry.
+    block_rows: int | None = None
 
 
 @dataclass(frozen=True)

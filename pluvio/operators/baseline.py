@@ -7,6 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from pluvio.operators import recursion
 from pluvio.operators.grouped import whole_groups
 from pluvio.operators.quality import CHANNEL
 from pluvio.session import ship
@@ -91,6 +92,7 @@ def baseline_and_waa(
     tau: float = 15.0,
     step_minutes: float = 10.0,
     step_in_hours: bool = False,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Add `baseline` (n samples averaged before each wet period) and `waa` (Schleiss 2013).
 
@@ -98,10 +100,14 @@ def baseline_and_waa(
     step and tau are both in minutes unless `step_in_hours`. Rows marked in a column `given` have both in `given_baseline` and
     `given_waa`, from which later rows go on.
 
+    With `block_rows`, a long channel is spread over tasks of that many rows (see `recursion`); carried rows are not looked at then.
+
     The windows that number the pieces leave each channel whole and sorted in one partition, so the
     walk needs no further shuffle.
     """
     rise = 3.0 * (step_minutes / 60.0 if step_in_hours else step_minutes) / tau
+    if block_rows and "given" not in channels.columns:
+        return recursion.baseline_in_blocks(channels, n, waa_max, rise, max(block_rows, n))
     pieces = with_episodes(channels, n).sortWithinPartitions(*CHANNEL, "pos")
     columns = [*channels.columns, "baseline", "waa"]
     carried = "given" in channels.columns

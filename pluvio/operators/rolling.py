@@ -12,8 +12,10 @@ from pyspark.sql import functions as F
 from pluvio.functions.missing import null_if_nan
 from pluvio.operators.grouped import map_groups
 from pluvio.operators.series import with_blocks, with_positions
+from pluvio.operators.sliding import deviation
 
-# Up to this length a frame is evaluated by Spark row by row; longer windows go through blocks.
+# Up to this length Spark goes over the rows of every frame, which is cheapest and needs no other partitioning; longer windows go
+# through blocks. Both work on nothing but the values of a window, so results do not depend on it.
 FRAME_LIMIT = 64
 
 
@@ -25,14 +27,11 @@ def window_bounds(window: int, centered: bool) -> tuple[int, int]:
 def statistic(values: np.ndarray, window: int, need: int, stat: str) -> np.ndarray:
     """Trailing medians or sample deviations of one series; NaN where too few values are known.
 
-    Deviations are summed about the series' mean, and windows of one value have exactly 0, as Spark finds.
+    A deviation depends on the values of its window alone, and that of equal values is exactly 0.
     """
     if stat == "median":
         return pd.Series(values).rolling(window, min_periods=need).median().to_numpy()
-    known = ~np.isnan(values)
-    centre = values[known].mean() if known.any() else 0.0
-    rolled = pd.Series(values - centre).rolling(window, min_periods=max(need, 2))
-    return np.where(rolled.max() == rolled.min(), 0.0 * rolled.std(), rolled.std())
+    return deviation(values, window, need)
 
 
 def rolling(

@@ -20,7 +20,7 @@ PART_STEPS = 256
 class Products:
     grid: Grid
     links: DataFrame  # cml_id, time, pos, r, r_hour_sum
-    frames: DataFrame  # time, row, col, v
+    frames: DataFrame | None  # time, row, col, v; none if the settings ask for neither frames nor flags
     frames_sum: DataFrame | None
     info: DataFrame | None
     info_sum: DataFrame | None
@@ -52,6 +52,8 @@ def rain_fields(rain: DataFrame, links: DataFrame, cfg: Settings = Settings(), o
     if cfg.time.end is not None and cfg.margin:
         series = series.where(F.col("time") <= F.lit(cfg.time.end))
     series = stage(series, "link-series")
+    if not (cfg.output.frames or cfg.output.flags):
+        return Products(make_grid(cfg.interp, cfg.limits), series, None, None, None, None)
     grid = make_grid(cfg.interp, cfg.limits)
     inside = None
     if outline is not None and cfg.output.crop:

@@ -70,7 +70,8 @@ def rain_rates(
         out = baseline.last_dry_baseline(out)
     else:
         out = baseline.baseline_and_waa(
-            out, wd.baseline_samples, waa.schleiss_max, waa.schleiss_tau, cfg.time.step, waa.schleiss_step_in_hours
+            out, wd.baseline_samples, waa.schleiss_max, waa.schleiss_tau, cfg.time.step, waa.schleiss_step_in_hours,
+            wd.block_rows,
         )
         if waa.method != "schleiss":
             out = out.drop("waa")

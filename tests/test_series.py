@@ -8,10 +8,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from pluvio.operators import baseline as bl
+from pluvio.operators import recursion
 from pluvio.operators import preprocess as pp
 from pluvio.operators import resample as rs
 from pluvio.operators import rolling as ro
 from pluvio.operators import series as se
+from pluvio.operators import sliding
 from pluvio.operators import spectral as sp
 from pluvio.operators.grouped import whole_groups
 from pluvio.operators.quality import fill_gaps
@@ -103,6 +105,87 @@ def test_baseline_pieces_equal_whole(spark, seed):
     np.testing.assert_allclose(out["w"], expect_w)
 
 
+@pytest.mark.parametrize("rise", [0.4, 1.0, 2.0])
+@pytest.mark.parametrize("seed", range(3))
+def test_block_summaries_equal_the_walk(seed, rise):
+    """A block's summary, put on any state, gives what walking its rows gives, at every block size."""
+    rng = np.random.default_rng(seed)
+    size, n = 120, 3
+    trsl = rng.uniform(40, 60, size)
+    wet = (rng.uniform(size=size) < (0.3, 0.9, 1.0)[seed]).astype(float)
+    if seed < 2:
+        wet[rng.integers(0, size, 6)] = np.nan
+        trsl[rng.integers(0, size, 4)] = np.nan
+    want_b, want_w = bl.walk(trsl, wet, np.arange(size), n, 2.2, rise)
+    for block in (3, 4, 7, 50, 200):
+        state, waa = np.full(n, np.nan), np.nan
+        for a in range(0, size, block):
+            part, pos = slice(a, a + block), np.arange(size)[a:a + block]
+            base = want_b[part]
+            waa = recursion.clamp(waa, recursion.climb(trsl[part], base, wet[part], pos, 2.2, rise))
+            state = recursion.averaged(*recursion.averages(trsl[part], wet[part], wet[a - 1] if a else np.nan, pos, n), state)
+            seen = want_b[:a + block][-n:]
+            np.testing.assert_allclose(state[-len(seen):], seen, rtol=1e-12)
+            np.testing.assert_allclose(waa, want_w[:a + block][-1], rtol=1e-9, atol=1e-9)
+
+
+@pytest.mark.parametrize("block", [5, 64])
+def test_baseline_in_blocks_equals_the_definition(spark, block):
+    rng = np.random.default_rng(9)
+    trsl = list(rng.uniform(40, 60, 300))
+    wet = [1] * 300 if block == 5 else [int(v) for v in rng.uniform(size=300) < 0.6]
+    wet[0] = 0
+    df = channel(spark, trsl, wet)
+    out = bl.baseline_and_waa(df, n=3, tau=75.0, step_minutes=10.0, block_rows=block)
+    expect_b, expect_w = twin(trsl, wet, 3, 2.2, 0.4)
+    assert column(out, "baseline") == pytest.approx(expect_b) and column(out, "waa") == pytest.approx(expect_w)
+    assert out.columns == bl.baseline_and_waa(df, n=3).columns
+
+
+def test_a_wet_channel_is_spread_over_tasks(spark):
+    """20,000 rows that never dry, in blocks of 500: no task walks more than a few blocks."""
+    t = F.timestamp_seconds(F.lit(1704067200) + F.col("id") * 600)
+    df = spark.range(20_000).select(F.lit(1).alias("cml_id"), F.lit("A").alias("channel_id"), t.alias("time"), (50 + F.col("id") % 7).cast("double").alias("trsl"),
+                                    (F.col("id") > 10).alias("wet"))
+    out = bl.baseline_and_waa(df, n=5, tau=75.0, step_minutes=10.0, block_rows=500).withColumn("task", F.spark_partition_id())
+    most = out.groupBy("task").count().agg(F.max("count")).first()[0]
+    assert most < 20_000 and out.agg(F.sum("baseline")).first()[0] == pytest.approx(
+        bl.baseline_and_waa(df, n=5, tau=75.0, step_minutes=10.0).agg(F.sum("baseline")).first()[0])
+
+
+@pytest.mark.parametrize("window", [2, 3, 10, 64, 65, 200])
+def test_deviation_forgets_what_has_left_the_window(window):
+    rng = np.random.default_rng(window)
+    x = rng.normal(0, 1e-3, 900) + 50
+    x[[100, 400]] = 1e8, -1e12
+    x[200:230] = np.nan
+    x[500:520] = 7.25
+    got = sliding.deviation(x, window, min(window, 5))
+    for i in range(len(x)):
+        part = x[max(0, i + 1 - window):i + 1]
+        part = part[~np.isnan(part)]
+        if len(part) < max(2, min(window, 5)):
+            assert np.isnan(got[i])
+        elif np.ptp(part) == 0:
+            assert got[i] == 0.0
+        else:
+            assert got[i] == pytest.approx(np.std(part, ddof=1), rel=1e-9)
+
+
+@pytest.mark.parametrize("stat", ["std", "median"])
+def test_rolling_is_the_same_by_frames_and_by_blocks(spark, monkeypatch, stat):
+    rng = np.random.default_rng(1)
+    x = [None if rng.uniform() < 0.05 else float(v) for v in 50 + rng.normal(0, 1e-3, 400)]
+    x[60], x[200], x[201] = 1e8, float("nan"), float("inf")
+    df = channel(spark, x)
+    got = []
+    for limit in (64, 0):
+        monkeypatch.setattr(ro, "FRAME_LIMIT", limit)
+        got.append(column(ro.rolling(df, ["cml_id", "channel_id"], {"y": "trsl"}, 40, stat, min_rows=30, centered=True), "y"))
+    assert [v is None for v in got[0]] == [v is None for v in got[1]]
+    assert [v for v in got[0] if v is not None] == pytest.approx([v for v in got[1] if v is not None], rel=1e-9)
+
+
 def test_whole_groups_across_batches():
     """Groups that end inside a batch, at its edge, or go on over several batches."""
     rng = np.random.default_rng(1)
