@@ -533,19 +533,26 @@ RING_SQL = {
 }
 
 
-def _inside(spark, sf):
-    e = demo.sites(spark, sf).agg(
+def _extent(spark, sf):
+    return demo.sites(spark, sf).agg(
         F.min("X_coordinate").alias("w"), F.max("X_coordinate").alias("e"), F.min("Y_coordinate").alias("s")
     )
+
+
+def _ring(spark, sf):
+    e = _extent(spark, sf)
     middle = (F.col("w") + F.col("e")) / 2
-    ring = e.select(
+    return e.select(
         F.lit(0).alias("ring"),
         F.array(
             F.array(F.col("w") - 0.02, F.col("s") - 0.13), F.array(middle, F.col("s") + 0.02),
             F.array(F.col("e"), F.col("s") - 0.21), F.array(middle + 0.01, F.col("s") + 0.31),
         ).alias("points"),
     )
-    return mask.inside_cells(mask.to_mercator(polygons.edges(ring)), GRID)
+
+
+def _inside(spark, sf):
+    return mask.inside_cells(mask.to_mercator(polygons.edges(_ring(spark, sf))), GRID)
 
 
 @query("polygon_mask", 'SELECT "row", col FROM inside', {**_field_sql("r"), **RING_SQL})
@@ -553,6 +560,27 @@ def _(spark, sf):
     return _inside(spark, sf)
 
 
+@query("union_mask", """SELECT DISTINCT "row", col FROM (
+      SELECT feature, "row", col FROM cells JOIN parts ON (y1 <= y) <> (y2 <= y) AND x1 + (x2 - x1)*(y - y1)/(y2 - y1) > x GROUP BY 1, 2, 3 HAVING count(*) % 2 = 1)""", {
+    **_field_sql("r"), **RING_SQL,
+    "shifted": """SELECT 0 AS feature, 0 AS ring, i, lon, lat FROM corners UNION ALL SELECT 1, 0, i, lon + 0.05, lat + 0.04 FROM corners
+        UNION ALL SELECT 1, 1, i, lon + 0.05 + 0.3*((w + e)/2 - lon), lat + 0.04 + 0.3*(s - lat) FROM corners, extent""",
+    "dots": "SELECT feature, ring, i, 6378137e0*radians(lon) AS x, 6378137e0*ln(tan(pi()/4 + radians(lat)/2)) AS y FROM shifted",
+    "parts": """SELECT a.feature, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM dots a JOIN dots b
+        ON b.feature = a.feature AND b.ring = a.ring AND b.i = (a.i + 1) % 4""",
+})
+def _(spark, sf):
+    """Two features that overlap, the second with a hole."""
+    one = _ring(spark, sf).withColumns({"feature": F.lit(0), "ring": F.lit(0)})
+    e = _extent(spark, sf)
+    middle = (F.col("w") + F.col("e")) / 2
+    moved = lambda p: F.array(p[0] + 0.05, p[1] + 0.04)
+    hole = lambda p: F.array(p[0] + 0.05 + 0.3 * (middle - p[0]), p[1] + 0.04 + 0.3 * (F.col("s") - p[1]))
+    two = one.withColumns({"points": F.transform("points", moved), "feature": F.lit(1)})
+    cut = one.crossJoin(F.broadcast(e)).withColumns({"points": F.transform("points", hole), "feature": F.lit(1), "ring": F.lit(1)}).select(two.columns)
+    return mask.inside_cells(mask.to_mercator(polygons.edges(one.unionByName(two).unionByName(cut))), GRID)
+
+
 @query("masked_field", f"""SELECT {ts()} AS time, f."row", f.col, {r('v', 3)} AS v FROM frames f
     JOIN inside i ON i."row" = f."row" AND i.col = f.col""", {**_field_sql("r"), **RING_SQL})
 def _(spark, sf):
@@ -952,7 +980,21 @@ STEPS_SQL = {
         FROM scaled WINDOW a AS ({ROWS} ROWS BETWEEN CURRENT ROW AND 19 FOLLOWING), b AS ({ROWS} ROWS BETWEEN 20 PRECEDING AND 1 PRECEDING)""",
     "flipped": f"SELECT *, coalesce(lag(score > 4.003) OVER ({ROWS}), FALSE) <> (score > 4.003) AS flip FROM scored",
     "runs": f"SELECT *, sum(CASE WHEN flip THEN 1 ELSE 0 END) OVER ({ROWS}) AS run FROM flipped",
-    "stepped": """SELECT *, score > 4.003 AND row_number() OVER (PARTITION BY cml_id, run ORDER BY floor(score*1e6+0.4997) DESC, time) = 1 AS step FROM runs""",
+    "levels": """SELECT cml_id, run, time, CAST(floor(score*1e6+0.4997) AS BIGINT) AS lv, row_number() OVER (PARTITION BY cml_id, run ORDER BY time) AS n
+        FROM runs WHERE score > 4.003""",
+    "flats": """SELECT cml_id, run, flat, min(lv) AS lv, min(n) AS a, max(n) AS b FROM (
+        SELECT *, sum(CASE WHEN lv = before THEN 0 ELSE 1 END) OVER (PARTITION BY cml_id, run ORDER BY n) AS flat FROM (
+            SELECT *, lag(lv) OVER (PARTITION BY cml_id, run ORDER BY n) AS before FROM levels)) GROUP BY 1, 2, 3""",
+    "tops": """SELECT * FROM (SELECT *, lag(lv) OVER w AS l, lead(lv) OVER w AS r FROM flats WINDOW w AS (PARTITION BY cml_id, run ORDER BY flat))
+        WHERE l < lv AND r < lv""",
+    "reach": """SELECT t.cml_id, t.run, t.flat, t.lv, t.a, t.b, coalesce(max(CASE WHEN f.flat < t.flat AND f.lv > t.lv THEN f.flat END), -1) AS lo,
+        coalesce(min(CASE WHEN f.flat > t.flat AND f.lv > t.lv THEN f.flat END), 1000000000) AS hi
+        FROM tops t JOIN flats f ON f.cml_id = t.cml_id AND f.run = t.run GROUP BY 1, 2, 3, 4, 5, 6""",
+    "peaks": """SELECT q.cml_id, q.run, (q.a + q.b)//2 AS n FROM reach q JOIN flats f ON f.cml_id = q.cml_id AND f.run = q.run AND f.flat > q.lo AND f.flat < q.hi
+        GROUP BY q.cml_id, q.run, q.flat, q.lv, q.a, q.b
+        HAVING q.lv - greatest(min(CASE WHEN f.flat < q.flat THEN f.lv END), min(CASE WHEN f.flat > q.flat THEN f.lv END)) >= 1000000""",
+    "stepped": """SELECT runs.*, peaks.n IS NOT NULL AS step FROM runs LEFT JOIN levels ON levels.cml_id = runs.cml_id AND levels.time = runs.time
+        LEFT JOIN peaks ON peaks.cml_id = levels.cml_id AND peaks.run = levels.run AND peaks.n = levels.n""",
     "blanked": f"""SELECT *, CASE WHEN bool_or(step) OVER ({ROWS} ROWS BETWEEN 4 PRECEDING AND 5 FOLLOWING) THEN NULL ELSE x END AS bx,
         sum(CASE WHEN step THEN 1 ELSE 0 END) OVER ({ROWS}) AS stretch FROM stepped""",
     "repaired": "SELECT cml_id, time, bx - avg(bx) OVER (PARTITION BY cml_id, stretch) AS x FROM blanked",

@@ -7,9 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pluvio.operators.grouped import map_groups
 from pluvio.operators.rolling import rolling
 
 # Fixed value: path loss from here on is not a measurement.
@@ -117,19 +120,54 @@ def step_scores(df: DataFrame, keys: Sequence[str], column: str, half: int = 500
     return out.withColumn("score", score).drop("x_", "s_", "k_", "n_", "up_", "down_", "seen_")
 
 
-def step_rows(scored: DataFrame, keys: Sequence[str], threshold: float) -> DataFrame:
-    """Add `step`: the highest row of each run of scores above the threshold.
+def prominent(levels: np.ndarray, least: float) -> np.ndarray:
+    """Places of the local peaks of a run that stand out by at least so much.
 
-    Scores that agree to 1e-6 are equal, the first of them counts.
+    A flat peak counts once, in its middle; the ends of a run are no peaks. A peak stands out above the higher of the lowest values
+    towards either side, up to the next higher value or the end of the run.
+    """
+    first = np.flatnonzero(np.diff(levels, prepend=np.nan))
+    value = levels[first]
+    last = np.append(first[1:], len(levels)) - 1
+
+    def lowest(v: list) -> list:
+        """The lowest value from the nearest higher one before up to each."""
+        out, higher = [], []
+        for k, x in enumerate(v):
+            low = x
+            while higher and v[higher[-1]] <= x:
+                low = min(low, out[higher.pop()])
+            out.append(low)
+            higher.append(k)
+        return out
+
+    inner = np.flatnonzero((value[1:-1] > value[:-2]) & (value[1:-1] > value[2:])) + 1
+    base = np.maximum(lowest(value.tolist()), lowest(value[::-1].tolist())[::-1]) if len(value) else value
+    peaks = inner[value[inner] - base[inner] >= least]
+    return (first[peaks] + last[peaks]) // 2
+
+
+def step_rows(scored: DataFrame, keys: Sequence[str], threshold: float, prominence: float = 1.0) -> DataFrame:
+    """Add `step`: the peaks of at least this prominence within each run of scores above the threshold.
+
+    Scores that agree to 1e-6 are equal. Only rows above the threshold are brought together, run by run.
     """
     order = _ordered(keys)
     above = F.col("score") > threshold
-    runs = scored.withColumn("above_", above).withColumn(
+    runs = scored.select(*keys, "time", above.alias("above_"), F.floor(F.col("score") * 1e6 + 0.4997).cast("double").alias("level_")).withColumn(
         "run_", F.sum(F.when(F.col("above_") != F.lag("above_", 1, False).over(order), 1).otherwise(0)).over(_so_far(keys))
     )
-    best = Window.partitionBy(*keys, "run_")
-    top = F.max_by("time", F.struct(F.floor(F.col("score") * 1e6 + 0.4997), -F.unix_micros("time"))).over(best)
-    return runs.withColumn("step", F.col("above_") & (F.col("time") == top)).drop("above_", "run_")
+    columns = [*keys, "time"]
+
+    def peaks(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        levels = pdf["level_"].to_numpy()
+        at = [a + prominent(levels[a:b], prominence * 1e6) for a, b in zip(starts, [*starts[1:], len(pdf)], strict=True)]
+        return pdf.iloc[np.concatenate(at)][columns]
+
+    schema = ", ".join(f"`{c}` {scored.schema[c].dataType.simpleString()}" for c in columns)
+    found = map_groups(runs.where("above_").drop("above_"), [*keys, "run_"], ["time"], peaks, schema)
+    marked = scored.join(found.withColumn("step", F.lit(True)), columns, "left").withColumn("step", F.coalesce("step", F.lit(False)))
+    return marked.select(*scored.columns, "step")
 
 
 def repair_steps(df: DataFrame, keys: Sequence[str], column: str, half: int = 500, threshold: float = 250.0) -> DataFrame:

@@ -9,10 +9,10 @@ _RINGS = "array<array<array<double>>>"
 
 
 def read_geojson(spark: SparkSession, path: str) -> DataFrame:
-    """Edges (ring, i, x1, y1, x2, y2) of all polygons of a FeatureCollection file.
+    """Edges (feature, ring, i, x1, y1, x2, y2) of all polygons of a FeatureCollection file.
 
-    The union of the features is the union of their edges: a point is inside if a ray from it
-    crosses an odd number of edges. This holds for polygons that do not overlap.
+    `feature` numbers the polygons: a point is inside one if a ray from it crosses an odd number of its edges, those of its holes
+    included, and inside the union if it is inside any of them, overlapping or not.
     """
     parts = spark.read.text(path, wholetext=True).select(
         F.explode(
@@ -22,23 +22,19 @@ def read_geojson(spark: SparkSession, path: str) -> DataFrame:
             )["features"]
         ).alias("f")
     ).select(F.col("f.geometry.type").alias("kind"), F.col("f.geometry.coordinates").alias("text"))
-    rings = F.when(F.col("kind") == "Polygon", F.from_json("text", _RINGS)).otherwise(
-        F.flatten(F.from_json("text", f"array<{_RINGS}>"))
-    )
-    return edges(
-        parts.select(F.explode(rings).alias("points")).withColumn(
-            "ring", F.monotonically_increasing_id()
-        )
-    )
+    polygons = F.when(F.col("kind") == "Polygon", F.array(F.from_json("text", _RINGS))).otherwise(F.from_json("text", f"array<{_RINGS}>"))
+    numbered = parts.select(F.explode(polygons).alias("rings")).withColumn("feature", F.monotonically_increasing_id())
+    return edges(numbered.select("feature", F.posexplode("rings").alias("ring", "points")))
 
 
 def edges(rings: DataFrame) -> DataFrame:
-    """Edges of rings given as (ring, points array<array<double>>); open rings are closed."""
+    """Edges of rings given as (ring, points array<array<double>>), with a feature if they have one; open rings are closed."""
     n = F.size("points")
+    of = [c for c in ("feature",) if c in rings.columns]
     return rings.select(
-        "ring", F.posexplode("points").alias("i", "p"), "points"
+        *of, "ring", F.posexplode("points").alias("i", "p"), "points"
     ).select(
-        "ring",
+        *of, "ring",
         "i",
         F.col("p")[0].alias("x1"),
         F.col("p")[1].alias("y1"),

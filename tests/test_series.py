@@ -186,6 +186,36 @@ def test_rolling_is_the_same_by_frames_and_by_blocks(spark, monkeypatch, stat):
     assert [v for v in got[0] if v is not None] == pytest.approx([v for v in got[1] if v is not None], rel=1e-9)
 
 
+def prominent_by_definition(x, least):
+    found = []
+    k = 1
+    while k < len(x) - 1:
+        end = k
+        while end + 1 < len(x) and x[end + 1] == x[k]:
+            end += 1
+        if x[k - 1] < x[k] and end + 1 < len(x) and x[end + 1] < x[k]:
+            mid = (k + end) // 2
+            sides = []
+            for step in (-1, 1):
+                at, low = mid, x[mid]
+                while 0 <= at < len(x) and x[at] <= x[mid]:
+                    low, at = min(low, x[at]), at + step
+                sides.append(low)
+            if x[mid] - max(sides) >= least:
+                found.append(mid)
+        k = end + 1
+    return found
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_prominent_peaks_equal_the_definition(seed):
+    rng = np.random.default_rng(seed)
+    for size in (1, 2, 3, 10, 200):
+        x = rng.integers(0, (3, 6, 50)[seed % 3], size).astype(float)
+        for least in (0, 1, 2, 10):
+            assert pp.prominent(x, least).tolist() == prominent_by_definition(x, least)
+
+
 def test_whole_groups_across_batches():
     """Groups that end inside a batch, at its edge, or go on over several batches."""
     rng = np.random.default_rng(1)

@@ -138,6 +138,30 @@ def test_geojson(spark, tmp_path):
     assert {(r["col"], r["row"]) for r in found.collect()} == {(1, 1), (2, 1), (1, 2), (2, 2), (4, 4), (5, 4), (4, 5), (5, 5)}
 
 
+def test_overlapping_features_unite(spark, tmp_path):
+    """Features that overlap, repeat, hold another one, or fill another one's hole: a cell is inside if any of them has it, once."""
+    def ring(x, y, w, h):
+        return [[x, y], [x + w, y], [x + w, y + h], [x, y + h], [x, y]]
+
+    shapes = [
+        [[ring(0.5, 0.5, 4, 4)]], [[ring(2.5, 2.5, 4, 3)]], [[ring(2.5, 2.5, 4, 3)]], [[ring(7.5, 0.5, 4, 4), ring(8.5, 1.5, 2, 2)]],
+        [[ring(9.5, 2.5, 1, 1)], [ring(1.5, 6.5, 3, 2), ring(2.5, 6.6, 1, 1)]],
+    ]
+    features = [{"type": "Feature", "geometry": {"type": "MultiPolygon", "coordinates": x} if len(x) > 1 else {"type": "Polygon", "coordinates": x[0]}} for x in shapes]
+    path = tmp_path / "mask.json"
+    path.write_text(json.dumps({"type": "FeatureCollection", "features": features}))
+
+    def within(points, x, y):
+        odd = False
+        for (x1, y1), (x2, y2) in zip(points, points[1:]):
+            odd ^= ((y1 <= y) != (y2 <= y)) and x1 + (x2 - x1) * (y - y1) / (y2 - y1) > x
+        return odd
+
+    want = {(c, r) for c in range(13) for r in range(10) if any(sum(within(p, c, r) for p in poly) % 2 for shape in shapes for poly in shape)}
+    rows = mask.inside_cells(polygons.read_geojson(spark, str(path)), gr.Grid(13, 10, -0.5, -0.5, 1.0, 1.0)).collect()
+    assert len(rows) == len({tuple(r) for r in rows}) and {(r["col"], r["row"]) for r in rows} == want
+
+
 def test_grids():
     assert (gr.make_grid().nx, gr.make_grid().ny) == (598, 378)
     degrees = gr.make_grid(Interp(mercator=False), Limits(0.0, 1.0, 0.0, 0.5))
