@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -190,6 +191,16 @@ def _(spark, sf):
     )
 
 
+@query("links_by_id", """SELECT cml_id, name, tech FROM links WHERE cml_id < 400 AND cml_id % 3 = 1 AND cml_id % 7 <> 0""")
+def _(spark, sf):
+    """Links of a list of ids, without those named in a file of one id a line."""
+    path = f"{shared_folder(spark)}/excluded/{uuid.uuid4().hex}"
+    ids = demo.sites(spark, sf).where("ID % 13 = 0 OR ID % 7 = 0").select(F.col("ID").cast("string"))
+    ids.unionByName(ids.limit(1).select(F.lit("").alias("ID"))).write.text(path)  # blank lines are skipped
+    some = links(spark, sf, ids=list(range(1, 400, 3)), excluded=metadata.read_excluded(spark, path))
+    return some.select("cml_id", "name", "tech")
+
+
 @query("link_selection", """SELECT polarization, tech, count(*) AS n FROM links WHERE cml_id % 2 = 0 GROUP BY 1, 2""")
 def _(spark, sf):
     choice = demo.sites(spark, sf).select(F.col("ID").alias("cml_id"), (F.col("ID") % 2 == 0).alias("enabled"))
@@ -1260,8 +1271,6 @@ def _(spark, sf):
 @query("stream_step_means", WIDE_SQL)
 def _(spark, sf):
     """The events replayed as a stream of files, landed and averaged by the streaming job."""
-    import uuid
-
     folder = f"{shared_folder(spark)}/replay/{uuid.uuid4().hex}"
     rows = demo.telemetry(spark, sf).select("time", "agent_host", "field", "value")
     rows.repartitionByRange(4, "time").write.parquet(f"{folder}/in")
@@ -1280,8 +1289,6 @@ def _(spark, sf):
 @query("stream_baseline", f"""SELECT cml_id, channel_id, {ts()} AS time, wet, {r('baseline')} AS baseline, {r('waa')} AS waa FROM walked""")
 def _(spark, sf):
     """The cleaned path losses replayed in three files, with the state of each channel kept in between."""
-    import uuid
-
     folder = f"{shared_folder(spark)}/replay/{uuid.uuid4().hex}"
     rows = stage(clean(spark, sf).select("cml_id", "channel_id", "time", "trsl"), "clean")
     days = F.floor((F.dayofmonth("time") - 1) / 11)
@@ -1301,8 +1308,6 @@ def _(spark, sf):
 
 
 def _root(spark) -> str:
-    import uuid
-
     return f"{shared_folder(spark)}/published/{uuid.uuid4().hex}"
 
 
@@ -1316,6 +1321,17 @@ def _(spark, sf):
     return back.select("utc", gr.display_row(GRID, F.col("row")).alias("img_row"), "col", "v")
 
 
+@query("expired_frames", f"""SELECT strftime(time, '%Y-%m-%d_%H%M') AS utc, count(*) AS n FROM frames
+    WHERE CAST(time AS DATE) >= CAST((SELECT max(time) FROM hour_sum) - INTERVAL 14 DAY AS DATE) GROUP BY 1""", _field_sql("r"))
+def _(spark, sf):
+    """Frames written by date, and the dates before a retained window deleted."""
+    path, series = _root(spark), stage(hour_sum(spark, sf), "hour_sum")
+    publish.write_frames(_frames(spark, sf, series=series), path)
+    newest = series.agg(F.max("time").alias("t")).first()["t"]
+    publish.expire(spark, path, newest, "14d")
+    return spark.read.parquet(path).groupBy("utc").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("published_flags", f"""SELECT utc, overall, ids, count_true, count_total FROM ({_info_sql("r", None)})""", _field_sql("r"))
 def _(spark, sf):
     """Frame summaries written as JSON and read back."""

@@ -126,3 +126,4 @@ def _(spark, sf):
             made = run.run_trailing(telemetry(spark, sf), links, cfg, cfg.time.end - timedelta(days=back), "14d", state=state)
             publish.write_frames(made.frames.withColumn("v", c.rr("v", 3)), root, made.links.select("time").distinct())
     return frame_store.read_frames(spark, root).select("utc", "row", "col", "v")
+

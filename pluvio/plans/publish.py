@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import replace
 from datetime import datetime
 
@@ -35,16 +36,58 @@ def _stored(spark: SparkSession, path: str, schema: T.StructType, kind: str) ->
 def _merge(new: DataFrame, path: str, kind: str, keys: list[str], parts: list[str], replaced: DataFrame) -> None:
     """Write new rows, and keep the stored rows of the dates they touch whose keys are not among the replaced ones.
 
-    replaced: the keys and the date. Stored and new rows are put together in a staged table first, because the dates written
-    are also read; a job that is lost while it writes can be repeated.
+    replaced: the keys and the date. Stored and new rows are put together beside the table first, in a folder that readers do not
+    see, and marked as complete there; only then are the dates rewritten, and the folder deleted after that. A write that was lost in
+    between is finished by the next one, or by `recover`, from what lies there; nothing of the dates is lost.
     """
+    recover(new.sparkSession, path, kind, parts)
     replaced = stage(replaced.select(*keys, DATE).distinct(), "replaced")
     stored = _stored(new.sparkSession, path, new.schema, kind)
     if stored is not None:
         touched = stored.join(replaced.select(DATE).distinct(), DATE, "left_semi")
         kept = touched.join(replaced.select(*keys), keys, "left_anti").select(*new.columns)
-        new = stage(kept.unionByName(new), "merged")
-    new.write.format(kind).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).save(path)
+        new = kept.unionByName(new)
+    folder = f"{path}/{PENDING}/{uuid.uuid4().hex}"
+    new.write.parquet(f"{folder}/rows")
+    _fs(new.sparkSession, folder)[0].create(_path(new.sparkSession, f"{folder}/{READY}")).close()
+    recover(new.sparkSession, path, kind, parts)
+
+
+PENDING, READY = "_pending", "READY"
+
+
+def _path(spark: SparkSession, path: str):
+    return spark._jvm.org.apache.hadoop.fs.Path(path)
+
+
+def _fs(spark: SparkSession, path: str):
+    at = _path(spark, path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def recover(spark: SparkSession, path: str, kind: str, parts: list[str]) -> int:
+    """Finish the writes below `path` that were complete beside the table but not in it, and drop those that were not.
+
+    A table has one writer at a time.
+    """
+    fs, folder = _fs(spark, f"{path}/{PENDING}")
+    finished = 0
+    for entry in sorted(fs.listStatus(folder), key=lambda e: e.getModificationTime()) if fs.exists(folder) else []:
+        at = entry.getPath()
+        if fs.exists(_path(spark, f"{at.toString()}/{READY}")):
+            try:
+                _rewrite(spark.read.parquet(f"{at.toString()}/rows"), path, kind, parts)
+            except AnalysisException as error:
+                if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":  # no rows, no files
+                    raise
+            finished += 1
+        fs.delete(at, True)
+    return finished
+
+
+def _rewrite(rows: DataFrame, path: str, kind: str, parts: list[str]) -> None:
+    """Replace the partitions that the rows lie in."""
+    rows.write.format(kind).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*parts).save(path)
 
 
 def write_frames(frames: DataFrame, path: str, times: DataFrame | None = None) -> None:

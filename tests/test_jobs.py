@@ -1,6 +1,7 @@
 """Whole jobs, publishing and streaming."""
 
 import os
+import shutil
 from dataclasses import replace
 from datetime import datetime, timedelta, timezone
 
@@ -215,6 +216,31 @@ def test_trailing_windows_equal_the_whole(spark, links, tmp_path, wet_dry, waa,
     assert scans[0] is None and [s for s in scans[1:] if s] == [T0 + timedelta(hours=h) for h in (12, 15, 24)]
 
 
+@pytest.mark.parametrize("lost", ["before the dates are touched", "after they are deleted"])
+def test_a_write_that_is_lost_half_way_loses_nothing(spark, tmp_path, monkeypatch, lost):
+    def points(first, last, value):
+        return spark.range(first, last).selectExpr("1L AS cml_id", "1704103200 + 600*id AS time", "'rain_intensity' AS field", f"{value} AS value")
+
+    path = str(tmp_path / "points")
+    publish.write_points(points(0, 72, "0.0D"), path)
+
+    def fails(rows, path, kind, parts):
+        if lost == "after they are deleted":
+            shutil.rmtree(f"{path}/field=rain_intensity")
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(publish, "_rewrite", fails)
+        with pytest.raises(RuntimeError):
+            publish.write_points(points(70, 75, "1.0D"), path)
+    assert publish.recover(spark, path, "parquet", ["field", publish.DATE]) == 1
+    got = {r.time: r.value for r in spark.read.parquet(path).collect()}
+    assert len(got) == 75 and sum(got.values()) == 5
+    publish.write_points(points(75, 76, "2.0D"), path)
+    publish.write_points(points(0, 0, "2.0D"), path)
+    assert spark.read.parquet(path).count() == 76 and not os.listdir(f"{path}/{publish.PENDING}")
+
+
 def test_trailing_without_state_scans_a_warm_up(rows, links):
     made = run.run_trailing(rows, links, CFG, T0 + timedelta(hours=40), "6h").links.collect()
     assert len(made) == 6 * 37
