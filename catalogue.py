@@ -34,7 +34,7 @@ from pluvio.plans import publish
 from pluvio.session import shared_folder, ship, stage
 from pluvio.sources import demo, metadata, polygons, telemetry
 from pluvio.sources import frames as frame_store
-from pluvio.streaming import live
+from pluvio.streaming import live, ordered
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -1304,6 +1304,24 @@ def _(spark, sf):
     return out.select("cml_id", "channel_id", stamp(), "wet", rr("baseline").alias("baseline"), rr("waa").alias("waa"))
 
 
+@query("stream_baseline_shuffled", f"""SELECT cml_id, channel_id, {ts()} AS time, wet, {r('baseline')} AS baseline, {r('waa')} AS waa FROM walked
+    WHERE time <= (SELECT max(time) FROM walked) - INTERVAL 4 DAY""")
+def _(spark, sf):
+    """The cleaned path losses in files by their day of arrival, up to two days late, so that days of a channel come out of order."""
+    folder = f"{shared_folder(spark)}/replay/{uuid.uuid4().hex}"
+    rows = stage(clean(spark, sf).select("cml_id", "channel_id", "time", "trsl"), "clean")
+    span = rows.agg(F.min("time").alias("a"), F.max("time").alias("b")).first()
+    arrival = F.datediff("time", F.lit(span["a"])) + F.pmod(F.xxhash64("cml_id", "channel_id", "time"), F.lit(3))
+    for k in range(((span["b"] - span["a"]).days + 2) // 8 + 1):  # files come in the order they are written
+        rows.where(F.floor(arrival / 8) == k).coalesce(1).write.parquet(f"{folder}/in/part={k}")
+    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/part=*")
+    walked = ordered.stream_baseline_ordered(stream, roll=ROLL, threshold=THRESHOLD, n=3, rise=0.5, lateness="3 days")
+    walked.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint").trigger(
+        availableNow=True).start().awaitTermination()
+    out = without_nan(spark.read.parquet(f"{folder}/out")).where(F.col("time") <= F.lit(span["b"]) - F.expr("INTERVAL 4 DAYS"))
+    return out.select("cml_id", "channel_id", stamp(), "wet", rr("baseline").alias("baseline"), rr("waa").alias("waa"))
+
+
 # --- published products ----------------------------------------------------------------------
 
 

@@ -460,3 +460,27 @@ def test_sliding_classifier(rows, links, by_spread):
     out = sliding_flags(channels, by_spread, threshold=0.5, window=12, shift=3, median_rows=30, median_min=5, trim=20)
     assert out.count() == channels.count() - 6 * 2 * 20
     assert 0 < out.where("wet").count() < out.count()
+
+
+def test_rows_that_come_late_take_their_place(spark, tmp_path):
+    """Shuffled within half an hour over several files, with a repeated row: what the watermark has passed is what batch gives."""
+    from pluvio.streaming import ordered
+
+    rng = np.random.default_rng(3)
+    steps = 60
+    rows = [(c, "A", T0 + timedelta(minutes=10 * i), float(50 + 6 * (i % 14 > 9) + rng.normal() * 0.2)) for c in (1, 2) for i in range(steps)]
+    schema = "cml_id bigint, channel_id string, time timestamp, trsl double"
+    arrival = sorted(range(len(rows)), key=lambda k: (rows[k][2] - T0).total_seconds() / 600 + rng.uniform(0, 3))
+    for part in range(4):
+        some = [rows[k] for k in arrival[part * 30:(part + 1) * 30]]
+        spark.createDataFrame(some + some[:1], schema).coalesce(1).write.parquet(f"{tmp_path}/in/part={part}")
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/in/part=*")
+    walked = ordered.stream_baseline_ordered(stream, roll=4, threshold=1.5, n=3, rise=0.5, lateness="40 minutes")
+    walked.writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/checkpoint").trigger(
+        availableNow=True).start().awaitTermination(240)
+    got = {(r.cml_id, r.time): (r.wet, r.baseline, r.waa) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    batch = bl.baseline_and_waa(wd.rolling_wet(spark.createDataFrame(rows, schema), 4, 1.5), n=3, tau=60.0, step_minutes=10.0)
+    want = {(r.cml_id, r.time): (r.wet, r.baseline, r.waa) for r in batch.collect()}
+    assert len(got) >= 2 * (steps - 6) and set(got) <= set(want)
+    for k, v in got.items():
+        assert v[0] == want[k][0] and v[1:] == pytest.approx(want[k][1:]), k
