@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from datetime import datetime, timedelta
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -53,6 +54,22 @@ def stream_hour_sums(
     )
 
 
+#: Batches that lie on their own before they are put together.
+LOOSE = 32
+
+
+def _entries(spark: SparkSession, path: str) -> tuple[list[int], list[int]]:
+    """Numbers of the landed batches, and of the last batch in each complete compaction, both ascending."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    found: dict[str, list[int]] = {"batch": [], "upto": []}
+    for entry in fs.listStatus(root) if fs.exists(root) else []:
+        kind, _, number = entry.getPath().getName().partition("=")
+        if kind in found and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(entry.getPath(), "_SUCCESS")):
+            found[kind].append(int(number))
+    return sorted(found["batch"]), sorted(found["upto"])
+
+
 def land(batch: DataFrame, batch_id: int, path: str) -> None:
     """Append a micro-batch to the landed table; a repeated batch replaces itself."""
     (
@@ -61,12 +78,43 @@ def land(batch: DataFrame, batch_id: int, path: str) -> None:
     )
 
 
-def landed(spark: SparkSession, path: str, since: datetime | None = None) -> DataFrame:
-    """The landed rows; `since` prunes dates as well as rows."""
-    rows = spark.read.schema(f"{SCHEMA}, batch bigint, landed_date date").parquet(path)
+def compact(spark: SparkSession, path: str, before: int, since: datetime | None = None, loose: int = LOOSE) -> bool:
+    """Put the batches below `before` together by date once there are `loose` of them; True if it was done.
+
+    Dates before `since` expire then. The new table stands beside the old one until it is complete, and what it replaces is deleted after that;
+    a loss in between leaves either the old state or batches that readers pass over.
+    """
+    batches, compacted = _entries(spark, path)
+    last = compacted[-1] if compacted else -1
+    done = [k for k in batches if last < k < before]
+    if len(done) < loose:
+        return False
+    rows = landed(spark, path, since, before).withColumn("landed_date", F.to_date("time"))
+    rows.repartition("landed_date").write.mode("overwrite").partitionBy("landed_date").parquet(f"{path}/upto={done[-1]}")
+    fs = spark._jvm.org.apache.hadoop.fs.Path(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for name in [f"batch={k}" for k in batches if k <= done[-1]] + [f"upto={k}" for k in compacted]:
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"), True)
+    return True
+
+
+def landed(spark: SparkSession, path: str, since: datetime | None = None, before: int | None = None) -> DataFrame:
+    """The landed rows, of batches below `before` if it is given; `since` prunes dates as well as rows.
+
+    They lie in one compacted table by date and in the batches after it.
+    """
+    batches, compacted = _entries(spark, path)
+    last = compacted[-1] if compacted else -1
+    folders = [f"{path}/batch={k}" for k in batches if k > last and (before is None or k < before)]
+    folders += [f"{path}/upto={last}"] if compacted else []
+    columns = ["time", "agent_host", "field", "value"]
+    if not folders:
+        return spark.createDataFrame([], SCHEMA).select(columns)
+    reader = spark.read.schema(f"{SCHEMA}, landed_date date")
+    parts = [reader.parquet(f) for f in folders]
+    rows = reduce(DataFrame.unionByName, parts)
     if since is not None:
         rows = rows.where((F.col("landed_date") >= F.lit(since.date())) & (F.col("time") >= F.lit(since)))
-    return rows.select("time", "agent_host", "field", "value")
+    return rows.select(columns)
 
 
 def recompute_loop(
@@ -77,14 +125,16 @@ def recompute_loop(
     *,
     every: str | None = None,
     window: str | None = None,
+    loose: int = LOOSE,
 ) -> StreamingQuery:
     """Land each micro-batch, then run `job(landed rows, newest time)` over the trailing window.
 
-    With `window`, only landed dates that the window can touch are read.
+    With `window`, only landed dates that the window can touch are read, and older ones expire when batches are put together.
 
     The job recomputes its window as a whole and replaces the times it writes, so late rows inside
     the window correct what was written before. Intermediate tables of a cycle are deleted after it. `every` is the trigger interval; without it the
-    query takes what is there and ends, as the first run over a long window does.
+    query takes what is there and ends, as the first run over a long window does. A run may go on with another window, as after a
+    first run over a long one, from the same checkpoint.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
@@ -95,6 +145,8 @@ def recompute_loop(
         if own is not None:
             newest = landed(spark, landed_path, own).agg(F.max("time").alias("t")).first()["t"]
             since = None if window is None else newest - TRAILING_WINDOWS[window] - timedelta(days=1)
+            # Batches before this one are done with and come no more.
+            compact(spark, landed_path, batch_id, since, loose)
             with staging(spark):
                 job(landed(spark, landed_path, since), newest)
 

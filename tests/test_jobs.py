@@ -484,3 +484,57 @@ def test_rows_that_come_late_take_their_place(spark, tmp_path):
     assert len(got) >= 2 * (steps - 6) and set(got) <= set(want)
     for k, v in got.items():
         assert v[0] == want[k][0] and v[1:] == pytest.approx(want[k][1:]), k
+
+
+def test_landed_batches_are_put_together(spark, tmp_path):
+    """Forty batches and a repeated one, compacted by eight: no more folders than that, the same rows, and old dates gone."""
+    path = str(tmp_path / "landed")
+
+    def batch(k):
+        return spark.createDataFrame([(T0 + timedelta(hours=6 * k + j), "h", "f", float(k)) for j in range(2)], "time timestamp, agent_host string, field string, value double")
+
+    most = 0
+    for k in range(24):
+        live.land(batch(k).coalesce(1), k, path)
+        if k == 20:
+            live.land(batch(k).coalesce(1), k, path)
+        live.compact(spark, path, k, T0 + timedelta(hours=6 * k) - timedelta(days=2), loose=4)
+        most = max(most, len(os.listdir(path)))
+    assert most <= 6
+    got = sorted(r.value for r in live.landed(spark, path).collect())
+    assert len(got) < 48 and got[-16:] == sorted(float(k) for k in range(16, 24) for _ in range(2))
+    since = T0 + timedelta(hours=6 * 22)
+    assert sorted(r.value for r in live.landed(spark, path, since).collect()) == [22.0, 22.0, 23.0, 23.0]
+    # A compaction that was lost half way is not seen.
+    os.makedirs(f"{path}/upto=99")
+    assert len(live.landed(spark, path).collect()) == len(got)
+
+
+def test_a_long_first_window_then_a_short_one(spark, rows, tmp_path):
+    """The loop starts with a long window over what is there, and goes on with a short one over what comes."""
+    def put(name, first, last):
+        some = rows.where((F.col("time") >= F.lit(T0 + timedelta(hours=first))) & (F.col("time") < F.lit(T0 + timedelta(hours=last))))
+        some.coalesce(1).write.parquet(f"{tmp_path}/{name}")
+        for f in os.listdir(f"{tmp_path}/{name}"):
+            if f.endswith(".parquet"):
+                os.makedirs(f"{tmp_path}/in", exist_ok=True)
+                shutil.copy(f"{tmp_path}/{name}/{f}", f"{tmp_path}/in/{name}.parquet")
+
+    seen = []
+
+    def job(landed_rows, newest):
+        seen.append((landed_rows.agg(F.min("time")).first()[0], newest))
+
+    def run_once(window):
+        stream = live.read_stream(spark, f"{tmp_path}/in", 1)
+        live.recompute_loop(stream, f"{tmp_path}/landed", f"{tmp_path}/checkpoint", job, window=window, loose=2).awaitTermination(120)
+
+    put("a", 0, 40)
+    run_once("7d")
+    put("b", 40, 44)
+    put("c", 44, 48)
+    run_once("1h")
+    begin = datetime(2024, 1, 1)
+    assert [(a, b - begin) for a, b in seen] == [
+        (begin, timedelta(hours=39, minutes=55)), (begin + timedelta(hours=18, minutes=55), timedelta(hours=43, minutes=55)),
+        (begin + timedelta(hours=22, minutes=55), timedelta(hours=47, minutes=55))]
