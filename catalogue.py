@@ -30,7 +30,7 @@ from pluvio.operators import spectral as sp
 from pluvio.operators import temperature as tc
 from pluvio.operators import training as tr
 from pluvio.operators import wetdry as wd
-from pluvio.plans import publish
+from pluvio.plans import classify, publish
 from pluvio.session import shared_folder, ship, stage
 from pluvio.sources import demo, metadata, polygons, telemetry
 from pluvio.sources import frames as frame_store
@@ -1163,6 +1163,28 @@ def _(spark, sf):
     )
 
 
+@query("sliding_classifier", f"""SELECT c.cml_id, c.channel_id, {ts('c.time')} AS time, coalesce(f.p > 0.51, FALSE) AS wet FROM clean c
+    JOIN judged f ON f.cml_id = c.cml_id AND f.time = c.time WHERE f.n > 3""", {
+    "pairs": """SELECT cml_id, time, max(CASE WHEN channel_id = 'A(rx)_B(tx)' THEN trsl END) AS a, max(CASE WHEN channel_id = 'B(rx)_A(tx)' THEN trsl END) AS b
+        FROM clean GROUP BY 1, 2""",
+    "ahead": f"""SELECT cml_id, time, {', '.join(f"""CASE WHEN row_number() OVER ({ROWS}) + 2 > count(*) OVER (PARTITION BY cml_id)
+        THEN last_value({x}) OVER ({ROWS} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) ELSE lead({x}, 2) OVER ({ROWS}) END AS {x}"""
+        for x in 'ab')} FROM pairs""",
+    "centred": f"""SELECT cml_id, time, {', '.join(f"{x} - CASE WHEN count({x}) OVER w >= 3 THEN quantile_cont({x}, 0.5) OVER w END AS {x}" for x in 'ab')}
+        FROM ahead WINDOW w AS ({ROWS} ROWS BETWEEN 7 PRECEDING AND CURRENT ROW)""",
+    "rated": f"""SELECT cml_id, time, CASE WHEN count(a) OVER w = 6 AND count(b) OVER w = 6 THEN 0.5 + 0.1*(sum(a) OVER w + sum(b) OVER w)/12 END AS q
+        FROM centred WINDOW w AS ({ROWS} ROWS BETWEEN 5 PRECEDING AND CURRENT ROW)""",
+    "judged": f"""SELECT cml_id, time, n, CASE WHEN n BETWEEN 6 AND 7 THEN f WHEN n >= 8 THEN m END AS p FROM (
+        SELECT cml_id, time, row_number() OVER ({ROWS}) AS n, lag(q, 2) OVER ({ROWS}) AS m,
+            nth_value(q, 6) OVER ({ROWS} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS f FROM rated)""",
+})
+def _(spark, sf):
+    """Wet flags from windows of six rows that slide over both path losses, by a linear scorer."""
+    flags = classify.sliding_flags(
+        channels(spark, sf).drop("wet"), lambda w: 0.5 + 0.1 * w.mean(axis=(1, 2)), threshold=0.51, window=6, shift=2, median_rows=8, median_min=3, trim=3)
+    return flags.select("cml_id", "channel_id", stamp(), "wet")
+
+
 @query("prediction_alignment", f"""SELECT cml_id, {ts()} AS time, {r('CASE WHEN n BETWEEN 12 AND 14 THEN f WHEN n >= 15 THEN m END')} AS x FROM (
       SELECT *, row_number() OVER ({ROWS}) AS n, lag(x, 3) OVER ({ROWS}) AS m,
         nth_value(x, 12) OVER ({ROWS} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS f FROM series)

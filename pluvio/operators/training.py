@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pluvio.operators.grouped import map_groups
+from pluvio.operators.series import with_blocks, with_positions
 from pluvio.session import ship
 
 
@@ -178,6 +181,38 @@ def score_with(df: DataFrame, scorer: Callable[[pd.Series], pd.Series], features
     return out.withColumn("probability", F.when(~F.isnan("probability"), F.col("probability")))
 
 
+def score_blocks(
+    df: DataFrame, keys: Sequence[str], columns: Sequence[str], back: int, ahead: int, scorer: Callable[[np.ndarray], np.ndarray],
+    *, block: int = 4096, part: Column | None = None,
+) -> DataFrame:
+    """(keys, time, probability) of the rows -back..ahead around every row; missing where a value is missing or beyond the series.
+
+    A series is cut into blocks of rows that overlap by a window. Only the columns themselves travel: the windows are views on a
+    block, (windows, columns, rows of a window) for the scorer, and nothing but keys and probability comes back.
+    """
+    part = F.date_trunc("month", "time") if part is None else part
+    slim = df.select(*keys, "time", *[F.col(c).cast("double").alias(c) for c in columns])
+    blocks = with_blocks(with_positions(slim, keys, ["time"], part), block, back, ahead)
+    names = [*keys, "time", "probability"]
+    schema = ", ".join(f"`{c}` {dict(slim.dtypes).get(c, 'double')}" for c in names)
+    size = back + ahead + 1
+
+    def score(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
+        out = np.full(len(pdf), np.nan)
+        values = pdf[list(columns)].to_numpy("float64").T
+        for a, b in zip(starts, [*starts[1:], len(pdf)], strict=True):
+            if b - a < size:
+                continue
+            views = np.lib.stride_tricks.sliding_window_view(values[:, a:b], size, axis=1).transpose(1, 0, 2)
+            whole = np.flatnonzero(np.isfinite(views).all(axis=(1, 2)))
+            if len(whole):
+                out[a + back + whole] = scorer(views if len(whole) == len(views) else views[whole])
+        return pdf.assign(probability=out).loc[pdf["core"].to_numpy(bool), names]
+
+    out = map_groups(blocks, [*keys, "block_id"], ["pos"], score, schema)
+    return out.withColumn("probability", F.when(~F.isnan("probability"), F.col("probability")))
+
+
 def over(probability: Column, threshold: float) -> Column:
     """Wet strictly above the threshold, as sliding classifiers use it; NULL stays NULL."""
     return probability > threshold

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -41,7 +42,7 @@ def flags_from_fine(
 
 def sliding_flags(
     channels: DataFrame,
-    scorer: Scorer,
+    scorer: Callable[[np.ndarray], np.ndarray],
     *,
     threshold: float = 0.82,
     window: int = 180,
@@ -52,7 +53,8 @@ def sliding_flags(
 ) -> DataFrame:
     """Channels with a `wet` column from a window sliding over both path losses, without the first rows.
 
-    Rows the classifier cannot judge are dry.
+    The scorer gets windows as (windows, path losses, rows) and returns a probability each; see `training.score_blocks`. Rows the
+    classifier cannot judge are dry.
     """
     clean = quality.clean(channels, temperature=False)
 
@@ -62,8 +64,8 @@ def sliding_flags(
     rows = clean.groupBy("cml_id", "time").agg(of(AB).alias("trsl_a"), of(BA).alias("trsl_b"))
     rows = preprocess.shift_ahead(rows, KEY, BOTH, shift)
     rows = preprocess.subtract_median(rows, KEY, BOTH, median_rows, centered=False, min_rows=median_min)
-    scored = training.score_with(training.feature_windows(rows, KEY, BOTH, window - 1), scorer)
-    placed = training.align_predictions(scored.drop("features"), KEY, "probability", window, shift)
+    scored = training.score_blocks(rows, KEY, BOTH, window - 1, 0, scorer)
+    placed = training.align_predictions(scored, KEY, "probability", window, shift)
     wet = F.coalesce(training.over(F.col("probability"), threshold), F.lit(False))
     flags = training.trim_leading(placed, KEY, trim).select("cml_id", "time", wet.alias("wet"))
     return channels.join(flags, ["cml_id", "time"])

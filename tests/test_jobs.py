@@ -451,12 +451,15 @@ def test_segment_classifier(spark, rows, links, by_spread):
     assert out.count() == build_channels(step_means(rows, 600), links).count()
 
 
-def test_sliding_classifier(rows, links, by_spread):
+def test_sliding_classifier(rows, links):
     from pluvio.plans.classify import sliding_flags
     from pluvio.operators.channels import build_channels
     from pluvio.sources.telemetry import step_means
 
     channels = build_channels(step_means(rows, 600), links)
+    def by_spread(windows):
+        return windows.std(axis=(1, 2)) > 0.35
+
     out = sliding_flags(channels, by_spread, threshold=0.5, window=12, shift=3, median_rows=30, median_min=5, trim=20)
     assert out.count() == channels.count() - 6 * 2 * 20
     assert 0 < out.where("wet").count() < out.count()

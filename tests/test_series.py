@@ -216,6 +216,21 @@ def test_prominent_peaks_equal_the_definition(seed):
             assert pp.prominent(x, least).tolist() == prominent_by_definition(x, least)
 
 
+@pytest.mark.parametrize("block", [4, 16, 4096])
+def test_scores_by_blocks_equal_windows(spark, block):
+    from pluvio.operators import training as tr
+
+    rng = np.random.default_rng(2)
+    x = [None if rng.uniform() < 0.03 else float(v) for v in rng.normal(size=120)]
+    df = channel(spark, x).withColumn("y", F.col("trsl") * 2 + F.minute("time"))
+    got = tr.score_blocks(df, ["cml_id"], ["trsl", "y"], 5, 2, lambda w: w[:, 0].mean(axis=1) + w[:, 1, 0], block=block)
+    windows = tr.feature_windows(df, ["cml_id"], ["trsl", "y"], 5, 2)
+    want = [None if r.features is None else np.mean(r.features[:8]) + r.features[8] for r in windows.orderBy("time").collect()]
+    found = column(got, "probability")
+    assert [v is None for v in found] == [v is None for v in want] and sum(v is not None for v in want) > 40
+    assert [v for v in found if v is not None] == pytest.approx([v for v in want if v is not None])
+
+
 def test_whole_groups_across_batches():
     """Groups that end inside a batch, at its edge, or go on over several batches."""
     rng = np.random.default_rng(1)
