@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
+def _pearson(x: Column, t: Column, over: WindowSpec | None = None) -> Column:
+    """Pearson correlation over the rows where both are known; NULL where either does not vary.
+
+    `F.corr` divides by zero there, and an aggregate is worked out before any condition around it.
+    """
+    known = x.isNotNull() & t.isNotNull()
+    parts = F.covar_pop(x, t), F.stddev_pop(F.when(known, x)), F.stddev_pop(F.when(known, t))
+    both, of_x, of_t = parts if over is None else [p.over(over) for p in parts]
+    return both / F.nullif(of_x * of_t, F.lit(0.0))
+
+
 def correlations(channels: DataFrame) -> DataFrame:
     """Pearson correlation and slope per channel over the rows where both values are known."""
     t, x = F.col("temperature_tx"), F.col("trsl")
@@ -14,7 +25,7 @@ def correlations(channels: DataFrame) -> DataFrame:
         F.min(F.when(both == 1, x)) < F.max(F.when(both == 1, x))
     )
     return channels.groupBy("cml_id", "channel_id").agg(
-        F.when(varies, F.corr(x, t)).alias("correlation"),
+        F.when(varies, _pearson(x, t)).alias("correlation"),
         F.when(varies, F.regr_slope(x, t)).alias("slope"),
     )
 
@@ -45,7 +56,7 @@ def mark_flagged(channels: DataFrame, threshold: float) -> DataFrame:
     )
     stats = channels.withColumns(
         {
-            "r_": F.when(varies, F.corr(x, t).over(channel)),
+            "r_": F.when(varies, _pearson(x, t, channel)),
             "slope_": F.when(varies, F.regr_slope(x, t).over(channel)),
         }
     )

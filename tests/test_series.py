@@ -363,3 +363,19 @@ def test_rolling_is_the_same_at_every_length(spark):
                     part = part[~np.isnan(part)]
                     want = np.nan if len(part) < 5 else np.median(part) if stat == "median" else part.std(ddof=1)
                     assert got[i] == pytest.approx(want, rel=1e-9, abs=1e-9, nan_ok=True), (window, stat, k, i)
+
+
+def test_constant_temperature_has_no_correlation(spark):
+    """A channel whose temperature or path loss never varies has neither correlation nor an error."""
+    from pluvio.operators import temperature as tc
+
+    rows = [(1, "a", float(v), 0.0) for v in (50, 52, 54)] + [(1, "b", 50.0, float(v)) for v in (3, 4, 5)]
+    rows += [(2, c, 50.0 + v, 30.0 + s * v) for c, s in (("a", 1), ("b", -2)) for v in (0, 1, 2)]
+    df = spark.createDataFrame(rows, "cml_id long, channel_id string, trsl double, temperature_tx double")
+    got = {(r["cml_id"], r["channel_id"]): (r["correlation"], r["slope"]) for r in tc.correlations(df).collect()}
+    assert got[1, "a"] == got[1, "b"] == (None, None)
+    assert got[2, "a"] == pytest.approx((1, 1)) and got[2, "b"] == pytest.approx((-1, -0.5))
+    assert [r["cml_id"] for r in tc.flagged_links(df, 0.3).collect()] == [2]
+    assert {r["cml_id"] for r in tc.drop_flagged(df, 0.3).collect()} == {1}
+    fixed = {(r["cml_id"], r["channel_id"], r["temperature_tx"]): r["trsl"] for r in tc.compensate(df, 0.3).collect()}
+    assert fixed[2, "a", 32.0] == pytest.approx(41) and fixed[1, "b", 5.0] == 50
