@@ -873,10 +873,7 @@ def _levels(spark, sf):
 
 @query("endpoint_distances", f"SELECT id1, id2, {', '.join(f'{r(d)} AS {d}' for d in nb.DISTANCES)} FROM close", NEARBY_SQL)
 def _(spark, sf):
-    table, _members = nb.places(links(spark, sf), RADIUS)
-    return nb.place_pairs(table, RADIUS).select(
-        F.col("place_id_1").alias("id1"), F.col("place_id_2").alias("id2"), *[rr(d).alias(d) for d in nb.DISTANCES]
-    )
+    return nb.link_pairs(links(spark, sf), RADIUS).select("id1", "id2", *[rr(d).alias(d) for d in nb.DISTANCES])
 
 
 @query("nearby_links", "SELECT id1 AS cml_id, count(*) AS n_nearby FROM close GROUP BY 1", NEARBY_SQL)

@@ -190,3 +190,29 @@ def test_crowded_cubes_are_split(spark, monkeypatch):
     monkeypatch.setattr(nb, "CROWDED_PLACES", 7)
     split = nb.place_pairs(table, 5.0).select("place_id_1", "place_id_2", "n_links").collect()
     assert len(split) == len(plain) and {tuple(r) for r in split} == plain and len(plain) > 1600
+
+
+def test_link_pairs_with_twins(spark):
+    """Every link near another is listed, also those that lie at one place, against all pairs by formula."""
+    from pluvio.functions.geo import haversine_km
+    from pluvio.operators import nearby as nb
+
+    ends = [(50.0, 14.0, 50.03, 14.0), (50.0, 14.0, 50.03, 14.0), (50.01, 14.0, 50.02, 14.0), (50.0, 14.0, 50.03, 14.0), (50.0, 14.0, 50.2, 14.0),
+            (50.0, 14.0, 50.2, 14.0), (52.0, 14.0, 52.01, 14.0)]
+    links = spark.createDataFrame([(i, *e) for i, e in enumerate(ends)], "cml_id long, lat_a double, lon_a double, lat_b double, lon_b double")
+    links = links.withColumn("length", haversine_km(*[F.col(c) for c in nb.ENDS]))
+    got = {(r["id1"], r["id2"]): [r[d] for d in nb.DISTANCES] for r in nb.link_pairs(links, 10.0).collect()}
+
+    def far(p, q):
+        h = np.radians(np.array([*p, *q]))
+        s = np.sin((h[2] - h[0]) / 2) ** 2 + np.cos(h[0]) * np.cos(h[2]) * np.sin((h[3] - h[1]) / 2) ** 2
+        return 2 * 6373.0 * np.arctan2(np.sqrt(s), np.sqrt(1 - s))
+
+    want = {}
+    for i, a in enumerate(ends):
+        for j, b in enumerate(ends):
+            d = [0.0 if i == j else far(a[p:p + 2], b[q:q + 2]) for p in (0, 2) for q in (0, 2)]
+            if max(d) < 10.0:
+                want[i, j] = d
+    assert set(got) == set(want) and len(got) == 19
+    assert all(got[k] == pytest.approx(want[k], abs=1e-9) for k in want)
