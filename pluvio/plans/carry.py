@@ -4,7 +4,7 @@ What a run needs of the time before its window are the last rows of every channe
 can change it: gaps are filled from both sides, so a channel is settled up to the last row at which all levels are known (a level
 never seen yet is missing up to there whatever comes), less the rows that a centred window looks ahead. Settled rows are carried with
 their results (path loss, wet flag, baseline, wet-antenna attenuation), as many as rolling windows, averaged baselines and hour sums
-look back on. Rows after them are carried as they were read and are worked out again. A channel that reports one level but not
+look back on, and the last ones that measured each level, from which later gaps are filled. Rows after them are carried as they were read and are worked out again. A channel that reports one level but not
 another carries all rows since then; all others carry a bounded number.
 
 Telemetry that arrives after the state of its time was written no longer changes what lies before the window. Statistics of
@@ -56,14 +56,19 @@ def state(rates: DataFrame, cfg: Settings, at: datetime) -> DataFrame:
     channel = Window.partitionBy(*CHANNEL)
     rows = rates.where(F.col("time") <= F.lit(at)).withColumn("place_", F.row_number().over(order))
     last = [F.coalesce(F.max(F.when(F.col(f"known_{c}"), F.col("place_"))).over(channel), F.count("*").over(channel)) for c in columns]
-    rows = rows.withColumn("settled_", F.least(*last) - ahead).where(F.col("place_") > F.col("settled_") - lookback(cfg))
+    rows = rows.withColumn("settled_", F.least(*last) - ahead)
     given = F.col("place_") <= F.col("settled_")
+    # Gaps that reach beyond the settled rows are filled from the last row that measured the value, however far back it lies.
+    before = {f"before_{c}": F.max(F.when(given & F.col(f"known_{c}"), F.col("place_"))).over(channel) for c in columns}
+    rows = rows.withColumns(before)
+    source = F.coalesce(F.col("place_").isin(*[F.col(c) for c in before]), F.lit(False))
+    rows = rows.where((F.col("place_") > F.col("settled_") - lookback(cfg)) | source)
     held = "held" if "held" in rates.columns else "baseline"
     results = {"given_trsl": F.col("trsl"), "given_wet": F.col("wet"), "given_baseline": F.col(held), "given_waa": F.col("waa")}
-    # A settled value stands for a measured one; later gaps are filled from it as they would have been.
-    raw = {c: F.when(given | F.col(f"known_{c}"), F.col(c)) for c in LEVELS + TEMPERATURES}
-    marks = {f"known_{c}": F.col(c).isNotNull() & (given | F.col(f"known_{c}")) for c in LEVELS + TEMPERATURES}
-    return rows.withColumns(marks | raw | {"given": given} | {c: F.when(given, v) for c, v in results.items()}).drop("place_", "settled_")
+    # Only measured values are carried: the nearest one to a later gap is not told from a filled one.
+    raw = {c: F.when(F.col(f"known_{c}"), F.col(c)) for c in LEVELS + TEMPERATURES}
+    out = rows.withColumns(raw | {"given": given} | {c: F.when(given, v) for c, v in results.items()})
+    return out.drop("place_", "settled_", *before)
 
 
 def _folders(spark: SparkSession, root: str) -> dict[int, str]:

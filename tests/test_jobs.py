@@ -541,3 +541,22 @@ def test_a_long_first_window_then_a_short_one(spark, rows, tmp_path):
     assert [(a, b - begin) for a, b in seen] == [
         (begin, timedelta(hours=39, minutes=55)), (begin + timedelta(hours=18, minutes=55), timedelta(hours=43, minutes=55)),
         (begin + timedelta(hours=22, minutes=55), timedelta(hours=47, minutes=55))]
+
+
+def test_gaps_across_the_carried_rows_are_filled_from_measured_values(spark):
+    """A level that is missing around the last settled row is filled from the nearest measured value, not from a filled one."""
+    from pluvio.plans import carry
+
+    tsl = [10.0] * 4 + [50.0] * 5 + [14.0] * 6  # 50 is no measurement
+    rsl = [-50.0] * 7 + [0.0] * 4 + [-50.0] * 4  # nor is 0; row 6 is the last settled one of the first ten
+    rows = [(1, T0 + timedelta(minutes=10 * i), "V", 5.0, "x", t, p, 0.0, 0.0, 20.0, 0.1, 1.0, True, True) for i, (t, p) in enumerate(zip(tsl, rsl, strict=True))]
+    names = """cml_id long, time timestamp, polarization string, length double, channel_id string, tsl double, rsl double, temperature_rx double,
+        temperature_tx double, frequency double, k double, alpha double, has_a boolean, has_b boolean"""
+    cfg = replace(CFG, wet_dry=WetDry(rolling_values=2, baseline_samples=1), waa=WetAntenna(method="none"), hour_sum=HourSum(enabled=False))
+    rates = [rain_rates(carry.with_known(spark.createDataFrame(part, names), None), cfg) for part in (rows[:10], rows)]
+    state = carry.state(rates[0], cfg, rows[9][1]).select(carry.with_known(spark.createDataFrame(rows, names), None).columns).cache()
+    later = rain_rates(carry.with_known(spark.createDataFrame(rows[10:], names), state), cfg)
+    want = {r["time"]: r["trsl"] for r in rates[1].collect()}
+    got = {r["time"]: (r["given"], r["trsl"]) for r in later.collect()}
+    assert sum(not given for given, _ in got.values()) == 8 and len(got) < 14
+    assert {t: v for t, (_, v) in got.items()} == {t: want[t] for t in got}
