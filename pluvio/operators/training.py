@@ -43,7 +43,11 @@ def zero_event_tails(df: DataFrame, keys: Sequence[str], upsampled: int, rain: s
 
 
 def reference_flags(df: DataFrame, keys: Sequence[str], minutes: float = 30.0, rain: str = "rain") -> DataFrame:
-    """Rain summed per interval and divided by 20, on every row of it; ref_wd above 0.15, never on the first row."""
+    """Rain summed per interval and divided by 20, on every row of it; ref_wd above 0.15, never on the first row.
+
+    Series are dealt to all partitions, which are not put together by their size: a task sorts its rows several times over.
+    """
+    df = df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
     seconds = int(minutes * 60)
     bucket = F.floor(F.unix_timestamp("time") / seconds)
     total = F.sum(rain).over(Window.partitionBy(*keys, "bucket_")) / 20.0
@@ -62,7 +66,9 @@ def islands(df: DataFrame, keys: Sequence[str], flag: str = "ref_wd") -> DataFra
     out = df.withColumn("changed_", changed).withColumn(
         "island", F.sum("changed_").over(order.rowsBetween(Window.unboundedPreceding, 0))
     ).drop("changed_")
-    return out.withColumn("island_rows", F.count(F.lit(1)).over(Window.partitionBy(*keys, "island")))
+    # In the order of time, as `balance` numbers the rows, so that both share one sort.
+    whole = Window.partitionBy(*keys, "island").orderBy("time").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return out.withColumn("island_rows", F.count(F.lit(1)).over(whole))
 
 
 def balance(df: DataFrame, keys: Sequence[str], longest: int = 600, flag: str = "ref_wd") -> DataFrame:

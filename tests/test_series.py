@@ -379,3 +379,15 @@ def test_constant_temperature_has_no_correlation(spark):
     assert {r["cml_id"] for r in tc.drop_flagged(df, 0.3).collect()} == {1}
     fixed = {(r["cml_id"], r["channel_id"], r["temperature_tx"]): r["trsl"] for r in tc.compensate(df, 0.3).collect()}
     assert fixed[2, "a", 32.0] == pytest.approx(41) and fixed[1, "b", 5.0] == 50
+
+
+def test_reference_flags_deal_series_to_all_partitions(spark):
+    """Partitions are not put together by their size, whatever the optimizer thinks of it, and a run is sorted once to be counted and numbered."""
+    from pluvio.operators import training as tr
+
+    df = spark.range(4000).selectExpr("id % 40 AS cml_id", "timestamp_seconds(id * 600) AS time", "CAST(id % 7 = 0 AS double) AS rain")
+    out = tr.balance(tr.reference_flags(df, ["cml_id"], 60.0), ["cml_id"], 4)
+    used = out.groupBy(F.spark_partition_id()).count().collect()
+    assert len(used) == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert any("island_rows" in line and "row_number" in line for line in plan.splitlines() if "Window [" in line), plan
