@@ -8,18 +8,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def with_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], part: Column) -> DataFrame:
+def with_positions(df: DataFrame, keys: Sequence[str], order: Sequence[str], part: Column, total: str | None = None) -> DataFrame:
     """Add `pos`, the 0-based row number of a series, without gathering a series in one task.
 
     `part` is a coarse, monotone slice of the order (such as the month). Rows are counted per
     slice before the shuffle, slice starts are running sums of the counts, and only the rows of
-    one slice are sorted together.
+    one slice are sorted together. `total` names a column for the number of rows of the series.
     """
     sliced = df.withColumn("part_", part)
     counts = sliced.groupBy(*keys, "part_").agg(F.count(F.lit(1)).alias("n_"))
     before = Window.partitionBy(*keys).orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
+    size = [F.sum("n_").over(Window.partitionBy(*keys)).alias(total)] if total else []
     starts = counts.select(
-        *keys, "part_", F.coalesce(F.sum("n_").over(before), F.lit(0)).alias("start_")
+        *keys, "part_", F.coalesce(F.sum("n_").over(before), F.lit(0)).alias("start_"), *size
     )
     inside = Window.partitionBy(*keys, "part_").orderBy(*order)
     return (

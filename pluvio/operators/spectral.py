@@ -38,9 +38,8 @@ def spectrogram(
     size = window + window % 2 if mirror else window
     before = (size - 1) // 2
     part = F.date_trunc("month", "time")
-    placed = with_positions(df.select(*keys, "time", value), keys, ["time"], part)
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("rows_"))
-    blocks = with_blocks(placed.join(counts, [*keys]), 16384, size, size - 1 - before)
+    placed = with_positions(df.select(*keys, "time", value), keys, ["time"], part, total="rows_")
+    blocks = with_blocks(placed, 16384, size, size - 1 - before)
     types = dict(df.dtypes)
     schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", time timestamp, pos bigint, power array<double>"
 

@@ -391,3 +391,9 @@ def test_reference_flags_deal_series_to_all_partitions(spark):
     assert len(used) == int(spark.conf.get("spark.sql.shuffle.partitions"))
     plan = out._jdf.queryExecution().sparkPlan().toString()
     assert any("island_rows" in line and "row_number" in line for line in plan.splitlines() if "Window [" in line), plan
+
+
+def test_positions_bring_the_size_of_the_series(spark):
+    df = spark.range(10).selectExpr("id % 3 AS cml_id", "timestamp_seconds(id * 2000000) AS time")
+    out = se.with_positions(df, ["cml_id"], ["time"], F.date_trunc("month", "time"), total="rows_").collect()
+    assert {(r["cml_id"], r["rows_"]) for r in out} == {(0, 4), (1, 3), (2, 3)} and len(out) == 10
