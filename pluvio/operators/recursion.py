@@ -97,69 +97,66 @@ def baseline_in_blocks(channels: DataFrame, n: int, waa_max: float, rise: float,
     slim = rows.select(*own, "pos", "core", "trsl", F.col("wet").cast("double").alias("wet"))
     keys = ", ".join(f"`{k}` {rows.schema[k].dataType.simpleString()}" for k in own)
 
-    def groups(pdf: pd.DataFrame, starts: np.ndarray):
-        for a, b in zip(starts, [*starts[1:], len(pdf)], strict=True):
-            yield pdf.iloc[a:b]
-
-    def split(part: pd.DataFrame):
-        """The rows of the block, and the wet flag of the row before it."""
-        core = part["core"].to_numpy(bool)
-        wet = part["wet"].to_numpy("float64")
-        return part[core], wet[core], float(wet[~core][0]) if (~core).any() else np.nan
+    def parts(pdf: pd.DataFrame, starts: np.ndarray):
+        """The rows the blocks of a chunk own as one frame, where each block begins and ends in it, and the wet flag of the row before each."""
+        core, ends = pdf["core"].to_numpy(bool), np.append(starts[1:], len(pdf))
+        wet = pdf["wet"].to_numpy("float64", na_value=np.nan)
+        so_far = np.concatenate([[0], np.cumsum(core)])
+        # The row before a block, if it has one, comes first.
+        before = np.where(core[starts], np.nan, wet[starts])
+        return pdf[core], wet[core], so_far[starts], so_far[ends], before
 
     def averages_of(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
-        out = []
-        for part in groups(pdf, starts):
-            mine, wet, before = split(part)
-            share, vector = averages(mine["trsl"].to_numpy("float64"), wet, before, mine["pos"].to_numpy(), n)
-            out.append((*part[own].iloc[0], share.ravel().tolist(), vector.tolist()))
-        return pd.DataFrame(out, columns=[*own, "share", "vector"])
+        mine, wet, first, last, before = parts(pdf, starts)
+        trsl, pos = mine["trsl"].to_numpy("float64"), mine["pos"].to_numpy()
+        made = [averages(trsl[a:b], wet[a:b], flag, pos[a:b], n) for a, b, flag in zip(first.tolist(), last.tolist(), before.tolist(), strict=True)]
+        return pdf[own].iloc[starts].assign(share=[share.ravel() for share, _ in made], vector=[vector for _, vector in made])
 
     def states(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
-        out = []
-        for part in groups(pdf, starts):
-            state = np.full(n, np.nan)
-            for row in part.itertuples(index=False):
-                out.append((*row[:3], state.tolist()))
-                state = averaged(np.array(row[3]).reshape(n, n), np.array(row[4]), state)
-        return pd.DataFrame(out, columns=[*own, "state"])
-
-    def walked(part: pd.DataFrame, waa: float):
-        """Baseline and wet-antenna attenuation of a block from the state before it."""
-        mine, wet, before = split(part)
-        state = np.array(part["state"].iloc[0], float)
-        pos = mine["pos"].to_numpy()
-        trsl = np.concatenate([np.full(n, np.nan), mine["trsl"].to_numpy("float64")])
-        flags = np.concatenate([np.full(n - 1, np.nan), [before], wet])
-        given = (np.arange(len(trsl)) < n, np.concatenate([state, np.full(len(mine), np.nan)]), np.full(len(trsl), waa))
-        base, up = walk(trsl, flags, np.concatenate([np.full(n, n), pos]), n, waa_max, rise, given)
-        return mine, wet, pos, base[n:], up[n:]
+        out, fresh = [], set(starts.tolist())
+        for k, (share, vector) in enumerate(zip(pdf["share"].to_numpy(), pdf["vector"].to_numpy(), strict=True)):
+            state = np.full(n, np.nan) if k in fresh else state
+            out.append(state)
+            state = averaged(np.asarray(share).reshape(n, n), np.asarray(vector), state)
+        return pdf[own].assign(state=out)
+
+    def walked(pdf: pd.DataFrame, starts: np.ndarray, waa: np.ndarray):
+        """Baseline and wet-antenna attenuation of the blocks of a chunk from the states before them, which are laid before their rows."""
+        mine, wet, first, last, before = parts(pdf, starts)
+        pos, size = mine["pos"].to_numpy(), last - first
+        heads = (first + n * np.arange(len(starts)))[:, None] + np.arange(n)
+        rows = np.arange(len(mine)) + n * np.repeat(np.arange(1, len(starts) + 1), size)
+        total = len(mine) + heads.size
+        trsl, flags, since = np.full(total, np.nan), np.full(total, np.nan), np.full(total, n)
+        trsl[rows], flags[rows], since[rows] = mine["trsl"].to_numpy("float64"), wet, pos
+        flags[heads[:, -1]] = before
+        known, base, up = np.zeros(total, bool), np.full(total, np.nan), np.full(total, np.nan)
+        known[heads] = True
+        base[heads] = np.array([np.asarray(x, float) for x in pdf["state"].iloc[starts]])
+        up[heads] = waa[:, None]
+        base, up = walk(trsl, flags, since, n, waa_max, rise, (known, base, up))
+        return mine, wet, pos, first, last, base[rows], up[rows]
 
     def climbs_of(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
-        out = []
-        for part in groups(pdf, starts):
-            mine, wet, pos, base, _ = walked(part, np.nan)
-            out.append((*part[own].iloc[0], list(climb(mine["trsl"].to_numpy("float64"), base, wet, pos, waa_max, rise))))
-        return pd.DataFrame(out, columns=[*own, "climb"])
+        mine, wet, pos, first, last, base, _ = walked(pdf, starts, np.full(len(starts), np.nan))
+        trsl = mine["trsl"].to_numpy("float64")
+        made = [climb(trsl[a:b], base[a:b], wet[a:b], pos[a:b], waa_max, rise) for a, b in zip(first.tolist(), last.tolist(), strict=True)]
+        return pdf[own].iloc[starts].assign(climb=[list(f) for f in made])
 
     def levels(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
-        out = []
-        for part in groups(pdf, starts):
-            waa = np.nan
-            for row in part.itertuples(index=False):
-                out.append((*row[:3], waa))
-                waa = clamp(waa, tuple(row[3]))
-        return pd.DataFrame(out, columns=[*own, "waa_before"])
+        out, fresh = [], set(starts.tolist())
+        for k, f in enumerate(pdf["climb"].to_numpy()):
+            waa = np.nan if k in fresh else waa
+            out.append(waa)
+            waa = clamp(waa, tuple(f))
+        return pdf[own].assign(waa_before=out)
 
     columns = [*channels.columns, "baseline", "waa"]
     types = dict(channels.dtypes)
 
     def filled(pdf: pd.DataFrame, starts: np.ndarray) -> pd.DataFrame:
-        out = []
-        for part in groups(pdf, starts):
-            mine, _, _, base, up = walked(part.assign(wet=part["wet"].astype("float64")), part["waa_before"].iloc[0])
-            out.append(mine.assign(wet=part["wet"][part["core"].to_numpy(bool)], baseline=base, waa=up)[columns])
-        return pd.concat(out, ignore_index=True)
+        mine, *_, base, up = walked(pdf, starts, pdf["waa_before"].to_numpy("float64")[starts])
+        return mine.assign(baseline=base, waa=up)[columns]
 
     summaries = map_groups(slim, own, ["pos"], averages_of, f"{keys}, share array<double>, vector array<double>")
     begun = stage(map_groups(summaries, CHANNEL, ["block_id"], states, f"{keys}, state array<double>"), "states")

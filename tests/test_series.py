@@ -153,6 +153,25 @@ def test_a_wet_channel_is_spread_over_tasks(spark):
         bl.baseline_and_waa(df, n=5, tau=75.0, step_minutes=10.0).agg(F.sum("baseline")).first()[0])
 
 
+def test_a_chunk_of_blocks_is_walked_at_once(spark, monkeypatch):
+    """200 channels of one block each: one walk over all of them, not a frame and a walk for each."""
+    rng, walk, walks, steps = np.random.default_rng(4), bl.walk, [], []
+    monkeypatch.setattr(bl, "walk", lambda *given: walks.append(1) or walk(*given))
+    monkeypatch.setattr(recursion, "stage", lambda df, _name: df)
+    monkeypatch.setattr(recursion, "map_groups", lambda _df, _keys, _order, fn, schema: steps.append(fn) or spark.createDataFrame([], schema))
+    recursion.baseline_in_blocks(channel(spark, [50.0], [0]), 3, 2.2, 0.4, 8)
+    trsl, wet = rng.uniform(40, 60, (200, 8)), rng.uniform(size=(200, 8)) < 0.6
+    wet[:, 0] = False
+    pdf = pd.DataFrame({"cml_id": np.repeat(np.arange(200), 8), "channel_id": "A", "time": pd.Timestamp(0), "block_id": 0, "pos": np.tile(np.arange(8), 200),
+                        "core": True, "trsl": trsl.ravel(), "wet": wet.ravel(), "waa_before": np.nan})
+    pdf["state"] = [np.full(3, np.nan)] * len(pdf)
+    out = steps[-1](pdf, np.arange(0, 1600, 8))
+    assert len(walks) == 1 and len(out) == 1600
+    for k in range(200):
+        base, waa = twin(trsl[k].tolist(), wet[k].astype(int).tolist(), 3, 2.2, 0.4)
+        assert out["baseline"][8 * k:8 * k + 8].tolist() == pytest.approx(base) and out["waa"][8 * k:8 * k + 8].tolist() == pytest.approx(waa)
+
+
 @pytest.mark.parametrize("window", [2, 3, 10, 64, 65, 200])
 def test_deviation_forgets_what_has_left_the_window(window):
     rng = np.random.default_rng(window)
