@@ -1331,12 +1331,12 @@ def _(spark, sf):
     rows = stage(clean(spark, sf).select("cml_id", "channel_id", "time", "trsl"), "clean")
     span = rows.agg(F.min("time").alias("a"), F.max("time").alias("b")).first()
     arrival = F.datediff("time", F.lit(span["a"])) + F.pmod(F.xxhash64("cml_id", "channel_id", "time"), F.lit(3))
-    for k in range(((span["b"] - span["a"]).days + 2) // 8 + 1):  # files come in the order they are written
-        rows.where(F.floor(arrival / 8) == k).coalesce(1).write.parquet(f"{folder}/in/part={k}")
-    stream = spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(f"{folder}/in/part=*")
+    stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/in/part=*")
     walked = ordered.stream_baseline_ordered(stream, roll=ROLL, threshold=THRESHOLD, n=3, rise=0.5, lateness="3 days")
-    walked.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint").trigger(
-        availableNow=True).start().awaitTermination()
+    replay = walked.writeStream.format("parquet").option("path", f"{folder}/out").option("checkpointLocation", f"{folder}/checkpoint")
+    for k in range(((span["b"] - span["a"]).days + 2) // 8 + 1):  # each run takes the files that have come since the one before
+        rows.where(F.floor(arrival / 8) == k).write.parquet(f"{folder}/in/part={k}")
+        replay.trigger(availableNow=True).start().awaitTermination()
     out = without_nan(spark.read.parquet(f"{folder}/out")).where(F.col("time") <= F.lit(span["b"]) - F.expr("INTERVAL 4 DAYS"))
     return out.select("cml_id", "channel_id", stamp(), "wet", rr("baseline").alias("baseline"), rr("waa").alias("waa"))
 

@@ -489,6 +489,57 @@ def test_rows_that_come_late_take_their_place(spark, tmp_path):
         assert v[0] == want[k][0] and v[1:] == pytest.approx(want[k][1:]), k
 
 
+def test_channels_of_neighbouring_links_share_their_state():
+    """40 channels whose rows come up to three steps late: as many messages to the state as for one, and the values of each channel on its own."""
+    from types import SimpleNamespace
+
+    from pluvio.streaming import ordered
+
+    messages, timers = [], set()
+
+    class State:
+        value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            messages.append("get")
+            return self.value
+
+        def update(self, value):
+            messages.append("update")
+            self.value = value
+
+    handle = SimpleNamespace(getValueState=lambda _name, _schema: State(), listTimers=lambda: iter(timers), registerTimer=timers.add, deleteTimer=timers.discard)
+    walker = ordered.OrderedWalk(4, 1.5, 3, 2.2, 0.5)
+    walker.init(handle)
+    rng, steps = np.random.default_rng(8), 60
+    start = pd.Timestamp("2024-01-01")
+    rows = pd.DataFrame([(c, ch, start + pd.Timedelta(minutes=10 * i), 50 + 6 * (i % 14 > 9) + rng.normal() * 0.2)
+                         for c in range(20) for ch in "AB" for i in range(steps + c % 3)], columns=["cml_id", "channel_id", "time", "trsl"])
+    rows["arrival"] = (rows["time"] - start) / pd.Timedelta(minutes=10) + rng.uniform(0, 3, len(rows))
+    out, watermark = [], 0
+    for a in range(0, 72, 12):
+        part = rows[(rows["arrival"] >= a) & (rows["arrival"] < a + 12)].sample(frac=1, random_state=a)
+        timer = SimpleNamespace(getCurrentWatermarkInMs=lambda: watermark)
+        out += walker.handleInputRows((0,), iter([part[["cml_id", "channel_id", "time", "trsl"]]]), timer) if len(part) else []
+        watermark = int((rows["time"][rows["arrival"] < a + 12].max() - pd.Timedelta(minutes=30)).value // 1_000_000)
+        out += walker.handleExpiredTimer((0,), timer, None)
+        assert len(timers) <= 1
+    assert len(messages) <= 12 * 4
+    got = pd.concat(out)
+    assert not got.duplicated(["cml_id", "channel_id", "time"]).any() and len(got) >= 40 * (steps - 4)
+    for key, own in got.groupby(["cml_id", "channel_id"]):
+        x = rows[(rows["cml_id"] == key[0]) & (rows["channel_id"] == key[1])]["trsl"].to_numpy()
+        wet = np.array([float(i >= 3 and np.std(x[i - 3:i + 1]) > 1.5) for i in range(len(x))])
+        base, waa = bl.walk(x, wet, np.arange(len(x)), 3, 2.2, 0.5)
+        own = own.sort_values("time")
+        assert list(own["wet"]) == list(wet[:len(own)] == 1) and any(own["wet"])
+        np.testing.assert_allclose(own["baseline"], base[:len(own)])
+        np.testing.assert_allclose(own["waa"], waa[:len(own)])
+
+
 def test_landed_batches_are_put_together(spark, tmp_path):
     """Forty batches and a repeated one, compacted by eight: no more folders than that, the same rows, and old dates gone."""
     path = str(tmp_path / "landed")
