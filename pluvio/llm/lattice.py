@@ -31,12 +31,17 @@ _BASE = 0x5851F42D4C957F2D
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 #: Units drawn at once.
 SECTION = 60_000
+#: Bits of a hash by which it is looked up.
+JUMP = 18
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * _MIX1
-    x = (x ^ (x >> np.uint64(27))) * _MIX2
-    return x ^ (x >> np.uint64(31))
+    x = x ^ (x >> np.uint64(30))
+    x *= _MIX1
+    x ^= x >> np.uint64(27)
+    x *= _MIX2
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def uniform(keys: np.ndarray) -> np.ndarray:
@@ -44,9 +49,19 @@ def uniform(keys: np.ndarray) -> np.ndarray:
     return ((mixed(keys) >> np.uint64(12)).astype(np.float64) + 0.5) * 2.0**-52
 
 
-def below(bound, location, keys: np.ndarray) -> np.ndarray:
-    """A Gumbel draw per key at a location, given that it is below a bound."""
-    return -np.logaddexp(-bound, np.log(-np.log(uniform(keys))) - location)
+def depths(location, keys: np.ndarray) -> np.ndarray:
+    """A Gumbel draw per key at a location, with its sign turned."""
+    x = uniform(keys)
+    np.log(x, out=x)
+    np.negative(x, out=x)
+    np.log(x, out=x)
+    x -= location
+    return x
+
+
+def below(bound, depth) -> np.ndarray:
+    """The draws of `depths`, given that they are below a bound. Their order does not change."""
+    return -np.logaddexp(-bound, depth)
 
 
 def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -90,6 +105,20 @@ class Vocabulary:
         self.piece = np.concatenate([np.array(ids, np.int64), np.full(len(names) - len(pieces), -1)])[order]
         self.weight = np.concatenate([weights, np.zeros(len(names) - len(pieces))])[order]
         self.longer = np.array([p in longer for p in names])[order]
+        # Where the hashes of each beginning start; a hash that no other follows ends the table.
+        self.jump = np.searchsorted(self.known, np.arange(1 << JUMP, dtype=np.uint64) << np.uint64(64 - JUMP)).astype(np.int32)
+        self.known = np.append(self.known, np.uint64(2**64 - 1))
+
+    def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The place of every hash in the table, and whether it stands there."""
+        place = self.jump[h >> np.uint64(64 - JUMP)]
+        found = self.known[place]
+        behind = np.flatnonzero(found < h)
+        while len(behind):
+            place[behind] += 1
+            found[behind] = self.known[place[behind]]
+            behind = behind[found[behind] < h[behind]]
+        return place, (found == h) & (place < len(self.piece))
 
     @staticmethod
     def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -133,12 +162,12 @@ class Lattices:
     remember: int = 3_500_000
     units: _Numbers = field(default_factory=_Numbers)
 
-    def __post_init__(self):
-        self.forget()
-
     def forget(self) -> None:
         self.units.clear()
         self.n_nodes = self.n_edges = 0
+
+    def __post_init__(self):
+        self.forget()
         # Arrays have room to grow; only their beginnings are in use.
         self.first = np.zeros(1 << 12, np.int64)  # first node of each unit
         self.size = np.zeros(1 << 12, np.int64)
@@ -173,7 +202,8 @@ class Lattices:
         end = np.repeat(np.cumsum(length), length)
         sums, inverse = v._sums(codes)
         at = np.arange(len(codes))
-        source, target, ids, weights = [], [], [], []
+        leaving = np.zeros(len(codes), np.int64)  # edges of every character so far
+        pieces = []
         single = np.zeros(len(codes), bool)
         here, room, base, turn = at, end - at, sums[:-1], inverse[:len(codes)]
         for n in range(1, v.longest + 1):
@@ -182,35 +212,37 @@ class Lattices:
                 here, base, turn = here[some], base[some], turn[some]
             if not len(here):
                 break
-            h = (sums[here + n] - base) * turn
-            place = np.minimum(np.searchsorted(v.known, h), len(v.known) - 1)
-            same = v.known[place] == h
+            place, same = v.find((sums[here + n] - base) * turn)
             here, place, base, turn = here[same], place[same], base[same], turn[same]
             hit = v.piece[place] >= 0
-            source.append(here[hit])
-            target.append(here[hit] + n)
-            ids.append(v.piece[place[hit]])
-            weights.append(v.weight[place[hit]])
+            at_hit = here[hit]
+            pieces.append((n, at_hit, place[hit], leaving[at_hit]))
+            leaving[at_hit] += 1
             if n == 1:
-                single[here[hit]] = True
+                single[at_hit] = True
         lone = np.flatnonzero(~single)
-        source.append(lone)
-        target.append(lone + 1)
-        ids.append(-1 - codes[lone].astype(np.int64))
+        last_of = leaving[lone]
+        leaving[lone] += 1
+        # Edges by the character they leave, shorter ones first and the character itself last.
+        begins = np.cumsum(leaving) - leaving
+        n_edges = int(leaving.sum())
+        span, ids, weights = np.ones(n_edges, np.int64), np.empty(n_edges, np.int64), np.empty(n_edges)
+        for n, source, place, rank in pieces:
+            k = begins[source] + rank
+            span[k], ids[k], weights[k] = n, v.piece[place], v.weight[place]
+        k = begins[lone] + last_of
+        ids[k] = -1 - codes[lone].astype(np.int64)
         n_bytes = 1 + (codes[lone] > 0x7F).astype(int) + (codes[lone] > 0x7FF) + (codes[lone] > 0xFFFF)
-        weights.append(v.byte_weight * n_bytes)
-        source, target, ids, weights = (np.concatenate(x) for x in (source, target, ids, weights))
-        order = np.argsort(source, kind="stable")
-        source, target, ids, weights = source[order], target[order], ids[order], weights[order]
+        weights[k] = v.byte_weight * n_bytes
         # A unit of n characters has n + 1 nodes, so node numbers run ahead of characters by one per unit before.
         unit = np.repeat(np.arange(len(units)), length)
-        owner = unit[source]
         first = np.cumsum(length) - length + np.arange(len(units))
-        out_of = source + owner
-        into = target + owner
         n_nodes = len(codes) + len(units)
-        counts = np.bincount(out_of, minlength=n_nodes)
+        counts = np.zeros(n_nodes, np.int64)
+        counts[at + unit] = leaving
         edge_at = np.concatenate([[0], np.cumsum(counts)])
+        out_of = np.repeat(at + unit, leaving)
+        into = out_of + span
         beta = np.zeros(n_nodes)
         last = first + length
         for back in range(1, int(length.max()) + 1):
@@ -225,7 +257,7 @@ class Lattices:
         some = np.flatnonzero(counts)
         top = np.maximum.reduceat(logp, edge_at[some])
         lead = np.flatnonzero(logp == np.repeat(top, counts[some]))
-        lead = lead[np.unique(out_of[lead], return_index=True)[1]]
+        lead = lead[np.diff(out_of[lead], prepend=-1) > 0]
         for values in (into, ids, logp):
             values[edge_at[some]], values[lead] = values[lead], values[edge_at[some]]
         rest = np.full(n_nodes, -np.inf)
@@ -294,40 +326,47 @@ class Sampler:
             self._descend(docs, seeds, starts, turn, walks, open_, k - turn)
             for d, key, *_ in starts:
                 keys[d].append(key)
+        spelled = iter(self._ids([walk.edges for own in walks for walk in own]))
         out: list[list[Sample]] = []
         for d in range(n):
             bound = max((o[0] for o in open_[d]), default=None)
             found = []
             for walk, key in zip(walks[d], keys[d], strict=True):
                 phi = float(walk.phi[-1]) if len(walk.phi) else 0.0
-                found.append(Sample(self._ids(walk.edges), phi, key, 1.0 if bound is None else float(-np.expm1(-np.exp(min(phi - bound, 700.0))))))
+                found.append(Sample(next(spelled), phi, key, 1.0 if bound is None else float(-np.expm1(-np.exp(min(phi - bound, 700.0))))))
             out.append(found)
         return out
 
-    def _ids(self, edges: np.ndarray) -> np.ndarray:
-        ids = self.lattices.id[edges]
+    def _ids(self, paths: list[np.ndarray]) -> list[np.ndarray]:
+        """The pieces of every path; a character that is no piece is spelled in bytes."""
+        ids = self.lattices.id[np.concatenate([np.zeros(0, np.int64), *paths])]
+        ends = np.cumsum([0, *map(len, paths)])
         lone = np.flatnonzero(ids < 0)
         if len(lone):
-            spelled = [self.vocabulary.fallback(-1 - i) for i in ids[lone].tolist()]
+            codes, which = np.unique(-1 - ids[lone], return_inverse=True)
+            spelled = [self.vocabulary.fallback(c) for c in codes.tolist()]
+            size = np.array([len(x) for x in spelled])
             count = np.ones(len(ids), np.int64)
-            count[lone] = [len(x) for x in spelled]
-            at = np.cumsum(count) - count
-            ids = np.repeat(ids, count)
-            ids[ragged(at[lone], count[lone])] = list(chain.from_iterable(spelled))
-        return ids.astype(np.uint32)
+            count[lone] = size[which]
+            at = np.concatenate([[0], np.cumsum(count)])
+            ids, ends = np.repeat(ids, count), at[ends]
+            ids[ragged(at[lone], count[lone])] = np.array(list(chain.from_iterable(spelled)))[ragged((np.cumsum(size) - size)[which], size[which])]
+        ids = ids.astype(np.uint32)
+        return [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
     def _branch(self, seed: np.uint64, key: float, before: float, taken: tuple[int, ...]):
         """One of the edges not taken yet at a node, and the key of what is then left there (None if nothing is)."""
         lat = self.lattices
         node = int(np.searchsorted(lat.edge_at[:lat.n_nodes], taken[0], side="right")) - 1
-        left = np.setdiff1d(np.arange(lat.edge_at[node], lat.edge_at[node + 1]), taken)
-        share = np.exp(lat.logp[left] - lat.logp[left].max())
+        left = [e for e in range(int(lat.edge_at[node]), int(lat.edge_at[node + 1])) if e not in taken]
+        logp = lat.logp[left]
+        share = np.exp(logp - logp.max())
         keys = mixed(np.array([seed, seed ^ _MIX2], np.uint64) + np.uint64(len(taken)))
         pick = int(min(np.searchsorted(np.cumsum(share), uniform(keys[:1])[0] * share.sum()), len(left) - 1))
-        rest = np.delete(lat.logp[left], pick)
-        if not len(rest):
-            return int(left[pick]), None
-        return int(left[pick]), float(below(key, before + np.logaddexp.reduce(rest), keys[1:])[0])
+        edge = left.pop(pick)
+        if not left:
+            return edge, None
+        return edge, float(below(key, depths(before + np.logaddexp.reduce(lat.logp[left]), keys[1:]))[0])
 
     def _descend(self, docs, seeds, starts, turn, walks, open_, keep) -> None:
         """From the start of each text named, walk to a leaf; adds the walk, and the children not taken to the open nodes."""
@@ -373,40 +412,47 @@ class Sampler:
     def _section(self, owner, number, place, node, seed, key, phi, done, parts, starts, open_, walks, keep) -> None:
         """Walk some units to their ends. phi, done: log-probability and edges of each text before them; both go on."""
         lat = self.lattices
-        last = lat.first[number] + lat.size[number]
+        first = lat.first[number]
+        last = first + lat.size[number]
         stem = mixed(seed[owner] + place.astype(np.uint64) * _GOLD)
         live = np.flatnonzero(node != last)
-        taken_unit, taken_edge, step_no, drawn, other = [], [], [], [], []
+        taken = []
         step = 0
         while len(live):
             at = node[live]
-            keys = mixed(stem[live] + at.astype(np.uint64) - lat.first[number[live]].astype(np.uint64) + np.uint64(step << 32))
+            keys = mixed(stem[live] + (at - first[live]).astype(np.uint64) + np.uint64(step << 32))
             u = uniform(keys)
             edge, final = lat.edge_at[at], lat.edge_at[at + 1] - 1
-            p = np.exp(lat.logp[edge])
+            logp = lat.logp[edge]
+            p = np.exp(logp)
             todo = np.flatnonzero((u >= p) & (edge < final))
             others = lat.rest[at]
             while len(todo):
                 u[todo] -= p[todo]
                 edge[todo] += 1
-                p[todo] = np.exp(lat.logp[edge[todo]])
+                logp[todo] = lat.logp[edge[todo]]
+                p[todo] = np.exp(logp[todo])
                 others[todo] = np.log1p(-np.minimum(p[todo], 0.75))  # an edge after the first has at most half
                 todo = todo[(u[todo] >= p[todo]) & (edge[todo] < final[todo])]
-            other.append(others)
-            taken_unit.append(live)
-            taken_edge.append(edge)
-            step_no.append(np.full(len(live), step))
-            drawn.append(keys ^ _MIX2)
+            taken.append((live, edge, logp, keys, others))
             node[live] = lat.to[edge]
             live = live[node[live] != last[live]]
             step += 1
-        if not taken_unit:
+        if not taken:
             return
-        unit, edge, number_of, drawn, other = (np.concatenate(x) for x in (taken_unit, taken_edge, step_no, drawn, other))
-        order = np.argsort(unit * step + number_of)
-        unit, edge, drawn, other = unit[order], edge[order], drawn[order], other[order]
+        # A unit's edges one after the other.
+        steps = np.zeros(len(number), np.int64)
+        for live, *_ in taken:
+            steps[live] += 1
+        begins = np.cumsum(steps) - steps
+        unit = np.repeat(np.arange(len(number)), steps)
+        edge, after, drawn, other = np.empty(len(unit), np.int64), np.empty(len(unit)), np.empty(len(unit), np.uint64), np.empty(len(unit))
+        for step, (live, edges, logp, keys, others) in enumerate(taken):
+            k = begins[live] + step
+            edge[k], after[k], drawn[k], other[k] = edges, logp, keys, others
+        drawn ^= _MIX2
         text = owner[unit]
-        after, bounds = lat.logp[edge], np.searchsorted(text, np.arange(len(seed) + 1))
+        bounds = np.searchsorted(text, np.arange(len(seed) + 1))
         before = -after
         for s in np.flatnonzero(bounds[1:] > bounds[:-1]).tolist():
             # One after the other within a text, so that sums depend on no other text and no section.
@@ -423,13 +469,13 @@ class Sampler:
         # The key of what was not taken at each node, given that the key of the node is that of the walk.
         forks = np.flatnonzero(other > -np.inf)
         of = text[forks]
-        child = below(key[of], before[forks] + other[forks], drawn[forks])
+        depth = depths(before[forks] + other[forks], drawn[forks])
         cut = np.searchsorted(of, np.arange(len(seed) + 1))
         for s in np.flatnonzero(cut[1:] > cut[:-1]).tolist():
             x, y = cut[s], cut[s + 1]
-            own = child[x:y]
-            some = np.argpartition(-own, keep - 1)[:keep] if len(own) > keep else np.arange(len(own))
+            some = np.argpartition(depth[x:y], keep - 1)[:keep] if y - x > keep else np.arange(y - x)
+            own = below(key[s], depth[x + some])
             d = starts[s][0]
-            open_[d].extend((float(own[i]), len(walks[d]), int(spot[forks[x + i]]), (int(edge[forks[x + i]]),)) for i in some.tolist())
+            open_[d].extend((float(o), len(walks[d]), int(spot[forks[x + i]]), (int(edge[forks[x + i]]),)) for o, i in zip(own, some.tolist(), strict=True))
             open_[d].sort(reverse=True)
             del open_[d][keep:]

@@ -33,6 +33,12 @@ def sampler(path: str, temperature: float) -> Sampler:
     return _samplers[path, temperature]
 
 
+def lists(parts: list[np.ndarray]) -> pa.ListArray:
+    """A column of lists from one array for each."""
+    ends = np.cumsum([0, *map(len, parts)])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([np.zeros(0, np.int64), *parts])))
+
+
 def segmentations(docs: DataFrame, path: str, k: int = K, seed: int = SEED, temperature: float = 1.0, key: str = "doc_id", text: str = "text") -> DataFrame:
     """key, rank (from 1), ids, log_prob, perturbed, inclusion."""
 
@@ -52,7 +58,7 @@ def segmentations(docs: DataFrame, path: str, k: int = K, seed: int = SEED, temp
                 flat = [s for r in rows for s in r]
                 yield pa.RecordBatch.from_arrays([
                     part.column(0).take(pa.array(at)), pa.array([i + 1 for r in rows for i in range(len(r))], pa.int32()),
-                    pa.array([s.ids for s in flat], pa.list_(pa.int64())), pa.array([s.log_prob for s in flat], pa.float64()),
+                    lists([s.ids for s in flat]), pa.array([s.log_prob for s in flat], pa.float64()),
                     pa.array([s.key for s in flat], pa.float64()), pa.array([s.inclusion for s in flat], pa.float64()),
                 ], names=[key, "rank", "ids", "log_prob", "perturbed", "inclusion"])
                 a = b

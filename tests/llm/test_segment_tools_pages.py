@@ -64,6 +64,28 @@ def test_all_segmentations_if_there_are_few():
     assert [len(rows[1]), len(rows[1][0].ids)] == [1, 0]
 
 
+def test_work_on_pieces_is_shared_by_the_texts_of_a_batch(monkeypatch):
+    """A character that is no piece is looked up once a batch, not once per occurrence; samples still spell their texts."""
+    v, asked = Vocabulary(PIECES), []
+    fallback = v.fallback
+    monkeypatch.setattr(v, "fallback", lambda code: asked.append(code) or fallback(code))
+    texts = ["snow \u2603\U0001F9CA man " * k for k in range(1, 40)] + ["plain", ""]
+    rows = Sampler(v).samples(texts, np.arange(len(texts), dtype=np.uint64), 2)
+    assert len(asked) == len(set(asked)) > 0
+    assert all(v.model.decode(s.ids.tolist()) == v.model.decode(v.model.encode(t)) for t, row in zip(texts, rows, strict=True) for s in row)
+    made = segment.lists([s.ids for row in rows for s in row])
+    assert made.to_pylist() == [s.ids.tolist() for row in rows for s in row] and segment.lists([]).to_pylist() == []
+
+
+def test_hashes_are_found_where_a_search_finds_them():
+    v, rng = Vocabulary(PIECES), np.random.default_rng(1)
+    table = v.known[:len(v.piece)]
+    h = np.concatenate([table, table + np.uint64(1), rng.integers(0, 2**64, 20_000, np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+    place, same = v.find(h)
+    want = np.searchsorted(table, h)
+    assert (place == want).all() and (same == (np.append(table, 0)[want] == h) & (want < len(table))).all()
+
+
 def test_samples_do_not_depend_on_batches_and_decode(spark, monkeypatch):
     texts = ["Hello  world, naïve\n\nx 漢字!", None, "", "a\tb " * 3000, "don't (stop).", "don't (stop)."]
     docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)] + [(None, "x y")], "doc_id long, text string").selectExpr("*", "1 AS ids", "2 AS rank")
