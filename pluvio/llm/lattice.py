@@ -31,6 +31,8 @@ _BASE = 0x5851F42D4C957F2D
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 #: Units drawn at once.
 SECTION = 60_000
+#: Characters at the end of a unit whose nodes are shared with other units.
+SHARED = 5
 #: Bits of a hash by which it is looked up.
 JUMP = 18
 
@@ -94,9 +96,12 @@ class Vocabulary:
         mixing = {c for p in pieces for c in p if any(x != MARK and (x in PUNCTUATION) != (c in PUNCTUATION) for x in p)}
         alone = "".join(re.escape(c) for c in PUNCTUATION if c not in mixing)
         self.unit = re.compile(f"{MARK}*[^{MARK}{alone}]+|{MARK}*[{alone}]+|{MARK}+" if alone else f"{MARK}*[^{MARK}]+|{MARK}+")
+        # Texts without these are cut at their marks only.
+        self.cuts = [" ", MARK + MARK, *(c for c in PUNCTUATION if c not in mixing)]
         # One table of all beginnings of pieces: its piece (or -1), and whether a longer piece begins so.
         longer = {p[:n] for p in pieces for n in range(1, len(p))}
         names = [*pieces, *(longer - set(pieces))]
+        self.powers = self._powers(1 << 19)
         heads = np.frombuffer("".join(names).encode("utf-32-le"), "<u4")
         ends = np.cumsum([len(p) for p in names])
         known = self._hashes(heads, ends - [len(p) for p in names], ends)
@@ -109,6 +114,13 @@ class Vocabulary:
         self.jump = np.searchsorted(self.known, np.arange(1 << JUMP, dtype=np.uint64) << np.uint64(64 - JUMP)).astype(np.int32)
         self.known = np.append(self.known, np.uint64(2**64 - 1))
 
+    def cut(self, text: str) -> list[str]:
+        """The units of a normalized text."""
+        if any(c in text for c in self.cuts):
+            return self.unit.findall(text)
+        units = text.replace(MARK, " " + MARK).split(" ")
+        return units if units[0] else units[1:]
+
     def find(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The place of every hash in the table, and whether it stands there."""
         place = self.jump[h >> np.uint64(64 - JUMP)]
@@ -134,8 +146,9 @@ class Vocabulary:
         return (sums[ends] - sums[starts]) * inverse[starts]
 
     def _sums(self, codes):
-        powers, inverse = self._powers(len(codes) + 1)
-        sums = np.zeros(len(codes) + 1, np.uint64)
+        n = len(codes) + 1
+        powers, inverse = (x[:n] for x in (self.powers if n <= len(self.powers[0]) else self._powers(n)))
+        sums = np.zeros(n, np.uint64)
         np.cumsum(mixed((codes.astype(np.uint64) + np.uint64(1)) * _GOLD) * powers[:-1], out=sums[1:])
         return sums, inverse
 
@@ -156,23 +169,29 @@ class _Numbers(dict):
 
 @dataclass
 class Lattices:
-    """The lattices of the distinct units met so far, as edges sorted by the node they leave."""
+    """The lattices of the distinct units met so far, as edges sorted by the node they leave.
+
+    What follows a node depends on the rest of its unit alone, so units share the nodes of their last `SHARED` characters; node 0 is
+    the end of all. When there are too many nodes, those of units that a later batch met again stay, if they are less than half.
+    """
 
     vocabulary: Vocabulary
-    remember: int = 3_500_000
+    remember: int = 2_000_000
     units: _Numbers = field(default_factory=_Numbers)
-
-    def forget(self) -> None:
-        self.units.clear()
-        self.n_nodes = self.n_edges = 0
+    ends: dict[str, int] = field(default_factory=dict)  # the node of an ending
 
     def __post_init__(self):
-        self.forget()
+        self.ends[""] = 0
+        self.n_nodes, self.n_edges = 1, 0
         # Arrays have room to grow; only their beginnings are in use.
         self.first = np.zeros(1 << 12, np.int64)  # first node of each unit
         self.size = np.zeros(1 << 12, np.int64)
+        self.again = np.zeros(1 << 12, bool)  # met by a later batch than its first
         self.edge_at = np.zeros(1 << 16, np.int64)  # edges of node k: edge_at[k] to edge_at[k + 1]
-        self.rest = np.zeros(1 << 16)  # log of the probability of all edges of a node but its first
+        self.left = np.zeros(1 << 16, np.int32)  # characters from a node to the end
+        self.tail = np.zeros(1 << 16, np.int32)  # the node one character further
+        self.beta = np.zeros(1 << 16)  # log of the weight of all ways from a node to the end
+        self.rest = np.full(1 << 16, -np.inf)  # log of the probability of all edges of a node but its first
         self.to = np.zeros(1 << 16, np.int32)
         self.id = np.zeros(1 << 16, np.int32)  # piece, or -1 - character
         self.logp = np.zeros(1 << 16)
@@ -180,42 +199,112 @@ class Lattices:
     def _put(self, name: str, at: int, values: np.ndarray) -> None:
         held = getattr(self, name)
         if at + len(values) > len(held):
-            held = np.concatenate([held, np.zeros(max(len(held), len(values)), held.dtype)])
-            setattr(self, name, held)
+            more = np.zeros(len(held) + max(len(held), len(values)), held.dtype)
+            more[:at] = held[:at]
+            setattr(self, name, more)
+            held = more
         held[at:at + len(values)] = values
 
+    def forget(self) -> None:
+        """Drop the units that no batch met again since the last time."""
+        kept = np.flatnonzero(self.again[:len(self.units)])
+        stay = np.zeros(self.n_nodes, bool)
+        stay[0] = True
+        # Nodes made for one unit follow each other; the last of them leads to those of an ending.
+        stops = np.flatnonzero(self.tail[:self.n_nodes] != np.arange(1, self.n_nodes + 1))
+        nodes = self.first[kept]
+        while len(nodes := np.unique(nodes[~stay[nodes]])):
+            stop = stops[np.searchsorted(stops, nodes)]
+            stay[ragged(nodes, stop + 1 - nodes)] = True
+            nodes = self.tail[stop]
+        if 2 * int(stay.sum()) > self.remember:
+            kept, stay[1:] = kept[:0], False
+        nodes = np.flatnonzero(stay)
+        number = np.cumsum(stay) - 1
+        counts = self.edge_at[nodes + 1] - self.edge_at[nodes]
+        edges = ragged(self.edge_at[nodes], counts)
+        names = list(self.units)
+        self.units.clear()
+        self.units.update((names[k], n) for n, k in enumerate(kept.tolist()))
+        held = np.array(list(self.ends.values()))
+        self.ends = {end: n for end, n, own in zip(self.ends, number[held].tolist(), stay[held].tolist(), strict=True) if own}
+        self.again[:] = False
+        for name, values in (("first", number[self.first[kept]]), ("size", self.size[kept]), ("edge_at", np.concatenate([[0], np.cumsum(counts)])),
+                             ("left", self.left[nodes]), ("tail", number[self.tail[nodes]]), ("beta", self.beta[nodes]), ("rest", self.rest[nodes]),
+                             ("to", number[self.to[edges]]), ("id", self.id[edges]), ("logp", self.logp[edges])):
+            self._put(name, 0, values)
+        self.n_nodes, self.n_edges = len(nodes), len(edges)
+
     def numbers(self, docs: list[list[str]]) -> list[np.ndarray]:
         """The number of every unit of every text."""
         if self.n_nodes > self.remember:
             self.forget()
         known = len(self.units)
         out = [np.fromiter(map(self.units.__getitem__, d), np.int64, len(d)) for d in docs]
+        for numbers in out:
+            self.again[numbers[numbers < known]] = True
         fresh = list(islice(reversed(self.units), len(self.units) - known))[::-1]
         for k in range(0, len(fresh), 20_000):
             self._add(fresh[k:k + 20_000], known + k)
         return out
 
     def _add(self, units: list[str], known: int) -> None:
-        v = self.vocabulary
-        codes = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), "<u4")
-        length = np.array([len(u) for u in units], np.int64)
-        end = np.repeat(np.cumsum(length), length)
+        v, base = self.vocabulary, self.n_nodes
+        size = np.fromiter(map(len, units), np.int64, len(units))
+        # Each unit has new nodes up to an ending that has its nodes already.
+        new, join, n = [], [], base
+        ends = self.ends
+        for unit in units:
+            own = max(0, len(unit) - SHARED)
+            end = unit[own:]
+            while (node := ends.get(end)) is None:
+                ends[end] = n + own
+                own += 1
+                end = end[1:]
+            new.append(own)
+            join.append(node)
+            n += own
+        new, join, n_new = np.array(new), np.array(join), n - base
+        first = base + np.cumsum(new) - new
+        self._put("first", known, np.where(new > 0, first, join))
+        self._put("size", known, size)
+        self._put("again", known, np.zeros(len(units), bool))
+        if not n_new:
+            return
+        fresh = np.flatnonzero(new)
+        codes = np.frombuffer("".join([units[k] for k in fresh.tolist()]).encode("utf-32-le", "surrogatepass"), "<u4")
+        length, new, join, first = size[fresh], new[fresh], join[fresh], first[fresh]
+        opens = np.cumsum(length) - length
+        here = ragged(opens, new)  # the character of every new node
+        left = np.repeat(opens + length, new) - here
+        tail = np.arange(base + 1, n + 1)
+        tail[first + new - 1 - base] = join
+        self._put("left", base, left)
+        self._put("tail", base, tail)
+        # The node at every place of the units, their ends included.
+        node = np.zeros(len(codes) + len(fresh), np.int64)
+        unit = np.repeat(np.arange(len(fresh)), new)
+        node[here + unit] = np.arange(base, n)
+        spot, rest_of, to = opens + np.arange(len(fresh)) + new, length - new, join
+        while len(spot):
+            node[spot] = to
+            some = rest_of > 0
+            spot, rest_of, to = spot[some] + 1, rest_of[some] - 1, self.tail[to[some]]
         sums, inverse = v._sums(codes)
-        at = np.arange(len(codes))
-        leaving = np.zeros(len(codes), np.int64)  # edges of every character so far
+        leaving = np.zeros(n_new, np.int64)  # edges of every node so far
         pieces = []
-        single = np.zeros(len(codes), bool)
-        here, room, base, turn = at, end - at, sums[:-1], inverse[:len(codes)]
+        single = np.zeros(n_new, bool)
+        source, spots, room, before, turn = np.arange(n_new), here, left, sums[here], inverse[here]
         for n in range(1, v.longest + 1):
             if n > 1:
-                some = v.longer[place] & (room[here] >= n)
-                here, base, turn = here[some], base[some], turn[some]
-            if not len(here):
+                some = v.longer[place] & (room >= n)
+                source, spots, room, before, turn = source[some], spots[some], room[some], before[some], turn[some]
+            if not len(source):
                 break
-            place, same = v.find((sums[here + n] - base) * turn)
-            here, place, base, turn = here[same], place[same], base[same], turn[same]
+            place, same = v.find((sums[spots + n] - before) * turn)
+            source, spots, room, place, before, turn = source[same], spots[same], room[same], place[same], before[same], turn[same]
             hit = v.piece[place] >= 0
-            at_hit = here[hit]
+            at_hit = source[hit]
             pieces.append((n, at_hit, place[hit], leaving[at_hit]))
             leaving[at_hit] += 1
             if n == 1:
@@ -223,7 +312,7 @@ class Lattices:
         lone = np.flatnonzero(~single)
         last_of = leaving[lone]
         leaving[lone] += 1
-        # Edges by the character they leave, shorter ones first and the character itself last.
+        # Edges by the node they leave, shorter ones first and the character itself last.
         begins = np.cumsum(leaving) - leaving
         n_edges = int(leaving.sum())
         span, ids, weights = np.ones(n_edges, np.int64), np.empty(n_edges, np.int64), np.empty(n_edges)
@@ -231,51 +320,56 @@ class Lattices:
             k = begins[source] + rank
             span[k], ids[k], weights[k] = n, v.piece[place], v.weight[place]
         k = begins[lone] + last_of
-        ids[k] = -1 - codes[lone].astype(np.int64)
-        n_bytes = 1 + (codes[lone] > 0x7F).astype(int) + (codes[lone] > 0x7FF) + (codes[lone] > 0xFFFF)
-        weights[k] = v.byte_weight * n_bytes
-        # A unit of n characters has n + 1 nodes, so node numbers run ahead of characters by one per unit before.
-        unit = np.repeat(np.arange(len(units)), length)
-        first = np.cumsum(length) - length + np.arange(len(units))
-        n_nodes = len(codes) + len(units)
-        counts = np.zeros(n_nodes, np.int64)
-        counts[at + unit] = leaving
-        edge_at = np.concatenate([[0], np.cumsum(counts)])
-        out_of = np.repeat(at + unit, leaving)
-        into = out_of + span
-        beta = np.zeros(n_nodes)
-        last = first + length
-        for back in range(1, int(length.max()) + 1):
-            nodes = last[length >= back] - back
-            k = ragged(edge_at[nodes], counts[nodes])
-            value = weights[k] + beta[into[k]]
-            cuts = np.cumsum(counts[nodes]) - counts[nodes]
-            top = np.maximum.reduceat(value, cuts)
-            beta[nodes] = top + np.log(np.add.reduceat(np.exp(value - np.repeat(top, counts[nodes])), cuts))
-        logp = weights + beta[into] - beta[out_of]
+        code = codes[here[lone]].astype(np.int64)
+        ids[k] = -1 - code
+        weights[k] = v.byte_weight * (1 + (code > 0x7F).astype(int) + (code > 0x7FF) + (code > 0xFFFF))
+        out_of = np.repeat(np.arange(n_new), leaving)
+        into = node[(here + unit)[out_of] + span]
+        # Nodes by their distance from the end of their unit, and the edges in that order.
+        self._put("beta", base, np.zeros(n_new))
+        beta = self.beta
+        back = left.astype(np.uint16) if left.max() < 1 << 16 else left  # short ones are sorted by radix
+        nodes = np.argsort(back, kind="stable")
+        rows = np.cumsum(np.bincount(back)).tolist()
+        fan = leaving[nodes]
+        k = ragged(begins[nodes], fan)
+        weight, target = weights[k], into[k]
+        cuts = np.concatenate([[0], np.cumsum(fan)])
+        nodes += base
+        for a, b in zip(rows, rows[1:]):
+            if a == b:
+                continue
+            x = cuts[a]
+            value = weight[x:cuts[b]] + beta[target[x:cuts[b]]]
+            top = np.maximum.reduceat(value, cuts[a:b] - x)
+            value -= np.repeat(top, fan[a:b])
+            beta[nodes[a:b]] = top + np.log(np.add.reduceat(np.exp(value, out=value), cuts[a:b] - x))
+        logp = weights + beta[into] - beta[base + out_of]
         # The likeliest edge of a node goes first.
-        some = np.flatnonzero(counts)
-        top = np.maximum.reduceat(logp, edge_at[some])
-        lead = np.flatnonzero(logp == np.repeat(top, counts[some]))
+        top = np.maximum.reduceat(logp, begins)
+        lead = np.flatnonzero(logp == np.repeat(top, leaving))
         lead = lead[np.diff(out_of[lead], prepend=-1) > 0]
+        moved = np.flatnonzero(lead != begins)
+        head, lead = begins[moved], lead[moved]
         for values in (into, ids, logp):
-            values[edge_at[some]], values[lead] = values[lead], values[edge_at[some]]
-        rest = np.full(n_nodes, -np.inf)
-        forks = np.flatnonzero(counts > 1)
+            values[head], values[lead] = values[lead], values[head]
+        rest = np.full(n_new, -np.inf)
+        forks = np.flatnonzero(leaving > 1)
         if len(forks):
-            k = ragged(edge_at[forks] + 1, counts[forks] - 1)
-            cuts = np.cumsum(counts[forks] - 1) - (counts[forks] - 1)
-            top = np.maximum.reduceat(logp[k], cuts)
-            rest[forks] = top + np.log(np.add.reduceat(np.exp(logp[k] - np.repeat(top, counts[forks] - 1)), cuts))
-        base, more = self.n_nodes, self.n_edges
-        self._put("first", known, first + base)
-        self._put("size", known, length)
-        self._put("edge_at", base, edge_at + more)
+            others = np.ones(n_edges, bool)
+            others[begins] = False
+            value, fan = logp[others], leaving[forks] - 1
+            cuts = np.cumsum(fan) - fan
+            top = np.maximum.reduceat(value, cuts)
+            value -= np.repeat(top, fan)
+            rest[forks] = top + np.log(np.add.reduceat(np.exp(value, out=value), cuts))
+        more = self.n_edges
+        self._put("edge_at", base, np.append(begins, n_edges) + more)
         self._put("rest", base, rest)
-        for name, values in (("to", into + base), ("id", ids), ("logp", logp)):
+        for name, values in (("to", into), ("id", ids), ("logp", logp)):
             self._put(name, more, values)
-        self.n_nodes += n_nodes
-        self.n_edges += len(ids)
+        self.n_nodes += n_new
+        self.n_edges += n_edges
 
 
 @dataclass
@@ -301,7 +395,7 @@ class Sampler:
         self.lattices = Lattices(vocabulary)
 
     def units(self, text: str) -> list[str]:
-        return self.vocabulary.unit.findall(self.vocabulary.model.normalize(text.encode("utf-8", "replace").decode())) if text else []
+        return self.vocabulary.cut(self.vocabulary.model.normalize(text.encode("utf-8", "replace").decode())) if text else []
 
     def samples(self, texts: list[str], seeds: np.ndarray, k: int) -> list[list[Sample]]:
         """Up to k distinct segmentations of each text in the order of their keys; fewer if there are not as many."""
@@ -354,19 +448,25 @@ class Sampler:
         ids = ids.astype(np.uint32)
         return [ids[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
 
-    def _branch(self, seed: np.uint64, key: float, before: float, taken: tuple[int, ...]):
-        """One of the edges not taken yet at a node, and the key of what is then left there (None if nothing is)."""
+    def _branches(self, seed: np.ndarray, key: np.ndarray, before: np.ndarray, taken: list[tuple[int, ...]]):
+        """For each of some nodes one of its edges not taken yet, and the key of what is then left there (-inf if nothing is)."""
         lat = self.lattices
-        node = int(np.searchsorted(lat.edge_at[:lat.n_nodes], taken[0], side="right")) - 1
-        left = [e for e in range(int(lat.edge_at[node]), int(lat.edge_at[node + 1])) if e not in taken]
-        logp = lat.logp[left]
-        share = np.exp(logp - logp.max())
-        keys = mixed(np.array([seed, seed ^ _MIX2], np.uint64) + np.uint64(len(taken)))
-        pick = int(min(np.searchsorted(np.cumsum(share), uniform(keys[:1])[0] * share.sum()), len(left) - 1))
-        edge = left.pop(pick)
-        if not left:
-            return edge, None
-        return edge, float(below(key, depths(before + np.logaddexp.reduce(lat.logp[left]), keys[1:]))[0])
+        node = np.searchsorted(lat.edge_at[:lat.n_nodes], [t[0] for t in taken], side="right") - 1
+        begin, last, n_taken = lat.edge_at[node], lat.edge_at[node + 1] - 1, np.array([len(t) for t in taken])
+        edges = begin[:, None] + np.arange(int((last - begin).max()) + 1)
+        left = edges <= last[:, None]
+        row = np.repeat(np.arange(len(taken)), n_taken)
+        left[row, np.fromiter(chain.from_iterable(taken), np.int64) - begin[row]] = False
+        logp = np.where(left, lat.logp[np.minimum(edges, last[:, None])], -np.inf)
+        share = np.cumsum(np.exp(logp - logp.max(axis=1, keepdims=True)), axis=1)
+        seed = seed + n_taken.astype(np.uint64), (seed ^ _MIX2) + n_taken.astype(np.uint64)
+        pick = (share < (uniform(mixed(seed[0])) * share[:, -1])[:, None]).sum(axis=1)
+        logp[np.arange(len(taken)), pick] = -np.inf
+        others = np.logaddexp.reduce(logp, axis=1)
+        rest = np.full(len(taken), -np.inf)
+        some = np.flatnonzero(others > -np.inf)
+        rest[some] = below(key[some], depths(before[some] + others[some], mixed(seed[1][some])))
+        return begin + pick, rest
 
     def _descend(self, docs, seeds, starts, turn, walks, open_, keep) -> None:
         """From the start of each text named, walk to a leaf; adds the walk, and the children not taken to the open nodes."""
@@ -375,7 +475,12 @@ class Sampler:
         numbers, place, begin = [], [], []
         base: list[_Walk] = []
         seed = mixed(seeds[[s[0] for s in starts]] + _GOLD * np.full(1, turn + 1, np.uint64))
-        for s, (d, own, parent, j, taken) in enumerate(starts):
+        branches = [s for s, start in enumerate(starts) if start[2] >= 0]
+        if branches:
+            at = [(walks[d][parent].phi[j - 1] if j else 0.0) for d, _, parent, j, _ in (starts[s] for s in branches)]
+            edges, rests = self._branches(seed[branches], np.array([starts[s][1] for s in branches]), np.array(at), [starts[s][4] for s in branches])
+            drawn = dict(zip(branches, zip(edges.tolist(), rests.tolist(), strict=True), strict=True))
+        for s, (d, _, parent, j, taken) in enumerate(starts):
             if parent < 0:
                 head = _Walk(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
                 numbers.append(docs[d])
@@ -385,8 +490,8 @@ class Sampler:
                 w = walks[d][parent]
                 u = int(w.unit[j])
                 before = float(w.phi[j - 1]) if j else 0.0
-                edge, rest = self._branch(seed[s], own, before, taken)
-                if rest is not None:
+                edge, rest = drawn[s]
+                if rest > -np.inf:
                     open_[d].append((rest, parent, j, (*taken, edge)))
                 head = _Walk(np.append(w.edges[:j], edge), np.append(w.unit[:j], u), np.append(w.phi[:j], before + lat.logp[edge]))
                 numbers.append(docs[d][u:])
@@ -412,31 +517,35 @@ class Sampler:
     def _section(self, owner, number, place, node, seed, key, phi, done, parts, starts, open_, walks, keep) -> None:
         """Walk some units to their ends. phi, done: log-probability and edges of each text before them; both go on."""
         lat = self.lattices
-        first = lat.first[number]
-        last = first + lat.size[number]
-        stem = mixed(seed[owner] + place.astype(np.uint64) * _GOLD)
-        live = np.flatnonzero(node != last)
+        live = np.flatnonzero(node)
+        at = node[live]
+        stem = (mixed(seed[owner] + place.astype(np.uint64) * _GOLD) + lat.size[number].view(np.uint64))[live]
         taken = []
         step = 0
         while len(live):
-            at = node[live]
-            keys = mixed(stem[live] + (at - first[live]).astype(np.uint64) + np.uint64(step << 32))
+            keys = mixed(stem - lat.left.take(at).astype(np.uint64) + np.uint64(step << 32))  # a place is a number of characters before it
             u = uniform(keys)
-            edge, final = lat.edge_at[at], lat.edge_at[at + 1] - 1
-            logp = lat.logp[edge]
+            edge = lat.edge_at.take(at)
+            logp = lat.logp.take(edge)
+            others = lat.rest.take(at)
             p = np.exp(logp)
-            todo = np.flatnonzero((u >= p) & (edge < final))
-            others = lat.rest[at]
-            while len(todo):
-                u[todo] -= p[todo]
-                edge[todo] += 1
-                logp[todo] = lat.logp[edge[todo]]
-                p[todo] = np.exp(logp[todo])
-                others[todo] = np.log1p(-np.minimum(p[todo], 0.75))  # an edge after the first has at most half
-                todo = todo[(u[todo] >= p[todo]) & (edge[todo] < final[todo])]
+            todo = np.flatnonzero((u >= p) & (others > -np.inf))
+            if len(todo):
+                # Those that leave the first edge go on alone.
+                u, p, final, later = u[todo], p[todo], lat.edge_at.take(at[todo] + 1) - 1, edge[todo]
+                own, some = np.empty(len(todo)), np.arange(len(todo))
+                while len(some):
+                    u[some] -= p[some]
+                    later[some] += 1
+                    own[some] = lat.logp.take(later[some])
+                    p[some] = np.exp(own[some])
+                    some = some[(u[some] >= p[some]) & (later[some] < final[some])]
+                edge[todo], logp[todo] = later, own
+                others[todo] = np.log1p(-np.minimum(p, 0.75))  # an edge after the first has at most half
             taken.append((live, edge, logp, keys, others))
-            node[live] = lat.to[edge]
-            live = live[node[live] != last[live]]
+            at = lat.to.take(edge).astype(np.int64)
+            on = np.flatnonzero(at)
+            live, at, stem = live[on], at[on], stem[on]
             step += 1
         if not taken:
             return

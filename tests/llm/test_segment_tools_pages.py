@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from pluvio.llm import htmltext, segment, toolcalls
+from pluvio.llm import htmltext, lattice, segment, toolcalls
 from pluvio.llm.lattice import Sampler, Vocabulary
 from pluvio.llm.maxflow import source_side
 from pluvio.llm.tokens import path_of
@@ -86,6 +86,38 @@ def test_hashes_are_found_where_a_search_finds_them():
     assert (place == want).all() and (same == (np.append(table, 0)[want] == h) & (want < len(table))).all()
 
 
+def test_units_share_endings_and_those_met_again_stay(monkeypatch):
+    """Fewer nodes and fewer units built anew; samples stay the same bit for bit."""
+    v, rng = Vocabulary(PIECES), np.random.default_rng(7)
+    parts = ["tion", "ment", "wh", "en", "the", "é", "漢", "qz", "ing", ".\n", "-", "  ", "'", "\U0001F9CA"]
+    common = ["".join(rng.choice(parts, 4)) for _ in range(40)]
+    texts = [" ".join([*rng.choice(common, 30), *("".join(rng.choice(parts, 6)) for _ in range(10))]) for _ in range(60)] + ["漢字" * 4000, "", "x"]
+
+    def drawn(own, together):
+        rows = [r for a in range(0, len(texts), together) for r in own.samples(texts[a:a + together], np.arange(a, len(texts), dtype=np.uint64)[:together], 3)]
+        return [[(s.ids.tolist(), s.log_prob, s.key, s.inclusion) for s in r] for r in rows]
+
+    whole = Sampler(v)
+    want = drawn(whole, len(texts))
+    monkeypatch.setattr(lattice, "SHARED", 0)
+    apart = Sampler(v)
+    assert drawn(apart, 7) == want and apart.lattices.n_nodes > whole.lattices.n_nodes
+    monkeypatch.setattr(lattice, "SHARED", 5)
+    small, built = Sampler(v), []
+    small.lattices.remember = 4000
+    add = small.lattices._add
+    monkeypatch.setattr(small.lattices, "_add", lambda units, known: built.extend(units) or add(units, known))
+    assert drawn(small, 4) == want
+    again = Counter(built)
+    assert max(again.values()) > 1 and len(built) < 1.5 * len(again)  # some were dropped, most were built once
+
+
+def test_texts_are_cut_into_units_by_the_same_rule():
+    v = Vocabulary(PIECES)
+    for text in ("", "\u2581", "\u2581a", "a\u2581b", "\u2581a\u2581b\u2581", "\u2581\u2581a", "\u2581a b", "\u2581a-b\u2581c", "\u2581(a)\n\u2581\u2581", "a+", "\u2581don't."):
+        assert v.cut(text) == v.unit.findall(text)
+
+
 def test_samples_do_not_depend_on_batches_and_decode(spark, monkeypatch):
     texts = ["Hello  world, naïve\n\nx 漢字!", None, "", "a\tb " * 3000, "don't (stop).", "don't (stop)."]
     docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)] + [(None, "x y")], "doc_id long, text string").selectExpr("*", "1 AS ids", "2 AS rank")
