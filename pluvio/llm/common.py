@@ -10,12 +10,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pluvio.session import ship, stage
+from pluvio.session import ship, stage, unstage
 
 #: Rows of one Arrow batch. Texts are of any length, so batches are kept short.
 BATCH_ROWS = 256
 
 INTERNAL = "__llm_"
+#: A sieve has at most 2^17 rows of eight words of 64 bits: some 13 MB, 67 million bits.
+SIEVE_BITS = 17
 
 
 def prepare(spark: SparkSession) -> None:
@@ -38,6 +40,23 @@ def broadcast_below(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
+def marked(df: DataFrame, keys: DataFrame, by: list[str], name: str) -> DataFrame:
+    """df with a column that is true where its key is one of the keys (null is a key like others), and for few other rows.
+
+    Hashes of the keys are bits of a table of bounded size, which is broadcast: rows can be told apart before they are shuffled.
+    """
+    types = dict(keys.dtypes)
+    h, at, words = INTERNAL + "h", INTERNAL + "at", [f"{INTERNAL}w{k}" for k in range(8)]
+    hashed = F.xxhash64(*(F.col(c).cast(types[c]) for c in by))
+    row, word = F.expr(f"{h} & {(1 << SIEVE_BITS) - 1}"), f"shiftrightunsigned({h}, {SIEVE_BITS}) & 7"
+    bit = f"cast(shiftrightunsigned({h}, {SIEVE_BITS + 3}) & 63 as int)"
+    sieve = keys.select(hashed.alias(h)).withColumn(at, row).groupBy(at).agg(
+        *(F.expr(f"bit_or(if({word} = {k}, shiftleft(1L, {bit}), 0L))").alias(c) for k, c in enumerate(words)))
+    placed = df.withColumn(h, hashed).withColumn(at, row).join(F.broadcast(sieve), at, "left")
+    own = f"element_at(array({', '.join(words)}), cast({word} as int) + 1)"
+    return placed.select(*df.columns, F.expr(f"coalesce(shiftrightunsigned({own}, {bit}) & 1 = 1, false)").alias(name))
+
+
 def pack_ids(ids: np.ndarray) -> bytes:
     return np.ascontiguousarray(ids, dtype="<u4").tobytes()
 
@@ -80,19 +99,25 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
             far = jumped.select(F.col("node").alias("to"), F.col("to").alias("far"))
             jumped = jumped.join(far, "to", "left").select("node", F.coalesce("far", "to").alias("to"))
         jumped = stage(jumped, "jumped")
+        unstage(point)
+        old = labels
         if labels is None:
             labels = jumped
         else:
             step = jumped.select(F.col("node").alias("to"), F.col("to").alias("far"))
             labels = labels.join(step, "to", "left").select("node", F.coalesce("far", "to").alias("to"))
         labels = stage(labels, "labels")
+        if old is not None:
+            unstage(old)
         of = jumped.select(F.col("node").alias("u"), F.col("to").alias("lu"))
         ov = jumped.select(F.col("node").alias("v"), F.col("to").alias("lv"))
-        left = stage(
+        fewer = stage(
             left.join(of, "u").join(ov, "v")
             .select(F.least("lu", "lv").alias("u"), F.greatest("lu", "lv").alias("v")).where("u < v").distinct(),
             "edges",
         )
+        unstage(left, jumped)
+        left = fewer
     else:
         raise RuntimeError("components did not settle")
     if labels is None:

@@ -3,8 +3,9 @@
 Documents of equal sets are one class, found by a fingerprint. Two classes can only link if the rarest items of one (its
 prefix) meet those of the other, so every class sends the items of its prefix. Among the classes that share an item, bitmaps of
 parities bound from below in how many items two sets differ; classes that may still link are tied together (see ties.py; an
-item shared by very many classes ties them all by a star). The connected parts of this graph are blocks: each class lies in one
-block, and all its links too. A block is joined by a prefix tree in one task. A block too large for a task is thinned first: all its classes are compared with one
+item shared by very many classes ties them all by a star); before bitmaps are sent, sizes and places in the order of items leave only
+postings that may be where two linked sets first meet. The connected parts of this graph are blocks: each class lies in one
+block, and all its links too. A block is joined by a prefix tree in one task, which makes its sets from the texts. A block too large for a task is thinned first: all its classes are compared with one
 of them, the leader; those that link to it are joined and leave, unless the triangle inequality of the Jaccard distance lets one
 of the rest link to them; what is left after some leaders is cut into shards and joined shard against shard. Nothing is capped.
 
@@ -23,10 +24,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pluvio.llm import shingles as sh
-from pluvio.llm.common import batches, broadcast_below, components, strings, table
-from pluvio.llm.ties import tie
+from pluvio.llm.common import INTERNAL, batches, broadcast_below, components, marked, strings, table
+from pluvio.llm.ties import first_meetings, tie
 from pluvio.llm.trie import join_within
-from pluvio.session import stage
+from pluvio.session import stage, unstage
 
 WORDS = 4
 PERCENT = 85
@@ -37,6 +38,8 @@ TASK_ITEMS = 4_000_000
 LEADERS = 3
 #: Postings of an item up to which one task compares its classes.
 HOT_ITEM = 5000
+#: Postings looked at together, and those of one more item.
+POSTINGS = 1 << 16
 BROADCAST_ROWS = 200_000
 
 
@@ -88,13 +91,14 @@ def prefix(items: np.ndarray, counts: np.ndarray, bits: int, percent: int) -> np
 
 
 def postings(docs: DataFrame, counts: np.ndarray, special: dict[bytes, int], words: int, bits: int, percent: int) -> DataFrame:
-    """item, cls for the prefix of every document. Copies within a task are sent once."""
+    """item, cls, n, place for the prefix of every document: the size of its set and the item's place in it. Copies within a task are sent once."""
     sent = docs.sparkSession.sparkContext.broadcast((counts, special))
 
     def posted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (counts, special), seen = sent.value, set()
         for part in parts:
             items, owners = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+            sizes, places = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
             for s in sh.shingle_sets(strings(part.column(0)), words):
                 fp = sh.fingerprint(s)
                 if not len(s) or fp in seen:
@@ -104,10 +108,39 @@ def postings(docs: DataFrame, counts: np.ndarray, special: dict[bytes, int], wor
                 seen.add(fp)
                 items.append(prefix(s, counts, bits, percent))
                 owners.append(np.full(len(items[-1]), special.get(fp, _signed(fp[:8])), np.int64))
+                sizes.append(np.full(len(items[-1]), len(s), np.int32))
+                places.append(np.arange(len(items[-1]), dtype=np.int32))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(items).view(np.int64)), pa.array(np.concatenate(owners))], names=["item", "cls"])
+                [pa.array(np.concatenate(items).view(np.int64)), *(pa.array(np.concatenate(c)) for c in (owners, sizes, places))],
+                names=["item", "cls", "n", "place"])
 
-    return batches(docs.select("text"), posted, "item long, cls long")
+    return batches(docs.select("text"), posted, "item long, cls long, n int, place int")
+
+
+def may_meet_first(few: DataFrame, percent: int) -> DataFrame:
+    """item, cls of those postings(item, cls, n, place) that may be the first item a set shares with one that links to it."""
+
+    def sifted(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, rows = [], 0
+
+        def kept(item, cls, n, place):
+            keep = first_meetings(item, cls, n, place, percent)
+            return pa.RecordBatch.from_arrays([pa.array(item[keep]), pa.array(cls[keep])], names=["item", "cls"])
+
+        for part in parts:
+            held.append([c.to_numpy(zero_copy_only=False) for c in part.columns])
+            rows += part.num_rows
+            if rows < POSTINGS:
+                continue
+            whole = [np.concatenate(c) for c in zip(*held, strict=True)]
+            cut = int(np.searchsorted(whole[0], whole[0][-1]))  # the last item may go on
+            if cut:
+                yield kept(*(c[:cut] for c in whole))
+            held, rows = [[c[cut:] for c in whole]], rows - cut
+        if rows:
+            yield kept(*(np.concatenate(c) for c in zip(*held, strict=True)))
+
+    return batches(few.select("item", "cls", "n", "place").repartition("item").sortWithinPartitions("item"), sifted, "item long, cls long")
 
 
 def classed(texts: DataFrame, special: dict[bytes, int], words: int) -> DataFrame:
@@ -132,8 +165,8 @@ def classed(texts: DataFrame, special: dict[bytes, int], words: int) -> DataFram
     return batches(texts, made, "cls long, text string")
 
 
-def sets_of(docs: DataFrame, special: dict[bytes, int], words: int) -> DataFrame:
-    """block, cls, n, items of documents that carry their block and class."""
+def _set_maker(docs: DataFrame, special: dict[bytes, int], words: int):
+    """A function from batches of block, cls, text to batches of block, cls, n, items."""
     sent = docs.sparkSession.sparkContext.broadcast(special)
 
     def made(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -152,7 +185,12 @@ def sets_of(docs: DataFrame, special: dict[bytes, int], words: int) -> DataFrame
                 pa.array(n, pa.int64()), pa.array(items, pa.binary()),
             ], names=["block", "cls", "n", "items"])
 
-    return batches(docs.select("block", "cls", "text"), made, "block long, cls long, n long, items binary")
+    return made
+
+
+def sets_of(docs: DataFrame, special: dict[bytes, int], words: int) -> DataFrame:
+    """block, cls, n, items of documents that carry their block and class."""
+    return batches(docs.select("block", "cls", "text"), _set_maker(docs, special, words), "block long, cls long, n long, items binary")
 
 
 def _array(data: bytes) -> np.ndarray:
@@ -165,9 +203,8 @@ def _edges(classes: list[int], groups: list[int]) -> pa.RecordBatch:
         [pa.array([a for a, _ in pairs], pa.int64()), pa.array([b for _, b in pairs], pa.int64())], names=["a", "b"])
 
 
-def linked_in_blocks(sets: DataFrame, percent: int) -> DataFrame:
-    """Edges a, b that connect what links within each block (and shard pair, if those columns are there)."""
-    sharded = "shard" in sets.columns
+def _joiner(percent: int, sharded: bool):
+    """A function from batches of sets, sorted by block (and shard pair) and class, to batches of edges. A class counts once."""
     by = ["block", "one", "two"] if sharded else ["block"]
 
     def joined(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,10 +227,25 @@ def linked_in_blocks(sets: DataFrame, percent: int) -> DataFrame:
                 if here != key:
                     yield from done()
                     key, rows = here, []
-                rows.append((cols["shard"][k] if sharded else None, cols["cls"][k], cols["items"][k]))
+                if not rows or rows[-1][1] != cols["cls"][k]:
+                    rows.append((cols["shard"][k] if sharded else None, cols["cls"][k], cols["items"][k]))
         yield from done()
 
-    return batches(sets.repartition(*by).sortWithinPartitions(*by, "cls"), joined, "a long, b long")
+    return joined
+
+
+def linked_in_blocks(sets: DataFrame, percent: int) -> DataFrame:
+    """Edges a, b that connect what links within each block (and shard pair, if those columns are there)."""
+    sharded = "shard" in sets.columns
+    by = ["block", "one", "two"] if sharded else ["block"]
+    return batches(sets.repartition(*by).sortWithinPartitions(*by, "cls"), _joiner(percent, sharded), "a long, b long")
+
+
+def linked_texts(texts: DataFrame, percent: int, special: dict[bytes, int], words: int) -> DataFrame:
+    """Edges a, b that connect what links within each block of texts(block, cls, text); the sets are made where they are joined."""
+    made, joined = _set_maker(texts, special, words), _joiner(percent, False)
+    placed = texts.select("block", "cls", "text").repartition("block").sortWithinPartitions("block", "cls")
+    return batches(placed, lambda parts: joined(made(parts)), "a long, b long")
 
 
 def tied(few: DataFrame, percent: int) -> DataFrame:
@@ -232,7 +284,7 @@ def tied(few: DataFrame, percent: int) -> DataFrame:
 
 
 def thin(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Compare every class of a block with its leader: edges to the leader, and the rows still needed.
+    """Compare every class of a block with its leader: edges to the leader, and the rows still needed, both staged.
 
     A block without an open row has no leader; its rows were kept because they may link to each other, and stay.
     """
@@ -254,17 +306,20 @@ def thin(sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
                 [*part.columns[:6], pa.array(common, pa.int64()), pa.array(whole, pa.int64())],
                 names=["block", "cls", "n", "items", "open", "leader", "common", "whole"])
 
-    compared = stage(batches(
+    written = stage(batches(
         sets.join(lead, "block").select("block", "cls", "n", "items", "open", "leader", "lead_items"), measured,
         "block long, cls long, n long, items binary, open boolean, leader long, common long, whole long",
-    ), "compared").withColumn("near", F.expr(f"100 * common >= {percent} * whole")).withColumn("far", F.expr("1 - common / whole"))
-    edges = compared.where("near AND cls <> leader").select(F.col("leader").alias("a"), F.col("cls").alias("b"))
+    ), "compared")
+    compared = written.withColumn("near", F.expr(f"100 * common >= {percent} * whole")).withColumn("far", F.expr("1 - common / whole"))
+    edges = stage(compared.where("near AND cls <> leader").select(F.col("leader").alias("a"), F.col("cls").alias("b")), "led")
     reach = compared.where("NOT near").groupBy("block").agg(F.min("far").alias("least"))
     rest = (
         compared.join(reach, "block").where(f"NOT near OR far >= least - {1 - percent / 100} - 1e-9")
         .select("block", "cls", "n", "items", F.expr("open AND NOT near").alias("open"))
     )
-    return edges, rest.unionByName(sets.join(first, "block", "left_anti").select("block", "cls", "n", "items", "open"))
+    rest = stage(rest.unionByName(sets.join(first, "block", "left_anti").select("block", "cls", "n", "items", "open")), "rest")
+    unstage(written)
+    return edges, rest
 
 
 def links(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bits: int = SKETCH_BITS, task_items: int = TASK_ITEMS):
@@ -305,29 +360,28 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bits: in
         post.groupBy("item").agg(F.min("cls").alias("a"), F.max("cls").alias("z"), F.count("*").alias("k")).where("a < z")
     )
     shared = stage(shared.select("item", "a", (F.col("k") > HOT_ITEM).alias("hot")), "shared")
-    meet = stage(post.join(shared, "item").select("item", "hot", "a", "cls"), "meet")
+    meet = stage(post.join(shared, "item").select("item", "hot", "a", "cls", "n", "place"), "meet")
+    unstage(post, shared)
     star = meet.where("hot AND a < cls").select("a", F.col("cls").alias("b"))
-    few = meet.where("NOT hot").select("item", "cls").join(numbered.select("cls", "n", "bits"), "cls")
+    near = stage(may_meet_first(meet.where("NOT hot"), percent), "near")
+    few = near.join(numbered.select("cls", "n", "bits"), "cls")
     edges = stage(star.unionByName(tied(few, percent)).distinct(), "ties")
+    unstage(meet, near)
     blocks = components(edges).select(F.col("node").alias("cls"), F.col("component").alias("block"))
+    unstage(edges)
     wanted = stage(numbered.join(blocks, "cls").select("rep.doc_id", "cls", "block", "n"), "wanted")
-    ids = wanted.where("doc_id IS NOT NULL").select("doc_id", "cls", "block")
-    some = docs.join(broadcast_below(ids, BROADCAST_ROWS), "doc_id").select("block", "cls", "text")
-    bare = wanted.where("doc_id IS NULL").select("cls", "block")
-    if not bare.isEmpty():  # no id leads to the text of such a class
-        texts = classed(docs.where("doc_id IS NULL").select("text"), special, words)
-        some = some.unionByName(texts.join(broadcast_below(bare, BROADCAST_ROWS), "cls").select("block", "cls", "text"))
-    sets = stage(sets_of(some, special, words).dropDuplicates(["cls"]), "sets")
 
-    heavy = sets.groupBy("block").agg(F.sum("n").alias("size")).where(F.col("size") > task_items)
-    heavy = stage(heavy, "heavy")
-    found = linked_in_blocks(sets.join(heavy, "block", "left_anti").select("block", "cls", "items"), percent)
-    large = sets.join(heavy, "block").select("block", "cls", "n", "items", F.lit(True).alias("open"))
+    heavy = wanted.groupBy("block").agg(F.sum("n").alias("size")).where(F.col("size") > task_items)
+    heavy = stage(heavy.select("block"), "heavy")
+    found = linked_texts(texts_of(docs, wanted.join(heavy, "block", "left_anti"), special, words), percent, special, words)
     if not heavy.isEmpty():
+        few = texts_of(docs, wanted.join(heavy, "block"), special, words)
+        large = stage(sets_of(few, special, words).dropDuplicates(["cls"]).withColumn("open", F.lit(True)), "sets")
         for _ in range(LEADERS):
             edges, rest = thin(large, percent)
+            unstage(large)
             found = found.unionByName(edges)
-            large = stage(rest, "rest")
+            large = rest
             if large.isEmpty():
                 break
         found = found.unionByName(sharded(large, percent, task_items))
@@ -339,6 +393,22 @@ def groups(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, bits: in
     return rows.join(final, "fp", "left").select("doc_id", "own", "n", "least")
 
 
+def texts_of(docs: DataFrame, wanted: DataFrame, special: dict[bytes, int], words: int) -> DataFrame:
+    """block, cls, text of the rows of docs that have the id of a class of wanted(doc_id, cls, block).
+
+    Ids too many to be broadcast are looked for in a sieve first, so that other texts are not shuffled.
+    """
+    ids = wanted.where("doc_id IS NOT NULL").select("doc_id", "cls", "block")
+    small = broadcast_below(ids, BROADCAST_ROWS)
+    some = docs if small is not ids else marked(docs, ids, ["doc_id"], INTERNAL + "maybe").where(INTERNAL + "maybe")
+    some = some.join(small, "doc_id").select("block", "cls", "text")
+    bare = wanted.where("doc_id IS NULL").select("cls", "block")
+    if not bare.isEmpty():  # no id leads to the text of such a class
+        texts = classed(docs.where("doc_id IS NULL").select("text"), special, words)
+        some = some.unionByName(texts.join(broadcast_below(bare, BROADCAST_ROWS), "cls").select("block", "cls", "text"))
+    return some
+
+
 def _number(fp: str):
     """The first eight bytes of a fingerprint, lowest first, as a signed number."""
     bytes_ = [F.conv(F.hex(F.substring(fp, k, 1)), 16, 10).cast("long") for k in range(1, 9)]

@@ -26,6 +26,37 @@ def _runs(values: np.ndarray, gap: np.ndarray | float) -> list[np.ndarray]:
     return np.split(order, np.flatnonzero(np.diff(ascending) > gap) + 1)
 
 
+def first_meetings(items: np.ndarray, classes: np.ndarray, sizes: np.ndarray, places: np.ndarray, percent: int) -> np.ndarray:
+    """Positions of the postings that may be the first item, in the order of items, which a set shares with one that links to it.
+
+    A set of n items that has p of them before the first shared one shares n - p at most, so a set it links to has at most
+    (100 + percent) * (n - p) / percent - n items. A posting stays if the item has another set that is within this reach and has
+    this set within its own. A class counts once an item.
+    """
+    order = np.lexsort((classes, sizes, items))
+    item, cls = items[order], classes[order]
+    once = np.ones(len(order), bool)
+    once[1:] = (item[1:] != item[:-1]) | (cls[1:] != cls[:-1])
+    order, item = order[once], item[once]
+    n = sizes[order].astype(np.int64)
+    reach = np.maximum((100 + percent) * (n - places[order]) // percent - n, 0)
+    new = np.ones(len(item), bool)
+    new[1:] = item[1:] != item[:-1]
+    first = np.flatnonzero(new)
+    group = np.cumsum(new) - 1
+    base = group << 32  # values of a group lie above those of all groups before it
+    # The largest and second largest reach among the sets of an item up to a size; the second is for a set that is itself the first.
+    far = base + reach + 1
+    most = np.maximum.accumulate(far)
+    earlier = np.maximum(np.concatenate([base[:1], most[:-1]]), base)
+    second = np.maximum.accumulate(np.minimum(earlier, far))
+    upto = np.searchsorted(base + n, base + reach, side="right") - 1
+    some = upto >= first[group]
+    upto = np.maximum(upto, 0)
+    best = np.where((upto >= np.arange(len(n))) & (most[upto] == far), second[upto], most[upto])
+    return np.sort(order[some & (best > base + n)])
+
+
 def tie(sizes: list[int], bits: list[bytes], percent: int) -> list[int]:
     """The group of every set, as a position in it."""
     n = np.array(sizes, np.int64)

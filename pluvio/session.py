@@ -78,12 +78,36 @@ def staging(spark: SparkSession) -> Iterator[None]:
         _delete(spark, root)
 
 
+@contextmanager
+def spent_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside delete their shuffle files when they end, instead of when the driver happens to collect its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate result to the shared folder and read it back.
 
-    The written table cuts the lineage and survives lost executors.
+    The written table cuts the lineage and survives lost executors; the shuffle files that led to it are deleted.
     """
     spark = df.sparkSession
     path = f"{_stage_root(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    with spent_shuffles(spark):
+        df.write.mode("errorifexists").parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_at = path
+    return out
+
+
+def unstage(*tables: DataFrame) -> None:
+    """Delete tables that stage() returned; what reads them must be written by then."""
+    for df in tables:
+        _delete(df.sparkSession, df.staged_at)

@@ -1,5 +1,6 @@
 """The Jaccard join against brute force, with every way a block can take."""
 
+import os
 import random
 import re
 from itertools import combinations
@@ -7,9 +8,10 @@ from itertools import combinations
 import numpy as np
 import pytest
 
+from pluvio import session
 from pluvio.llm import jaccard, shingles, trie
-from pluvio.llm.common import components
-from pluvio.llm.ties import tie
+from pluvio.llm.common import components, marked
+from pluvio.llm.ties import first_meetings, tie
 
 
 def sets_by_hand(text, size=4):
@@ -147,3 +149,60 @@ def test_words_that_collide_in_polynomial_hashes_are_different_shingles():
     a, b = "".join("ab"[x] for x in bits), "".join("ba"[x] for x in bits)
     one, two = shingles.shingle_sets([f"{a} is a word", f"{b} is a word"])
     assert len(one) == len(two) == 1 and one[0] != two[0]
+
+
+def test_first_meetings_keep_where_linked_sets_meet_first():
+    """Items are their own order. Every linked pair stays at its first shared item; most other postings go."""
+    rng = np.random.default_rng(3)
+    base = rng.permutation(3000)[:400]
+    sets = [np.unique(rng.integers(0, 3000, rng.integers(1, 400))) for _ in range(150)]
+    sets += [np.unique(np.concatenate([base[rng.random(400) > rng.choice([0.02, 0.06, 0.2])], rng.integers(0, 3000, 5)])) for _ in range(30)]
+    for percent in (80, 85):
+        rows = [(x, k, len(s), i) for k, s in enumerate(sets) for i, x in enumerate(s[:len(s) - -(-percent * len(s) // 100) + 1])]
+        rows += rows[::7]  # copies from other tasks
+        rng.shuffle(rows)
+        item, cls, n, place = (np.array(c) for c in zip(*rows, strict=True))
+        keep = first_meetings(item, cls, n.astype(np.int32), place.astype(np.int32), percent)
+        kept = set(zip(item[keep].tolist(), cls[keep].tolist(), strict=True))
+        assert len(kept) == len(keep) < len(set(zip(item.tolist(), cls.tolist(), strict=True))) // 2
+        linked = 0
+        for i, j in combinations(range(len(sets)), 2):
+            common = np.intersect1d(sets[i], sets[j])
+            if 100 * len(common) >= percent * (len(sets[i]) + len(sets[j]) - len(common)):
+                linked += 1
+                assert {(int(common[0]), i), (int(common[0]), j)} <= kept
+        assert linked > 30
+    assert not len(first_meetings(*(np.zeros(0, np.int64) for _ in range(4)), 85))
+
+
+def test_join_with_ids_that_cannot_be_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(jaccard, "POSTINGS", 50)
+    rows = corpus(4)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert sorted(tuple(r) for r in jaccard.links(docs).collect()) == brute(rows)
+
+
+def test_join_leaves_no_postings_and_no_spent_shuffles_on_disk(spark):
+    """What a step has read for the last time goes, whether or not the driver collects its garbage."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    shuffles = lambda: sum("shuffle_" in str(disk.getAllFiles().apply(k)) for k in range(disk.getAllFiles().size()))
+    before = shuffles()
+    session.stage(spark.range(1000).repartition(4).groupBy("id").count(), "counted")
+    assert shuffles() <= before
+    root = session._stage_root(spark)
+    known = set(os.listdir(root))
+    docs = spark.createDataFrame(corpus(5), "doc_id long, text string").repartition(3)
+    jaccard.links(docs, task_items=400).collect()
+    left = {name.rsplit("-", 5)[0] for name in set(os.listdir(root)) - known}
+    assert not left & {"postings", "shared", "meet", "near", "ties", "point", "jumped", "compared"}
+
+
+def test_marked_rows(spark):
+    keys = spark.createDataFrame([(7, "a"), (None, "b"), (9, None), (7, "a")], "k int, s string")
+    rows = [(7, "a", 1), (7, "b", 2), (None, "b", 3), (9, None, 4), (None, None, 5)] + [(k, "c", k) for k in range(20, 20000)]
+    df = spark.createDataFrame(rows, "k long, s string, v long")
+    got = marked(df, keys, ["k", "s"], "in").where("in").collect()
+    assert {r.v for r in got if r.v < 20} == {1, 3, 4} and len(got) < 10
+    assert marked(df, keys, ["k", "s"], "in").count() == len(rows)
+    assert marked(df, keys.limit(0), ["k", "s"], "in").where("in").count() == 0
