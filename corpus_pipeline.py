@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pluvio.llm import jaccard, packing, quality, toxicity
-from pluvio.llm.common import table
+from pluvio.llm.common import INTERNAL, marked, table
 from pluvio.llm.tokens import path_of
 from pluvio.session import stage
 
@@ -31,10 +31,15 @@ def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """
     own = F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))
     found = jaccard.groups(docs.select("doc_id", "text", own.alias("own")), words=5, percent=80)
-    gone = found.where("doc_id <> least.doc_id OR doc_id IS NOT NULL AND own <> least.own").select("doc_id", "own").distinct()
+    gone = F.expr("coalesce(doc_id <> least.doc_id OR doc_id IS NOT NULL AND own <> least.own, false)")
+    # All other rows stay as they are; they are told apart before any text is shuffled.
+    odd = found.groupBy("doc_id", "own").agg(F.max(gone).alias("gone"), F.count("*").alias("k")).where("gone OR k > 1")
+    odd = stage(odd.select("doc_id", "own", "gone"), "odd")
+    apart = marked(docs.withColumn("own", own), odd, ["doc_id", "own"], INTERNAL + "maybe")
     rest = [c for c in docs.columns if c != "doc_id"]
-    once = docs.withColumn("own", own).groupBy("doc_id", "own").agg(F.min(F.struct(*rest)).alias("row"))
-    return once.join(gone, ["doc_id", "own"], "left_anti").select("doc_id", "row.*").select(docs.columns)
+    once = apart.where(INTERNAL + "maybe").groupBy("doc_id", "own").agg(F.min(F.struct(*rest)).alias("row"))
+    once = once.join(odd.where("gone"), ["doc_id", "own"], "left_anti").select("doc_id", "row.*").select(docs.columns)
+    return apart.where("NOT " + INTERNAL + "maybe").select(docs.columns).unionByName(once)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -56,6 +56,16 @@ def test_ids_of_several_texts_in_the_join_stage(spark):
     assert {(1, base, "b"), (2, "a clean text of its own", "a"), (4, None, "b"), (4, "", "b"), (None, "copies of null id here", "c"), (None, None, "d")} < set(got)
 
 
+def test_texts_that_stay_are_not_shuffled_in_the_join_stage(spark):
+    """Only rows whose document goes or comes twice are brought together; the texts of others are not."""
+    rows = [(k, " ".join(f"w{k}x{i}" for i in range(40))) for k in range(300)] + [(300, "a b c d e f g"), (301, "A b c d e f g"), (7, " ".join(f"w7x{i}" for i in range(40)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = corpus_pipeline.keep_one_of_group(spark, docs, SF)
+    assert sorted(r.doc_id for r in got.collect()) == list(range(301))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.startswith("Union") and "Aggregate" not in plan[:plan.index("Join LeftAnti")].split("+-")[1]
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_oracles(spark, name):
     sql = oracle(SF).sql(queries.ORACLES[name]).df()
