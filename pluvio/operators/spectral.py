@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from pluvio.operators.grouped import map_groups
 from pluvio.operators.rolling import rolling
 from pluvio.operators.series import with_blocks, with_positions
+from pluvio.session import stage
+
+#: Series up to which what is known of each is sent to all tasks, so that spectra need not be shuffled.
+BROADCAST_SERIES = 200_000
 
 
 def spectra(windows: np.ndarray, taper: np.ndarray, f_sampling: float) -> np.ndarray:
@@ -88,14 +92,20 @@ def classify(
     """Add p_diff and wet: mean of the low minus the high band, both relative to the dry spectrum.
 
     Only the rows of the dry period are spread out by frequency; the mean dry spectrum comes back
-    as one array per series.
+    as one array per series. Both small tables are staged, so that no two shuffles of the spectra are on disk at once.
     """
+
+    def small(df: DataFrame, name: str) -> DataFrame:
+        df = stage(df, name)
+        return F.broadcast(df) if df.limit(BROADCAST_SERIES + 1).count() <= BROADCAST_SERIES else df
+
     in_dry = (F.col("pos") >= F.col("dry_start")) & (F.col("pos") < F.col("dry_stop"))
-    mean = (
-        spectrum.join(dry, [*keys]).where(in_dry)
+    mean = small(
+        spectrum.where("power is not null").join(small(dry, "dry"), [*keys]).where(in_dry)
         .select(*keys, F.posexplode("power").alias("i", "p"))
         .groupBy(*keys, "i").agg(F.avg("p").alias("p"))
-        .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("i", "p"))).getField("p").alias("dry_power"))
+        .groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("i", "p"))).getField("p").alias("dry_power")),
+        "dry_power",
     )
     low = sum(1 for f in freqs if f <= f_divide)
     high = len(freqs) - low

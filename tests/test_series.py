@@ -332,6 +332,25 @@ def test_spectral_classes(spark):
     assert list(got["wet"]) == [bool(d > 0.1) for d in diff]
 
 
+@pytest.mark.parametrize("limit", [sp.BROADCAST_SERIES, 0])
+def test_spectra_are_shuffled_only_for_many_series(spark, monkeypatch, limit):
+    monkeypatch.setattr(sp, "BROADCAST_SERIES", limit)
+    kept = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(k, T0 + timedelta(minutes=i), i, None if i < 2 else [float((k or 0) + i), 2.0 + i % 3]) for k in (1, 2, None) for i in range(9)]
+        spectrum = spark.createDataFrame(rows, "cml_id bigint, time timestamp, pos bigint, power array<double>")
+        dry = spark.createDataFrame([(1, 1, 4), (2, 0, 2)], "cml_id bigint, dry_start bigint, dry_stop bigint")
+        out = sp.classify(spectrum, dry, ["cml_id"], [0.0, 0.5], 0.2, 0.1)
+        assert ("Exchange hashpartitioning" in out._jdf.queryExecution().executedPlan().toString()) == (limit == 0)
+        got = {(r.cml_id, r.pos): r.p_diff for r in out.collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", kept)
+    assert len(got) == 27
+    # Rows 2 and 3 are the known ones of the first dry period; no row of the second is known.
+    assert all(p == (pytest.approx((1 + i) / 3.5 - (2 + i % 3) / 3.0) if k == 1 and i >= 2 else None) for (k, i), p in got.items())
+
+
 def test_hour_sum_constant(spark):
     rows = [(1, T0 + timedelta(minutes=10 * i), 6.0) for i in range(8)]
     lr = spark.createDataFrame(rows, "cml_id bigint, time timestamp, r double")
